@@ -193,3 +193,25 @@ SELECT id, first_price, last_price, high, low, total_change, change_24h,
 FROM tot""")
 def q_period_stats(spark, sf_dir):
     return W.period_stats(V.ticks(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- cooldown and alerts
+from marketpulse.operators import cooldown as T  # noqa: E402
+
+COOLED_CTE = """nz AS (
+  SELECT id, "timestamp", seq, row_number() OVER (PARTITION BY id ORDER BY "timestamp", seq) AS rn
+  FROM tick WHERE id IS NOT NULL AND "timestamp" IS NOT NULL
+    AND price_change_pct_24h IS NOT NULL AND price_change_pct_24h <> 0),
+chain(id, "timestamp", seq) AS (
+  SELECT id, "timestamp", seq FROM nz WHERE rn = 1
+  UNION ALL
+  SELECT c.id, n."timestamp", n.seq FROM chain c, LATERAL (
+    SELECT "timestamp", seq FROM nz
+    WHERE nz.id = c.id AND nz."timestamp" >= c."timestamp" + INTERVAL 3600 SECOND
+    ORDER BY "timestamp", seq LIMIT 1) n),
+cooled AS (SELECT t.* FROM tick t JOIN chain USING (seq))"""
+
+
+@register("cooldown", with_(TICK_CTE, COOLED_CTE) + "SELECT * FROM cooled")
+def q_cooldown(spark, sf_dir):
+    return T.cooldown(V.ticks(spark, sf_dir))
