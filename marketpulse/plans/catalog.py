@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketpulse.operators import snapshot as S
 from marketpulse.operators import timeseries as W
@@ -215,3 +216,126 @@ cooled AS (SELECT t.* FROM tick t JOIN chain USING (seq))"""
 @register("cooldown", with_(TICK_CTE, COOLED_CTE) + "SELECT * FROM cooled")
 def q_cooldown(spark, sf_dir):
     return T.cooldown(V.ticks(spark, sf_dir))
+
+
+from marketpulse.functions import labels as P  # noqa: E402
+from marketpulse.operators import alerts as J  # noqa: E402
+from marketpulse.operators import subscriptions as K  # noqa: E402
+from marketpulse.plans.oracle import COMMANDS_CTE, SUBS_CTE  # noqa: E402
+
+DIRECTION_SQL = "CASE WHEN {c} < 0 THEN 'drop' WHEN {c} > 0 THEN 'rise' END"
+TREND_SQL = "CASE WHEN {c} >= 0 THEN 'up' ELSE 'down' END"
+PLAIN2_SQL = "replace(format('{{:.2f}}', {c}), ',', '')"
+NAME_SQL = "upper(substr({c}, 1, 1)) || lower(substr({c}, 2))"
+
+
+@register("direction", with_(TICK_CTE) + f"""
+SELECT seq, id, price_change_pct_24h AS change, {DIRECTION_SQL.format(c='price_change_pct_24h')} AS direction,
+       {TREND_SQL.format(c='price_change_pct_24h')} AS trend,
+       {CHANGE_LABEL_SQL.format(c='price_change_pct_24h')} AS change_label,
+       {NAME_SQL.format(c='id')} AS name, {PRICE_LABEL_SQL.format(c='current_price')} AS price_label
+FROM tick""")
+def q_direction(spark, sf_dir):
+    t = V.ticks(spark, sf_dir)
+    c = "price_change_pct_24h"
+    return t.select("seq", "id", t[c].alias("change"), P.direction(c).alias("direction"), P.trend(c).alias("trend"),
+                    P.change_label(c).alias("change_label"), P.display_name("id").alias("name"),
+                    P.price_label("current_price").alias("price_label"))
+
+
+MATCH_CTE = f"""alerts AS (
+  SELECT s.email, c.id AS coin, {DIRECTION_SQL.format(c='c.price_change_pct_24h')} AS direction,
+         c.price_change_pct_24h AS change, c.current_price AS price, coalesce(s.threshold, 2.0) AS threshold,
+         c."timestamp" AS "timestamp"
+  FROM cooled c JOIN subs s
+    ON s.coin = c.id AND s.direction = {DIRECTION_SQL.format(c='c.price_change_pct_24h')}
+   AND ((s.direction = 'drop' AND c.price_change_pct_24h <= -coalesce(s.threshold, 2.0))
+     OR (s.direction = 'rise' AND c.price_change_pct_24h >= coalesce(s.threshold, 2.0))))"""
+
+
+def _alerts(spark, sf_dir):
+    return J.match_alerts(T.cooldown(V.ticks(spark, sf_dir)), V.subscriptions(spark, sf_dir))
+
+
+@register("match_alerts", with_(TICK_CTE, COOLED_CTE, SUBS_CTE, MATCH_CTE) + "SELECT * FROM alerts")
+def q_match_alerts(spark, sf_dir):
+    return _alerts(spark, sf_dir)
+
+
+@register("alert_outbox", with_(TICK_CTE, COOLED_CTE, SUBS_CTE, MATCH_CTE) + f"""
+SELECT *, 'Price alert: ' || {NAME_SQL.format(c='coin')} || ' '
+          || CASE WHEN direction = 'drop' THEN 'dropped' ELSE 'surged' END || ' '
+          || {PLAIN2_SQL.format(c='abs(change)')} || '%' AS subject,
+       {NAME_SQL.format(c='coin')} || ' has ' || CASE WHEN direction = 'drop' THEN 'dropped' ELSE 'risen' END || ' '
+          || {PLAIN2_SQL.format(c='abs(change)')} || '% over 24h. Price now $'
+          || coalesce(format('{{:,.4f}}', price), 'n/a') || '. Your threshold: ' || CAST(threshold AS VARCHAR) || '%.'
+          AS body
+FROM alerts""")
+def q_alert_outbox(spark, sf_dir):
+    return J.alert_outbox(_alerts(spark, sf_dir))
+
+
+ORDER_SQL = "struct_pack(t := ts, s := seq)"
+STATE_SQL = f"""dl AS (SELECT email, coin, max({ORDER_SQL}) AS del_at FROM cmd WHERE op = 'delete' GROUP BY 1, 2),
+live AS (SELECT c.* FROM cmd c LEFT JOIN dl USING (email, coin)
+         WHERE c.op = 'upsert' AND (dl.del_at IS NULL OR {ORDER_SQL.replace('ts', 'c.ts').replace('seq', 'c.seq')} > dl.del_at)),
+state AS (SELECT email, coin, arg_max(threshold, {ORDER_SQL}) AS threshold, arg_max(direction, {ORDER_SQL}) AS direction,
+                 min(ts) AS created_at FROM live GROUP BY 1, 2)"""
+
+
+@register("subs_state", with_(COMMANDS_CTE, STATE_SQL) + "SELECT * FROM state")
+def q_subs_state(spark, sf_dir):
+    return K.apply_commands(V.subscription_commands(spark, sf_dir))
+
+
+@register("subs_outcome", with_(COMMANDS_CTE) + """
+SELECT email, coin, op, ts, seq,
+       CASE WHEN op = 'upsert' THEN CASE WHEN prev = 'upsert' THEN 'updated' ELSE 'created' END
+            ELSE CASE WHEN prev = 'upsert' THEN 'deleted' ELSE 'noop' END END AS outcome
+FROM (SELECT *, lag(op) OVER (PARTITION BY email, coin ORDER BY ts, seq) AS prev FROM cmd)""")
+def q_subs_outcome(spark, sf_dir):
+    return K.with_outcome(V.subscription_commands(spark, sf_dir))
+
+
+def _form(spark, sf_dir):
+    s = V.subscriptions(spark, sf_dir)
+    return s.select("email", P.display_name("coin").alias("coin"),
+                    F.when(F.col("direction") == "drop", "Drops by").otherwise("Rises by").alias("alert_when"),
+                    "threshold")
+
+
+FORM_SQL = f"""norm AS (SELECT email, lower({NAME_SQL.format(c='coin')}) AS coin, direction,
+                       coalesce(threshold, 2.0) AS threshold FROM subs),
+chk AS (SELECT *, (email IS NOT NULL AND length(email) > 0 AND strpos(email, '@') > 0) AS ok_email,
+               (threshold BETWEEN 0.1 AND 50.0) AS ok_t FROM norm)"""
+
+
+@register("subs_valid", with_(SUBS_CTE, FORM_SQL) + """
+SELECT email, coin, direction, threshold FROM chk WHERE ok_email AND ok_t""")
+def q_subs_valid(spark, sf_dir):
+    return K.split_valid(K.normalise_command(_form(spark, sf_dir)))[0]
+
+
+@register("subs_rejected", with_(SUBS_CTE, FORM_SQL) + """
+SELECT email, coin, direction, threshold,
+       CASE WHEN NOT ok_email THEN 'invalid email' ELSE 'threshold out of range' END AS reason
+FROM chk WHERE NOT (ok_email AND ok_t)""")
+def q_subs_rejected(spark, sf_dir):
+    return K.split_valid(K.normalise_command(_form(spark, sf_dir)))[1]
+
+
+LOOKUP_EMAIL = "user42@example.com"
+
+
+@register("subs_for_email", with_(SUBS_CTE) + f"""
+SELECT coin, threshold, direction,
+       CASE WHEN direction = 'drop' THEN 'Drops' ELSE 'Rises' END || ' by ' || CAST(threshold AS VARCHAR) || '%'
+         AS label, email
+FROM subs WHERE email = '{LOOKUP_EMAIL}'""")
+def q_subs_for_email(spark, sf_dir):
+    return K.subs_for_email(V.subscriptions(spark, sf_dir), LOOKUP_EMAIL)
+
+
+@register("subs_for", with_(SUBS_CTE) + "SELECT * FROM subs WHERE coin = 'purchase' AND direction = 'rise'")
+def q_subs_for(spark, sf_dir):
+    return K.subs_for(V.subscriptions(spark, sf_dir), "purchase", "rise")
