@@ -339,3 +339,94 @@ def q_subs_for_email(spark, sf_dir):
 @register("subs_for", with_(SUBS_CTE) + "SELECT * FROM subs WHERE coin = 'purchase' AND direction = 'rise'")
 def q_subs_for(spark, sf_dir):
     return K.subs_for(V.subscriptions(spark, sf_dir), "purchase", "rise")
+
+
+# ---------------------------------------------------------------- sources and sentiment
+from marketpulse.operators import sentiment as X  # noqa: E402
+from marketpulse.plans.oracle import ARTICLE_CTE, LEXICON_CTE, TOPIC_CTE  # noqa: E402
+from marketpulse.sources import codec as C  # noqa: E402
+from marketpulse.sources import payloads as PL  # noqa: E402
+
+BAD_MESSAGE_EVERY = 19
+MARKET_UNIVERSE = ["click", "purchase", "signup", "view"]
+AS_OF = "2024-02-01 00:00:00"
+
+
+@register("decode_ticks", with_(TICK_CTE) + f"""
+SELECT CASE WHEN bad THEN NULL ELSE id END AS id, CASE WHEN bad THEN NULL ELSE symbol END AS symbol,
+       CASE WHEN bad THEN NULL ELSE current_price END AS current_price,
+       CASE WHEN bad THEN NULL ELSE price_change_pct_24h END AS price_change_pct_24h,
+       CASE WHEN bad THEN NULL ELSE market_cap END AS market_cap,
+       CASE WHEN bad THEN NULL ELSE total_volume END AS total_volume,
+       CASE WHEN bad THEN NULL ELSE date_trunc('second', "timestamp") END AS "timestamp"
+FROM (SELECT *, seq % {BAD_MESSAGE_EVERY} = 0 AS bad FROM tick)""")
+def q_decode_ticks(spark, sf_dir):
+    t = V.ticks(spark, sf_dir)
+    wire = F.to_json(F.struct(*[C.iso_text(c).alias(c) if c == "timestamp" else F.col(c) for c in t.columns]))
+    bad = F.col("seq") % BAD_MESSAGE_EVERY == 0
+    msgs = t.select(F.when(bad, F.lit("{not json")).otherwise(wire).cast("binary").alias("value"))
+    return C.decode_ticks(msgs)
+
+
+@register("market_payload", with_(TICK_CTE) + f"""
+SELECT id, symbol, current_price, coalesce(price_change_pct_24h, 0.0) AS price_change_pct_24h, market_cap,
+       total_volume, max("timestamp") OVER (PARTITION BY seq // 10) AS "timestamp"
+FROM tick QUALIFY id IN ({", ".join(repr(c) for c in MARKET_UNIVERSE)})""")
+def q_market_payload(spark, sf_dir):
+    return PL.restrict(PL.normalise_market(PL.market_payloads(V.ticks(spark, sf_dir))), MARKET_UNIVERSE)
+
+
+def _articles(spark, sf_dir):
+    return V.article_inputs(spark, sf_dir)
+
+
+@register("article_payload", with_(ARTICLE_CTE) + """
+SELECT coin, title, title || '. ' || coalesce(description, '') AS text, coalesce(source, 'unknown') AS source,
+       published_at, CAST(max(published_at) OVER (PARTITION BY coin, doc_id // 50) AS TIMESTAMP) AS "timestamp"
+FROM art""")
+def q_article_payload(spark, sf_dir):
+    return PL.normalise_articles(PL.news_payloads(_articles(spark, sf_dir)))
+
+
+SCORE_SQL = """tok AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}]+')) AS w FROM {src}),
+scores AS (SELECT t.doc_id, round(coalesce(avg(lex.polarity), 0.0), 9) AS sentiment_score
+           FROM tok t LEFT JOIN lex ON lex.word = t.w GROUP BY t.doc_id),
+labelled AS (SELECT doc_id, sentiment_score,
+                    CASE WHEN sentiment_score > 0.1 THEN 'positive' WHEN sentiment_score < -0.1 THEN 'negative'
+                         ELSE 'neutral' END AS sentiment_label FROM scores)"""
+
+
+@register("score_text", with_(ARTICLE_CTE, LEXICON_CTE, SCORE_SQL.format(src="art")) + "SELECT * FROM labelled")
+def q_score_text(spark, sf_dir):
+    return X.score_text(_articles(spark, sf_dir), V.lexicon(spark))
+
+
+@register("select_articles", with_(ARTICLE_CTE, TOPIC_CTE) + """,
+toks AS (SELECT doc_id, published_at, regexp_split_to_array(lower(text), '[^\\p{L}]+') AS w FROM art WHERE lang = 'en'),
+m AS (SELECT topic.coin AS topic, doc_id, published_at FROM toks, topic WHERE list_has_all(w, topic.terms))
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY published_at DESC, doc_id) AS rank FROM m)
+WHERE rank <= 10""")
+def q_select_articles(spark, sf_dir):
+    return X.select_articles(_articles(spark, sf_dir), V.topics(spark))
+
+
+@register("sentiment_summary", with_(ARTICLE_CTE, LEXICON_CTE, SCORE_SQL.format(src="art")) + f"""
+SELECT a.coin, round(avg(l.sentiment_score), 6) AS avg_sentiment, CAST(count(*) AS INTEGER) AS article_count,
+       TIMESTAMP '{AS_OF}' AS "timestamp"
+FROM art a JOIN labelled l USING (doc_id) GROUP BY a.coin""")
+def q_sentiment_summary(spark, sf_dir):
+    return X.sentiment_summary(X.with_scores(_articles(spark, sf_dir), V.lexicon(spark)), AS_OF)
+
+
+POLL_UNIVERSE = V.COIN_BY_REMAINDER + ["bitcoin"]
+
+
+@register("poll_average", with_(ARTICLE_CTE, LEXICON_CTE, SCORE_SQL.format(src="art")) + f""",
+agg AS (SELECT a.coin, avg(l.sentiment_score) AS a, count(*) AS n FROM art a JOIN labelled l USING (doc_id)
+        GROUP BY a.coin),
+u(coin) AS (VALUES {", ".join(f"('{c}')" for c in POLL_UNIVERSE)})
+SELECT u.coin, round(coalesce(agg.a, 0.0), 6) AS avg_sentiment, CAST(coalesce(agg.n, 0) AS INTEGER) AS article_count
+FROM u LEFT JOIN agg USING (coin)""")
+def q_poll_average(spark, sf_dir):
+    coins = spark.createDataFrame([(c,) for c in POLL_UNIVERSE], "coin string")
+    return X.poll_average(X.with_scores(_articles(spark, sf_dir), V.lexicon(spark)), coins)
