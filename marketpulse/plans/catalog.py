@@ -430,3 +430,78 @@ FROM u LEFT JOIN agg USING (coin)""")
 def q_poll_average(spark, sf_dir):
     coins = spark.createDataFrame([(c,) for c in POLL_UNIVERSE], "coin string")
     return X.poll_average(X.with_scores(_articles(spark, sf_dir), V.lexicon(spark)), coins)
+
+
+# ---------------------------------------------------------------- streaming
+from marketpulse.schemas import ARTICLE_WIRE, TICK_WIRE_SEQ  # noqa: E402
+from marketpulse.session import scratch_path  # noqa: E402
+from marketpulse.streaming import jobs as ST  # noqa: E402
+from marketpulse.streaming.sinks import append_batch, read_table  # noqa: E402
+
+RESAMPLE_DELAY = "1 hour"
+
+
+@register("stream_append", with_(TICK_CTE) + "SELECT * FROM tick")
+def q_stream_append(spark, sf_dir):
+    base = scratch_path(spark, "stream-append")
+    ticks = V.tick_projection(V.stream_table(spark, sf_dir, "events"))
+    ST.run_to_end(ST.start(ticks, lambda b, i: append_batch(b, i, f"{base}/history", "s0", date_from="timestamp"),
+                           f"{base}/_checkpoint", available_now=True))
+    return read_table(spark, f"{base}/history")
+
+
+@register("stream_cooldown", with_(TICK_CTE, COOLED_CTE) + "SELECT * FROM cooled")
+def q_stream_cooldown(spark, sf_dir):
+    base = scratch_path(spark, "stream-cooldown")
+    ticks = V.tick_projection(V.stream_table(spark, sf_dir, "events"))
+    ST.run_to_end(ST.cooldown_stream(ticks, f"{base}/kept", f"{base}/state", f"{base}/_checkpoint",
+                                     available_now=True))
+    return read_table(spark, f"{base}/kept")
+
+
+@register("stream_resample", with_(TICK_CTE, _sparse_sql(["current_price", "price_change_pct_24h", "total_volume"]))
+          + f"""
+SELECT id, bucket, current_price, price_change_pct_24h, total_volume FROM sparse
+WHERE bucket + INTERVAL 30 MINUTE <= (SELECT max("timestamp") FROM tick) - INTERVAL {RESAMPLE_DELAY}""")
+def q_stream_resample(spark, sf_dir):
+    base = scratch_path(spark, "stream-resample")
+    ticks = V.tick_projection(V.stream_table(spark, sf_dir, "events"))
+    q = (ST.resample_stream(ticks, delay=RESAMPLE_DELAY).writeStream.outputMode("append").format("parquet")
+         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/_checkpoint")
+         .trigger(availableNow=True).start())
+    ST.run_to_end(q)
+    return spark.read.parquet(f"{base}/out")
+
+
+def _message_folder(df: DataFrame, base: str) -> str:
+    """Stage messages as JSON-lines files: the offline stand-in of a topic."""
+    path = f"{base}/topic"
+    df.select("value").write.mode("overwrite").text(path)
+    return path
+
+
+@register("tick_job", with_(TICK_CTE, COOLED_CTE, SUBS_CTE, MATCH_CTE) + ORACLE["alert_outbox"].split(
+    MATCH_CTE, 1)[1])
+def q_tick_job(spark, sf_dir):
+    base = scratch_path(spark, "tick-job")
+    topic = _message_folder(C.encode(V.ticks(spark, sf_dir), micros=True), base)
+    ticks = C.decode(spark.readStream.text(topic), TICK_WIRE_SEQ)
+    q = ST.tick_job(ticks, f"{base}/history", f"{base}/alerts", f"{base}/dead", f"{base}/state",
+                    lambda: V.subscriptions(spark, sf_dir), f"{base}/_checkpoint", available_now=True)
+    ST.run_to_end(q)
+    return read_table(spark, f"{base}/alerts")
+
+
+@register("sentiment_job", ORACLE["sentiment_summary"])
+def q_sentiment_job(spark, sf_dir):
+    base = scratch_path(spark, "sentiment-job")
+    arts = X.with_scores(_articles(spark, sf_dir), V.lexicon(spark))
+    msgs = C.encode(arts.select("coin", "title", "sentiment_score", "sentiment_label",
+                                F.coalesce("source", F.lit("unknown")).alias("source"), "published_at",
+                                F.col("published_at").alias("timestamp")), time_columns=())
+    topic = _message_folder(msgs, base)
+    articles = C.decode_articles(spark.readStream.text(topic))
+    q = ST.sentiment_job(articles, f"{base}/raw", f"{base}/summary", f"{base}/_checkpoint",
+                         as_of=lambda batch_id: AS_OF, available_now=True)
+    ST.run_to_end(q)
+    return read_table(spark, f"{base}/summary")

@@ -33,10 +33,21 @@ def coin_of(remainder_col) -> F.Column:
     return expr
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table as a file stream (glob path: a plain file path is refused)."""
+    ensure_utc(spark)
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/{name[:-1]}[{name[-1]}].parquet")
+
+
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``tick`` view over ``events`` (one tick per event)."""
+    return tick_projection(table(spark, sf_dir, "events"))
+
+
+def tick_projection(events: DataFrame) -> DataFrame:
     eid = F.col("event_id")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_type").alias("id"),
         F.substring("event_type", 1, 3).alias("symbol"),
         F.when(eid % 7 == 0, F.lit(None).cast("double")).otherwise(nan_to_null("value")).alias("current_price"),
@@ -81,12 +92,16 @@ def subscription_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def article_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw news articles over ``documents`` (whole text: title line + rest)."""
+    return article_projection(table(spark, sf_dir, "documents"))
+
+
+def article_projection(documents: DataFrame) -> DataFrame:
     d = F.col("doc_id")
     text = F.col("text")
     nl = F.instr(text, "\n")
     rest = F.when(nl > 0, F.substr(text, nl + 1)).otherwise(F.lit(""))
     published = F.lit(ARTICLE_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), d.cast("int"))
-    return table(spark, sf_dir, "documents").select(
+    return documents.select(
         d.alias("doc_id"),
         coin_of(d % 5).alias("coin"),
         F.substring_index(text, "\n", 1).alias("title"),

@@ -13,6 +13,9 @@ TICK_WIRE = T.StructType([
     T.StructField("timestamp", T.StringType()),
 ])
 
+# wire form with our ingest sequence number (extra key, ignored by TICK_WIRE)
+TICK_WIRE_SEQ = T.StructType(TICK_WIRE.fields + [T.StructField("seq", T.LongType())])
+
 # stored tick: typed instant plus an ingest sequence used as a tie-break
 TICK = T.StructType([
     T.StructField("id", T.StringType()),

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from marketpulse.schemas import ARTICLE_WIRE, TICK_WIRE
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+ISO_FORMAT_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
 def parse_time(df: DataFrame, column: str = "timestamp") -> DataFrame:
@@ -40,13 +41,14 @@ def decode_articles(df: DataFrame, value: str = "value") -> DataFrame:
     return decode(df, ARTICLE_WIRE, value)
 
 
-def iso_text(c) -> F.Column:
-    return F.date_format(F.col(c) if isinstance(c, str) else c, ISO_FORMAT)
+def iso_text(c, micros: bool = False) -> F.Column:
+    return F.date_format(F.col(c) if isinstance(c, str) else c, ISO_FORMAT_MICROS if micros else ISO_FORMAT)
 
 
-def encode(df: DataFrame, time_columns: tuple[str, ...] = ("timestamp",)) -> DataFrame:
-    """Each row as one JSON message in ``value`` (instants as ISO text)."""
-    cols = [iso_text(c).alias(c) if c in time_columns else F.col(c) for c in df.columns]
+def encode(df: DataFrame, time_columns: tuple[str, ...] = ("timestamp",), micros: bool = False) -> DataFrame:
+    """Each row as one JSON message in ``value`` (instants as ISO text,
+    whole seconds as the producer writes them, or with ``micros``)."""
+    cols = [iso_text(c, micros).alias(c) if c in time_columns else F.col(c) for c in df.columns]
     return df.select(F.to_json(F.struct(*cols)).alias("value"))
 
 
@@ -91,11 +93,19 @@ def publish(df: DataFrame, bootstrap_servers: str, topic: str) -> None:
 
 
 def scan_ticks(spark: SparkSession, path: str, since=None, until=None) -> DataFrame:
-    """The tick history table with an optional time range.  The table is
-    partitioned by ``date``, so the range also prunes partitions."""
+    """The tick history table with an optional time range ``[since, until)``.
+    A history written with a ``date`` partition column is pruned by it; the
+    instant bounds are pushed to the Parquet row-group statistics either way."""
     df = spark.read.parquet(path)
+    has_date = "date" in df.columns
     if since is not None:
-        df = df.where((F.col("date") >= F.to_date(F.lit(since))) & (F.col("timestamp") >= F.lit(since)))
+        lo = F.lit(since).cast("timestamp_ntz")
+        df = df.where(F.col("timestamp") >= lo)
+        if has_date:
+            df = df.where(F.col("date") >= F.to_date(lo))
     if until is not None:
-        df = df.where((F.col("date") <= F.to_date(F.lit(until))) & (F.col("timestamp") < F.lit(until)))
+        hi = F.lit(until).cast("timestamp_ntz")
+        df = df.where(F.col("timestamp") < hi)
+        if has_date:
+            df = df.where(F.col("date") <= F.to_date(hi))
     return df.drop("_id")
