@@ -87,3 +87,8 @@ def change_board(df: DataFrame, key: str = "id", ts: str = "timestamp", seq: str
     c = F.col("price_change_pct_24h")
     return snap.select(key, display_name(key).alias("name"), c.alias("change"), trend(c).alias("trend"),
                        change_label(c).alias("change_label"))
+
+
+def for_coin(df: DataFrame, coin: str, key: str = "id") -> DataFrame:
+    """One coin's rows (an equality filter, pushed down to the scan)."""
+    return df.where(F.col(key) == F.lit(coin))

@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketpulse.functions.labels import change_label, price_label, trend
-from marketpulse.operators.snapshot import at_least, latest_by_coin
+from marketpulse.functions.labels import change_label, display_name, price_label, trend
+from marketpulse.operators.snapshot import at_least, for_coin, latest_by_coin, tick_counts
 
 DEFAULT_WIDTH = "30 minutes"
 _UNITS = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600,
@@ -134,7 +134,7 @@ def sparklines(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str = "t
 def detail_series(df: DataFrame, coin: str, width=DEFAULT_WIDTH, key: str = "id", ts: str = "timestamp",
                   seq: str | None = "seq") -> DataFrame:
     """Price and volume series of one coin (filter pushed to the scan)."""
-    one = df.where(F.col(key) == F.lit(coin))
+    one = for_coin(df, coin, key)
     return resample_ffill(one, width, key, ts, seq, values=["current_price", "total_volume"]).select(
         "bucket", "current_price", "total_volume")
 
@@ -162,3 +162,20 @@ def period_stats(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str =
     total = F.try_divide(F.col("last_price") - F.col("first_price"), F.col("first_price")) * F.lit(100.0)
     return agg.select(key, "first_price", "last_price", "high", "low", total.alias("total_change"), "change_24h",
                       price_label("last_price").alias("current_label"), change_label(total).alias("total_change_label"))
+
+
+def coin_cards(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str = "timestamp",
+               seq: str | None = "seq", padding: float = 0.15) -> DataFrame:
+    """One card per coin: latest price and change labels with the trend,
+    and the sparkline's padded range for coins with more than one tick (null
+    otherwise).  Snapshot, tick count and range are per-coin aggregates joined
+    on the coin key."""
+    snap = latest_by_coin(df, key, ts, seq, values=["current_price", "price_change_pct_24h"])
+    counts = tick_counts(df, key)
+    series = resample_ffill(at_least(df, 2, key), width, key, ts, seq, values=["current_price"])
+    rng = tight_range(series, padding, key)
+    c = F.col("price_change_pct_24h")
+    return (snap.join(counts, key).join(rng, key, "left")
+            .select(key, display_name(key).alias("name"), price_label("current_price").alias("price_label"),
+                    change_label(c).alias("change_label"), trend(c).alias("trend"),
+                    (F.col("n_ticks") > 1).alias("has_sparkline"), "range_low", "range_high"))

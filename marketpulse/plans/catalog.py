@@ -505,3 +505,14 @@ def q_sentiment_job(spark, sf_dir):
                          as_of=lambda batch_id: AS_OF, available_now=True)
     ST.run_to_end(q)
     return read_table(spark, f"{base}/summary")
+
+
+@register("coin_cards", with_(TICK_CTE, MULTI_CTE, _filled_sql(["current_price"], "multi"), _range_sql(0.15)) + f""",
+snap AS (SELECT id, {_arg_last_nonnull('current_price')}, {_arg_last_nonnull('price_change_pct_24h')}, count(*) AS n
+         FROM tick WHERE id IS NOT NULL GROUP BY id)
+SELECT s.id, {NAME_SQL.format(c='s.id')} AS name, {PRICE_LABEL_SQL.format(c='s.current_price')} AS price_label,
+       {CHANGE_LABEL_SQL.format(c='s.price_change_pct_24h')} AS change_label,
+       {TREND_SQL.format(c='s.price_change_pct_24h')} AS trend, s.n > 1 AS has_sparkline, rng.range_low, rng.range_high
+FROM snap s LEFT JOIN rng ON rng.id = s.id""")
+def q_coin_cards(spark, sf_dir):
+    return W.coin_cards(V.ticks(spark, sf_dir))
