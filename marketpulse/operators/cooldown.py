@@ -17,10 +17,12 @@ module computes the same set with joins and windows only:
     ``s + C`` in this bucket, or ``⊥``.  These transfer functions are built
     with one windowed as-of lookup per (coin, bucket) partition: the probe
     ``s + C`` always lands in the adjacent bucket.
-3.  Functions are composed pairwise in a tree over bucket ranks (one equi-join
+3.  Functions are composed pairwise in a tree over bucket ranks (one window
     per level; a level is half the size of the one below, so the total work is
-    linear), then the entering state of every bucket is pushed down the tree.
-    Levels are written to the shared checkpoint folder to cut lineage.
+    linear), then the entering state of every bucket is pushed down the tree
+    with one key join per level.  The bucket table and the first level are
+    written to the shared checkpoint folder (lineage cut, real sizes for AQE);
+    higher levels reference the level below once and are persisted.
 
 Every partition key is (coin, bucket) or (coin, block, state), so a coin with a
 third of all rows spreads over all its hours; the only per-coin windows run
@@ -31,7 +33,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketpulse.operators.timeseries import epoch_micros
@@ -41,12 +43,35 @@ DEFAULT_COOLDOWN_SECONDS = 3600
 BOT = -(1 << 63)  # encodes the state "nothing kept" (⊥)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+class Scratch:
+    """Intermediate tables of one run: folders written to the shared checkpoint
+    folder and persisted levels.  ``release()`` frees both once the result has
+    been consumed (the streaming jobs call it after every micro-batch)."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+        self.frames: list[DataFrame] = []
+
+    def release(self) -> None:
+        for df in self.frames:
+            df.unpersist()
+        for path in self.paths:
+            spark = SparkSession.getActiveSession()
+            jvm = spark.sparkContext._jvm
+            hpath = jvm.org.apache.hadoop.fs.Path(path)
+            hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+        self.paths.clear()
+        self.frames.clear()
+
+
+def materialize(df: DataFrame, name: str, scratch: Scratch | None = None) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: one job,
     lineage cut, and the scan carries real size statistics for AQE."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    if scratch is not None:
+        scratch.paths.append(path)
     return spark.read.parquet(path)
 
 
@@ -56,7 +81,7 @@ def candidates(df: DataFrame, key: str, ts: str, seq: str, change: str) -> DataF
             .select(F.col(key).alias("key"), epoch_micros(ts).alias("t"), F.col(seq).alias("s")))
 
 
-def kept_ticks(cand: DataFrame, cooldown_us: int) -> DataFrame:
+def kept_ticks(cand: DataFrame, cooldown_us: int, scratch: Scratch | None = None) -> DataFrame:
     """(key, t, s) of the kept ticks among candidate rows (key, t, s)."""
     C = F.lit(cooldown_us)
     cand = cand.withColumn("k", F.floor(F.col("t") / C).cast("long"))
@@ -68,7 +93,7 @@ def kept_ticks(cand: DataFrame, cooldown_us: int) -> DataFrame:
         cand.groupBy("key", "k").agg(first).select(
             "key", "k", "f", (F.row_number().over(wb) - 1).alias("r"),
             F.lead("k").over(wb).alias("k_next"), F.lead("f").over(wb).alias("f_next")),
-        "cooldown-buckets")
+        "cooldown-buckets", scratch)
 
     ticks = cand.join(buckets.select("key", "k", "r", "k_next", "f_next"), ["key", "k"])
 
@@ -93,24 +118,33 @@ def kept_ticks(cand: DataFrame, cooldown_us: int) -> DataFrame:
     asof = targets.unionByName(probes).withColumn("y", F.min("tgt").over(wa)).where(F.col("kind") == 1)
     f_probe = asof.select("key", "j", "x_t", "x_s", F.coalesce(F.col("y.t"), bot).alias("y_t"),
                           F.coalesce(F.col("y.s"), bot).alias("y_s"))
-    level = materialize(f_bot.unionByName(f_gap).unionByName(f_probe), "cooldown-f0")
+    level = materialize(f_bot.unionByName(f_gap).unionByName(f_probe), "cooldown-f0", scratch)
     levels = [level]
 
-    # 3a. up-sweep: F_{l+1}(J) = F_l(2J+1) . F_l(2J)
+    # 3a. up-sweep: F_{l+1}(J) = F_l(2J+1) . F_l(2J).  One projection of F_l
+    # keys every left-block row by its output state and every right-block
+    # row by its input state; a window over (key, J, state) hands the right
+    # row's output to the left rows.  F_l is referenced once, so the plan
+    # grows linearly and a level only needs to be persisted, not written.
     max_rank = buckets.agg(F.max("r")).first()[0]
     depth = int(max_rank or 0).bit_length()
-    for lvl in range(depth):
+    for _ in range(depth):
         f = levels[-1]
-        left = f.where(F.col("j") % 2 == 0).select(
-            "key", (F.col("j") / 2).cast("long").alias("J"), "x_t", "x_s",
-            F.col("y_t").alias("m_t"), F.col("y_s").alias("m_s"))
-        right = f.where(F.col("j") % 2 == 1).select(
-            "key", ((F.col("j") - 1) / 2).cast("long").alias("J"), F.col("x_t").alias("m_t"),
-            F.col("x_s").alias("m_s"), F.col("y_t").alias("z_t"), F.col("y_s").alias("z_s"))
-        up = left.join(right, ["key", "J", "m_t", "m_s"], "left").select(
-            "key", F.col("J").alias("j"), "x_t", "x_s",
-            F.coalesce("z_t", "m_t").alias("y_t"), F.coalesce("z_s", "m_s").alias("y_s"))
-        levels.append(materialize(up, f"cooldown-f{lvl + 1}"))
+        left = F.col("j") % 2 == 0
+        proj = f.select(
+            "key", F.floor(F.col("j") / 2).alias("J"), left.alias("_left"), "x_t", "x_s", "y_t", "y_s",
+            F.when(left, F.col("y_t")).otherwise(F.col("x_t")).alias("m_t"),
+            F.when(left, F.col("y_s")).otherwise(F.col("x_s")).alias("m_s"))
+        wm = Window.partitionBy("key", "J", "m_t", "m_s")
+        up = (proj.select("*", F.max(F.when(~F.col("_left"), F.col("y_t"))).over(wm).alias("z_t"),
+                          F.max(F.when(~F.col("_left"), F.col("y_s"))).over(wm).alias("z_s"))
+              .where(F.col("_left"))
+              .select("key", F.col("J").alias("j"), "x_t", "x_s",
+                      F.coalesce("z_t", "m_t").alias("y_t"), F.coalesce("z_s", "m_s").alias("y_s"))
+              .persist())
+        if scratch is not None:
+            scratch.frames.append(up)
+        levels.append(up)
 
     # 3b. down-sweep: entering state of every block, top to bottom
     enter = buckets.where(F.col("r") == 0).select("key", F.lit(0).cast("long").alias("j"),
@@ -129,7 +163,8 @@ def kept_ticks(cand: DataFrame, cooldown_us: int) -> DataFrame:
 
 
 def cooldown(df: DataFrame, seconds: float = DEFAULT_COOLDOWN_SECONDS, key: str = "id", ts: str = "timestamp",
-             seq: str = "seq", change: str = "price_change_pct_24h", ready: DataFrame | None = None) -> DataFrame:
+             seq: str = "seq", change: str = "price_change_pct_24h", ready: DataFrame | None = None,
+             scratch: Scratch | None = None) -> DataFrame:
     """Ticks of ``df`` that pass the per-coin cooldown (event time).
 
     ``ready`` optionally carries state from earlier input: rows ``(key,
@@ -142,7 +177,7 @@ def cooldown(df: DataFrame, seconds: float = DEFAULT_COOLDOWN_SECONDS, key: str
         r = ready.select(F.col(key).alias("key"), epoch_micros("ready_at").alias("ready_t"))
         cand = cand.join(r, "key", "left").where(F.col("ready_t").isNull() | (F.col("t") >= F.col("ready_t"))) \
             .drop("ready_t")
-    kept = kept_ticks(cand, cooldown_us)
+    kept = kept_ticks(cand, cooldown_us, scratch)
     cond = ((F.col(key) == F.col("_k.key")) & (F.col(seq) == F.col("_k.s"))
             & (epoch_micros(ts) == F.col("_k.t")))
     return df.join(kept.alias("_k"), cond, "left_semi")

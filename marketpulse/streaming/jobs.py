@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marketpulse.operators.alerts import alert_outbox, match_alerts
-from marketpulse.operators.cooldown import DEFAULT_COOLDOWN_SECONDS, cooldown, next_ready
+from marketpulse.operators.cooldown import DEFAULT_COOLDOWN_SECONDS, Scratch, cooldown, next_ready
 from marketpulse.operators.sentiment import sentiment_summary
 from marketpulse.streaming.sinks import append_batch, append_summary
 
@@ -69,16 +69,17 @@ def cooldown_batch_fn(state: CooldownState, out_path: str, stream_id: str,
     """foreachBatch body of the streaming cooldown: the batch algorithm with
     the carried state as each coin's earliest allowed instant."""
     def fn(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch, scratch = batch.persist(), Scratch()
         try:
             prev = state.before(batch_id)
-            kept = cooldown(batch, seconds, ready=prev).persist()
+            kept = cooldown(batch, seconds, ready=prev, scratch=scratch).persist()
+            scratch.frames.append(kept)
             append_batch(kept, batch_id, out_path, stream_id)
             if on_kept is not None:
                 on_kept(kept, batch_id)
             state.write(batch_id, prev, kept, seconds)
-            kept.unpersist()
         finally:
+            scratch.release()
             batch.unpersist()
     return fn
 
@@ -101,18 +102,19 @@ def tick_job(ticks: DataFrame, history_path: str, alerts_path: str, dead_letter_
     state = CooldownState(ticks.sparkSession, state_path)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch, scratch = batch.persist(), Scratch()
         try:
             good = batch.where(F.col("id").isNotNull())
             append_batch(batch.where(F.col("id").isNull()), batch_id, dead_letter_path, stream_id)
             append_batch(good, batch_id, history_path, stream_id, preview=preview, date_from="timestamp")
             prev = state.before(batch_id)
-            kept = cooldown(good, seconds, ready=prev).persist()
+            kept = cooldown(good, seconds, ready=prev, scratch=scratch).persist()
+            scratch.frames.append(kept)
             alerts = alert_outbox(match_alerts(kept, subscriptions()))
             append_batch(alerts, batch_id, alerts_path, stream_id)
             state.write(batch_id, prev, kept, seconds)
-            kept.unpersist()
         finally:
+            scratch.release()
             batch.unpersist()
 
     return start(ticks, fn, checkpoint, **trigger)
