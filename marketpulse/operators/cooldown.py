@@ -165,7 +165,8 @@ def kept_ticks(cand: DataFrame, cooldown_us: int, scratch: Scratch | None = None
 def cooldown(df: DataFrame, seconds: float = DEFAULT_COOLDOWN_SECONDS, key: str = "id", ts: str = "timestamp",
              seq: str = "seq", change: str = "price_change_pct_24h", ready: DataFrame | None = None,
              scratch: Scratch | None = None) -> DataFrame:
-    """Ticks of ``df`` that pass the per-coin cooldown (event time).
+    """Ticks of ``df`` that pass the per-coin cooldown (event time), as a
+    table written to the shared checkpoint folder.
 
     ``ready`` optionally carries state from earlier input: rows ``(key,
     ready_at)`` with the earliest instant (naive UTC) at which the coin may keep
@@ -177,10 +178,12 @@ def cooldown(df: DataFrame, seconds: float = DEFAULT_COOLDOWN_SECONDS, key: str
         r = ready.select(F.col(key).alias("key"), epoch_micros("ready_at").alias("ready_t"))
         cand = cand.join(r, "key", "left").where(F.col("ready_t").isNull() | (F.col("t") >= F.col("ready_t"))) \
             .drop("ready_t")
-    kept = kept_ticks(cand, cooldown_us, scratch)
+    kept = materialize(kept_ticks(cand, cooldown_us, scratch), "cooldown-kept", scratch)
     cond = ((F.col(key) == F.col("_k.key")) & (F.col(seq) == F.col("_k.s"))
             & (epoch_micros(ts) == F.col("_k.t")))
-    return df.join(kept.alias("_k"), cond, "left_semi")
+    # both tables are written: at most one row per coin-bucket, so the planner
+    # sees their real size and broadcasts them while they are small
+    return materialize(df.join(kept.alias("_k"), cond, "left_semi"), "cooldown-cooled", scratch)
 
 
 def next_ready(kept: DataFrame, seconds: float = DEFAULT_COOLDOWN_SECONDS, key: str = "id",

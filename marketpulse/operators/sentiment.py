@@ -1,8 +1,8 @@
 """Article scoring and sentiment summaries.
 
 Text is tokenised on executors with built-in string functions; the lexicon and
-topic tables join the token stream *inside* each partition (AQE broadcasts
-them when their measured size is small), and the per-article aggregation
+topic tables join the token stream *inside* each partition (broadcast after a
+row-count check, shuffle join beyond it), and the per-article aggregation
 combines map-side, because all tokens of an article come from one input row.
 Only one partial row per article crosses the shuffle; whole texts are scored.
 """
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketpulse.functions.labels import sentiment_label
+from marketpulse.operators.joins import broadcast_if_small
 
 # token = maximal run of letters (any script), case-folded
 NON_LETTERS = r"[^\p{L}]+"
@@ -24,34 +25,45 @@ def tokens(text) -> F.Column:
     return F.split(F.lower(t), NON_LETTERS)
 
 
-def score_text(articles: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def score_text(articles: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", text: str = "text",
+               keep: tuple[str, ...] = ()) -> DataFrame:
     """X1 + P5: polarity in [-1, 1] per article = mean polarity of its tokens
-    found in the lexicon (every occurrence counts), 0.0 when none is found."""
-    lex = lexicon.select(F.lower("word").alias("_tok"), F.col("polarity").alias("_pol"))
-    toks = articles.select(F.col(id_col), F.explode_outer(tokens(text)).alias("_tok"))
-    hits = toks.join(lex, "_tok", "left")
-    scored = hits.groupBy(id_col).agg(F.avg("_pol").alias("_avg"))
+    found in the lexicon (every occurrence counts), 0.0 when none is found.
+
+    The lexicon is broadcast when it is dictionary-sized (checked), so the
+    token stream is never shuffled; ``keep`` columns ride along with the
+    article id through the per-article aggregate (never the text itself)."""
+    lex = broadcast_if_small(lexicon.select(F.lower("word").alias("_tok"), F.col("polarity").alias("_pol")))
+    toks = articles.select(F.col(id_col), *keep, F.explode_outer(tokens(text)).alias("_tok"))
+    scored = toks.join(lex, "_tok", "left").groupBy(id_col, *keep).agg(F.avg("_pol").alias("_avg"))
     score = F.round(F.coalesce(F.col("_avg"), F.lit(0.0)), SCORE_DIGITS)
-    return scored.select(id_col, score.alias("sentiment_score"), sentiment_label(score).alias("sentiment_label"))
+    return scored.select(id_col, *keep, score.alias("sentiment_score"), sentiment_label(score).alias("sentiment_label"))
 
 
-def with_scores(articles: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Articles with their score and label attached (key join on the article id)."""
-    return articles.join(score_text(articles.select(id_col, text), lexicon, id_col, text), id_col)
+def with_scores(articles: DataFrame, lexicon: DataFrame, keep: tuple[str, ...] = ("coin",), id_col: str = "doc_id",
+                text: str = "text") -> DataFrame:
+    """Article id, the short ``keep`` columns, score and label."""
+    return score_text(articles, lexicon, id_col, text, keep)
 
 
 def select_articles(articles: DataFrame, topics: DataFrame, lang: str | None = "en", k: int = 10,
                     id_col: str = "doc_id", text: str = "text", published: str = "published_at") -> DataFrame:
     """Per topic, the ``k`` newest articles (ties by id) in ``lang`` whose
     tokens contain every term of the topic (case-insensitive).  An article
-    matching several topics is returned once per topic."""
+    matching several topics is returned once per topic.
+
+    The (topic, term, number of terms) table is broadcast when small
+    (checked); each article's distinct tokens probe it in place, and the hit
+    count per (topic, article) combines map-side.  The top-k window gets a
+    partial group limit before its shuffle."""
     src = articles if lang is None else articles.where(F.col("lang") == lang)
-    terms = topics.select(F.col("coin").alias("topic"), F.explode("terms").alias("_tok")) \
-        .select("topic", F.lower("_tok").alias("_tok")).distinct()
-    n_terms = terms.groupBy("topic").agg(F.count(F.lit(1)).alias("_n"))
+    terms = (topics.select(F.col("coin").alias("topic"), F.explode("terms").alias("_tok"))
+             .select("topic", F.lower("_tok").alias("_tok")).distinct())
+    terms = terms.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("topic")))
+    terms = broadcast_if_small(terms)
     toks = src.select(F.col(id_col), F.col(published), F.explode(F.array_distinct(tokens(text))).alias("_tok"))
-    hits = toks.join(terms, "_tok").groupBy("topic", id_col, published).agg(F.count(F.lit(1)).alias("_hit"))
-    matched = hits.join(n_terms, "topic").where(F.col("_hit") == F.col("_n"))
+    hits = toks.join(terms, "_tok").groupBy("topic", "_n", id_col, published).agg(F.count(F.lit(1)).alias("_hit"))
+    matched = hits.where(F.col("_hit") == F.col("_n"))
     w = Window.partitionBy("topic").orderBy(F.col(published).desc(), F.col(id_col).asc())
     return (matched.select("topic", id_col, published, F.row_number().over(w).alias("rank"))
             .where(F.col("rank") <= k))
@@ -69,7 +81,7 @@ def sentiment_summary(scored: DataFrame, as_of=None, coin: str = "coin", score:
 
 def poll_average(scored: DataFrame, coins: DataFrame, coin: str = "coin", score: str = "sentiment_score") -> DataFrame:
     """A2: per coin of the universe, mean score over the poll with 0.0 and 0
-    for a coin without articles."""
+    for a coin without articles.  Both join sides are one row per coin."""
     agg = scored.groupBy(coin).agg(F.avg(score).alias("_avg"), F.count(F.lit(1)).alias("_n"))
     return coins.select(coin).join(agg, coin, "left").select(
         coin, F.round(F.coalesce("_avg", F.lit(0.0)), 6).alias("avg_sentiment"),

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketpulse.functions.labels import change_label, display_name, price_label, trend
-from marketpulse.operators.snapshot import at_least, for_coin, latest_by_coin, tick_counts
+from marketpulse.operators.snapshot import for_coin, latest_by_coin, tick_counts
 
 DEFAULT_WIDTH = "30 minutes"
 _UNITS = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600,
@@ -45,25 +45,33 @@ def micros_to_ntz(c: F.Column) -> F.Column:
 
 
 def _sparse_buckets(df: DataFrame, width_us: int, key: str, ts: str, seq: str | None, values: list[str]) -> DataFrame:
-    """Occupied buckets only: last non-null value per column in (time, seq) order."""
+    """Occupied buckets only: last non-null value per column in (time, seq)
+    order, plus the row count.  Rows with a null time form a null bucket that
+    only contributes to the count."""
     order = F.struct(F.col(ts), F.col(seq)) if seq else F.struct(F.col(ts))
     b = F.floor(epoch_micros(ts) / F.lit(width_us)) * F.lit(width_us)
     aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in values]
-    return (df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
-            .groupBy(F.col(key), b.cast("long").alias("_b")).agg(*aggs))
+    return (df.where(F.col(key).isNotNull())
+            .groupBy(F.col(key), b.cast("long").alias("_b")).agg(*aggs, F.count(F.lit(1)).alias("_n")))
 
 
-def _resample(df: DataFrame, width, key, ts, seq, values, fill: bool) -> DataFrame:
+def _resample(df: DataFrame, width, key, ts, seq, values, fill: bool, min_ticks: int | None = None) -> DataFrame:
     width_us = width_seconds(width) * 1_000_000
     if values is None:
         values = [c for c in df.columns if c not in (key, ts, seq)]
     sparse = _sparse_buckets(df, width_us, key, ts, seq, values)
-    w = Window.partitionBy(key).orderBy("_b")
+    w = Window.partitionBy(key).orderBy(F.col("_b").asc_nulls_last())
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = [F.col(c) if not fill else F.last(c, ignorenulls=True).over(running).alias(c) for c in values]
     nxt = F.lead("_b").over(w)
     last_b = F.coalesce(nxt - F.lit(width_us), F.col("_b"))
-    stepped = sparse.select(key, "_b", *cols, F.sequence(F.col("_b"), last_b, F.lit(width_us)).alias("_seq"))
+    extra = []
+    if min_ticks is not None:  # A7 on the same window: rows per coin, null times included
+        extra = [F.sum("_n").over(Window.partitionBy(key)).alias("_total")]
+    stepped = sparse.select(key, "_b", *cols, F.sequence(F.col("_b"), last_b, F.lit(width_us)).alias("_seq"), *extra)
+    stepped = stepped.where(F.col("_b").isNotNull())
+    if min_ticks is not None:
+        stepped = stepped.where(F.col("_total") >= min_ticks)
     exploded = stepped.select(key, *values, F.posexplode("_seq").alias("_pos", "_bucket"))
     if fill:
         out_vals = [F.col(c) for c in values]
@@ -81,10 +89,11 @@ def resample_last(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str =
 
 
 def resample_ffill(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str = "timestamp",
-                   seq: str | None = "seq", values: list[str] | None = None) -> DataFrame:
+                   seq: str | None = "seq", values: list[str] | None = None, min_ticks: int | None = None) -> DataFrame:
     """W1 + W2: as ``resample_last`` with every column forward-filled; a
-    leading null stays null."""
-    return _resample(df, width, key, ts, seq, values, fill=True)
+    leading null stays null.  ``min_ticks`` keeps only coins with at least that
+    many rows (A7), counted in the same window pass, so no join is needed."""
+    return _resample(df, width, key, ts, seq, values, fill=True, min_ticks=min_ticks)
 
 
 def forward_fill(resampled: DataFrame, key: str = "id", order: str = "bucket",
@@ -111,8 +120,7 @@ def compare(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str = "time
             seq: str | None = "seq") -> DataFrame:
     """Indexed comparison series ``(price - base) / base * 100`` where base
     is the coin's first bucket price; coins with more than one tick only."""
-    filled = resample_ffill(at_least(df.where(F.col(key).isNotNull()), 2, key), width, key, ts, seq,
-                            values=["current_price"])
+    filled = resample_ffill(df, width, key, ts, seq, values=["current_price"], min_ticks=2)
     w = Window.partitionBy(key).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     base = F.first("current_price", ignorenulls=False).over(w)
     p = F.col("current_price")
@@ -123,9 +131,8 @@ def sparklines(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str = "t
                seq: str | None = "seq", padding: float = 0.15) -> DataFrame:
     """Price series of coins with more than one tick, with the trend of the
     latest change and a padded y range (0.15)."""
-    multi = at_least(df, 2, key)
-    series = resample_ffill(multi, width, key, ts, seq, values=["current_price"])
-    snap = latest_by_coin(multi, key, ts, seq, values=["price_change_pct_24h"])
+    series = resample_ffill(df, width, key, ts, seq, values=["current_price"], min_ticks=2)
+    snap = latest_by_coin(df, key, ts, seq, values=["price_change_pct_24h"])
     rng = tight_range(series, padding, key)
     meta = snap.select(key, trend("price_change_pct_24h").alias("trend")).join(rng, key)
     return series.join(meta, key).select(key, "bucket", "current_price", "trend", "range_low", "range_high")
@@ -172,7 +179,7 @@ def coin_cards(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str = "t
     on the coin key."""
     snap = latest_by_coin(df, key, ts, seq, values=["current_price", "price_change_pct_24h"])
     counts = tick_counts(df, key)
-    series = resample_ffill(at_least(df, 2, key), width, key, ts, seq, values=["current_price"])
+    series = resample_ffill(df, width, key, ts, seq, values=["current_price"], min_ticks=2)
     rng = tight_range(series, padding, key)
     c = F.col("price_change_pct_24h")
     return (snap.join(counts, key).join(rng, key, "left")

@@ -495,7 +495,7 @@ def q_tick_job(spark, sf_dir):
 @register("sentiment_job", ORACLE["sentiment_summary"])
 def q_sentiment_job(spark, sf_dir):
     base = scratch_path(spark, "sentiment-job")
-    arts = X.with_scores(_articles(spark, sf_dir), V.lexicon(spark))
+    arts = X.with_scores(_articles(spark, sf_dir), V.lexicon(spark), keep=("coin", "title", "source", "published_at"))
     msgs = C.encode(arts.select("coin", "title", "sentiment_score", "sentiment_label",
                                 F.coalesce("source", F.lit("unknown")).alias("source"), "published_at",
                                 F.col("published_at").alias("timestamp")), time_columns=())

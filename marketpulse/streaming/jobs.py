@@ -72,8 +72,7 @@ def cooldown_batch_fn(state: CooldownState, out_path: str, stream_id: str,
         batch, scratch = batch.persist(), Scratch()
         try:
             prev = state.before(batch_id)
-            kept = cooldown(batch, seconds, ready=prev, scratch=scratch).persist()
-            scratch.frames.append(kept)
+            kept = cooldown(batch, seconds, ready=prev, scratch=scratch)
             append_batch(kept, batch_id, out_path, stream_id)
             if on_kept is not None:
                 on_kept(kept, batch_id)
@@ -108,8 +107,7 @@ def tick_job(ticks: DataFrame, history_path: str, alerts_path: str, dead_letter_
             append_batch(batch.where(F.col("id").isNull()), batch_id, dead_letter_path, stream_id)
             append_batch(good, batch_id, history_path, stream_id, preview=preview, date_from="timestamp")
             prev = state.before(batch_id)
-            kept = cooldown(good, seconds, ready=prev, scratch=scratch).persist()
-            scratch.frames.append(kept)
+            kept = cooldown(good, seconds, ready=prev, scratch=scratch)
             alerts = alert_outbox(match_alerts(kept, subscriptions()))
             append_batch(alerts, batch_id, alerts_path, stream_id)
             state.write(batch_id, prev, kept, seconds)

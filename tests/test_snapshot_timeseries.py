@@ -101,3 +101,11 @@ def test_resample_ffill_matches_pandas(spark):
             expected.append((coin, ts.to_pydatetime(), None if pd.isna(v) else float(v)))
     assert got == sorted(expected, key=repr)
     assert T0.minute == 0
+
+
+def test_tick_guard_counts_rows_with_null_time(spark):
+    # one timed tick plus one without a time: two rows, so the series is shown
+    df = ticks_df(spark, [tick("a", 0, price=2.0, seq=1), tick("a", None, price=3.0, seq=2),
+                          tick("b", 0, price=1.0, seq=3)])
+    got = rows_of(W.sparklines(df), "id", "bucket", "current_price")
+    assert got == [("a", at(0), 2.0)]
