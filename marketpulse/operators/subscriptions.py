@@ -37,15 +37,24 @@ def apply_commands(commands: DataFrame) -> DataFrame:
     )
 
 
-def with_outcome(commands: DataFrame) -> DataFrame:
+def with_outcome(commands: DataFrame, bucket_seconds: int = 86400) -> DataFrame:
     """Outcome of each command in log order: an upsert is ``updated`` when the
     key's previous command was an upsert, else ``created``; a delete is
-    ``deleted`` after an upsert, else ``noop``."""
-    w = Window.partitionBy(*KEY).orderBy("ts", "seq")
-    prev = F.lag("op").over(w)
+    ``deleted`` after an upsert, else ``noop``.
+
+    The previous command is found per (key, day): a ``lag`` inside the day,
+    and for a day's first command the last op of the key's previous active
+    day, from a one-row-per-key-day table (its per-key window is bounded by
+    the number of days).  A hot key is thus spread over its days."""
+    day = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)).alias("_d")
+    cmds = commands.select("email", "coin", "op", "ts", "seq", day)
+    per_day = cmds.groupBy(*KEY, "_d").agg(F.max_by("op", _order()).alias("_last_op"))
+    carry = per_day.select(*KEY, "_d", F.lag("_last_op").over(Window.partitionBy(*KEY).orderBy("_d")).alias("_carry"))
+    w = Window.partitionBy(*KEY, "_d").orderBy("ts", "seq")
+    prev = F.coalesce(F.lag("op").over(w), F.col("_carry"))
     outcome = (F.when(F.col("op") == "upsert", F.when(prev == "upsert", "updated").otherwise("created"))
                .otherwise(F.when(prev == "upsert", "deleted").otherwise("noop")))
-    return commands.select("email", "coin", "op", "ts", "seq", outcome.alias("outcome"))
+    return cmds.join(carry, [*KEY, "_d"]).select("email", "coin", "op", "ts", "seq", outcome.alias("outcome"))
 
 
 def normalise_command(form: DataFrame) -> DataFrame:
