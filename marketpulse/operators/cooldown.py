@@ -36,7 +36,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketpulse.operators.timeseries import epoch_micros
+from marketpulse.functions.time import epoch_micros
 from marketpulse.session import checkpoint_dir
 
 DEFAULT_COOLDOWN_SECONDS = 3600

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketpulse.functions.labels import sentiment_label
+from marketpulse.functions.time import now_utc
 from marketpulse.operators.joins import broadcast_if_small
 
 # token = maximal run of letters (any script), case-folded
@@ -72,7 +73,7 @@ def select_articles(articles: DataFrame, topics: DataFrame, lang: str | None = "
 def sentiment_summary(scored: DataFrame, as_of=None, coin: str = "coin", score: str = "sentiment_score") -> DataFrame:
     """A1 + T4: per coin, mean score (nulls skipped) and row count (nulls
     counted); a null coin is its own group; one timestamp for the whole batch."""
-    stamp = F.current_timestamp().cast("timestamp_ntz") if as_of is None else F.lit(as_of).cast("timestamp_ntz")
+    stamp = now_utc() if as_of is None else F.lit(as_of).cast("timestamp_ntz")
     return scored.groupBy(coin).agg(
         F.round(F.avg(score), 6).alias("avg_sentiment"),
         F.count(F.lit(1)).cast("int").alias("article_count"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from marketpulse.functions.labels import (DEFAULT_THRESHOLD, MAX_THRESHOLD, MIN_THRESHOLD, describe_subscription,
                                           effective_threshold)
+from marketpulse.functions.time import epoch_micros
 
 KEY = ["email", "coin"]
 
@@ -46,7 +47,7 @@ def with_outcome(commands: DataFrame, bucket_seconds: int = 86400) -> DataFrame:
     and for a day's first command the last op of the key's previous active
     day, from a one-row-per-key-day table (its per-key window is bounded by
     the number of days).  A hot key is thus spread over its days."""
-    day = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)).alias("_d")
+    day = F.floor(epoch_micros("ts") / F.lit(bucket_seconds * 1_000_000)).alias("_d")
     cmds = commands.select("email", "coin", "op", "ts", "seq", day)
     per_day = cmds.groupBy(*KEY, "_d").agg(F.max_by("op", _order()).alias("_last_op"))
     carry = per_day.select(*KEY, "_d", F.lag("_last_op").over(Window.partitionBy(*KEY).orderBy("_d")).alias("_carry"))

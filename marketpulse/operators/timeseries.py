@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketpulse.functions.labels import change_label, display_name, price_label, trend
+from marketpulse.functions.time import epoch_micros, from_epoch_micros
 from marketpulse.operators.snapshot import for_coin, latest_by_coin, tick_counts
 
 DEFAULT_WIDTH = "30 minutes"
@@ -35,15 +36,6 @@ def width_seconds(width: str | int) -> int:
     return secs
 
 
-def epoch_micros(ts: str) -> F.Column:
-    """Micros since the epoch of a naive-UTC instant (session zone is UTC)."""
-    return F.unix_micros(F.col(ts).cast("timestamp"))
-
-
-def micros_to_ntz(c: F.Column) -> F.Column:
-    return F.timestamp_micros(c).cast("timestamp_ntz")
-
-
 def _sparse_buckets(df: DataFrame, width_us: int, key: str, ts: str, seq: str | None, values: list[str]) -> DataFrame:
     """Occupied buckets only: last non-null value per column in (time, seq)
     order, plus the row count.  Rows with a null time form a null bucket that
@@ -77,7 +69,7 @@ def _resample(df: DataFrame, width, key, ts, seq, values, fill: bool, min_ticks:
         out_vals = [F.col(c) for c in values]
     else:  # empty buckets between occupied ones are present but null
         out_vals = [F.when(F.col("_pos") == 0, F.col(c)).alias(c) for c in values]
-    return exploded.select(key, micros_to_ntz(F.col("_bucket")).alias("bucket"), *out_vals)
+    return exploded.select(key, from_epoch_micros(F.col("_bucket")).alias("bucket"), *out_vals)
 
 
 def resample_last(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str = "timestamp",

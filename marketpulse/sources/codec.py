@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketpulse.functions.time import naive_utc
 from marketpulse.schemas import ARTICLE_WIRE, TICK_WIRE
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -20,7 +21,7 @@ ISO_FORMAT_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 def parse_time(df: DataFrame, column: str = "timestamp") -> DataFrame:
     """ISO-8601 text to a naive-UTC instant; bad text gives null, never an
     error (plain ``cast`` aborts the query under ANSI mode)."""
-    return df.withColumn(column, F.col(column).try_cast("timestamp").cast("timestamp_ntz"))
+    return df.withColumn(column, naive_utc(F.col(column).try_cast("timestamp")))
 
 
 def decode(df: DataFrame, schema: T.StructType = TICK_WIRE, value: str = "value",

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketpulse.functions.time import naive_utc, now_utc
 from marketpulse.schemas import MARKET_ITEM, NEWS_PAYLOAD
 
 CHANGE_KEY = "price_change_percentage_24h"
@@ -18,7 +19,7 @@ CHANGE_KEY = "price_change_percentage_24h"
 
 def _as_of(as_of) -> F.Column:
     if as_of is None:
-        return F.current_timestamp().cast("timestamp_ntz")
+        return now_utc()
     if isinstance(as_of, str):
         return F.col(as_of)
     return as_of
@@ -87,5 +88,5 @@ def news_payloads(articles: DataFrame, poll_size: int = 10) -> DataFrame:
                    F.col("published_at").alias("publishedAt"))
     per_coin = F.floor(F.col("doc_id") / F.lit(5 * poll_size))
     return (articles.groupBy("coin", per_coin.alias("poll_id"))
-            .agg(F.max("published_at").try_cast("timestamp").cast("timestamp_ntz").alias("polled_at"),
+            .agg(naive_utc(F.max("published_at").try_cast("timestamp")).alias("polled_at"),
                  F.to_json(F.struct(F.collect_list(art).alias("articles"))).alias("payload")))

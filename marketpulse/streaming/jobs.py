@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from marketpulse.functions.time import naive_utc, zoned
 from marketpulse.operators.alerts import alert_outbox, match_alerts
 from marketpulse.operators.cooldown import DEFAULT_COOLDOWN_SECONDS, Scratch, cooldown, next_ready
 from marketpulse.operators.sentiment import sentiment_summary
@@ -140,9 +141,9 @@ def resample_stream(ticks: DataFrame, width: str = "30 minutes", delay: str = "1
     """W1 on a stream: event-time buckets closed by a watermark, last non-null
     value per column; append mode emits a bucket once the watermark passes
     its end, later rows for it are dropped.  Empty buckets are not emitted."""
-    ts = F.col("timestamp").cast("timestamp")
+    ts = zoned("timestamp")
     src = ticks.where(F.col("id").isNotNull()).withColumn("_ts", ts).withWatermark("_ts", delay)
     order = F.struct(F.col("_ts"), F.col("seq"))
     aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in values]
     out = src.groupBy(F.col("id"), F.window("_ts", width).alias("w")).agg(*aggs)
-    return out.select("id", F.col("w.start").cast("timestamp_ntz").alias("bucket"), *values)
+    return out.select("id", naive_utc(F.col("w.start")).alias("bucket"), *values)

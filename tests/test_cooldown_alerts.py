@@ -78,3 +78,21 @@ def test_match_alerts(spark):
     assert got == [("w@e", "b", 2.0), ("x@e", "a", 2.5)]
     out = J.alert_outbox(J.match_alerts(cooled, subs)).where("email = 'x@e'").first()
     assert out["subject"] == "Price alert: A dropped 3.00%"
+
+
+def test_results_do_not_depend_on_session_zone(spark):
+    from marketpulse.operators import timeseries as W
+    # ticks across the 2024-03-10 US daylight-saving jump
+    rows = [tick("a", 68 * 86400 + i * 1500, price=float(i), change=1.0, seq=i) for i in range(40)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        utc = (kept_seqs(T.cooldown(ticks_df(spark, rows))),
+               rows_of(W.resample_ffill(ticks_df(spark, rows), values=["current_price"]), "bucket", "current_price"))
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        ny = (kept_seqs(T.cooldown(ticks_df(spark, rows))),
+              rows_of(W.resample_ffill(ticks_df(spark, rows), values=["current_price"]), "bucket", "current_price"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert utc == ny
+    assert utc[0] == sequential_cooldown(rows)
