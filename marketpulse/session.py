@@ -62,3 +62,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark)
     token = next(tempfile._get_candidate_names())  # unique suffix, no folder is created here
     return f"{base.rstrip('/')}/{name}-{token}"
+
+
+def cluster_settings(input_bytes: int, executor_cores: int, executors: int,
+                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions are sized so a partition holds about
+    ``target_partition_bytes`` of the largest shuffle (bounded below by three
+    waves of the cluster's cores); AQE coalesces small ones and splits skewed
+    ones at run time.  Scan splits match the same size."""
+    cores = max(1, executor_cores * executors)
+    partitions = max(3 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": UTC,
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }

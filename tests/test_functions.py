@@ -48,3 +48,11 @@ def test_alert_text(spark):
     r = df.select(P.alert_subject("c", "d", "x").alias("s"), P.alert_body("c", "d", "x", "p", "t").alias("b")).first()
     assert r["s"] == "Price alert: Bitcoin dropped 3.46%"
     assert "Bitcoin has dropped 3.46%" in r["b"] and "$1,234.5000" in r["b"] and "threshold: 2.0%" in r["b"]
+
+
+def test_cluster_settings_scale_with_input():
+    from marketpulse.session import cluster_settings
+    big = cluster_settings(100 * 10**12, 8, 1000)
+    assert int(big["spark.sql.shuffle.partitions"]) >= 100 * 10**12 // (256 << 20)
+    small = cluster_settings(10**9, 4, 2)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
