@@ -445,8 +445,10 @@ RESAMPLE_DELAY = "1 hour"
 def q_stream_append(spark, sf_dir):
     base = scratch_path(spark, "stream-append")
     ticks = V.tick_projection(V.stream_table(spark, sf_dir, "events"))
-    ST.run_to_end(ST.start(ticks, lambda b, i: append_batch(b, i, f"{base}/history", "s0", date_from="timestamp"),
-                           f"{base}/_checkpoint", available_now=True))
+    ckpt = f"{base}/_checkpoint"
+    sid = ST.stream_id_for(ckpt)
+    ST.run_to_end(ST.start(ticks, lambda b, i: append_batch(b, i, f"{base}/history", sid, date_from="timestamp"),
+                           ckpt, available_now=True))
     return read_table(spark, f"{base}/history")
 
 

@@ -10,6 +10,7 @@ so a replayed batch reads the same state and rewrites the same output.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,13 @@ def start(df: DataFrame, batch_fn: Callable[[DataFrame, int], None], checkpoint:
     return w.start()
 
 
+def stream_id_for(checkpoint: str) -> str:
+    """Sink partition id tied to the checkpoint: a restart from the same
+    checkpoint replays into the same partitions, a new checkpoint (whose batch
+    ids restart at 0) gets new ones."""
+    return "q" + hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
 def run_to_end(query: StreamingQuery) -> None:
     """T5 for bounded runs: wait for the query and surface its failure."""
     query.awaitTermination()
@@ -84,22 +92,24 @@ def cooldown_batch_fn(state: CooldownState, out_path: str, stream_id: str,
     return fn
 
 
-def cooldown_stream(ticks: DataFrame, out_path: str, state_path: str, checkpoint: str, stream_id: str = "s0",
+def cooldown_stream(ticks: DataFrame, out_path: str, state_path: str, checkpoint: str, stream_id: str | None = None,
                     seconds: float = DEFAULT_COOLDOWN_SECONDS, **trigger) -> StreamingQuery:
     """T1 on a stream: kept ticks appended to ``out_path`` per batch.  Equals
     the batch form when batches arrive in time order; a tick older than its
     coin's last kept tick is skipped."""
     state = CooldownState(ticks.sparkSession, state_path)
-    return start(ticks, cooldown_batch_fn(state, out_path, stream_id, seconds), checkpoint, **trigger)
+    sid = stream_id or stream_id_for(checkpoint)
+    return start(ticks, cooldown_batch_fn(state, out_path, sid, seconds), checkpoint, **trigger)
 
 
 def tick_job(ticks: DataFrame, history_path: str, alerts_path: str, dead_letter_path: str, state_path: str,
-             subscriptions: Callable[[], DataFrame], checkpoint: str, stream_id: str = "s0",
+             subscriptions: Callable[[], DataFrame], checkpoint: str, stream_id: str | None = None,
              seconds: float = DEFAULT_COOLDOWN_SECONDS, preview: bool = False, **trigger) -> StreamingQuery:
     """Decoded tick stream -> history (K1), dead letters for rows without an
     id, cooldown (T1) with carried state, alert match (J1) against the
     subscription table as it is at this batch, alert outbox (K6)."""
     state = CooldownState(ticks.sparkSession, state_path)
+    stream_id = stream_id or stream_id_for(checkpoint)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch, scratch = batch.persist(), Scratch()
@@ -119,10 +129,12 @@ def tick_job(ticks: DataFrame, history_path: str, alerts_path: str, dead_letter_
     return start(ticks, fn, checkpoint, **trigger)
 
 
-def sentiment_job(articles: DataFrame, raw_path: str, summary_path: str, checkpoint: str, stream_id: str = "s0",
+def sentiment_job(articles: DataFrame, raw_path: str, summary_path: str, checkpoint: str, stream_id: str | None = None,
                   as_of: Callable[[int], object] | None = None, preview: bool = False, **trigger) -> StreamingQuery:
     """Decoded article stream -> raw history (K2) and one per-coin summary
     per batch stamped with a single batch instant (A1, T4, K3)."""
+    stream_id = stream_id or stream_id_for(checkpoint)
+
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
