@@ -14,19 +14,20 @@ module computes the same set with joins and windows only:
 2.  The state after the next occupied bucket is a function of that state:
     from ``⊥`` (or across an empty bucket) it is the bucket's first tick;
     from tick ``s`` in the adjacent bucket it is the first tick at or after
-    ``s + C`` in this bucket, or ``⊥``.  These transfer functions are built
-    with one windowed as-of lookup per (coin, bucket) partition: the probe
-    ``s + C`` always lands in the adjacent bucket.
-3.  Functions are composed pairwise in a tree over bucket ranks (one window
-    per level; a level is half the size of the one below, so the total work is
-    linear), then the entering state of every bucket is pushed down the tree
-    with one key join per level.  The bucket table and the first level are
-    written to the shared checkpoint folder (lineage cut, real sizes for AQE);
-    higher levels reference the level below once and are persisted.
-
-Every partition key is (coin, bucket) or (coin, block, state), so a coin with a
-third of all rows spreads over all its hours; the only per-coin windows run
-over one row per occupied bucket (time span / C rows).
+    ``s + C`` in this bucket, or ``⊥``.  The probe ``s + C`` always lands in
+    the adjacent bucket; the lookup (``first_at_or_after``) works on distinct
+    instants inside sub-bucket chunks, so even a bucket holding a third of
+    all rows is spread over many tasks.
+3.  Functions are composed pairwise in a tree over bucket ranks (one equi-join
+    per level; a level is half the size of the one below, so the total work
+    is linear), then the entering state of every bucket is pushed down the
+    tree with one key join per level.  Levels are written to the shared
+    checkpoint folder (lineage cut, real sizes for AQE).
+
+Partition keys are (coin, bucket, chunk) for windows and (coin, block,
+state) for joins; the only per-coin window runs over one row per occupied
+bucket (time span / C rows).  A state that many ticks map to is a skewed join
+key with a single build row, which AQE splits.
 """
 
 from __future__ import annotations
@@ -81,6 +82,32 @@ def candidates(df: DataFrame, key: str, ts: str, seq: str, change: str) -> DataF
             .select(F.col(key).alias("key"), epoch_micros(ts).alias("t"), F.col(seq).alias("s")))
 
 
+def first_at_or_after(targets: DataFrame, probes: DataFrame, cooldown_us: int, chunks: int = 1024) -> DataFrame:
+    """As-of lookup inside a bucket: for each probe instant ``p`` of (key, k),
+    the smallest target ``(t, s)`` of the same (key, k) with ``t >= p``.
+
+    Targets and probes are first reduced to distinct instants (map-side
+    aggregates, so any number of rows at one instant is one row).  The lookup
+    runs inside chunks of ``C / chunks`` (a running minimum, latest first);
+    a probe with no target left in its chunk takes the minimum of the later
+    chunks, a window over at most ``chunks`` aggregate rows per bucket.  No
+    partition ever holds more than one chunk's distinct instants."""
+    width = max(1, cooldown_us // chunks)
+    tgt = targets.groupBy("key", "k", "t").agg(F.min("s").alias("s")).select(
+        "key", "k", F.col("t").alias("time"), F.lit(0).alias("kind"), F.struct("t", "s").alias("tgt"))
+    prb = probes.select("key", "k", F.col("p").alias("time")).distinct().select(
+        "key", "k", "time", F.lit(1).alias("kind"), F.lit(None).cast("struct<t:long,s:long>").alias("tgt"))
+    rows = tgt.unionByName(prb).withColumn("c", F.floor(F.col("time") / F.lit(width)))
+    within = (Window.partitionBy("key", "k", "c").orderBy(F.col("time").desc(), F.col("kind").asc())
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    in_chunk = rows.withColumn("y", F.min("tgt").over(within)).where(F.col("kind") == 1)
+    later = Window.partitionBy("key", "k").orderBy(F.col("c").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    chunk_min = (rows.groupBy("key", "k", "c").agg(F.min("tgt").alias("cm"))
+                 .select("key", "k", "c", F.min("cm").over(later).alias("later")))
+    return in_chunk.join(chunk_min, ["key", "k", "c"]).select(
+        "key", "k", F.col("time").alias("p"), F.coalesce("y", "later").alias("y"))
+
+
 def kept_ticks(cand: DataFrame, cooldown_us: int, scratch: Scratch | None = None) -> DataFrame:
     """(key, t, s) of the kept ticks among candidate rows (key, t, s)."""
     C = F.lit(cooldown_us)
@@ -105,46 +132,34 @@ def kept_ticks(cand: DataFrame, cooldown_us: int, scratch: Scratch | None = None
         "key", (F.col("r") + 1).alias("j"), F.col("t").alias("x_t"), F.col("s").alias("x_s"),
         F.col("f_next.t").alias("y_t"), F.col("f_next.s").alias("y_s"))
     probes = ticks.where(F.col("k_next") == F.col("k") + 1).select(
-        "key", F.col("k_next").alias("k"), (F.col("t") + C).alias("time"), F.lit(1).alias("kind"),
-        F.lit(None).cast("struct<t:long,s:long>").alias("tgt"),
+        "key", F.col("k_next").alias("k"), (F.col("t") + C).alias("p"),
         (F.col("r") + 1).alias("j"), F.col("t").alias("x_t"), F.col("s").alias("x_s"))
-    targets = cand.select(
-        "key", "k", F.col("t").alias("time"), F.lit(0).alias("kind"), F.struct("t", "s").alias("tgt"),
-        F.lit(None).cast("long").alias("j"), F.lit(None).cast("long").alias("x_t"),
-        F.lit(None).cast("long").alias("x_s"))
-    # as-of: latest-first running minimum of targets at or after the probe time
-    wa = (Window.partitionBy("key", "k").orderBy(F.col("time").desc(), F.col("kind").asc())
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    asof = targets.unionByName(probes).withColumn("y", F.min("tgt").over(wa)).where(F.col("kind") == 1)
-    f_probe = asof.select("key", "j", "x_t", "x_s", F.coalesce(F.col("y.t"), bot).alias("y_t"),
-                          F.coalesce(F.col("y.s"), bot).alias("y_s"))
+    ans = first_at_or_after(cand.select("key", "k", "t", "s"), probes.select("key", "k", "p"), cooldown_us)
+    f_probe = probes.join(ans, ["key", "k", "p"]).select(
+        "key", "j", "x_t", "x_s", F.coalesce(F.col("y.t"), bot).alias("y_t"), F.coalesce(F.col("y.s"), bot).alias("y_s"))
     level = materialize(f_bot.unionByName(f_gap).unionByName(f_probe), "cooldown-f0", scratch)
     levels = [level]
 
-    # 3a. up-sweep: F_{l+1}(J) = F_l(2J+1) . F_l(2J).  One projection of F_l
-    # keys every left-block row by its output state and every right-block
-    # row by its input state; a window over (key, J, state) hands the right
-    # row's output to the left rows.  F_l is referenced once, so the plan
-    # grows linearly and a level only needs to be persisted, not written.
+    # 3a. up-sweep: F_{l+1}(J) = F_l(2J+1) . F_l(2J), an equi-join of the
+    # left block's output state with the right block's input state.  The
+    # right side has one row per (coin, block, state), so a state that many
+    # left rows map to is a skewed key AQE can split.  Each level is written
+    # to the shared checkpoint folder (it is read twice: by the next level and
+    # by the down-sweep).
     max_rank = buckets.agg(F.max("r")).first()[0]
     depth = int(max_rank or 0).bit_length()
-    for _ in range(depth):
+    for lvl in range(depth):
         f = levels[-1]
-        left = F.col("j") % 2 == 0
-        proj = f.select(
-            "key", F.floor(F.col("j") / 2).alias("J"), left.alias("_left"), "x_t", "x_s", "y_t", "y_s",
-            F.when(left, F.col("y_t")).otherwise(F.col("x_t")).alias("m_t"),
-            F.when(left, F.col("y_s")).otherwise(F.col("x_s")).alias("m_s"))
-        wm = Window.partitionBy("key", "J", "m_t", "m_s")
-        up = (proj.select("*", F.max(F.when(~F.col("_left"), F.col("y_t"))).over(wm).alias("z_t"),
-                          F.max(F.when(~F.col("_left"), F.col("y_s"))).over(wm).alias("z_s"))
-              .where(F.col("_left"))
-              .select("key", F.col("J").alias("j"), "x_t", "x_s",
-                      F.coalesce("z_t", "m_t").alias("y_t"), F.coalesce("z_s", "m_s").alias("y_s"))
-              .persist())
-        if scratch is not None:
-            scratch.frames.append(up)
-        levels.append(up)
+        left = f.where(F.col("j") % 2 == 0).select(
+            "key", F.floor(F.col("j") / 2).alias("J"), "x_t", "x_s", F.col("y_t").alias("m_t"),
+            F.col("y_s").alias("m_s"))
+        right = f.where(F.col("j") % 2 == 1).select(
+            "key", F.floor(F.col("j") / 2).alias("J"), F.col("x_t").alias("m_t"), F.col("x_s").alias("m_s"),
+            F.col("y_t").alias("z_t"), F.col("y_s").alias("z_s"))
+        up = left.join(right, ["key", "J", "m_t", "m_s"], "left").select(
+            "key", F.col("J").alias("j"), "x_t", "x_s",
+            F.coalesce("z_t", "m_t").alias("y_t"), F.coalesce("z_s", "m_s").alias("y_s"))
+        levels.append(materialize(up, f"cooldown-f{lvl + 1}", scratch))
 
     # 3b. down-sweep: entering state of every block, top to bottom
     enter = buckets.where(F.col("r") == 0).select("key", F.lit(0).cast("long").alias("j"),

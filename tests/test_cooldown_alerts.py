@@ -96,3 +96,21 @@ def test_results_do_not_depend_on_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
     assert utc == ny
     assert utc[0] == sequential_cooldown(rows)
+
+
+@pytest.mark.parametrize("chunks", [1, 4, 64])
+def test_first_at_or_after_matches_brute_force(spark, chunks):
+    rnd = random.Random(chunks)
+    cooldown_us = 1000
+    targets = [("a", 0, rnd.randint(0, 999), i) for i in range(60)]
+    targets += [("a", 0, 500, 100 + i) for i in range(5)]          # many rows at one instant
+    targets += [("b", 3, 3000 + rnd.randint(0, 999), 200 + i) for i in range(5)]
+    probes = [("a", 0, p) for p in [0, 1, 249, 250, 500, 501, 998, 999] + [rnd.randint(0, 999) for _ in range(20)]]
+    probes += [("b", 3, 3000), ("b", 3, 3999), ("c", 5, 5000)]     # "c" has no targets
+    tdf = spark.createDataFrame(targets, "key string, k long, t long, s long")
+    pdf = spark.createDataFrame(probes, "key string, k long, p long")
+    got = {(r["key"], r["p"]): (None if r["y"] is None else (r["y"]["t"], r["y"]["s"]))
+           for r in T.first_at_or_after(tdf, pdf, cooldown_us, chunks).collect()}
+    for key, k, p in probes:
+        cands = [(t, s) for kk, kb, t, s in targets if kk == key and kb == k and t >= p]
+        assert got[(key, p)] == (min(cands) if cands else None)
