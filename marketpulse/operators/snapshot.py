@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.functions.labels import change_label, display_name, trend, volume_label
+from marketpulse.operators.joins import broadcast_if_small
 from marketpulse.schemas import TICK_VALUE_COLUMNS
 
 
@@ -60,10 +61,11 @@ def tick_counts(df: DataFrame, key: str = "id") -> DataFrame:
 def at_least(df: DataFrame, n: int = 2, key: str = "id") -> DataFrame:
     """Keep the ticks of coins that have at least ``n`` rows (HAVING + semi join).
 
-    The count side is one row per coin after a map-side combine; no hint is
-    given, so AQE broadcasts it when its measured size is small and keeps a
-    (skew-split) shuffle join otherwise."""
-    keep = tick_counts(df, key).where(F.col("n_ticks") >= n).select(key)
+    The count side is one row per coin after a map-side combine; it is
+    broadcast after a row-count check, so the tick side (where one coin may
+    hold a third of the rows) is never shuffled; beyond the bound the join is
+    a shuffle join whose hot coins AQE splits."""
+    keep = broadcast_if_small(tick_counts(df, key).where(F.col("n_ticks") >= n).select(key))
     return df.join(keep, on=key, how="left_semi")
 
 

@@ -5,7 +5,8 @@ One live row per (email, coin): an upsert replaces threshold and direction and
 keeps ``created_at``; a delete removes the row; an upsert after a delete
 creates a new row with a new ``created_at``.  The fold is two hash
 aggregations (map-side combined) and one key join, so it never needs the log
-in order on one machine.
+in order on one machine.  The per-key delete table is broadcast after a
+row-count check, so a hot key's upserts are not shuffled for the join.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from marketpulse.functions.labels import (DEFAULT_THRESHOLD, MAX_THRESHOLD, MIN_THRESHOLD, describe_subscription,
                                           effective_threshold)
 from marketpulse.functions.time import epoch_micros
+from marketpulse.operators.joins import broadcast_if_small
 
 KEY = ["email", "coin"]
 
@@ -27,8 +29,8 @@ def _order() -> F.Column:
 def apply_commands(commands: DataFrame) -> DataFrame:
     """K4/K5: current subscriptions from a log (email, coin, op, threshold,
     direction, ts, seq)."""
-    last_delete = (commands.where(F.col("op") == "delete").groupBy(*KEY)
-                   .agg(F.max(_order()).alias("del_at")))
+    last_delete = broadcast_if_small(commands.where(F.col("op") == "delete").groupBy(*KEY)
+                                     .agg(F.max(_order()).alias("del_at")))
     upserts = commands.where(F.col("op") == "upsert")
     live = upserts.join(last_delete, KEY, "left").where(F.col("del_at").isNull() | (_order() > F.col("del_at")))
     return live.groupBy(*KEY).agg(
