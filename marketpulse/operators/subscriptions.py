@@ -40,24 +40,42 @@ def apply_commands(commands: DataFrame) -> DataFrame:
     )
 
 
-def with_outcome(commands: DataFrame, bucket_seconds: int = 86400) -> DataFrame:
+def with_outcome(commands: DataFrame, chunk_seconds: int = 4, day_seconds: int = 86400) -> DataFrame:
     """Outcome of each command in log order: an upsert is ``updated`` when the
     key's previous command was an upsert, else ``created``; a delete is
     ``deleted`` after an upsert, else ``noop``.
 
-    The previous command is found per (key, day): a ``lag`` inside the day,
-    and for a day's first command the last op of the key's previous active
-    day, from a one-row-per-key-day table (its per-key window is bounded by
-    the number of days).  A hot key is thus spread over its days."""
-    day = F.floor(epoch_micros("ts") / F.lit(bucket_seconds * 1_000_000)).alias("_d")
-    cmds = commands.select("email", "coin", "op", "ts", "seq", day)
-    per_day = cmds.groupBy(*KEY, "_d").agg(F.max_by("op", _order()).alias("_last_op"))
-    carry = per_day.select(*KEY, "_d", F.lag("_last_op").over(Window.partitionBy(*KEY).orderBy("_d")).alias("_carry"))
-    w = Window.partitionBy(*KEY, "_d").orderBy("ts", "seq")
-    prev = F.coalesce(F.lag("op").over(w), F.col("_carry"))
-    outcome = (F.when(F.col("op") == "upsert", F.when(prev == "upsert", "updated").otherwise("created"))
-               .otherwise(F.when(prev == "upsert", "deleted").otherwise("noop")))
-    return cmds.join(carry, [*KEY, "_d"]).select("email", "coin", "op", "ts", "seq", outcome.alias("outcome"))
+    The previous command is an upsert iff the latest earlier upsert is later
+    than the latest earlier delete.  Both are exclusive prefix maxima of the
+    (ts, seq) order, computed in three levels so no partition holds a whole
+    key: a running max inside (key, day, chunk of ``chunk_seconds``); the
+    max over earlier chunks of the day, from per-chunk aggregates; the max
+    over earlier days, from per-day aggregates.  The levels are joined back on
+    their group keys (one build row per key)."""
+    us = epoch_micros("ts")
+    day = F.floor(us / F.lit(day_seconds * 1_000_000)).alias("_d")
+    chunk = F.floor(us / F.lit(chunk_seconds * 1_000_000)).alias("_c")
+    rows = commands.select("email", "coin", "op", "ts", "seq", day, chunk)
+    up = F.col("op") == "upsert"
+    o = _order()
+    earlier = Window.partitionBy(*KEY, "_d", "_c").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, -1)
+    inner = rows.select("*", F.max(F.when(up, o)).over(earlier).alias("_u0"),
+                        F.max(F.when(~up, o)).over(earlier).alias("_x0"))
+    per_chunk = rows.groupBy(*KEY, "_d", "_c").agg(F.max(F.when(up, o)).alias("_uc"), F.max(F.when(~up, o)).alias("_xc"))
+    chunks_before = Window.partitionBy(*KEY, "_d").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    by_chunk = per_chunk.select(*KEY, "_d", "_c", F.max("_uc").over(chunks_before).alias("_u1"),
+                                F.max("_xc").over(chunks_before).alias("_x1"))
+    per_day = per_chunk.groupBy(*KEY, "_d").agg(F.max("_uc").alias("_ud"), F.max("_xc").alias("_xd"))
+    days_before = Window.partitionBy(*KEY).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    by_day = per_day.select(*KEY, "_d", F.max("_ud").over(days_before).alias("_u2"),
+                            F.max("_xd").over(days_before).alias("_x2"))
+    res = inner.join(by_chunk, [*KEY, "_d", "_c"]).join(by_day, [*KEY, "_d"])
+    last_up = F.greatest("_u0", "_u1", "_u2")
+    last_del = F.greatest("_x0", "_x1", "_x2")
+    prev_up = last_up.isNotNull() & (last_del.isNull() | (last_up > last_del))
+    outcome = (F.when(up, F.when(prev_up, "updated").otherwise("created"))
+               .otherwise(F.when(prev_up, "deleted").otherwise("noop")))
+    return res.select("email", "coin", "op", "ts", "seq", outcome.alias("outcome"))
 
 
 def normalise_command(form: DataFrame) -> DataFrame:

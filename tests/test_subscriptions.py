@@ -48,7 +48,7 @@ def test_fold_matches_replay(spark):
     assert rows_of(K.apply_commands(df), "email", "coin", "threshold", "direction", "created_at") == sorted(state, key=repr)
     assert sorted(rows_of(K.with_outcome(df), "seq", "outcome")) == outcomes
     # small buckets: the previous command often sits in an earlier bucket
-    assert sorted(rows_of(K.with_outcome(df, bucket_seconds=50), "seq", "outcome")) == outcomes
+    assert sorted(rows_of(K.with_outcome(df, chunk_seconds=5, day_seconds=60), "seq", "outcome")) == outcomes
 
 
 def test_validation_edges(spark):
