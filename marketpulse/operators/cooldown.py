@@ -18,11 +18,13 @@ module computes the same set with joins and windows only:
     the adjacent bucket; the lookup (``first_at_or_after``) works on distinct
     instants inside sub-bucket chunks, so even a bucket holding a third of
     all rows is spread over many tasks.
-3.  Functions are composed pairwise in a tree over bucket ranks (one equi-join
-    per level; a level is half the size of the one below, so the total work
-    is linear), then the entering state of every bucket is pushed down the
-    tree with one key join per level.  Levels are written to the shared
-    checkpoint folder (lineage cut, real sizes for AQE).
+3.  Functions are composed pairwise in a tree over bucket ranks (a level is
+    half the size of the one below, so the total work is linear), then the
+    entering state of every bucket is pushed down the tree with one key join
+    per level.  Large levels are composed by an equi-join and written to the
+    shared checkpoint folder (lineage cut, real sizes for AQE); once a level
+    is small (``SMALL_LEVEL_ROWS``) the rest are composed by a window over a
+    single reference and kept in memory.
 
 Partition keys are (coin, bucket, chunk) for windows and (coin, block,
 state) for joins; the only per-coin window runs over one row per occupied
@@ -42,6 +44,10 @@ from marketpulse.session import checkpoint_dir
 
 DEFAULT_COOLDOWN_SECONDS = 3600
 BOT = -(1 << 63)  # encodes the state "nothing kept" (⊥)
+# tree levels at or below this many rows are composed by a window and kept in
+# memory; larger ones by a skew-splittable join and written to the checkpoint
+# folder
+SMALL_LEVEL_ROWS = 2_000_000
 
 
 class Scratch:
@@ -108,7 +114,41 @@ def first_at_or_after(targets: DataFrame, probes: DataFrame, cooldown_us: int, c
         "key", "k", F.col("time").alias("p"), F.coalesce("y", "later").alias("y"))
 
 
-def kept_ticks(cand: DataFrame, cooldown_us: int, scratch: Scratch | None = None) -> DataFrame:
+def _compose_by_join(f: DataFrame) -> DataFrame:
+    """One tree level for large tables: an equi-join of the left block's output
+    state with the right block's input state.  The right side has one row per
+    (coin, block, state), so a state that many left rows map to is a skewed
+    key with a single build row, which AQE splits."""
+    left = f.where(F.col("j") % 2 == 0).select(
+        "key", F.floor(F.col("j") / 2).alias("J"), "x_t", "x_s", F.col("y_t").alias("m_t"), F.col("y_s").alias("m_s"))
+    right = f.where(F.col("j") % 2 == 1).select(
+        "key", F.floor(F.col("j") / 2).alias("J"), F.col("x_t").alias("m_t"), F.col("x_s").alias("m_s"),
+        F.col("y_t").alias("z_t"), F.col("y_s").alias("z_s"))
+    return left.join(right, ["key", "J", "m_t", "m_s"], "left").select(
+        "key", F.col("J").alias("j"), "x_t", "x_s", F.coalesce("z_t", "m_t").alias("y_t"),
+        F.coalesce("z_s", "m_s").alias("y_s"))
+
+
+def _compose_by_window(f: DataFrame) -> DataFrame:
+    """The same level for small tables: one projection keys left rows by their
+    output state and right rows by their input state, and a window over
+    (coin, block, state) hands the right row's output to the left rows.  The
+    level is referenced once, so it can be persisted instead of written."""
+    left = F.col("j") % 2 == 0
+    proj = f.select(
+        "key", F.floor(F.col("j") / 2).alias("J"), left.alias("_left"), "x_t", "x_s", "y_t", "y_s",
+        F.when(left, F.col("y_t")).otherwise(F.col("x_t")).alias("m_t"),
+        F.when(left, F.col("y_s")).otherwise(F.col("x_s")).alias("m_s"))
+    wm = Window.partitionBy("key", "J", "m_t", "m_s")
+    return (proj.select("*", F.max(F.when(~F.col("_left"), F.col("y_t"))).over(wm).alias("z_t"),
+                        F.max(F.when(~F.col("_left"), F.col("y_s"))).over(wm).alias("z_s"))
+            .where(F.col("_left"))
+            .select("key", F.col("J").alias("j"), "x_t", "x_s", F.coalesce("z_t", "m_t").alias("y_t"),
+                    F.coalesce("z_s", "m_s").alias("y_s")))
+
+
+def kept_ticks(cand: DataFrame, cooldown_us: int, scratch: Scratch | None = None,
+               small_level_rows: int = SMALL_LEVEL_ROWS) -> DataFrame:
     """(key, t, s) of the kept ticks among candidate rows (key, t, s)."""
     C = F.lit(cooldown_us)
     cand = cand.withColumn("k", F.floor(F.col("t") / C).cast("long"))
@@ -140,26 +180,19 @@ def kept_ticks(cand: DataFrame, cooldown_us: int, scratch: Scratch | None = None
     level = materialize(f_bot.unionByName(f_gap).unionByName(f_probe), "cooldown-f0", scratch)
     levels = [level]
 
-    # 3a. up-sweep: F_{l+1}(J) = F_l(2J+1) . F_l(2J), an equi-join of the
-    # left block's output state with the right block's input state.  The
-    # right side has one row per (coin, block, state), so a state that many
-    # left rows map to is a skewed key AQE can split.  Each level is written
-    # to the shared checkpoint folder (it is read twice: by the next level and
-    # by the down-sweep).
+    # 3a. up-sweep: F_{l+1}(J) = F_l(2J+1) . F_l(2J).  Each level halves.
     max_rank = buckets.agg(F.max("r")).first()[0]
     depth = int(max_rank or 0).bit_length()
+    rows = level.count()
     for lvl in range(depth):
         f = levels[-1]
-        left = f.where(F.col("j") % 2 == 0).select(
-            "key", F.floor(F.col("j") / 2).alias("J"), "x_t", "x_s", F.col("y_t").alias("m_t"),
-            F.col("y_s").alias("m_s"))
-        right = f.where(F.col("j") % 2 == 1).select(
-            "key", F.floor(F.col("j") / 2).alias("J"), F.col("x_t").alias("m_t"), F.col("x_s").alias("m_s"),
-            F.col("y_t").alias("z_t"), F.col("y_s").alias("z_s"))
-        up = left.join(right, ["key", "J", "m_t", "m_s"], "left").select(
-            "key", F.col("J").alias("j"), "x_t", "x_s",
-            F.coalesce("z_t", "m_t").alias("y_t"), F.coalesce("z_s", "m_s").alias("y_s"))
-        levels.append(materialize(up, f"cooldown-f{lvl + 1}", scratch))
+        if (rows >> lvl) > small_level_rows:
+            up = materialize(_compose_by_join(f), f"cooldown-f{lvl + 1}", scratch)
+        else:
+            up = _compose_by_window(f).persist()
+            if scratch is not None:
+                scratch.frames.append(up)
+        levels.append(up)
 
     # 3b. down-sweep: entering state of every block, top to bottom
     enter = buckets.where(F.col("r") == 0).select("key", F.lit(0).cast("long").alias("j"),
@@ -179,7 +212,7 @@ def kept_ticks(cand: DataFrame, cooldown_us: int, scratch: Scratch | None = None
 
 def cooldown(df: DataFrame, seconds: float = DEFAULT_COOLDOWN_SECONDS, key: str = "id", ts: str = "timestamp",
              seq: str = "seq", change: str = "price_change_pct_24h", ready: DataFrame | None = None,
-             scratch: Scratch | None = None) -> DataFrame:
+             scratch: Scratch | None = None, small_level_rows: int = SMALL_LEVEL_ROWS) -> DataFrame:
     """Ticks of ``df`` that pass the per-coin cooldown (event time), as a
     table written to the shared checkpoint folder.
 
@@ -193,7 +226,7 @@ def cooldown(df: DataFrame, seconds: float = DEFAULT_COOLDOWN_SECONDS, key: str
         r = ready.select(F.col(key).alias("key"), epoch_micros("ready_at").alias("ready_t"))
         cand = cand.join(r, "key", "left").where(F.col("ready_t").isNull() | (F.col("t") >= F.col("ready_t"))) \
             .drop("ready_t")
-    kept = materialize(kept_ticks(cand, cooldown_us, scratch), "cooldown-kept", scratch)
+    kept = materialize(kept_ticks(cand, cooldown_us, scratch, small_level_rows), "cooldown-kept", scratch)
     cond = ((F.col(key) == F.col("_k.key")) & (F.col(seq) == F.col("_k.s"))
             & (epoch_micros(ts) == F.col("_k.t")))
     # both tables are written: at most one row per coin-bucket, so the planner

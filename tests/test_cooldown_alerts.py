@@ -44,8 +44,8 @@ def test_state_is_per_coin(spark):
     assert kept_seqs(T.cooldown(ticks_df(spark, rows))) == [1, 2]
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_cooldown_matches_sequential_loop(spark, seed):
+@pytest.mark.parametrize("seed,small_rows", [(1, 2_000_000), (2, 0), (3, 50)])
+def test_cooldown_matches_sequential_loop(spark, seed, small_rows):
     rnd = random.Random(seed)
     rows, seq = [], 0
     for coin in ["a", "b", "c", "d"]:
@@ -57,7 +57,7 @@ def test_cooldown_matches_sequential_loop(spark, seed):
             rows.append(tick(coin, t, change=change, seq=seq))
     rows.append(tick(None, 5, change=1.0, seq=seq + 1))
     rows.append(tick("a", None, change=1.0, seq=seq + 2))
-    assert kept_seqs(T.cooldown(ticks_df(spark, rows))) == sequential_cooldown(rows)
+    assert kept_seqs(T.cooldown(ticks_df(spark, rows), small_level_rows=small_rows)) == sequential_cooldown(rows)
 
 
 def test_cooldown_with_carried_state(spark):
