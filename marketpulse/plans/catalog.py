@@ -433,7 +433,7 @@ def q_poll_average(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streaming
-from marketpulse.schemas import ARTICLE_WIRE, TICK_WIRE_SEQ  # noqa: E402
+from marketpulse.schemas import TICK_WIRE_SEQ  # noqa: E402
 from marketpulse.session import scratch_path  # noqa: E402
 from marketpulse.streaming import jobs as ST  # noqa: E402
 from marketpulse.streaming.sinks import append_batch, read_table  # noqa: E402

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -60,8 +61,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (stream sinks, state)."""
     base = checkpoint_dir(spark)
-    token = next(tempfile._get_candidate_names())  # unique suffix, no folder is created here
-    return f"{base.rstrip('/')}/{name}-{token}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def cluster_settings(input_bytes: int, executor_cores: int, executors: int,

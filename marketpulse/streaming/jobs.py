@@ -23,7 +23,6 @@ from marketpulse.operators.cooldown import DEFAULT_COOLDOWN_SECONDS, Scratch, co
 from marketpulse.operators.sentiment import sentiment_summary
 from marketpulse.streaming.sinks import append_batch, append_summary
 
-STATE_SCHEMA = "id string, ready_at timestamp_ntz"
 
 
 def start(df: DataFrame, batch_fn: Callable[[DataFrame, int], None], checkpoint: str,
