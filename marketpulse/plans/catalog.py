@@ -404,7 +404,7 @@ def q_score_text(spark, sf_dir):
 @register("select_articles", with_(ARTICLE_CTE, TOPIC_CTE) + """,
 toks AS (SELECT doc_id, published_at, regexp_split_to_array(lower(text), '[^\\p{L}]+') AS w FROM art WHERE lang = 'en'),
 m AS (SELECT topic.coin AS topic, doc_id, published_at FROM toks, topic WHERE list_has_all(w, topic.terms))
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY published_at DESC, doc_id) AS rank FROM m)
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY topic ORDER BY published_at DESC, doc_id) AS INTEGER) AS rank FROM m)
 WHERE rank <= 10""")
 def q_select_articles(spark, sf_dir):
     return X.select_articles(_articles(spark, sf_dir), V.topics(spark))
