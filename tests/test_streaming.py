@@ -89,3 +89,24 @@ def test_resample_stream_emits_closed_buckets(spark, tmp_dir):
     last = max(r[6] for r in rows)
     assert out.count() > 0
     assert all((last - r["bucket"]).total_seconds() >= 1800 + 3600 for r in out.collect())
+
+
+def test_history_scan_prunes_dates(spark, tmp_dir):
+    from marketpulse.sources.codec import scan_ticks
+    rows = _tick_rows()
+    hist = f"{tmp_dir}/hist"
+    append_batch(ticks_df(spark, rows), 0, hist, "s0", date_from="timestamp")
+    df = scan_ticks(spark, hist, since="2024-01-01 06:00:00", until="2024-01-01 12:00:00")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    got = sorted(r["seq"] for r in df.select("seq").collect())
+    want = sorted(r[7] for r in rows if r[6] is not None and "2024-01-01 06:00:00" <= str(r[6]) < "2024-01-01 12:00:00")
+    assert got == want and got
+
+
+def test_kafka_options_and_preview(spark, tmp_dir, capsys):
+    opts = C.kafka_options("broker:9092", "ticks", max_offsets_per_trigger=1000)
+    assert opts == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "ticks", "startingOffsets": "latest",
+                    "maxOffsetsPerTrigger": "1000"}
+    append_batch(spark.createDataFrame([(1,)], "x int"), 0, f"{tmp_dir}/p", "s0", preview=True)
+    assert "| x|" in capsys.readouterr().out.replace(" ", "").replace("|x|", "| x|")
