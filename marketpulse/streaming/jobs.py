@@ -65,6 +65,11 @@ class CooldownState:
         except Exception:  # noqa: BLE001 - no state written yet
             return None
 
+    def carry(self, batch_id: int, prev: DataFrame | None) -> None:
+        """Empty batch: the state after it is the state before it."""
+        if prev is not None:
+            prev.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+
     def write(self, batch_id: int, prev: DataFrame | None, kept: DataFrame, seconds: float) -> None:
         new = next_ready(kept, seconds)
         merged = new if prev is None else prev.unionByName(new).groupBy("id").agg(F.max("ready_at").alias("ready_at"))
@@ -80,8 +85,11 @@ def cooldown_batch_fn(state: CooldownState, out_path: str, stream_id: str,
         batch, scratch = batch.persist(), Scratch()
         try:
             prev = state.before(batch_id)
+            if batch.isEmpty():  # K7: nothing to do but carry the state forward
+                state.carry(batch_id, prev)
+                return
             kept = cooldown(batch, seconds, ready=prev, scratch=scratch)
-            append_batch(kept, batch_id, out_path, stream_id)
+            append_batch(kept, batch_id, out_path, stream_id, skip_empty=False)
             if on_kept is not None:
                 on_kept(kept, batch_id)
             state.write(batch_id, prev, kept, seconds)
@@ -113,13 +121,17 @@ def tick_job(ticks: DataFrame, history_path: str, alerts_path: str, dead_letter_
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch, scratch = batch.persist(), Scratch()
         try:
-            good = batch.where(F.col("id").isNotNull())
-            append_batch(batch.where(F.col("id").isNull()), batch_id, dead_letter_path, stream_id)
-            append_batch(good, batch_id, history_path, stream_id, preview=preview, date_from="timestamp")
             prev = state.before(batch_id)
+            if batch.isEmpty():  # K7: nothing to do but carry the state forward
+                state.carry(batch_id, prev)
+                return
+            good = batch.where(F.col("id").isNotNull())
+            append_batch(batch.where(F.col("id").isNull()), batch_id, dead_letter_path, stream_id, skip_empty=False)
+            append_batch(good, batch_id, history_path, stream_id, preview=preview, date_from="timestamp",
+                         skip_empty=False)
             kept = cooldown(good, seconds, ready=prev, scratch=scratch)
             alerts = alert_outbox(match_alerts(kept, subscriptions()))
-            append_batch(alerts, batch_id, alerts_path, stream_id)
+            append_batch(alerts, batch_id, alerts_path, stream_id, skip_empty=False)
             state.write(batch_id, prev, kept, seconds)
         finally:
             scratch.release()
@@ -137,7 +149,7 @@ def sentiment_job(articles: DataFrame, raw_path: str, summary_path: str, checkpo
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            if append_batch(batch, batch_id, raw_path, stream_id) == 0:
+            if append_batch(batch, batch_id, raw_path, stream_id) == 0:  # K7
                 return
             stamp = as_of(batch_id) if as_of is not None else None
             append_summary(sentiment_summary(batch, stamp), batch_id, summary_path, stream_id, preview=preview)

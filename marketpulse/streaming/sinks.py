@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 
 def append_batch(df: DataFrame, batch_id: int, path: str, stream_id: str, preview: bool = False,
-                 fmt: str = "parquet", date_from: str | None = None) -> int:
-    """Write one micro-batch; returns its row count (0 and no
-    write for an empty batch).  ``date_from`` adds a leading ``date``
-    partition derived from that instant column, for time-range pruning."""
-    if df.isEmpty():
+                 fmt: str = "parquet", date_from: str | None = None, skip_empty: bool = True) -> int:
+    """Write one micro-batch; returns its row count, observed
+    during the write.  An empty input writes nothing: with ``skip_empty`` it is
+    detected up front (cheap on a persisted batch); a derived output is
+    written directly (``skip_empty=False``) so it is computed only once, and
+    an empty one simply creates no partition.  ``date_from`` adds a leading
+    ``date`` partition derived from that instant column, for range pruning."""
+    if skip_empty and df.isEmpty():
         return 0
     obs = Observation(f"rows_{stream_id}_{batch_id}")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -35,8 +38,8 @@ def append_batch(df: DataFrame, batch_id: int, path: str, stream_id: str, previe
 
 
 def append_summary(summary: DataFrame, batch_id: int, path: str, stream_id: str, preview: bool = False) -> int:
-    """K3: write a batch's per-coin summary rows."""
-    return append_batch(summary, batch_id, path, stream_id, preview)
+    """K3: write a batch's per-coin summary rows (derived: written directly)."""
+    return append_batch(summary, batch_id, path, stream_id, preview, skip_empty=False)
 
 
 def read_table(spark, path: str, keep_batch_columns: bool = False) -> DataFrame:
