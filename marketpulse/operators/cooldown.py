@@ -157,8 +157,8 @@ def kept_ticks(cand: DataFrame, cooldown_us: int, scratch: Scratch | None = None
     first = F.min(F.struct("t", "s")).alias("f")
     wb = Window.partitionBy("key").orderBy("k")
     buckets = materialize(
-        cand.groupBy("key", "k").agg(first).select(
-            "key", "k", "f", (F.row_number().over(wb) - 1).alias("r"),
+        cand.groupBy("key", "k").agg(first, F.count(F.lit(1)).alias("n")).select(
+            "key", "k", "f", "n", (F.row_number().over(wb) - 1).alias("r"),
             F.lead("k").over(wb).alias("k_next"), F.lead("f").over(wb).alias("f_next")),
         "cooldown-buckets", scratch)
 
@@ -181,9 +181,9 @@ def kept_ticks(cand: DataFrame, cooldown_us: int, scratch: Scratch | None = None
     levels = [level]
 
     # 3a. up-sweep: F_{l+1}(J) = F_l(2J+1) . F_l(2J).  Each level halves.
-    max_rank = buckets.agg(F.max("r")).first()[0]
-    depth = int(max_rank or 0).bit_length()
-    rows = level.count()
+    stats = buckets.agg(F.max("r").alias("r"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("b")).first()
+    depth = int(stats["r"] or 0).bit_length()
+    rows = int(stats["n"] or 0) + int(stats["b"] or 0)  # level-0 rows: one per tick plus one per bucket
     for lvl in range(depth):
         f = levels[-1]
         if (rows >> lvl) > small_level_rows:
