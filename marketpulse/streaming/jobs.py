@@ -25,8 +25,12 @@ from marketpulse.streaming.sinks import append_batch, append_summary
 
 
 
+TICK_TRIGGER = "30 seconds"       # T2: tick micro-batches
+SENTIMENT_TRIGGER = "60 seconds"  # T2: article micro-batches
+
+
 def start(df: DataFrame, batch_fn: Callable[[DataFrame, int], None], checkpoint: str,
-          trigger: str | None = "30 seconds", available_now: bool = False, name: str | None = None) -> StreamingQuery:
+          trigger: str | None = TICK_TRIGGER, available_now: bool = False, name: str | None = None) -> StreamingQuery:
     """Run ``batch_fn`` per micro-batch with a processing-time trigger
     (or ``availableNow`` for backfills and tests), recoverable from ``checkpoint``."""
     w = df.writeStream.foreachBatch(batch_fn).option("checkpointLocation", checkpoint)
@@ -145,6 +149,7 @@ def sentiment_job(articles: DataFrame, raw_path: str, summary_path: str, checkpo
     """Decoded article stream -> raw history (K2) and one per-coin summary
     per batch stamped with a single batch instant (A1, T4, K3)."""
     stream_id = stream_id or stream_id_for(checkpoint)
+    trigger.setdefault("trigger", SENTIMENT_TRIGGER)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
