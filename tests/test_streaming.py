@@ -110,3 +110,24 @@ def test_kafka_options_and_preview(spark, tmp_dir, capsys):
                     "maxOffsetsPerTrigger": "1000"}
     append_batch(spark.createDataFrame([(1,)], "x int"), 0, f"{tmp_dir}/p", "s0", preview=True)
     assert "| x|" in capsys.readouterr().out.replace(" ", "").replace("|x|", "| x|")
+
+
+def test_tick_job_over_three_batches_equals_batch(spark, tmp_dir):
+    from marketpulse.operators import alerts as J
+    from marketpulse.schemas import SUBSCRIPTION
+    from tests.helpers import at
+    rows = _tick_rows()
+    subs = spark.createDataFrame([("x@e", "a", 1.5, "drop", at(0)), ("y@e", "a", None, "rise", at(0)),
+                                  ("z@e", "b", 3.0, "rise", at(0))], SUBSCRIPTION)
+    expected = sorted((r["email"], r["coin"], str(r["timestamp"]))
+                      for r in J.match_alerts(T.cooldown(ticks_df(spark, rows)), subs).collect())
+    src = f"{tmp_dir}/src"
+    os.makedirs(src)
+    _write_message_files(spark, rows, src)
+    q = ST.tick_job(_stream(spark, src), f"{tmp_dir}/h", f"{tmp_dir}/a", f"{tmp_dir}/d", f"{tmp_dir}/s",
+                    lambda: subs, f"{tmp_dir}/c", available_now=True)
+    ST.run_to_end(q)
+    got = sorted((r["email"], r["coin"], str(r["timestamp"])) for r in read_table(spark, f"{tmp_dir}/a").collect())
+    assert got == expected and got
+    assert read_table(spark, f"{tmp_dir}/h").count() == len(rows)
+    assert len({r["batch_id"] for r in read_table(spark, f"{tmp_dir}/h", keep_batch_columns=True).collect()}) == 3
