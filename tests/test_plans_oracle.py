@@ -58,3 +58,29 @@ def test_filter_reaches_scan(spark):
 def test_columns_pruned_at_scan(spark):
     plan = E.queries()["freshness"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<ts:timestamp_ntz>" in plan
+
+
+def _plan(spark, name):
+    return E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_alert_join_broadcasts_cooled_ticks(spark):
+    plan = _plan(spark, "match_alerts")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_token_stream_is_not_shuffled(spark):
+    for name in ("score_text", "select_articles"):
+        plan = _plan(spark, name)
+        assert "BroadcastHashJoin" in plan
+        assert "hashpartitioning(_tok" not in plan
+
+
+def test_top_k_is_limited_before_the_shuffle(spark):
+    assert "WindowGroupLimit" in _plan(spark, "select_articles")
+
+
+def test_resample_combines_before_the_window(spark):
+    plan = _plan(spark, "resample_ffill")
+    # partial aggregate on (coin, bucket) first; the window shuffle sees only occupied buckets
+    assert plan.index("hashpartitioning(id") < plan.rindex("partial_max_by")
