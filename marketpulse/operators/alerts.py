@@ -28,9 +28,14 @@ def match_alerts(cooled: DataFrame, subs: DataFrame, key: str = "id", change: st
         s["email"], t["coin"], t["direction"], t["change"], t["price"], s["threshold"], t["timestamp"])
 
 
+def render_alert(alerts: DataFrame) -> DataFrame:
+    """Add the subject and body text of each alert."""
+    return alerts.withColumns({
+        "subject": alert_subject("coin", "direction", "change"),
+        "body": alert_body("coin", "direction", "change", "price", "threshold"),
+    })
+
+
 def alert_outbox(alerts: DataFrame) -> DataFrame:
     """K6: one notification row per alert, with rendered subject and body."""
-    return alerts.select(
-        "email", "coin", "direction", "change", "price", "threshold", "timestamp",
-        alert_subject("coin", "direction", "change").alias("subject"),
-        alert_body("coin", "direction", "change", "price", "threshold").alias("body"))
+    return render_alert(alerts.select("email", "coin", "direction", "change", "price", "threshold", "timestamp"))

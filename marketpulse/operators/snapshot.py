@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketpulse.functions.labels import change_label, display_name, trend, volume_label
+from marketpulse.functions.labels import change_label, display_name, price_label, trend, volume_label
 from marketpulse.operators.joins import broadcast_if_small
 from marketpulse.schemas import TICK_VALUE_COLUMNS
 
@@ -94,3 +94,18 @@ def change_board(df: DataFrame, key: str = "id", ts: str = "timestamp", seq: str
 def for_coin(df: DataFrame, coin: str, key: str = "id") -> DataFrame:
     """One coin's rows (an equality filter, pushed down to the scan)."""
     return df.where(F.col(key) == F.lit(coin))
+
+
+def labels(df: DataFrame, price: str = "current_price", change: str = "price_change_pct_24h",
+           volume: str = "total_volume", key: str = "id") -> DataFrame:
+    """P10 + P11: display labels for whichever of the columns are present."""
+    cols = {}
+    if key in df.columns:
+        cols["name"] = display_name(key)
+    if price in df.columns:
+        cols["price_label"] = price_label(price)
+    if change in df.columns:
+        cols["change_label"] = change_label(change)
+    if volume in df.columns:
+        cols["volume_label"] = volume_label(volume)
+    return df.withColumns(cols)

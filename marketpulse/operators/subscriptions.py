@@ -122,3 +122,8 @@ def subs_for_email(subs: DataFrame, email: str) -> DataFrame:
                                     "email")
     return subs.where(F.col("email") == email).select(
         "coin", "threshold", "direction", describe_subscription("direction", "threshold").alias("label"), "email")
+
+
+def valid_command(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """P6 by its inventory name: (valid rows, rejected rows with a reason)."""
+    return split_valid(df)

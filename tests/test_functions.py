@@ -56,3 +56,19 @@ def test_cluster_settings_scale_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) >= 100 * 10**12 // (256 << 20)
     small = cluster_settings(10**9, 4, 2)
     assert int(small["spark.sql.shuffle.partitions"]) == 24
+
+
+def test_label_and_render_frames(spark):
+    from marketpulse.operators.alerts import render_alert
+    from marketpulse.operators.snapshot import labels
+    from marketpulse.operators.subscriptions import valid_command
+    df = spark.createDataFrame([("bitcoin", 1234.5, -0.125, 2_500_000_000)],
+                               "id string, current_price double, price_change_pct_24h double, total_volume long")
+    r = labels(df).first()
+    assert (r["name"], r["price_label"], r["change_label"], r["volume_label"]) == (
+        "Bitcoin", "$1,234.5000", "-0.12%", "$2.50B")
+    a = spark.createDataFrame([("e@x", "bitcoin", "rise", 5.0, 10.0, 2.0)],
+                              "email string, coin string, direction string, change double, price double, threshold double")
+    assert render_alert(a).first()["subject"] == "Price alert: Bitcoin surged 5.00%"
+    ok, bad = valid_command(spark.createDataFrame([("e@x", 1.0), ("ex", 1.0)], "email string, threshold double"))
+    assert ok.count() == 1 and bad.count() == 1
