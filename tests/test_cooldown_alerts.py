@@ -114,3 +114,13 @@ def test_first_at_or_after_matches_brute_force(spark, chunks):
     for key, k, p in probes:
         cands = [(t, s) for kk, kb, t, s in targets if kk == key and kb == k and t >= p]
         assert got[(key, p)] == (min(cands) if cands else None)
+
+
+def test_tick_without_subscribers_still_consumes_cooldown(spark):
+    # coin "a" first moves with nobody subscribed; the second tick 10 minutes
+    # later would hit the threshold but is inside the cooldown
+    ticks = ticks_df(spark, [tick("a", 0, price=1.0, change=9.0, seq=1), tick("a", 600, price=1.0, change=9.0, seq=2)])
+    subs = _subs(spark, [("x@e", "b", 1.0, "rise")])
+    assert J.match_alerts(T.cooldown(ticks), subs).count() == 0
+    subs_a = _subs(spark, [("x@e", "a", 1.0, "rise")])
+    assert rows_of(J.match_alerts(T.cooldown(ticks), subs_a), "timestamp") == [(at(0),)]
