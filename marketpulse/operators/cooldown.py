@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketpulse.functions.time import epoch_micros
+from marketpulse.operators.joins import broadcast_if_small
 from marketpulse.session import checkpoint_dir
 
 DEFAULT_COOLDOWN_SECONDS = 3600
@@ -223,7 +224,7 @@ def cooldown(df: DataFrame, seconds: float = DEFAULT_COOLDOWN_SECONDS, key: str
     cooldown_us = int(round(seconds * 1_000_000))
     cand = candidates(df, key, ts, seq, change)
     if ready is not None:
-        r = ready.select(F.col(key).alias("key"), epoch_micros("ready_at").alias("ready_t"))
+        r = broadcast_if_small(ready.select(F.col(key).alias("key"), epoch_micros("ready_at").alias("ready_t")))
         cand = cand.join(r, "key", "left").where(F.col("ready_t").isNull() | (F.col("t") >= F.col("ready_t"))) \
             .drop("ready_t")
     kept = materialize(kept_ticks(cand, cooldown_us, scratch, small_level_rows), "cooldown-kept", scratch)
