@@ -12,12 +12,11 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from marketpulse.session import local_session  # noqa: E402
+from marketpulse.session import checkpoint_dir, local_session  # noqa: E402
 from marketpulse.plans import catalog  # noqa: E402
 
 HEADLINE = ["resample_ffill", "latest_by_coin", "cooldown", "match_alerts", "sentiment_summary", "score_text",
@@ -39,8 +38,7 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(int(cpus), 1) * 2))),
                           app="marketpulse-bench")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="mp-bench-ckpt-"))
+    checkpoint_dir(spark)  # the configured spark.checkpoint.dir, or a scratch folder when it is unset
     results = {}
     for name in names:
         run(spark, name, sf_dir)  # warm-up: JIT, file listing, Python worker start
