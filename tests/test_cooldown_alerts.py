@@ -124,3 +124,19 @@ def test_tick_without_subscribers_still_consumes_cooldown(spark):
     assert J.match_alerts(T.cooldown(ticks), subs).count() == 0
     subs_a = _subs(spark, [("x@e", "a", 1.0, "rise")])
     assert rows_of(J.match_alerts(T.cooldown(ticks), subs_a), "timestamp") == [(at(0),)]
+
+
+def test_cooldown_with_a_hot_bucket_and_equal_instants(spark):
+    rnd = random.Random(5)
+    rows, seq = [], 0
+    for _ in range(3000):                      # one coin-hour holding most rows, many at one instant
+        seq += 1
+        rows.append(tick("hot", 7200 + rnd.choice([0, 0, 0, 1, 2, 1800, 3599]), change=1.0, seq=seq))
+    for i in range(200):                       # the same coin before and after, and another coin
+        seq += 1
+        rows.append(tick("hot", rnd.randint(0, 20_000), change=rnd.choice([1.0, -1.0, 0.0]), seq=seq))
+        seq += 1
+        rows.append(tick("cold", rnd.randint(0, 20_000), change=1.0, seq=seq))
+    df = ticks_df(spark, rows)
+    assert kept_seqs(T.cooldown(df)) == sequential_cooldown(rows)
+    assert kept_seqs(T.cooldown(df, small_level_rows=0)) == sequential_cooldown(rows)
