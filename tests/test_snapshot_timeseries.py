@@ -109,3 +109,23 @@ def test_tick_guard_counts_rows_with_null_time(spark):
                           tick("b", 0, price=1.0, seq=3)])
     got = rows_of(W.sparklines(df), "id", "bucket", "current_price")
     assert got == [("a", at(0), 2.0)]
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_latest_matches_pandas_groupby_last(spark, seed):
+    rnd = random.Random(seed)
+    rows = []
+    for seq in range(300):
+        secs = None if rnd.random() < 0.05 else rnd.randint(0, 10_000) * 7 + seq % 7  # distinct non-null times
+        rows.append(tick(rnd.choice(["a", "b", "c", None]), secs,
+                         price=None if rnd.random() < 0.3 else float(rnd.randint(1, 99)),
+                         change=None if rnd.random() < 0.3 else float(rnd.randint(-5, 5)), seq=seq))
+    got = {r["id"]: (r["current_price"], r["price_change_pct_24h"], r["timestamp"])
+           for r in S.latest_by_coin(ticks_df(spark, rows)).collect()}
+    pdf = pd.DataFrame([(r[0], r[2], r[3], r[6], r[7]) for r in rows],
+                       columns=["id", "current_price", "price_change_pct_24h", "timestamp", "seq"])
+    last = pdf.sort_values(["timestamp", "seq"], na_position="last").groupby("id").last()
+    want = {i: (None if pd.isna(r["current_price"]) else r["current_price"],
+                None if pd.isna(r["price_change_pct_24h"]) else r["price_change_pct_24h"],
+                r["timestamp"].to_pydatetime()) for i, r in last.iterrows()}
+    assert got == want
