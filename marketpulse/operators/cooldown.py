@@ -15,9 +15,10 @@ module computes the same set with joins and windows only:
     from ``⊥`` (or across an empty bucket) it is the bucket's first tick;
     from tick ``s`` in the adjacent bucket it is the first tick at or after
     ``s + C`` in this bucket, or ``⊥``.  The probe ``s + C`` always lands in
-    the adjacent bucket; the lookup (``first_at_or_after``) works on distinct
-    instants inside sub-bucket chunks, so even a bucket holding a third of
-    all rows is spread over many tasks.
+    the adjacent bucket.  When a bucket is large (measured), the lookup
+    (``first_at_or_after``) works on distinct instants inside sub-bucket
+    chunks, so even a bucket holding a third of all rows is spread over many
+    tasks; otherwise it is one running-minimum window per (coin, bucket).
 3.  Functions are composed pairwise in a tree over bucket ranks (a level is
     half the size of the one below, so the total work is linear), then the
     entering state of every bucket is pushed down the tree with one key join
@@ -49,6 +50,10 @@ BOT = -(1 << 63)  # encodes the state "nothing kept" (⊥)
 # memory; larger ones by a skew-splittable join and written to the checkpoint
 # folder
 SMALL_LEVEL_ROWS = 2_000_000
+# when no (coin, bucket) holds more rows than this (measured), the as-of
+# lookup is one window per bucket; otherwise it runs on distinct instants in
+# sub-bucket chunks
+SMALL_BUCKET_ROWS = 1_000_000
 
 
 class Scratch:
@@ -115,6 +120,19 @@ def first_at_or_after(targets: DataFrame, probes: DataFrame, cooldown_us: int, c
         "key", "k", F.col("time").alias("p"), F.coalesce("y", "later").alias("y"))
 
 
+def _probe_in_bucket(cand: DataFrame, probes: DataFrame) -> DataFrame:
+    """The same lookup when every bucket is small (measured): probes carry
+    their payload through one running-minimum window per (coin, bucket)."""
+    tgt = cand.select("key", "k", F.col("t").alias("time"), F.lit(0).alias("kind"), F.struct("t", "s").alias("tgt"),
+                      F.lit(None).cast("long").alias("j"), F.lit(None).cast("long").alias("x_t"),
+                      F.lit(None).cast("long").alias("x_s"))
+    prb = probes.select("key", "k", F.col("p").alias("time"), F.lit(1).alias("kind"),
+                        F.lit(None).cast("struct<t:long,s:long>").alias("tgt"), "j", "x_t", "x_s")
+    w = (Window.partitionBy("key", "k").orderBy(F.col("time").desc(), F.col("kind").asc())
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return tgt.unionByName(prb).withColumn("y", F.min("tgt").over(w)).where(F.col("kind") == 1)
+
+
 def _compose_by_join(f: DataFrame) -> DataFrame:
     """One tree level for large tables: an equi-join of the left block's output
     state with the right block's input state.  The right side has one row per
@@ -149,7 +167,7 @@ def _compose_by_window(f: DataFrame) -> DataFrame:
 
 
 def kept_ticks(cand: DataFrame, cooldown_us: int, scratch: Scratch | None = None,
-               small_level_rows: int = SMALL_LEVEL_ROWS) -> DataFrame:
+               small_level_rows: int = SMALL_LEVEL_ROWS, small_bucket_rows: int = SMALL_BUCKET_ROWS) -> DataFrame:
     """(key, t, s) of the kept ticks among candidate rows (key, t, s)."""
     C = F.lit(cooldown_us)
     cand = cand.withColumn("k", F.floor(F.col("t") / C).cast("long"))
@@ -175,14 +193,19 @@ def kept_ticks(cand: DataFrame, cooldown_us: int, scratch: Scratch | None = None
     probes = ticks.where(F.col("k_next") == F.col("k") + 1).select(
         "key", F.col("k_next").alias("k"), (F.col("t") + C).alias("p"),
         (F.col("r") + 1).alias("j"), F.col("t").alias("x_t"), F.col("s").alias("x_s"))
-    ans = first_at_or_after(cand.select("key", "k", "t", "s"), probes.select("key", "k", "p"), cooldown_us)
-    f_probe = probes.join(ans, ["key", "k", "p"]).select(
-        "key", "j", "x_t", "x_s", F.coalesce(F.col("y.t"), bot).alias("y_t"), F.coalesce(F.col("y.s"), bot).alias("y_s"))
+    stats = buckets.agg(F.max("r").alias("r"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("b"),
+                        F.max("n").alias("max_n")).first()
+    if (stats["max_n"] or 0) > small_bucket_rows:
+        ans = first_at_or_after(cand.select("key", "k", "t", "s"), probes.select("key", "k", "p"), cooldown_us)
+        hit = probes.join(ans, ["key", "k", "p"])
+    else:
+        hit = _probe_in_bucket(cand, probes)
+    f_probe = hit.select("key", "j", "x_t", "x_s", F.coalesce(F.col("y.t"), bot).alias("y_t"),
+                         F.coalesce(F.col("y.s"), bot).alias("y_s"))
     level = materialize(f_bot.unionByName(f_gap).unionByName(f_probe), "cooldown-f0", scratch)
     levels = [level]
 
     # 3a. up-sweep: F_{l+1}(J) = F_l(2J+1) . F_l(2J).  Each level halves.
-    stats = buckets.agg(F.max("r").alias("r"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("b")).first()
     depth = int(stats["r"] or 0).bit_length()
     rows = int(stats["n"] or 0) + int(stats["b"] or 0)  # level-0 rows: one per tick plus one per bucket
     for lvl in range(depth):
@@ -213,7 +236,8 @@ def kept_ticks(cand: DataFrame, cooldown_us: int, scratch: Scratch | None = None
 
 def cooldown(df: DataFrame, seconds: float = DEFAULT_COOLDOWN_SECONDS, key: str = "id", ts: str = "timestamp",
              seq: str = "seq", change: str = "price_change_pct_24h", ready: DataFrame | None = None,
-             scratch: Scratch | None = None, small_level_rows: int = SMALL_LEVEL_ROWS) -> DataFrame:
+             scratch: Scratch | None = None, small_level_rows: int = SMALL_LEVEL_ROWS,
+             small_bucket_rows: int = SMALL_BUCKET_ROWS) -> DataFrame:
     """Ticks of ``df`` that pass the per-coin cooldown (event time), as a
     table written to the shared checkpoint folder.
 
@@ -227,7 +251,8 @@ def cooldown(df: DataFrame, seconds: float = DEFAULT_COOLDOWN_SECONDS, key: str
         r = broadcast_if_small(ready.select(F.col(key).alias("key"), epoch_micros("ready_at").alias("ready_t")))
         cand = cand.join(r, "key", "left").where(F.col("ready_t").isNull() | (F.col("t") >= F.col("ready_t"))) \
             .drop("ready_t")
-    kept = materialize(kept_ticks(cand, cooldown_us, scratch, small_level_rows), "cooldown-kept", scratch)
+    kept = materialize(kept_ticks(cand, cooldown_us, scratch, small_level_rows, small_bucket_rows), "cooldown-kept",
+                       scratch)
     cond = ((F.col(key) == F.col("_k.key")) & (F.col(seq) == F.col("_k.s"))
             & (epoch_micros(ts) == F.col("_k.t")))
     # both tables are written: at most one row per coin-bucket, so the planner

@@ -57,7 +57,9 @@ def test_cooldown_matches_sequential_loop(spark, seed, small_rows):
             rows.append(tick(coin, t, change=change, seq=seq))
     rows.append(tick(None, 5, change=1.0, seq=seq + 1))
     rows.append(tick("a", None, change=1.0, seq=seq + 2))
-    assert kept_seqs(T.cooldown(ticks_df(spark, rows), small_level_rows=small_rows)) == sequential_cooldown(rows)
+    want = sequential_cooldown(rows)
+    assert kept_seqs(T.cooldown(ticks_df(spark, rows), small_level_rows=small_rows)) == want
+    assert kept_seqs(T.cooldown(ticks_df(spark, rows), small_level_rows=small_rows, small_bucket_rows=0)) == want
 
 
 def test_cooldown_with_carried_state(spark):
@@ -139,4 +141,4 @@ def test_cooldown_with_a_hot_bucket_and_equal_instants(spark):
         rows.append(tick("cold", rnd.randint(0, 20_000), change=1.0, seq=seq))
     df = ticks_df(spark, rows)
     assert kept_seqs(T.cooldown(df)) == sequential_cooldown(rows)
-    assert kept_seqs(T.cooldown(df, small_level_rows=0)) == sequential_cooldown(rows)
+    assert kept_seqs(T.cooldown(df, small_level_rows=0, small_bucket_rows=0)) == sequential_cooldown(rows)
