@@ -11,10 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketpulse.functions import labels as P
+from marketpulse.operators import alerts as J
+from marketpulse.operators import cooldown as T
+from marketpulse.operators import sentiment as X
 from marketpulse.operators import snapshot as S
+from marketpulse.operators import subscriptions as K
 from marketpulse.operators import timeseries as W
 from marketpulse.plans import views as V
-from marketpulse.plans.oracle import TICK_CTE, with_
+from marketpulse.plans.oracle import ARTICLE_CTE, COMMANDS_CTE, LEXICON_CTE, SUBS_CTE, TICK_CTE, TOPIC_CTE, with_
+from marketpulse.schemas import TICK_WIRE_SEQ
+from marketpulse.session import scratch_path
+from marketpulse.sources import codec as C
+from marketpulse.sources import payloads as PL
+from marketpulse.streaming import jobs as ST
+from marketpulse.streaming.sinks import append_batch, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -197,7 +208,6 @@ def q_period_stats(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- cooldown and alerts
-from marketpulse.operators import cooldown as T  # noqa: E402
 
 COOLED_CTE = """nz AS (
   SELECT id, "timestamp", seq, row_number() OVER (PARTITION BY id ORDER BY "timestamp", seq) AS rn
@@ -218,10 +228,6 @@ def q_cooldown(spark, sf_dir):
     return T.cooldown(V.ticks(spark, sf_dir))
 
 
-from marketpulse.functions import labels as P  # noqa: E402
-from marketpulse.operators import alerts as J  # noqa: E402
-from marketpulse.operators import subscriptions as K  # noqa: E402
-from marketpulse.plans.oracle import COMMANDS_CTE, SUBS_CTE  # noqa: E402
 
 DIRECTION_SQL = "CASE WHEN {c} < 0 THEN 'drop' WHEN {c} > 0 THEN 'rise' END"
 TREND_SQL = "CASE WHEN {c} >= 0 THEN 'up' ELSE 'down' END"
@@ -342,10 +348,6 @@ def q_subs_for(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- sources and sentiment
-from marketpulse.operators import sentiment as X  # noqa: E402
-from marketpulse.plans.oracle import ARTICLE_CTE, LEXICON_CTE, TOPIC_CTE  # noqa: E402
-from marketpulse.sources import codec as C  # noqa: E402
-from marketpulse.sources import payloads as PL  # noqa: E402
 
 BAD_MESSAGE_EVERY = 19
 MARKET_UNIVERSE = ["click", "purchase", "signup", "view"]
@@ -433,10 +435,6 @@ def q_poll_average(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streaming
-from marketpulse.schemas import TICK_WIRE_SEQ  # noqa: E402
-from marketpulse.session import scratch_path  # noqa: E402
-from marketpulse.streaming import jobs as ST  # noqa: E402
-from marketpulse.streaming.sinks import append_batch, read_table  # noqa: E402
 
 RESAMPLE_DELAY = "1 hour"
 
