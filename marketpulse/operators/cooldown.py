@@ -54,6 +54,9 @@ SMALL_LEVEL_ROWS = 2_000_000
 # lookup is one window per bucket; otherwise it runs on distinct instants in
 # sub-bucket chunks
 SMALL_BUCKET_ROWS = 1_000_000
+# the down-sweep's entering-state table (at most one row per occupied bucket)
+# is broadcast when the measured number of occupied buckets is within this
+BROADCAST_STATES = 1_000_000
 
 
 class Scratch:
@@ -218,19 +221,25 @@ def kept_ticks(cand: DataFrame, cooldown_us: int, scratch: Scratch | None = None
                 scratch.frames.append(up)
         levels.append(up)
 
-    # 3b. down-sweep: entering state of every block, top to bottom
+    # 3b. down-sweep: entering state of every block, top to bottom.  The
+    # entering-state table never has more rows than there are occupied
+    # buckets (measured above), so below that bound it is broadcast and the
+    # level tables are scanned in place instead of shuffled.
+    small_enter = int(stats["b"] or 0) <= BROADCAST_STATES
+    hint = F.broadcast if small_enter else (lambda d: d)
     enter = buckets.where(F.col("r") == 0).select("key", F.lit(0).cast("long").alias("j"),
                                                   bot.alias("e_t"), bot.alias("e_s"))
     for lvl in range(depth - 1, -1, -1):
         f = levels[lvl].select("key", "j", F.col("x_t").alias("e_t"), F.col("x_s").alias("e_s"), "y_t", "y_s")
-        joined = enter.select("key", (F.col("j") * 2).alias("j"), "e_t", "e_s").join(f, ["key", "j", "e_t", "e_s"])
+        joined = f.join(hint(enter.select("key", (F.col("j") * 2).alias("j"), "e_t", "e_s")),
+                        ["key", "j", "e_t", "e_s"])
         children = F.array(
             F.struct(F.col("j").alias("j"), F.col("e_t").alias("e_t"), F.col("e_s").alias("e_s")),
             F.struct((F.col("j") + 1).alias("j"), F.col("y_t").alias("e_t"), F.col("y_s").alias("e_s")))
         enter = joined.select("key", F.inline(children))
 
     f0 = levels[0].select("key", "j", F.col("x_t").alias("e_t"), F.col("x_s").alias("e_s"), "y_t", "y_s")
-    kept = enter.join(f0, ["key", "j", "e_t", "e_s"]).where(F.col("y_t") != bot)
+    kept = f0.join(hint(enter), ["key", "j", "e_t", "e_s"]).where(F.col("y_t") != bot)
     return kept.select("key", F.col("y_t").alias("t"), F.col("y_s").alias("s"))
 
 
