@@ -65,7 +65,7 @@ def display_name(name) -> Column:
 
 def _plain_fixed(x, digits: int) -> Column:
     """Fixed-point text with HALF_EVEN rounding and no grouping."""
-    return F.regexp_replace(F.format_number(_c(x), digits), ",", "")
+    return F.replace(F.format_number(_c(x), digits), F.lit(","), F.lit(""))
 
 
 def price_label(price) -> Column:
