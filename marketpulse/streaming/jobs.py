@@ -56,7 +56,8 @@ def run_to_end(query: StreamingQuery) -> None:
 
 class CooldownState:
     """Per-coin ``ready_at`` carried between micro-batches, one small Parquet
-    partition per batch id (cumulative, so batch ``n`` reads only ``n-1``)."""
+    partition per batch id (cumulative, so batch ``n`` reads only ``n-1``),
+    under the stream id of the checkpoint: a new checkpoint starts fresh."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -108,8 +109,8 @@ def cooldown_stream(ticks: DataFrame, out_path: str, state_path: str, checkpoint
     """T1 on a stream: kept ticks appended to ``out_path`` per batch.  Equals
     the batch form when batches arrive in time order; a tick older than its
     coin's last kept tick is skipped."""
-    state = CooldownState(ticks.sparkSession, state_path)
     sid = stream_id or stream_id_for(checkpoint)
+    state = CooldownState(ticks.sparkSession, f"{state_path}/stream_id={sid}")
     return start(ticks, cooldown_batch_fn(state, out_path, sid, seconds), checkpoint, **trigger)
 
 
@@ -119,8 +120,8 @@ def tick_job(ticks: DataFrame, history_path: str, alerts_path: str, dead_letter_
     """Decoded tick stream -> history (K1), dead letters for rows without an
     id, cooldown (T1) with carried state, alert match (J1) against the
     subscription table as it is at this batch, alert outbox (K6)."""
-    state = CooldownState(ticks.sparkSession, state_path)
     stream_id = stream_id or stream_id_for(checkpoint)
+    state = CooldownState(ticks.sparkSession, f"{state_path}/stream_id={stream_id}")
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch, scratch = batch.persist(), Scratch()
