@@ -142,3 +142,12 @@ def test_cooldown_with_a_hot_bucket_and_equal_instants(spark):
     df = ticks_df(spark, rows)
     assert kept_seqs(T.cooldown(df)) == sequential_cooldown(rows)
     assert kept_seqs(T.cooldown(df, small_level_rows=0, small_bucket_rows=0)) == sequential_cooldown(rows)
+
+
+def test_cooldown_on_empty_and_all_zero_input(spark):
+    empty = ticks_df(spark, [])
+    assert T.cooldown(empty).count() == 0
+    zeros = ticks_df(spark, [tick("a", i * 10, change=0.0, seq=i) for i in range(5)])
+    assert T.cooldown(zeros).count() == 0
+    from marketpulse.operators import timeseries as W
+    assert W.resample_ffill(empty).count() == 0 and W.period_stats(empty).count() == 0
