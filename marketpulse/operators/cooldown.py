@@ -250,6 +250,10 @@ def cooldown(df: DataFrame, seconds: float = DEFAULT_COOLDOWN_SECONDS, key: str
     """Ticks of ``df`` that pass the per-coin cooldown (event time), as a
     table written to the shared checkpoint folder.
 
+    ``seq`` is the ingest sequence (e.g. a topic offset) and is unique per
+    coin, so it breaks ties between equal instants; a redelivered message has
+    its own sequence number and is skipped like any tick inside the cooldown.
+
     ``ready`` optionally carries state from earlier input: rows ``(key,
     ready_at)`` with the earliest instant (naive UTC) at which the coin may keep
     a tick again; older ticks of that coin are skipped.  This is how the
