@@ -23,8 +23,6 @@ from marketpulse.operators.cooldown import DEFAULT_COOLDOWN_SECONDS, Scratch, co
 from marketpulse.operators.sentiment import sentiment_summary
 from marketpulse.streaming.sinks import append_batch, append_summary
 
-
-
 TICK_TRIGGER = "30 seconds"       # T2: tick micro-batches
 SENTIMENT_TRIGGER = "60 seconds"  # T2: article micro-batches
 
