@@ -11,6 +11,8 @@ how many ticks arrived.  No join.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,18 +21,21 @@ from marketpulse.functions.time import epoch_micros, from_epoch_micros
 from marketpulse.operators.snapshot import for_coin, latest_by_coin, tick_counts
 
 DEFAULT_WIDTH = "30 minutes"
-_UNITS = {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600,
-          "day": 86400, "days": 86400}
+_UNITS = {"second": 1, "seconds": 1, "s": 1, "minute": 60, "minutes": 60, "min": 60, "t": 60,
+          "hour": 3600, "hours": 3600, "h": 3600, "day": 86400, "days": 86400, "d": 86400}
 
 
 def width_seconds(width: str | int) -> int:
-    """Bucket width in seconds.  Buckets anchor at the epoch, which equals the
-    midnight anchoring of the series' first day only for widths dividing 24 h."""
+    """Bucket width in seconds, from seconds, ``"30 minutes"`` or a pandas-style
+    ``"30min"``.  Buckets anchor at the epoch, which equals the midnight
+    anchoring of the series' first day only for widths dividing 24 h."""
     if isinstance(width, int):
         secs = width
     else:
-        n, unit = width.split()
-        secs = int(n) * _UNITS[unit.lower()]
+        m = re.fullmatch(r"\s*(\d+)\s*([A-Za-z]+)\s*", width)
+        if not m or m.group(2).lower() not in _UNITS:
+            raise ValueError(f"unknown bucket width {width!r}")
+        secs = int(m.group(1)) * _UNITS[m.group(2).lower()]
     if secs <= 0 or 86400 % secs:
         raise ValueError(f"bucket width must divide 24 hours, got {width!r}")
     return secs

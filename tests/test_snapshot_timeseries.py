@@ -129,3 +129,10 @@ def test_latest_matches_pandas_groupby_last(spark, seed):
                 None if pd.isna(r["price_change_pct_24h"]) else r["price_change_pct_24h"],
                 r["timestamp"].to_pydatetime()) for i, r in last.iterrows()}
     assert got == want
+
+
+def test_width_forms():
+    assert W.width_seconds("30 minutes") == W.width_seconds("30min") == W.width_seconds(1800) == 1800
+    assert W.width_seconds("1h") == W.width_seconds("1 hour") == 3600
+    with pytest.raises(ValueError):
+        W.width_seconds("30 fortnights")
