@@ -81,3 +81,9 @@ def test_summary_and_poll_average(spark):
     coins = spark.createDataFrame([("a",), ("b",), ("c",)], "coin string")
     assert rows_of(X.poll_average(scored, coins), "coin", "avg_sentiment", "article_count") == [
         ("a", 0.5, 2), ("b", -1.0, 1), ("c", 0.0, 0)]
+
+
+def test_restrict_by_table_is_a_semi_join(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "id string, v int")
+    universe = spark.createDataFrame([("a",), ("c",), ("c",)], "coin string")
+    assert rows_of(PL.restrict(df, universe), "id") == [("a",), ("c",)]

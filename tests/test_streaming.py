@@ -131,3 +131,36 @@ def test_tick_job_over_three_batches_equals_batch(spark, tmp_dir):
     assert got == expected and got
     assert read_table(spark, f"{tmp_dir}/h").count() == len(rows)
     assert len({r["batch_id"] for r in read_table(spark, f"{tmp_dir}/h", keep_batch_columns=True).collect()}) == 3
+
+
+def test_sentiment_job_one_summary_per_batch(spark, tmp_dir):
+    import json
+    src = f"{tmp_dir}/src"
+    os.makedirs(src)
+    batches = [[("btc", 0.5), ("btc", None), ("eth", -1.0)], [("btc", 1.0)]]
+    for b, arts in enumerate(batches):
+        path = f"{src}/part-{b}.json"
+        with open(path, "w") as fh:
+            for coin, score in arts:
+                fh.write(json.dumps({"coin": coin, "title": "t", "sentiment_score": score,
+                                     "timestamp": "2024-01-01T00:00:00Z"}) + "\n")
+        os.utime(path, (1_700_000_000 + b * 10, 1_700_000_000 + b * 10))
+    arts = C.decode_articles(spark.readStream.option("maxFilesPerTrigger", 1).text(src))
+    ST.run_to_end(ST.sentiment_job(arts, f"{tmp_dir}/raw", f"{tmp_dir}/sum", f"{tmp_dir}/ck",
+                                   as_of=lambda b: f"2024-01-0{b + 1} 00:00:00", available_now=True))
+    got = sorted((str(r["timestamp"]), r["coin"], r["avg_sentiment"], r["article_count"])
+                 for r in read_table(spark, f"{tmp_dir}/sum").collect())
+    assert got == [("2024-01-01 00:00:00", "btc", 0.5, 2), ("2024-01-01 00:00:00", "eth", -1.0, 1),
+                   ("2024-01-02 00:00:00", "btc", 1.0, 1)]
+    assert read_table(spark, f"{tmp_dir}/raw").count() == 4
+
+
+def test_scratch_release_frees_tables(spark):
+    from marketpulse.operators.cooldown import Scratch
+    scratch = Scratch()
+    rows = [tick("a", i * 4000, change=1.0, seq=i) for i in range(8)]
+    kept = T.cooldown(ticks_df(spark, rows), scratch=scratch)
+    assert kept.count() == 8 and scratch.paths
+    paths = [p.replace("file:", "") for p in scratch.paths]
+    scratch.release()
+    assert not any(os.path.exists(p) for p in paths)
