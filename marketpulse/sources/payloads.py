@@ -82,8 +82,11 @@ def market_payloads(ticks: DataFrame, poll_size: int = 10) -> DataFrame:
 
 
 def news_payloads(articles: DataFrame, poll_size: int = 10) -> DataFrame:
-    """Inverse of S11: per coin, polls of ``poll_size`` articles in id order as
-    one ``{"articles": [...]}`` object (null fields are left out)."""
+    """Inverse of S11 for fixtures and replays: one ``{"articles": [...]}``
+    object per coin and run of ``5 * poll_size`` consecutive article ids (the
+    fixture spreads five coins over the ids, so a poll holds about
+    ``poll_size`` articles; any input gives at most ``5 * poll_size``).  Null
+    fields are left out."""
     art = F.struct(F.col("title"), F.col("description"), F.struct(F.col("source").alias("name")).alias("source"),
                    F.col("published_at").alias("publishedAt"))
     per_coin = F.floor(F.col("doc_id") / F.lit(5 * poll_size))
