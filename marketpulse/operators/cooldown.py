@@ -54,9 +54,10 @@ SMALL_LEVEL_ROWS = 2_000_000
 # lookup is one window per bucket; otherwise it runs on distinct instants in
 # sub-bucket chunks
 SMALL_BUCKET_ROWS = 1_000_000
-# the down-sweep's entering-state table (at most one row per occupied bucket)
-# is broadcast when the measured number of occupied buckets is within this
-BROADCAST_STATES = 1_000_000
+# the down-sweep's entering-state table has at most three rows per occupied
+# bucket (two children per block, counted over all coins); it is broadcast
+# when the measured number of occupied buckets is within this (<= 750k rows)
+BROADCAST_STATES = 250_000
 
 
 class Scratch:
@@ -208,23 +209,26 @@ def kept_ticks(cand: DataFrame, cooldown_us: int, scratch: Scratch | None = None
     level = materialize(f_bot.unionByName(f_gap).unionByName(f_probe), "cooldown-f0", scratch)
     levels = [level]
 
-    # 3a. up-sweep: F_{l+1}(J) = F_l(2J+1) . F_l(2J).  Each level halves.
+    # 3a. up-sweep: F_{l+1}(J) = F_l(2J+1) . F_l(2J).  A level has one row per
+    # left-block row of the level below, so sizes never grow; typically they
+    # halve.  Level 0 has at most one row per tick plus one per bucket.
     depth = int(stats["r"] or 0).bit_length()
-    rows = int(stats["n"] or 0) + int(stats["b"] or 0)  # level-0 rows: one per tick plus one per bucket
+    size = int(stats["n"] or 0) + int(stats["b"] or 0)
     for lvl in range(depth):
         f = levels[-1]
-        if (rows >> lvl) > small_level_rows:
+        if size > small_level_rows:
             up = materialize(_compose_by_join(f), f"cooldown-f{lvl + 1}", scratch)
-        else:
+            size = up.count()  # exact, from the written files' metadata
+        else:  # every level from here on is at most this small (sizes never grow)
             up = _compose_by_window(f).persist()
             if scratch is not None:
                 scratch.frames.append(up)
         levels.append(up)
 
     # 3b. down-sweep: entering state of every block, top to bottom.  The
-    # entering-state table never has more rows than there are occupied
-    # buckets (measured above), so below that bound it is broadcast and the
-    # level tables are scanned in place instead of shuffled.
+    # entering-state table has at most three rows per occupied bucket
+    # (measured above), so below that bound it is broadcast and the level
+    # tables are scanned in place instead of shuffled.
     small_enter = int(stats["b"] or 0) <= BROADCAST_STATES
     hint = F.broadcast if small_enter else (lambda d: d)
     enter = buckets.where(F.col("r") == 0).select("key", F.lit(0).cast("long").alias("j"),
