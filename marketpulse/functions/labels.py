@@ -7,12 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values shared with the semantics being matched
-DEFAULT_THRESHOLD = 2.0
-POSITIVE_ABOVE = 0.1
-NEGATIVE_BELOW = -0.1
-MIN_THRESHOLD = 0.1
-MAX_THRESHOLD = 50.0
+from marketpulse.constants import (DEFAULT_THRESHOLD, MAX_THRESHOLD, MIN_THRESHOLD,  # noqa: F401 (re-exported)
+                                   NEGATIVE_BELOW, POSITIVE_ABOVE, VOLUME_UNIT)
 
 
 def _c(x) -> Column:
@@ -80,7 +76,7 @@ def change_label(change) -> Column:
 
 def volume_label(volume) -> Column:
     """P10: volume in billions, ``$12.34B``."""
-    return F.concat(F.lit("$"), _plain_fixed(_c(volume) / F.lit(1e9), 2), F.lit("B"))
+    return F.concat(F.lit("$"), _plain_fixed(_c(volume) / F.lit(VOLUME_UNIT), 2), F.lit("B"))
 
 
 def describe_subscription(dirn, threshold) -> Column:

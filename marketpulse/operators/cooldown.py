@@ -40,11 +40,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from marketpulse.constants import COOLDOWN_SECONDS
 from marketpulse.functions.time import epoch_micros
 from marketpulse.operators.joins import broadcast_if_small
 from marketpulse.session import checkpoint_dir
 
-DEFAULT_COOLDOWN_SECONDS = 3600
+DEFAULT_COOLDOWN_SECONDS = COOLDOWN_SECONDS
 BOT = -(1 << 63)  # encodes the state "nothing kept" (⊥)
 # tree levels at or below this many rows are composed by a window and kept in
 # memory; larger ones by a skew-splittable join and written to the checkpoint

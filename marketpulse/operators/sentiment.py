@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketpulse.constants import ARTICLE_LANGUAGE, ARTICLES_PER_COIN
 from marketpulse.functions.labels import sentiment_label
 from marketpulse.functions.time import now_utc
 from marketpulse.operators.joins import broadcast_if_small
@@ -47,7 +48,8 @@ def with_scores(articles: DataFrame, lexicon: DataFrame, keep: tuple[str, ...] =
     return score_text(articles, lexicon, id_col, text, keep)
 
 
-def select_articles(articles: DataFrame, topics: DataFrame, lang: str | None = "en", k: int = 10,
+def select_articles(articles: DataFrame, topics: DataFrame, lang: str | None = ARTICLE_LANGUAGE,
+                    k: int = ARTICLES_PER_COIN,
                     id_col: str = "doc_id", text: str = "text", published: str = "published_at") -> DataFrame:
     """Per topic, the ``k`` newest articles (ties by id) in ``lang`` whose
     tokens contain every term of the topic (case-insensitive).  An article

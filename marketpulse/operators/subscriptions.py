@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from marketpulse.functions.labels import (DEFAULT_THRESHOLD, MAX_THRESHOLD, MIN_THRESHOLD, describe_subscription,
                                           effective_threshold)
+from marketpulse.constants import DROP_FORM_LABEL
 from marketpulse.functions.time import epoch_micros
 from marketpulse.operators.joins import broadcast_if_small
 
@@ -84,7 +85,7 @@ def normalise_command(form: DataFrame) -> DataFrame:
     return form.select(
         F.col("email"),
         F.lower("coin").alias("coin"),
-        F.when(F.col("alert_when") == "Drops by", F.lit("drop")).otherwise(F.lit("rise")).alias("direction"),
+        F.when(F.col("alert_when") == DROP_FORM_LABEL, F.lit("drop")).otherwise(F.lit("rise")).alias("direction"),
         F.coalesce(F.col("threshold"), F.lit(DEFAULT_THRESHOLD)).alias("threshold"),
         *[c for c in form.columns if c not in ("email", "coin", "alert_when", "threshold")],
     )

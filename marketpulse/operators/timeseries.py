@@ -16,11 +16,12 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketpulse.constants import BUCKET_WIDTH, FLAT_RANGE_FRACTION, RANGE_PADDING, SPARKLINE_PADDING
 from marketpulse.functions.labels import change_label, display_name, price_label, trend
 from marketpulse.functions.time import epoch_micros, from_epoch_micros
 from marketpulse.operators.snapshot import for_coin, latest_by_coin, tick_counts
 
-DEFAULT_WIDTH = "30 minutes"
+DEFAULT_WIDTH = BUCKET_WIDTH
 _UNITS = {"second": 1, "seconds": 1, "s": 1, "minute": 60, "minutes": 60, "min": 60, "t": 60,
           "hour": 3600, "hours": 3600, "h": 3600, "day": 86400, "days": 86400, "d": 86400}
 
@@ -101,7 +102,8 @@ def forward_fill(resampled: DataFrame, key: str = "id", order: str = "bucket",
     return resampled.select(key, order, *[F.last(c, ignorenulls=True).over(w).alias(c) for c in values])
 
 
-def tight_range(series: DataFrame, padding: float = 0.02, key: str = "id", value: str = "current_price") -> DataFrame:
+def tight_range(series: DataFrame, padding: float = RANGE_PADDING, key: str = "id",
+                value: str = "current_price") -> DataFrame:
     """Padded axis range per coin: pad = (max-min)*padding, or min*0.01 for
     a flat series; nulls are skipped."""
     agg = series.groupBy(key).agg(F.min(value).alias("_mn"), F.max(value).alias("_mx"))
@@ -109,7 +111,7 @@ def tight_range(series: DataFrame, padding: float = 0.02, key: str = "id", value
 
 
 def _padded(mn: F.Column, mx: F.Column, padding: float):
-    pad = F.when(mx != mn, (mx - mn) * F.lit(padding)).otherwise(mn * F.lit(0.01))
+    pad = F.when(mx != mn, (mx - mn) * F.lit(padding)).otherwise(mn * F.lit(FLAT_RANGE_FRACTION))
     return [(mn - pad).alias("range_low"), (mx + pad).alias("range_high")]
 
 
@@ -125,7 +127,7 @@ def compare(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str = "time
 
 
 def sparklines(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str = "timestamp",
-               seq: str | None = "seq", padding: float = 0.15) -> DataFrame:
+               seq: str | None = "seq", padding: float = SPARKLINE_PADDING) -> DataFrame:
     """Price series of coins with more than one tick, with the trend of the
     latest change and a padded y range (0.15)."""
     series = resample_ffill(df, width, key, ts, seq, values=["current_price"], min_ticks=2)
@@ -144,7 +146,7 @@ def detail_series(df: DataFrame, coin: str, width=DEFAULT_WIDTH, key: str = "id"
 
 
 def history_panel(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str = "timestamp",
-                  seq: str | None = "seq", padding: float = 0.02) -> DataFrame:
+                  seq: str | None = "seq", padding: float = RANGE_PADDING) -> DataFrame:
     """Every coin's price series with a padded range (no tick guard)."""
     series = resample_ffill(df, width, key, ts, seq, values=["current_price"])
     rng = tight_range(series, padding, key)
@@ -169,7 +171,7 @@ def period_stats(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str =
 
 
 def coin_cards(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str = "timestamp",
-               seq: str | None = "seq", padding: float = 0.15) -> DataFrame:
+               seq: str | None = "seq", padding: float = SPARKLINE_PADDING) -> DataFrame:
     """One card per coin: latest price and change labels with the trend,
     and the sparkline's padded range for coins with more than one tick (null
     otherwise).  Snapshot, tick count and range are per-coin aggregates joined

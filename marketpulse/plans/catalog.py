@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketpulse.constants import DROP_FORM_LABEL, RANGE_PADDING, SPARKLINE_PADDING, UNKNOWN_SOURCE
 from marketpulse.functions import labels as P
 from marketpulse.operators import alerts as J
 from marketpulse.operators import cooldown as T
@@ -164,7 +165,7 @@ def _range_sql(padding: float) -> str:
   FROM (SELECT id, min(current_price) AS mn, max(current_price) AS mx FROM filled GROUP BY id))"""
 
 
-@register("sparklines", with_(TICK_CTE, MULTI_CTE, _filled_sql(["current_price"], "multi"), _range_sql(0.15)) + """,
+@register("sparklines", with_(TICK_CTE, MULTI_CTE, _filled_sql(["current_price"], "multi"), _range_sql(SPARKLINE_PADDING)) + """,
 tr AS (SELECT id, CASE WHEN arg_max(price_change_pct_24h, CASE WHEN price_change_pct_24h IS NOT NULL THEN
               struct_pack(n := "timestamp" IS NULL, t := "timestamp", s := seq) END) >= 0 THEN 'up' ELSE 'down' END
               AS trend FROM multi GROUP BY id)
@@ -181,15 +182,15 @@ def q_detail_series(spark, sf_dir):
     return W.detail_series(V.ticks(spark, sf_dir), DETAIL_COIN)
 
 
-@register("history_panel", with_(TICK_CTE, _filled_sql(["current_price"]), _range_sql(0.02)) + """
+@register("history_panel", with_(TICK_CTE, _filled_sql(["current_price"]), _range_sql(RANGE_PADDING)) + """
 SELECT f.id, f.bucket, f.current_price, rng.range_low, rng.range_high FROM filled f JOIN rng ON rng.id = f.id""")
 def q_history_panel(spark, sf_dir):
     return W.history_panel(V.ticks(spark, sf_dir))
 
 
-@register("tight_range", with_(TICK_CTE, _filled_sql(["current_price"]), _range_sql(0.02)) + "SELECT * FROM rng")
+@register("tight_range", with_(TICK_CTE, _filled_sql(["current_price"]), _range_sql(RANGE_PADDING)) + "SELECT * FROM rng")
 def q_tight_range(spark, sf_dir):
-    return W.tight_range(W.resample_ffill(V.ticks(spark, sf_dir), values=["current_price"]), 0.02)
+    return W.tight_range(W.resample_ffill(V.ticks(spark, sf_dir), values=["current_price"]), RANGE_PADDING)
 
 
 @register("period_stats", with_(TICK_CTE, _filled_sql(["current_price", "price_change_pct_24h"])) + f""",
@@ -306,7 +307,7 @@ def q_subs_outcome(spark, sf_dir):
 def _form(spark, sf_dir):
     s = V.subscriptions(spark, sf_dir)
     return s.select("email", P.display_name("coin").alias("coin"),
-                    F.when(F.col("direction") == "drop", "Drops by").otherwise("Rises by").alias("alert_when"),
+                    F.when(F.col("direction") == "drop", DROP_FORM_LABEL).otherwise("Rises by").alias("alert_when"),
                     "threshold")
 
 
@@ -497,7 +498,7 @@ def q_sentiment_job(spark, sf_dir):
     base = scratch_path(spark, "sentiment-job")
     arts = X.with_scores(_articles(spark, sf_dir), V.lexicon(spark), keep=("coin", "title", "source", "published_at"))
     msgs = C.encode(arts.select("coin", "title", "sentiment_score", "sentiment_label",
-                                F.coalesce("source", F.lit("unknown")).alias("source"), "published_at",
+                                F.coalesce("source", F.lit(UNKNOWN_SOURCE)).alias("source"), "published_at",
                                 F.col("published_at").alias("timestamp")), time_columns=())
     topic = _message_folder(msgs, base)
     articles = C.decode_articles(spark.readStream.text(topic))
@@ -507,7 +508,7 @@ def q_sentiment_job(spark, sf_dir):
     return read_table(spark, f"{base}/summary")
 
 
-@register("coin_cards", with_(TICK_CTE, MULTI_CTE, _filled_sql(["current_price"], "multi"), _range_sql(0.15)) + f""",
+@register("coin_cards", with_(TICK_CTE, MULTI_CTE, _filled_sql(["current_price"], "multi"), _range_sql(SPARKLINE_PADDING)) + f""",
 snap AS (SELECT id, {_arg_last_nonnull('current_price')}, {_arg_last_nonnull('price_change_pct_24h')}, count(*) AS n
          FROM tick WHERE id IS NOT NULL GROUP BY id)
 SELECT s.id, {NAME_SQL.format(c='s.id')} AS name, {PRICE_LABEL_SQL.format(c='s.current_price')} AS price_label,

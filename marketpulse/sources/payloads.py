@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketpulse.constants import UNKNOWN_SOURCE
 from marketpulse.functions.time import naive_utc, now_utc
 from marketpulse.schemas import MARKET_ITEM, NEWS_PAYLOAD
 
@@ -67,7 +68,7 @@ def normalise_articles(df: DataFrame, as_of="polled_at", payload: str = "payload
     desc = F.coalesce(F.col("a.description"), F.lit(""))
     return arts.select(
         "coin", title.alias("title"), F.concat(title, F.lit(". "), desc).alias("text"),
-        F.coalesce(F.col("a.source.name"), F.lit("unknown")).alias("source"),
+        F.coalesce(F.col("a.source.name"), F.lit(UNKNOWN_SOURCE)).alias("source"),
         F.coalesce(F.col("a.publishedAt"), F.lit("")).alias("published_at"),
         F.col("_at").alias("timestamp"))
 

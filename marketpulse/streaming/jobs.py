@@ -17,14 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from marketpulse.constants import BUCKET_WIDTH, SENTIMENT_TRIGGER, TICK_TRIGGER
 from marketpulse.functions.time import naive_utc, zoned
 from marketpulse.operators.alerts import alert_outbox, match_alerts
 from marketpulse.operators.cooldown import DEFAULT_COOLDOWN_SECONDS, Scratch, cooldown, next_ready
 from marketpulse.operators.sentiment import sentiment_summary
 from marketpulse.streaming.sinks import append_batch, append_summary
 
-TICK_TRIGGER = "30 seconds"       # T2: tick micro-batches
-SENTIMENT_TRIGGER = "60 seconds"  # T2: article micro-batches
 
 
 def start(df: DataFrame, batch_fn: Callable[[DataFrame, int], None], checkpoint: str,
@@ -163,7 +162,7 @@ def sentiment_job(articles: DataFrame, raw_path: str, summary_path: str, checkpo
     return start(articles, fn, checkpoint, **trigger)
 
 
-def resample_stream(ticks: DataFrame, width: str = "30 minutes", delay: str = "1 hour",
+def resample_stream(ticks: DataFrame, width: str = BUCKET_WIDTH, delay: str = "1 hour",
                     values: tuple[str, ...] = ("current_price", "price_change_pct_24h", "total_volume")) -> DataFrame:
     """W1 on a stream: event-time buckets closed by a watermark, last non-null
     value per column; append mode emits a bucket once the watermark passes
