@@ -25,10 +25,11 @@ def parse_time(df: DataFrame, column: str = "timestamp") -> DataFrame:
 
 
 def decode(df: DataFrame, schema: T.StructType = TICK_WIRE, value: str = "value",
-           time_column: str | None = "timestamp") -> DataFrame:
-    """Binary or string message value to typed columns."""
+           time_column: str | None = "timestamp", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Binary or string message value to typed columns (``keep``
+    carries source columns such as the ingest sequence alongside)."""
     text = F.col(value).cast("string")
-    out = df.select(F.from_json(text, schema).alias("_m")).select("_m.*")
+    out = df.select(F.from_json(text, schema).alias("_m"), *keep).select("_m.*", *keep)
     if time_column and time_column in schema.fieldNames():
         out = parse_time(out, time_column)
     return out
@@ -75,10 +76,17 @@ def read_stream(spark: SparkSession, source: str, fmt: str = "kafka", schema: T.
     return reader.load() if fmt == "kafka" else reader.load(source)
 
 
+def kafka_sequence() -> F.Column:
+    """Ingest sequence of a Kafka record, unique per topic: partition in the
+    high bits, offset in the low 40 bits."""
+    return F.shiftleft(F.col("partition").cast("long"), 40) + F.col("offset")
+
+
 def read_ticks(spark: SparkSession, bootstrap_servers: str, topic: str = "ticks", **opts) -> DataFrame:
-    """S1 + S3 + S5 over Kafka."""
+    """S1 + S3 + S5 over Kafka, with ``seq`` from the record's partition and
+    offset (the cooldown's tie-break between equal instants)."""
     raw = read_stream(spark, topic, "kafka", **kafka_options(bootstrap_servers, topic, **opts))
-    return decode_ticks(raw)
+    return decode(raw.withColumn("seq", kafka_sequence()), TICK_WIRE, keep=("seq",))
 
 
 def read_articles(spark: SparkSession, bootstrap_servers: str, topic: str = "articles", **opts) -> DataFrame:

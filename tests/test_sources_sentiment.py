@@ -87,3 +87,13 @@ def test_restrict_by_table_is_a_semi_join(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "id string, v int")
     universe = spark.createDataFrame([("a",), ("c",), ("c",)], "coin string")
     assert rows_of(PL.restrict(df, universe), "id") == [("a",), ("c",)]
+
+
+def test_decode_keeps_source_columns_and_kafka_sequence(spark):
+    from pyspark.sql import functions as F
+    raw = spark.createDataFrame([('{"id": "a", "timestamp": "2024-01-01T00:00:00Z"}', 3, 17)],
+                                "value string, partition int, offset long")
+    got = C.decode(raw.withColumn("seq", C.kafka_sequence()), keep=("seq",)).first()
+    assert got["id"] == "a" and got["seq"] == (3 << 40) + 17
+    assert raw.select(C.kafka_sequence().alias("s")).schema["s"].dataType.simpleString() == "bigint"
+    assert F is not None
