@@ -46,3 +46,32 @@ def read_table(spark, path: str, keep_batch_columns: bool = False) -> DataFrame:
     """Read a sink back (the history scan, S6)."""
     df = spark.read.parquet(path)
     return df if keep_batch_columns else df.drop("stream_id", "batch_id", "date")
+
+
+
+def compact_date(spark, path: str, date: str, rows_per_file: int = 5_000_000) -> int:
+    """Merge the per-batch files of one closed ``date`` partition of a sink
+    written with ``date_from``.
+
+    All rows of that date are appended, per stream id, to a fresh negative
+    batch id (files of about ``rows_per_file`` rows), then the merged batch
+    folders are deleted.  Readers (``read_table``) ignore batch ids, so the
+    table reads the same before and after.  Run it on dates no micro-batch
+    writes any more: a replay into a merged batch would add its rows again,
+    and between the append and the delete a reader sees the rows twice (never
+    zero times).  Returns the number of rows compacted."""
+    day = spark.read.parquet(path).where(F.col("date") == F.lit(date).cast("date"))
+    parts = [(r["stream_id"], r["batch_id"]) for r in day.select("stream_id", "batch_id").distinct().collect()]
+    if len(parts) <= 1:
+        return 0
+    target = min([b for _, b in parts if b < 0], default=0) - 1
+    n = day.count()
+    files = max(1, -(-n // rows_per_file))
+    (day.withColumn("batch_id", F.lit(target)).repartition(files)
+     .write.mode("append").partitionBy("date", "stream_id", "batch_id").parquet(path))
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for stream_id, batch_id in parts:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/date={date}/stream_id={stream_id}/batch_id={batch_id}")
+        folder.getFileSystem(conf).delete(folder, True)
+    return n

@@ -164,3 +164,24 @@ def test_scratch_release_frees_tables(spark):
     paths = [p.replace("file:", "") for p in scratch.paths]
     scratch.release()
     assert not any(os.path.exists(p) for p in paths)
+
+
+def test_compact_closed_date(spark, tmp_dir):
+    from marketpulse.streaming.sinks import compact_date
+    hist = f"{tmp_dir}/hist"
+    rows = _tick_rows()
+    chunks = [rows[i::3] for i in range(3)]
+    for b, chunk in enumerate(chunks):
+        append_batch(ticks_df(spark, chunk), b, hist, "s0", date_from="timestamp")
+    before = sorted(r["seq"] for r in read_table(spark, hist).collect())
+    day = sorted({str(r[6].date()) for r in rows})[0]
+    n = compact_date(spark, hist, day)
+    assert n > 0
+    after = sorted(r["seq"] for r in read_table(spark, hist).collect())
+    assert after == before
+    batches = {r["batch_id"] for r in read_table(spark, hist, keep_batch_columns=True).where(f"date = '{day}'").collect()}
+    assert batches == {-1}
+    append_batch(ticks_df(spark, chunks[0][:3]), 9, hist, "s1", date_from="timestamp")  # a late stream, then compact again
+    compact_date(spark, hist, day)
+    assert {r["batch_id"] for r in read_table(spark, hist, keep_batch_columns=True).where(f"date = '{day}'").collect()} == {-2}
+    assert read_table(spark, hist).count() == len(before) + 3
