@@ -10,10 +10,18 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, persist: bool = False) -> DataFrame:
     """Hint a broadcast of ``df`` only when it has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows, so it stays cheap for a big
-    input; beyond the bound the join is left to the planner and AQE."""
+    input; beyond the bound the join is left to the planner and AQE.  For a
+    derived table (an aggregate) ``persist`` keeps what the check computed, so
+    the join does not compute it again; a table found too big is released."""
+    if persist:
+        df = df.persist()
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if n <= max_rows:
+        return F.broadcast(df)
+    if persist:
+        df.unpersist()
+    return df

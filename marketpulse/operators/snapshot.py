@@ -65,7 +65,7 @@ def at_least(df: DataFrame, n: int = 2, key: str = "id") -> DataFrame:
     broadcast after a row-count check, so the tick side (where one coin may
     hold a third of the rows) is never shuffled; beyond the bound the join is
     a shuffle join whose hot coins AQE splits."""
-    keep = broadcast_if_small(tick_counts(df, key).where(F.col("n_ticks") >= n).select(key))
+    keep = broadcast_if_small(tick_counts(df, key).where(F.col("n_ticks") >= n).select(key), persist=True)
     return df.join(keep, on=key, how="left_semi")
 
 

@@ -31,7 +31,7 @@ def apply_commands(commands: DataFrame) -> DataFrame:
     """K4/K5: current subscriptions from a log (email, coin, op, threshold,
     direction, ts, seq)."""
     last_delete = broadcast_if_small(commands.where(F.col("op") == "delete").groupBy(*KEY)
-                                     .agg(F.max(_order()).alias("del_at")))
+                                     .agg(F.max(_order()).alias("del_at")), persist=True)
     upserts = commands.where(F.col("op") == "upsert")
     live = upserts.join(last_delete, KEY, "left").where(F.col("del_at").isNull() | (_order() > F.col("del_at")))
     return live.groupBy(*KEY).agg(
