@@ -119,8 +119,8 @@ def subs_for_email(subs: DataFrame, email: str) -> DataFrame:
     """S8 + P8: one address's subscriptions with display text; empty when the
     address is not valid."""
     if not email or "@" not in email:
-        return subs.limit(0).select("coin", "threshold", "direction", F.lit(None).cast("string").alias("label"),
-                                    "email")
+        return subs.where(F.lit(False)).select("coin", "threshold", "direction",
+                                               F.lit(None).cast("string").alias("label"), "email")
     return subs.where(F.col("email") == email).select(
         "coin", "threshold", "direction", describe_subscription("direction", "threshold").alias("label"), "email")
 
