@@ -84,3 +84,26 @@ def test_resample_combines_before_the_window(spark):
     plan = _plan(spark, "resample_ffill")
     # partial aggregate on (coin, bucket) first; the window shuffle sees only occupied buckets
     assert plan.index("hashpartitioning(id") < plan.rindex("partial_max_by")
+
+
+def test_cooldown_never_shuffles_ticks_by_coin_alone(spark, monkeypatch):
+    import re
+
+    import marketpulse.operators.cooldown as cd
+    from marketpulse.plans import views as V
+
+    plans = {}
+    original = cd.materialize
+
+    def spy(df, name, scratch=None):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return original(df, name, scratch)
+
+    monkeypatch.setattr(cd, "materialize", spy)
+    for kw in ({}, {"small_level_rows": 0, "small_bucket_rows": 0}):
+        plans.clear()
+        cd.cooldown(V.ticks(spark, SF_SMALL), **kw)
+        tick_level = [n for n in plans if n != "cooldown-buckets"]  # buckets: the per-coin window runs on aggregates
+        assert "cooldown-f0" in tick_level
+        for name in tick_level:
+            assert not re.search(r"hashpartitioning\(key#\d+, \d+\)", plans[name]), name
