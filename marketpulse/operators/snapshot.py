@@ -1,8 +1,8 @@
 """Latest-state operators over tick history.
 
-All are single hash aggregations keyed by coin: Spark runs a partial
-aggregate on every input partition (map-side combine), so each coin crosses
-the shuffle as one row per partition however many ticks it has.
+All are single aggregations keyed by coin: Spark runs a partial aggregate
+on every input partition (map-side combine), so each coin crosses the shuffle
+as one row per partition however many ticks it has.
 """
 
 from __future__ import annotations
