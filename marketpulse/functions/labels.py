@@ -95,11 +95,21 @@ def alert_subject(coin, dirn, change) -> Column:
     )
 
 
-def alert_body(coin, dirn, change, price, threshold) -> Column:
-    """P9 body: movement, grouped price at 4 dp and the subscriber's threshold."""
+def alert_body_head(coin, dirn, change, price) -> Column:
+    """The tick part of the P9 body (everything before the threshold)."""
     verb = F.when(_c(dirn) == "drop", F.lit("dropped")).otherwise(F.lit("risen"))
     return F.concat(
         display_name(coin), F.lit(" has "), verb, F.lit(" "), _plain_fixed(F.abs(_c(change)), 2),
         F.lit("% over 24h. Price now $"), F.coalesce(F.format_number(_c(price), 4), F.lit("n/a")),
-        F.lit(". Your threshold: "), _c(threshold).cast("string"), F.lit("%."),
+        F.lit(". Your threshold: "),
     )
+
+
+def alert_body_tail(head, threshold) -> Column:
+    """Completes a body head with the subscriber's threshold."""
+    return F.concat(_c(head), _c(threshold).cast("string"), F.lit("%."))
+
+
+def alert_body(coin, dirn, change, price, threshold) -> Column:
+    """P9 body: movement, grouped price at 4 dp and the subscriber's threshold."""
+    return alert_body_tail(alert_body_head(coin, dirn, change, price), threshold)

@@ -2,10 +2,15 @@
 
 The tick side of J1 is the *cooled* tick set (at most one row per coin per
 cooldown window), the subscription side may hold millions of rows keyed by
-only a handful of coins.  No broadcast hint is forced: AQE broadcasts the
-cooled side when its measured size is small, so the subscription table is
-scanned in place without a shuffle; for a long backfill the join falls back to
-a shuffle join whose skewed coin partitions AQE splits.
+only a handful of coins.  The cooldown writes the cooled ticks, so the planner
+sees their real size and broadcasts them while they are small: the
+subscription table is scanned in place without a shuffle.  For a long
+backfill the join falls back to a shuffle join whose skewed coin partitions
+AQE splits.
+
+With ``render=True`` the alert text is rendered on the tick side before the
+join (number formatting once per cooled tick, not once per alert); each alert
+then only appends its subscriber's threshold.
 """
 
 from __future__ import annotations
@@ -13,19 +18,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketpulse.functions.labels import alert_body, alert_subject, direction, effective_threshold, threshold_hit
+from marketpulse.functions.labels import (alert_body, alert_body_head, alert_body_tail, alert_subject, direction,
+                                          effective_threshold, threshold_hit)
 
 
 def match_alerts(cooled: DataFrame, subs: DataFrame, key: str = "id", change: str = "price_change_pct_24h",
-                 price: str = "current_price", ts: str = "timestamp") -> DataFrame:
-    """One row per (cooled tick, subscriber) whose direction and threshold hit."""
+                 price: str = "current_price", ts: str = "timestamp", render: bool = False) -> DataFrame:
+    """One row per (cooled tick, subscriber) whose direction and threshold
+    hit; with ``render`` also the K6 subject and body."""
     t = cooled.select(F.col(key).alias("coin"), F.col(change).alias("change"), F.col(price).alias("price"),
                       F.col(ts).alias("timestamp"), direction(change).alias("direction"))
+    if render:
+        t = t.withColumns({"subject": alert_subject("coin", "direction", "change"),
+                           "_head": alert_body_head("coin", "direction", "change", "price")})
     s = subs.select("email", "coin", "direction", effective_threshold("threshold").alias("threshold"))
     cond = ((t["coin"] == s["coin"]) & (t["direction"] == s["direction"])
             & threshold_hit(t["change"], s["threshold"], t["direction"]))
-    return t.join(s, cond, "inner").select(
-        s["email"], t["coin"], t["direction"], t["change"], t["price"], s["threshold"], t["timestamp"])
+    cols = [s["email"], t["coin"], t["direction"], t["change"], t["price"], s["threshold"], t["timestamp"]]
+    if render:
+        cols += [t["subject"], alert_body_tail(t["_head"], s["threshold"]).alias("body")]
+    return t.join(s, cond, "inner").select(*cols)
 
 
 def render_alert(alerts: DataFrame) -> DataFrame:

@@ -279,7 +279,7 @@ SELECT *, 'Price alert: ' || {NAME_SQL.format(c='coin')} || ' '
           AS body
 FROM alerts""")
 def q_alert_outbox(spark, sf_dir):
-    return J.alert_outbox(_alerts(spark, sf_dir))
+    return J.match_alerts(T.cooldown(V.ticks(spark, sf_dir)), V.subscriptions(spark, sf_dir), render=True)
 
 
 ORDER_SQL = "struct_pack(t := ts, s := seq)"

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marketpulse.constants import BUCKET_WIDTH, SENTIMENT_TRIGGER, TICK_TRIGGER
 from marketpulse.functions.time import naive_utc, zoned
-from marketpulse.operators.alerts import alert_outbox, match_alerts
+from marketpulse.operators.alerts import match_alerts
 from marketpulse.operators.cooldown import DEFAULT_COOLDOWN_SECONDS, Scratch, cooldown, next_ready
 from marketpulse.operators.sentiment import sentiment_summary
 from marketpulse.streaming.sinks import append_batch, append_summary
@@ -132,7 +132,7 @@ def tick_job(ticks: DataFrame, history_path: str, alerts_path: str, dead_letter_
             append_batch(good, batch_id, history_path, stream_id, preview=preview, date_from="timestamp",
                          skip_empty=False)
             kept = cooldown(good, seconds, ready=prev, scratch=scratch)
-            alerts = alert_outbox(match_alerts(kept, subscriptions()))
+            alerts = match_alerts(kept, subscriptions(), render=True)
             append_batch(alerts, batch_id, alerts_path, stream_id, skip_empty=False)
             state.write(batch_id, prev, kept, seconds)
         finally:

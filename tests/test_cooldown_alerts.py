@@ -151,3 +151,12 @@ def test_cooldown_on_empty_and_all_zero_input(spark):
     assert T.cooldown(zeros).count() == 0
     from marketpulse.operators import timeseries as W
     assert W.resample_ffill(empty).count() == 0 and W.period_stats(empty).count() == 0
+
+
+def test_rendering_before_the_join_equals_rendering_per_alert(spark):
+    cooled = ticks_df(spark, [tick("shiba inu", 0, price=1234.5, change=-3.125, seq=1),
+                              tick("b", 0, price=None, change=5.0, seq=2)])
+    subs = _subs(spark, [("x@e", "shiba inu", 2.5, "drop"), ("w@e", "b", None, "rise"), ("v@e", "b", 4.0, "rise")])
+    cols = ("email", "subject", "body")
+    assert rows_of(J.match_alerts(cooled, subs, render=True), *cols) == rows_of(
+        J.alert_outbox(J.match_alerts(cooled, subs)), *cols)
