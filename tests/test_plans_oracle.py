@@ -65,8 +65,9 @@ def _plan(spark, name):
 
 
 def test_alert_join_broadcasts_cooled_ticks(spark):
-    plan = _plan(spark, "match_alerts")
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    for name in ("match_alerts", "alert_outbox"):
+        plan = _plan(spark, name)
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, name
 
 
 def test_token_stream_is_not_shuffled(spark):
