@@ -47,3 +47,22 @@ def test_resample_ffill_equals_pandas(spark, series):
         for ts, v in s["current_price"].items():
             expected.append((coin, ts.to_pydatetime(), None if pd.isna(v) else float(v)))
     assert got == sorted(expected, key=repr)
+
+
+COMMANDS = st.lists(st.tuples(st.sampled_from(["u1@e", "u2@e"]), st.sampled_from("ab"),
+                              st.sampled_from(["upsert", "upsert", "delete"]), st.integers(1, 50),
+                              st.sampled_from(["drop", "rise"]), st.integers(0, 30)), min_size=1, max_size=60)
+
+
+@SETTINGS
+@given(commands=COMMANDS)
+def test_subscription_fold_equals_replay(spark, commands):
+    from marketpulse.operators import subscriptions as K
+    from marketpulse.schemas import SUBSCRIPTION_COMMAND
+    from tests.helpers import at
+    from tests.test_subscriptions import replay
+    cmds = [(e, c, op, float(t), d, at(secs * 20), i) for i, (e, c, op, t, d, secs) in enumerate(commands)]
+    df = spark.createDataFrame(cmds, SUBSCRIPTION_COMMAND)
+    state, outcomes = replay(cmds)
+    assert rows_of(K.apply_commands(df), "email", "coin", "threshold", "direction", "created_at") == sorted(state, key=repr)
+    assert sorted(rows_of(K.with_outcome(df, chunk_seconds=30, day_seconds=200), "seq", "outcome")) == outcomes
