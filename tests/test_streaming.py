@@ -2,12 +2,14 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 from marketpulse.operators import cooldown as T
 from marketpulse.schemas import TICK_WIRE_SEQ
 from marketpulse.sources import codec as C
 from marketpulse.streaming import jobs as ST
 from marketpulse.streaming.sinks import append_batch, read_table
-from tests.helpers import tick, ticks_df
+from tests.helpers import rows_of, tick, ticks_df
 
 
 def test_same_batch_twice_is_idempotent(spark, tmp_dir):
@@ -185,3 +187,24 @@ def test_compact_closed_date(spark, tmp_dir):
     compact_date(spark, hist, day)
     assert {r["batch_id"] for r in read_table(spark, hist, keep_batch_columns=True).where(f"date = '{day}'").collect()} == {-2}
     assert read_table(spark, hist).count() == len(before) + 3
+
+
+def test_resample_stream_equals_batch_on_closed_buckets(spark, tmp_dir):
+    import datetime as dt
+
+    from marketpulse.operators import timeseries as W
+    rows = _tick_rows()
+    src = f"{tmp_dir}/src"
+    os.makedirs(src)
+    _write_message_files(spark, rows, src)
+    values = ["current_price", "price_change_pct_24h", "total_volume"]
+    q = (ST.resample_stream(_stream(spark, src), delay="1 hour").writeStream.outputMode("append").format("parquet")
+         .option("path", f"{tmp_dir}/out").option("checkpointLocation", f"{tmp_dir}/ck")
+         .trigger(availableNow=True).start())
+    ST.run_to_end(q)
+    got = rows_of(spark.read.parquet(f"{tmp_dir}/out"), "id", "bucket", *values)
+    closed_before = max(r[6] for r in rows) - dt.timedelta(hours=1, minutes=30)
+    batch = W.resample_last(ticks_df(spark, rows), values=values).where(F.col("current_price").isNotNull()
+                                                                         | F.col("price_change_pct_24h").isNotNull())
+    want = [r for r in rows_of(batch, "id", "bucket", *values) if r[1] <= closed_before]
+    assert got == want and got
