@@ -269,7 +269,7 @@ def q_match_alerts(spark, sf_dir):
     return _alerts(spark, sf_dir)
 
 
-@register("alert_outbox", with_(TICK_CTE, COOLED_CTE, SUBS_CTE, MATCH_CTE) + f"""
+OUTBOX_SQL = with_(TICK_CTE, COOLED_CTE, SUBS_CTE, MATCH_CTE) + f"""
 SELECT *, 'Price alert: ' || {NAME_SQL.format(c='coin')} || ' '
           || CASE WHEN direction = 'drop' THEN 'dropped' ELSE 'surged' END || ' '
           || {PLAIN2_SQL.format(c='abs(change)')} || '%' AS subject,
@@ -277,7 +277,10 @@ SELECT *, 'Price alert: ' || {NAME_SQL.format(c='coin')} || ' '
           || {PLAIN2_SQL.format(c='abs(change)')} || '% over 24h. Price now $'
           || coalesce(format('{{:,.4f}}', price), 'n/a') || '. Your threshold: ' || CAST(threshold AS VARCHAR) || '%.'
           AS body
-FROM alerts""")
+FROM alerts"""
+
+
+@register("alert_outbox", OUTBOX_SQL)
 def q_alert_outbox(spark, sf_dir):
     return J.match_alerts(T.cooldown(V.ticks(spark, sf_dir)), V.subscriptions(spark, sf_dir), render=True)
 
@@ -481,8 +484,7 @@ def _message_folder(df: DataFrame, base: str) -> str:
     return path
 
 
-@register("tick_job", with_(TICK_CTE, COOLED_CTE, SUBS_CTE, MATCH_CTE) + ORACLE["alert_outbox"].split(
-    MATCH_CTE, 1)[1])
+@register("tick_job", OUTBOX_SQL)
 def q_tick_job(spark, sf_dir):
     base = scratch_path(spark, "tick-job")
     topic = _message_folder(C.encode(V.ticks(spark, sf_dir), micros=True), base)
