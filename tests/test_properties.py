@@ -79,3 +79,23 @@ def test_first_at_or_after_equals_brute_force(spark, targets, probes, chunks):
     for p in probes:
         cands = [(t, s) for t, s in targets if t >= p]
         assert got[p] == (min(cands) if cands else None)
+
+
+@SETTINGS
+@given(series=st.lists(st.tuples(st.sampled_from("ab"), st.one_of(st.none(), st.integers(0, 50)),
+                                 st.one_of(st.none(), st.floats(1, 100)), st.one_of(st.none(), st.floats(-5, 5))),
+                       min_size=1, max_size=50))
+def test_latest_equals_pandas_groupby_last(spark, series):
+    from marketpulse.operators import snapshot as S
+    rows = [tick(c, None if m is None else m * 60, price=p, change=ch, seq=i) for i, (c, m, p, ch) in enumerate(series)]
+    got = {r["id"]: (r["current_price"], r["price_change_pct_24h"], r["timestamp"])
+           for r in S.latest_by_coin(ticks_df(spark, rows)).collect()}
+    pdf = pd.DataFrame([(r[0], r[2], r[3], r[6], r[7]) for r in rows],
+                       columns=["id", "current_price", "price_change_pct_24h", "timestamp", "seq"])
+    last = pdf.sort_values(["timestamp", "seq"], na_position="last").groupby("id").last()
+
+    def nn(v):
+        return None if pd.isna(v) else (v.to_pydatetime() if isinstance(v, pd.Timestamp) else v)
+
+    want = {i: (nn(r["current_price"]), nn(r["price_change_pct_24h"]), nn(r["timestamp"])) for i, r in last.iterrows()}
+    assert got == want
