@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -64,8 +65,10 @@ class CooldownState:
             return None
         try:
             return self.spark.read.parquet(f"{self.path}/batch_id={batch_id - 1}")
-        except Exception:  # noqa: BLE001 - no state written yet
-            return None
+        except AnalysisException as exc:  # no state written yet (empty batches before any kept tick)
+            if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+                return None
+            raise
 
     def carry(self, batch_id: int, prev: DataFrame | None) -> None:
         """Empty batch: the state after it is the state before it."""
