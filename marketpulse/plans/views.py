@@ -22,11 +22,13 @@ ARTICLE_EPOCH = "2024-01-01 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table (the session zone is pinned to UTC first)."""
     ensure_utc(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def coin_of(remainder_col) -> F.Column:
+    """Coin name from an id remainder 0..4."""
     expr = None
     for i, name in enumerate(COIN_BY_REMAINDER):
         expr = (F.when(remainder_col == i, F.lit(name)) if expr is None else expr.when(remainder_col == i, F.lit(name)))
@@ -46,6 +48,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tick_projection(events: DataFrame) -> DataFrame:
+    """The tick columns of an ``events`` frame (batch or stream)."""
     eid = F.col("event_id")
     return events.select(
         F.col("event_type").alias("id"),
@@ -96,6 +99,7 @@ def article_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def article_projection(documents: DataFrame) -> DataFrame:
+    """The article columns of a ``documents`` frame (batch or stream)."""
     d = F.col("doc_id")
     text = F.col("text")
     nl = F.instr(text, "\n")
@@ -114,10 +118,12 @@ def article_projection(documents: DataFrame) -> DataFrame:
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
+    """The fixture's polarity lexicon (word, polarity)."""
     return spark.createDataFrame(LEXICON_ROWS, LEXICON)
 
 
 def topics(spark: SparkSession) -> DataFrame:
+    """The fixture's article topics (topic, terms)."""
     return spark.createDataFrame(TOPIC_ROWS, TOPIC)
 
 
