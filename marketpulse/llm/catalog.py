@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from marketpulse.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from marketpulse.llm.fingerprints import op2_fingerprints
+from marketpulse.llm.mixing import OP4_SQL, op4_mix_sources
 
 QUERIES = {
+    "op2_fingerprints": op2_fingerprints,
+    "op4_mix_sources": op4_mix_sources,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 ORACLE = {
+    "op4_mix_sources": OP4_SQL,
     "op9_exact_dedup": OP9_SQL,
 }
