@@ -5,11 +5,15 @@ from __future__ import annotations
 from marketpulse.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from marketpulse.llm.fingerprints import op2_fingerprints
 from marketpulse.llm.mixing import OP4_SQL, op4_mix_sources
+from marketpulse.llm.packing import op10_pack_sequences
+from marketpulse.llm.quality import op5_quality_rules
 
 QUERIES = {
     "op2_fingerprints": op2_fingerprints,
     "op4_mix_sources": op4_mix_sources,
+    "op5_quality_rules": op5_quality_rules,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_pack_sequences": op10_pack_sequences,
 }
 
 ORACLE = {
