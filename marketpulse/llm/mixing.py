@@ -93,7 +93,8 @@ def quotas(rows: DataFrame) -> DataFrame:
             .groupBy("source").agg(F.first("bucket").alias("last_bucket"), F.max(F.when(
                 F.col("through") + F.col("start") < 2 * F.col("rest"), F.struct("key", "nn_id"))).alias("last"))
             .select(F.col("source"), "last_bucket", F.col("last.key").alias("last_key"), F.col("last.nn_id").alias("last_id")))
-    return plan.join(ends, mine, "left").select("p_source", "source_size", "target", "epochs", "last_bucket", "last_key", "last_id")
+    return stored(plan.join(ends, mine, "left").select(
+        "p_source", "source_size", "target", "epochs", "last_bucket", "last_key", "last_id"), "quotas")
 
 
 def _copies() -> Column:
