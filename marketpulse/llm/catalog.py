@@ -5,6 +5,7 @@ from __future__ import annotations
 from marketpulse.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from marketpulse.llm.fingerprints import op2_fingerprints
 from marketpulse.llm.mixing import OP4_SQL, op4_mix_sources
+from marketpulse.llm.near_dedup import OP7_SQL, op7_near_dedup
 from marketpulse.llm.packing import op10_pack_sequences
 from marketpulse.llm.quality import op5_quality_rules
 
@@ -12,11 +13,13 @@ QUERIES = {
     "op2_fingerprints": op2_fingerprints,
     "op4_mix_sources": op4_mix_sources,
     "op5_quality_rules": op5_quality_rules,
+    "op7_near_dedup": op7_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pack_sequences": op10_pack_sequences,
 }
 
 ORACLE = {
     "op4_mix_sources": OP4_SQL,
+    "op7_near_dedup": OP7_SQL,
     "op9_exact_dedup": OP9_SQL,
 }
