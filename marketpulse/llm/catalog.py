@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from marketpulse.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from marketpulse.llm.fingerprints import op2_fingerprints
+from marketpulse.llm.language_model import op8_language_model
 from marketpulse.llm.mixing import OP4_SQL, op4_mix_sources
 from marketpulse.llm.near_dedup import OP7_SQL, op7_near_dedup
 from marketpulse.llm.packing import op10_pack_sequences
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_mix_sources": op4_mix_sources,
     "op5_quality_rules": op5_quality_rules,
     "op7_near_dedup": op7_near_dedup,
+    "op8_language_model": op8_language_model,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pack_sequences": op10_pack_sequences,
 }
