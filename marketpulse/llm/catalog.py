@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from marketpulse.llm.chat import OP1_SQL, op1_chat_perspectives
 from marketpulse.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from marketpulse.llm.fingerprints import op2_fingerprints
 from marketpulse.llm.language_model import op8_language_model
@@ -9,9 +10,12 @@ from marketpulse.llm.mixing import OP4_SQL, op4_mix_sources
 from marketpulse.llm.near_dedup import OP7_SQL, op7_near_dedup
 from marketpulse.llm.packing import op10_pack_sequences
 from marketpulse.llm.quality import op5_quality_rules
+from marketpulse.llm.token_counts import op3_token_counts
 
 QUERIES = {
+    "op1_chat_perspectives": op1_chat_perspectives,
     "op2_fingerprints": op2_fingerprints,
+    "op3_token_counts": op3_token_counts,
     "op4_mix_sources": op4_mix_sources,
     "op5_quality_rules": op5_quality_rules,
     "op7_near_dedup": op7_near_dedup,
@@ -21,6 +25,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_chat_perspectives": OP1_SQL,
     "op4_mix_sources": OP4_SQL,
     "op7_near_dedup": OP7_SQL,
     "op9_exact_dedup": OP9_SQL,
