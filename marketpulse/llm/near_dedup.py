@@ -6,12 +6,7 @@ the second is applied after a circular shift by 0, 1, 2, ..., and each shift's
 smallest value is a coordinate. Documents of equal sets become one node. Nodes that
 share a band of coordinates are candidates; links between them are confirmed on
 the full sets.
-
-A large group of copies must not be expanded into all its pairs. So buckets are
-worked off in rounds: of every component in a bucket one node is held against one
-pivot, and every component tests its likeliest pair. When a round links nothing
-more, the pairs in shared buckets that still lie across components are tested,
-all of them, so no link between components stays untested.
+``linking`` sees to it that large groups of copies aren't paired in full.
 """
 
 from __future__ import annotations
@@ -24,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketpulse.llm.common import stored, table
-from marketpulse.llm.components import components
+from marketpulse.llm.linking import linked_components
 
 #: Bands of coordinates. Of documents at a similarity of 0.8, 1 - (1 - 0.8**5)**28, all but 1.5 in 100,000, share a band.
 ROWS, BANDS = 5, 28
@@ -33,8 +28,6 @@ WIDTH, PERCENT = 5, 80
 #: what the similarity makes likely before a pair is not tested (4.5: 3 in a million)
 SKETCH_BITS, SLACK = 512, 4.5
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
-#: Rounds over pivots at most; what they leave is tested pair by pair.
-ROUNDS = 6
 #: Words whose hash a worker keeps at hand
 CACHED = 1_000_000
 
@@ -174,48 +167,6 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(similar, "u long, v long"))
 
 
-def _salted(node: str, key: str, turn: int) -> Column:
-    """A number that orders nodes differently in every bucket and round; applied to
-    it again, it gives the node back."""
-    return F.col(node).bitwiseXOR(F.xxhash64(key, F.lit(turn)))
-
-
-def _pivot_pairs(members: DataFrame, details: DataFrame, parts: DataFrame, tested: DataFrame | None, percent: int, turn: int) -> DataFrame:
-    """Per component its likeliest untested pair (``a``, ``b``) of a node and a pivot
-    of another component in the same bucket."""
-    own = members.join(parts.withColumnRenamed("node", "p_node"), F.col("node") == F.col("p_node"), "left").select(
-        "key", "node", F.coalesce("component", "node").alias("part"))
-    reps = own.groupBy("key", "part").agg(F.min(_salted("node", "key", turn)).alias("salted"))
-    pivots = reps.groupBy("key").agg(F.min("salted").alias("salted"), F.count("*").alias("n")).where("n > 1").select(
-        F.col("key").alias("p_key"), _salted("salted", "key", turn).alias("pivot"))
-    pairs = (reps.join(pivots, F.col("key") == F.col("p_key")).select(_salted("salted", "key", turn).alias("node"), "pivot", "part")
-             .where("node <> pivot").distinct())
-    if tested is not None:
-        done = tested.select(F.col("u").alias("t_u"), F.col("v").alias("t_v"))
-        pairs = pairs.join(done, (F.least("node", "pivot") == F.col("t_u")) & (F.greatest("node", "pivot") == F.col("t_v")), "left_anti")
-    pairs = _detailed(_detailed(pairs, details, "node", "a"), details, "pivot", "b").where(_alike("a", "b", percent))
-    best = pairs.groupBy("part").agg(F.min_by(F.struct("a", "b"), F.struct(_bits_apart("a", "b"), "node", "pivot")).alias("pair"))
-    return best.select("pair.*")
-
-
-def _detailed(df: DataFrame, details: DataFrame, node: str, name: str) -> DataFrame:
-    own = details.select(F.col("node").alias("n_node"), F.struct("node", "d1", "n", *SKETCH).alias(name))
-    return df.join(own, F.col(node) == F.col("n_node")).drop("n_node")
-
-
-def _pairs_across(members: DataFrame, details: DataFrame, parts: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """All alike, untested pairs in a bucket that lie in different components."""
-    own = members.join(parts.withColumnRenamed("node", "p_node"), F.col("node") == F.col("p_node"), "left").select(
-        "key", "node", F.coalesce("component", "node").alias("part"))
-    mixed = own.groupBy("key").agg(F.min("part").alias("first"), F.max("part").alias("last")).where("first < last").select("key")
-    own = _detailed(own.join(mixed, "key"), details, "node", "a").select("key", "part", "a")
-    other = own.select(F.col("key").alias("o_key"), F.col("part").alias("o_part"), F.col("a").alias("b"))
-    pairs = own.join(other, (F.col("key") == F.col("o_key")) & (F.col("part") < F.col("o_part")) & _alike("a", "b", percent))
-    pairs = pairs.select("a", "b").dropDuplicates()
-    done = tested.select(F.col("u").alias("t_u"), F.col("v").alias("t_v"))
-    return pairs.join(done, (F.least("a.node", "b.node") == F.col("t_u")) & (F.greatest("a.node", "b.node") == F.col("t_v")), "left_anti")
-
-
 def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, kept``.
 
@@ -223,9 +174,10 @@ def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     ``percent`` or more; ``component_id`` is the smallest id reachable over links,
     and the document of that id is kept. Null, empty and blank texts have no
     shingles and are linked with nothing. A row without an id takes no part: its
-    component is null and it is kept. Rows that repeat an id are one document of
-    several texts: what is linked to one of them is linked to all. An empty table
-    gives an empty result; columns other than ``doc_id`` and ``text`` aren't looked at."""
+    component is null and it is kept. Ids should be unique: of rows that repeat one,
+    each follows its own text's links, and texts with the same smallest id count as
+    linked. An empty table gives an empty result; columns other than ``doc_id`` and
+    ``text`` aren't looked at."""
     docs = docs.select("doc_id", "text")
     rows = stored(signed(docs, width), "signatures")
     in_play = rows.where("doc_id is not null and n_shingles > 0")
@@ -234,29 +186,13 @@ def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     entries = nodes.select(F.explode("bands").alias("key"), "node")
     shared = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = stored(entries.join(shared, "key"), "members")
-    details = nodes.drop("bands")
 
-    def test(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The pairs tested as (u, v), u < v, and those that are linked."""
-        pairs = stored(pairs, "pairs")
+    def confirm(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a.node").alias("w")).unionByName(pairs.select(F.col("b.node").alias("w"))).distinct()
         sets = stored(full_sets(docs.join(wanted, F.col("doc_id") == F.col("w"), "left_semi"), width).dropDuplicates(["doc_id", "d1"]), "sets")
-        links = confirmed(pairs, sets, percent)
-        ordered = [F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")]
-        return (pairs.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")).select(*ordered).distinct(),
-                stored(links.select(F.col("u").alias("x"), F.col("v").alias("y")).select(*ordered), "links"))
-
-    parts = docs.sparkSession.createDataFrame([], "node long, component long")
-    tested, links = None, None
-    for turn in range(ROUNDS):
-        now, found = test(_pivot_pairs(members, details, parts, tested, percent, turn))
-        tested = now if tested is None else tested.unionByName(now)
-        links = found if links is None else links.unionByName(found)
-        if found.isEmpty():
-            break
-        parts = components(links)
-    _, found = test(_pairs_across(members, details, parts, tested, percent))
-    parts = components(links.unionByName(found))
+        return confirmed(pairs, sets, percent)
+
+    parts = linked_components(members, nodes.drop("bands", "d2"), lambda a, b: _alike(a, b, percent), _bits_apart, confirm)
     own = nodes.join(parts.withColumnRenamed("node", "p_node"), F.col("node") == F.col("p_node"), "left").select(
         F.col("d1").alias("n_d1"), F.col("d2").alias("n_d2"), F.coalesce("component", "node").alias("component"))
     return (rows.join(stored(own, "components"), (F.col("d1") == F.col("n_d1")) & (F.col("d2") == F.col("n_d2")) & (F.col("n_shingles") > 0), "left")
@@ -276,7 +212,7 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP7_SQL = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS words
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
   FROM documents),
 s AS (
   SELECT doc_id, list_distinct(CASE len(words) WHEN 0 THEN [] WHEN 1 THEN words
