@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from marketpulse.llm.chat import OP1_SQL, op1_chat_perspectives
 from marketpulse.llm.exact_dedup import OP9_SQL, op9_exact_dedup
-from marketpulse.llm.fingerprints import op2_fingerprints
+from marketpulse.llm.fingerprints import OP2_SQL, op2_fingerprints
 from marketpulse.llm.language_model import op8_language_model
+from marketpulse.llm.line_dedup import op6_fuzzy_lines
 from marketpulse.llm.mixing import OP4_SQL, op4_mix_sources
 from marketpulse.llm.near_dedup import OP7_SQL, op7_near_dedup
 from marketpulse.llm.packing import op10_pack_sequences
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_mix_sources": op4_mix_sources,
     "op5_quality_rules": op5_quality_rules,
+    "op6_fuzzy_lines": op6_fuzzy_lines,
     "op7_near_dedup": op7_near_dedup,
     "op8_language_model": op8_language_model,
     "op9_exact_dedup": op9_exact_dedup,
@@ -26,6 +28,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_chat_perspectives": OP1_SQL,
+    "op2_fingerprints": OP2_SQL,
     "op4_mix_sources": OP4_SQL,
     "op7_near_dedup": OP7_SQL,
     "op9_exact_dedup": OP9_SQL,

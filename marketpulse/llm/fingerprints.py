@@ -165,3 +165,41 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprinted(table(spark, sf_dir, "documents"))
+
+
+def _op2_sql() -> str:
+    equality = ", ".join(f"sum(('0x' || substr(digest, {8 * i + 1}, 8))::BIGINT)::BIGINT & {_WORD32} AS e{i}" for i in range(EQUALITY_LANES))
+    counts = ", ".join(f"sum(({half} >> {k}) & {_BITS})::BIGINT & {_MASK} AS {half}{k}" for half in "ab" for k in range(STRIDE))
+    names = [f"{half}{k}" for half in "ab" for k in range(STRIDE)]
+
+    def hexed(columns: list[str], digits: int) -> str:
+        return " || ".join(f"lpad(lower(to_hex(coalesce({c}, 0))), {digits}, '0')" for c in columns)
+
+    def near(other: str) -> str:
+        more = f"(s.n - {other}.n)"
+        walks = [f"((((((coalesce(s.{c}, 0) >> {at}) & {_FIELD}) - ((coalesce({other}.{c}, 0) >> {at}) & {_FIELD})) * 2 - {more} + {_FIELD + 1}) % {2 * (_FIELD + 1)}"
+                 f" + {2 * (_FIELD + 1)}) % {2 * (_FIELD + 1)} - {_FIELD + 1})" for c in names for at in _AT]
+        off, both = "(" + " + ".join(f"{w} * {w}" for w in walks) + ")::DOUBLE", f"((s.n + {other}.n) * {LANES})::DOUBLE"
+        return f"CASE WHEN s.n = 0 AND {other}.n = 0 THEN 1.0::DOUBLE WHEN s.n = 0 OR {other}.n = 0 THEN 0.0::DOUBLE ELSE greatest(0.0, ({both} - {off}) / ({both} + {off})) END"
+
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER (ORDER BY doc_id DESC NULLS LAST, text) AS nth, count(*) OVER () AS n_docs FROM documents),
+p AS (SELECT a.*, b.text AS next_text, b.nth AS next_nth, length(a.text) AS n_chars FROM d a JOIN d b ON b.nth = a.nth % a.n_docs + 1),
+t AS (
+  SELECT nth, 0 AS edited, text FROM p UNION ALL
+  SELECT nth, 1, substr(text, 1, n_chars - n_chars // 3) || substr(next_text, 1, n_chars // 3) FROM p),
+l AS (SELECT nth, edited, unnest(string_split(text, chr(10))) AS line FROM t),
+e AS (SELECT nth, edited, {equality} FROM (SELECT nth, edited, sha256(line) || sha256('2' || line) AS digest FROM l WHERE line <> '') GROUP BY nth, edited),
+m AS (SELECT nth, edited, md5(unnest(regexp_extract_all(text, '{PIECE}'))) AS digest FROM t),
+h AS (SELECT nth, edited, ('0x' || substr(digest, 1, 15))::BIGINT AS a, ('0x' || substr(digest, 16, 15))::BIGINT AS b FROM m),
+c AS (SELECT nth, edited, count(*) AS n_pieces, {counts} FROM h GROUP BY nth, edited),
+s AS (
+  SELECT t.nth, t.edited, t.text, coalesce(n_pieces, 0) AS n, c.* EXCLUDE (nth, edited, n_pieces),
+    ({hexed([f"e{i}" for i in range(EQUALITY_LANES)], 8)}) || '-' || lower(to_hex(coalesce(n_pieces, 0))) || '-' || ({hexed(names, STRIDE)}) AS fingerprint
+  FROM t LEFT JOIN e ON e.nth = t.nth AND e.edited = t.edited LEFT JOIN c ON c.nth = t.nth AND c.edited = t.edited)
+SELECT p.doc_id, p.n_chars, sha256(x.text) AS edited_sha256, s.fingerprint, x.fingerprint AS edited_fingerprint, {near("x")} AS near_edited, {near("y")} AS near_next
+FROM p JOIN s ON s.nth = p.nth AND s.edited = 0 JOIN s x ON x.nth = p.nth AND x.edited = 1 JOIN s y ON y.nth = p.next_nth AND y.edited = 0
+"""
+
+
+OP2_SQL = _op2_sql()
