@@ -5,8 +5,7 @@ One live row per (email, coin): an upsert replaces threshold and direction and
 keeps ``created_at``; a delete removes the row; an upsert after a delete
 creates a new row with a new ``created_at``.  The fold is two hash
 aggregations (map-side combined) and one key join, so it never needs the log
-in order on one machine.  The per-key delete table is broadcast after a
-row-count check, so a hot key's upserts are not shuffled for the join.
+in order on one machine.  Keys compare null-safely throughout.
 """
 
 from __future__ import annotations
@@ -18,23 +17,33 @@ from marketpulse.functions.labels import (DEFAULT_THRESHOLD, MAX_THRESHOLD, MIN_
                                           effective_threshold)
 from marketpulse.constants import DROP_FORM_LABEL
 from marketpulse.functions.time import epoch_micros
-from marketpulse.operators.joins import broadcast_if_small
 
 KEY = ["email", "coin"]
 
 
 def _order() -> F.Column:
-    return F.struct(F.col("ts"), F.col("seq"))
+    """Log order: by time, then sequence; missing ones come last."""
+    return F.struct(F.col("ts").isNull(), F.col("ts"), F.col("seq").isNull(), F.col("seq"))
+
+
+def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> F.Column:
+    """Null-safe key equality: a missing email or coin is a key like any other."""
+    on = F.lit(True)
+    for k in keys:
+        on = on & left[k].eqNullSafe(right[k])
+    return on
 
 
 def apply_commands(commands: DataFrame) -> DataFrame:
     """K4/K5: current subscriptions from a log (email, coin, op, threshold,
-    direction, ts, seq)."""
-    last_delete = broadcast_if_small(commands.where(F.col("op") == "delete").groupBy(*KEY)
-                                     .agg(F.max(_order()).alias("del_at")), persist=True)
+    direction, ts, seq).
+
+    One aggregation finds each key's last delete, the upserts after it are folded.
+    The planner broadcasts the deletes while they are small."""
+    deletes = commands.where(F.col("op") == "delete").groupBy(*KEY).agg(F.max(_order()).alias("del_at"))
     upserts = commands.where(F.col("op") == "upsert")
-    live = upserts.join(last_delete, KEY, "left").where(F.col("del_at").isNull() | (_order() > F.col("del_at")))
-    return live.groupBy(*KEY).agg(
+    live = upserts.join(deletes, _same(upserts, deletes, KEY), "left").where(F.col("del_at").isNull() | (_order() > F.col("del_at")))
+    return live.select(*[upserts[c] for c in (*KEY, "threshold", "direction", "ts", "seq")]).groupBy(*KEY).agg(
         F.max_by("threshold", _order()).alias("threshold"),
         F.max_by("direction", _order()).alias("direction"),
         F.min("ts").alias("created_at"),
@@ -44,39 +53,32 @@ def apply_commands(commands: DataFrame) -> DataFrame:
 def with_outcome(commands: DataFrame, chunk_seconds: int = 4, day_seconds: int = 86400) -> DataFrame:
     """Outcome of each command in log order: an upsert is ``updated`` when the
     key's previous command was an upsert, else ``created``; a delete is
-    ``deleted`` after an upsert, else ``noop``.
-
-    The previous command is an upsert iff the latest earlier upsert is later
-    than the latest earlier delete.  Both are exclusive prefix maxima of the
-    (ts, seq) order, computed in three levels so no partition holds a whole
-    key: a running max inside (key, day, chunk of ``chunk_seconds``); the
-    max over earlier chunks of the day, from per-chunk aggregates; the max
-    over earlier days, from per-day aggregates.  The levels are joined back on
-    their group keys (one build row per key)."""
+    ``deleted`` after an upsert, else ``noop``.  Every command has an outcome:
+    missing emails and coins are keys, missing times come last.
+
+    The previous command is what counts, so a chunk's first command needs the last
+    command of the chunks before.  That is a running maximum in two levels, so no
+    partition holds a whole key: a ``lag`` inside (key, chunk of ``chunk_seconds``),
+    and over the last command of each chunk, by day and then over days."""
     us = epoch_micros("ts")
-    day = F.floor(us / F.lit(day_seconds * 1_000_000)).alias("_d")
-    chunk = F.floor(us / F.lit(chunk_seconds * 1_000_000)).alias("_c")
-    rows = commands.select("email", "coin", "op", "ts", "seq", day, chunk)
-    up = F.col("op") == "upsert"
-    o = _order()
-    earlier = Window.partitionBy(*KEY, "_d", "_c").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    inner = rows.select("*", F.max(F.when(up, o)).over(earlier).alias("_u0"),
-                        F.max(F.when(~up, o)).over(earlier).alias("_x0"))
-    per_chunk = rows.groupBy(*KEY, "_d", "_c").agg(F.max(F.when(up, o)).alias("_uc"), F.max(F.when(~up, o)).alias("_xc"))
-    chunks_before = Window.partitionBy(*KEY, "_d").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
-    by_chunk = per_chunk.select(*KEY, "_d", "_c", F.max("_uc").over(chunks_before).alias("_u1"),
-                                F.max("_xc").over(chunks_before).alias("_x1"))
-    per_day = per_chunk.groupBy(*KEY, "_d").agg(F.max("_uc").alias("_ud"), F.max("_xc").alias("_xd"))
-    days_before = Window.partitionBy(*KEY).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
-    by_day = per_day.select(*KEY, "_d", F.max("_ud").over(days_before).alias("_u2"),
-                            F.max("_xd").over(days_before).alias("_x2"))
-    res = inner.join(by_chunk, [*KEY, "_d", "_c"]).join(by_day, [*KEY, "_d"])
-    last_up = F.greatest("_u0", "_u1", "_u2")
-    last_del = F.greatest("_x0", "_x1", "_x2")
-    prev_up = last_up.isNotNull() & (last_del.isNull() | (last_up > last_del))
-    outcome = (F.when(up, F.when(prev_up, "updated").otherwise("created"))
-               .otherwise(F.when(prev_up, "deleted").otherwise("noop")))
-    return res.select("email", "coin", "op", "ts", "seq", outcome.alias("outcome"))
+    rows = commands.select("email", "coin", "op", "ts", "seq", F.floor(us / F.lit(day_seconds * 1_000_000)).alias("_d"),
+                           F.floor(us / F.lit(chunk_seconds * 1_000_000)).alias("_c"))
+    in_chunk = Window.partitionBy(*KEY, "_d", "_c").orderBy(F.col("ts").asc_nulls_last(), F.col("seq").asc_nulls_last())
+    lagged = rows.select("*", F.lag("op").over(in_chunk).alias("_prev"))
+
+    def running(level: str, *outer: str):
+        return Window.partitionBy(*KEY, *outer).orderBy(F.col(level).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    by_chunk = rows.groupBy(*KEY, "_d", "_c").agg(F.max_by("op", _order()).alias("_last"))
+    chunks = by_chunk.select(*KEY, "_d", "_c", F.last("_last").over(running("_c", "_d")).alias("_earlier_chunk"))
+    by_day = by_chunk.groupBy(*KEY, "_d").agg(F.max_by("_last", F.struct(F.col("_c").isNull(), "_c")).alias("_last"))
+    days = by_day.select(*KEY, "_d", F.last("_last").over(running("_d")).alias("_earlier_day"))
+    before = chunks.join(days, _same(chunks, days, [*KEY, "_d"]), "inner").select(
+        *[chunks[c] for c in (*KEY, "_d", "_c")], F.coalesce("_earlier_chunk", "_earlier_day").alias("_before"))
+    res = lagged.join(before, _same(lagged, before, [*KEY, "_d", "_c"]), "inner")
+    after_upsert = F.coalesce(F.col("_prev"), F.col("_before")) == "upsert"
+    outcome = (F.when(lagged["op"] == "upsert", F.when(after_upsert, "updated").otherwise("created"))
+               .otherwise(F.when(after_upsert, "deleted").otherwise("noop")))
+    return res.select(*[lagged[c] for c in ("email", "coin", "op", "ts", "seq")], outcome.alias("outcome"))
 
 
 def normalise_command(form: DataFrame) -> DataFrame:
