@@ -52,7 +52,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running lineage-cutting operators")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="mp-ckpt-"))
     return sc.getCheckpointDir()
@@ -64,6 +64,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and its Path class."""
+    cls = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return cls(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), cls
+
+
 def cluster_settings(input_bytes: int, executor_cores: int, executors: int,
                      target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a cluster run over ``input_bytes`` of input.

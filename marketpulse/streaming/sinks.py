@@ -1,16 +1,27 @@
 """Micro-batch sinks.
 
-Every sink writes a batch as the partition ``(stream_id, batch_id)`` with
-dynamic partition overwrite, so a replayed batch (after a failure between
-the write and the checkpoint commit) replaces its own rows instead of
-duplicating them.  ``stream_id`` is tied to the checkpoint: a new checkpoint
+Every sink writes a batch as the partition ``(stream_id, batch_id)``, after
+clearing what an earlier try of the batch left there, so a replayed batch (after
+a failure between the write and the checkpoint commit) replaces its own rows,
+also when it has none any more, instead of duplicating or keeping them.  ``stream_id`` is tied to the checkpoint: a new checkpoint
 restarts batch ids at 0 and must not overwrite the history of the old one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from marketpulse.session import file_system
+from marketpulse.sources.codec import read_or_empty
+
+
+def delete_folders(spark: SparkSession, pattern: str) -> None:
+    """Delete the folders that a glob pattern matches (a sink's partitions)."""
+    fs, cls = file_system(spark, pattern)
+    for found in fs.globStatus(cls(pattern)) or []:
+        fs.delete(found.getPath(), True)
 
 
 def append_batch(df: DataFrame, batch_id: int, path: str, stream_id: str, preview: bool = False,
@@ -21,17 +32,17 @@ def append_batch(df: DataFrame, batch_id: int, path: str, stream_id: str, previe
     written directly (``skip_empty=False``) so it is computed only once, and
     an empty one simply creates no partition.  ``date_from`` adds a leading
     ``date`` partition derived from that instant column, for range pruning."""
+    parts = ["stream_id", "batch_id"] if date_from is None else ["date", "stream_id", "batch_id"]
+    dates = "" if date_from is None else "date=*/"
+    delete_folders(df.sparkSession, f"{path}/{dates}stream_id={stream_id}/batch_id={int(batch_id)}")
     if skip_empty and df.isEmpty():
         return 0
     obs = Observation(f"rows_{stream_id}_{batch_id}")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    parts = ["stream_id", "batch_id"]
     if date_from is not None:
         out = out.withColumn("date", F.to_date(date_from))
-        parts = ["date"] + parts
     out = out.withColumn("stream_id", F.lit(stream_id)).withColumn("batch_id", F.lit(int(batch_id)))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*parts).format(fmt).save(path))
+    out.write.mode("append").partitionBy(*parts).format(fmt).save(path)
     if preview:
         df.show(truncate=False)
     return int(obs.get["rows"])
@@ -42,36 +53,47 @@ def append_summary(summary: DataFrame, batch_id: int, path: str, stream_id: str,
     return append_batch(summary, batch_id, path, stream_id, preview, skip_empty=False)
 
 
-def read_table(spark, path: str, keep_batch_columns: bool = False) -> DataFrame:
-    """Read a sink back (the history scan, S6)."""
-    df = spark.read.parquet(path)
+def read_table(spark, path: str, keep_batch_columns: bool = False, schema: T.StructType | None = None) -> DataFrame:
+    """Read a sink back (the history scan, S6).  With a ``schema``, a sink that
+    nothing was written to yet is an empty frame."""
+    df = spark.read.parquet(path) if schema is None else read_or_empty(spark, path, schema)
     return df if keep_batch_columns else df.drop("stream_id", "batch_id", "date")
 
 
-
 def compact_date(spark, path: str, date: str, rows_per_file: int = 5_000_000) -> int:
     """Merge the per-batch files of one closed ``date`` partition of a sink
-    written with ``date_from``.
+    written with ``date_from``, per stream id into a negative batch id.  Returns the
+    number of rows compacted.
 
-    All rows of that date are appended, per stream id, to a fresh negative
-    batch id (files of about ``rows_per_file`` rows), then the merged batch
-    folders are deleted.  Readers (``read_table``) ignore batch ids, so the
-    table reads the same before and after.  Run it on dates no micro-batch
-    writes any more: a replay into a merged batch would add its rows again,
-    and between the append and the delete a reader sees the rows twice (never
-    zero times).  Returns the number of rows compacted."""
-    day = spark.read.parquet(path).where(F.col("date") == F.lit(date).cast("date"))
-    parts = [(r["stream_id"], r["batch_id"]) for r in day.select("stream_id", "batch_id").distinct().collect()]
-    if len(parts) <= 1:
-        return 0
-    target = min([b for _, b in parts if b < 0], default=0) - 1
-    n = day.count()
-    files = max(1, -(-n // rows_per_file))
-    (day.withColumn("batch_id", F.lit(target)).repartition(files)
-     .write.mode("append").partitionBy("date", "stream_id", "batch_id").parquet(path))
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for stream_id, batch_id in parts:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/date={date}/stream_id={stream_id}/batch_id={batch_id}")
-        folder.getFileSystem(conf).delete(folder, True)
-    return n
+    Restartable at every point: the merged files are written beside the table
+    (readers skip folders that start with an underscore), and only a finished merge
+    replaces the batches, by deleting them and moving it in.  A run that finds a
+    finished merge goes on from there; an unfinished one is written anew.  Run it on
+    dates no micro-batch writes any more.  Readers never see a row twice; while the
+    batches are replaced they may miss the date."""
+    staging = f"{path}/_compact/date={date}"
+    fs, cls = file_system(spark, path)
+    merged = 0
+    if not fs.exists(cls(f"{staging}/_SUCCESS")):
+        delete_folders(spark, staging)
+        if not fs.globStatus(cls(f"{path}/date={date}")):
+            return 0
+        day = spark.read.option("basePath", path).parquet(f"{path}/date={date}")
+        batches = [r["batch_id"] for r in day.select("batch_id").distinct().collect()]  # at most the triggers of a day
+        if len(batches) <= 1:
+            return 0
+        target = min([b for b in batches if b < 0], default=0) - 1
+        merged = day.count()
+        (day.drop("date").withColumn("batch_id", F.lit(target)).repartition(max(1, -(-merged // rows_per_file)))
+         .write.mode("overwrite").partitionBy("stream_id", "batch_id").parquet(staging))
+    streams = [s.getPath() for s in fs.globStatus(cls(f"{staging}/stream_id=*"))]
+    kept = {f"{s.getName()}/{b.getPath().getName()}" for s in streams for b in fs.listStatus(s)}
+    for old in fs.globStatus(cls(f"{path}/date={date}/stream_id=*/batch_id=*")) or []:
+        if f"{old.getPath().getParent().getName()}/{old.getPath().getName()}" not in kept:  # what was moved in before stays
+            fs.delete(old.getPath(), True)
+    for stream in streams:
+        fs.mkdirs(cls(f"{path}/date={date}/{stream.getName()}"))
+        for batch in fs.listStatus(stream):
+            fs.rename(batch.getPath(), cls(f"{path}/date={date}/{stream.getName()}/{batch.getPath().getName()}"))
+    delete_folders(spark, staging)
+    return merged
