@@ -16,5 +16,10 @@ ARTICLES_PER_COIN = 10            # newest articles kept per coin and poll
 ARTICLE_LANGUAGE = "en"           # language of selected articles
 UNKNOWN_SOURCE = "unknown"        # source name when an article has none
 DROP_FORM_LABEL = "Drops by"      # form choice meaning direction "drop"
+DROP_SUBJECT_VERB = "dropped"     # alert subject, by direction
+RISE_SUBJECT_VERB = "surged"
+DROP_BODY_VERB = "dropped"        # alert body, by direction
+RISE_BODY_VERB = "risen"
+THRESHOLD_PHRASE = "Your threshold"
 TICK_TRIGGER = "30 seconds"       # tick micro-batch trigger
 SENTIMENT_TRIGGER = "60 seconds"  # article micro-batch trigger

@@ -8,7 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from marketpulse.constants import (DEFAULT_THRESHOLD, MAX_THRESHOLD, MIN_THRESHOLD,  # noqa: F401 (re-exported)
-                                   NEGATIVE_BELOW, POSITIVE_ABOVE, VOLUME_UNIT)
+                                   DROP_BODY_VERB, DROP_SUBJECT_VERB, NEGATIVE_BELOW, POSITIVE_ABOVE,
+                                   RISE_BODY_VERB, RISE_SUBJECT_VERB, THRESHOLD_PHRASE, VOLUME_UNIT)
 
 
 def _c(x) -> Column:
@@ -21,8 +22,9 @@ def nan_to_null(x) -> Column:
 
 
 def direction(change) -> Column:
-    """``drop`` below zero, ``rise`` above, null for zero or null."""
-    c = _c(change)
+    """``drop`` below zero, ``rise`` above, null for zero, null or NaN
+    (Spark orders NaN above every number)."""
+    c = nan_to_null(change)
     return F.when(c < 0, F.lit("drop")).when(c > 0, F.lit("rise"))
 
 
@@ -38,8 +40,8 @@ def threshold_hit(change, threshold, dirn) -> Column:
 
 
 def trend(change) -> Column:
-    """``up`` for change >= 0 (zero is up), ``down`` otherwise incl. null."""
-    c = _c(change)
+    """``up`` for change >= 0 (zero is up), ``down`` otherwise incl. null and NaN."""
+    c = nan_to_null(change)
     return F.when(c >= 0, F.lit("up")).otherwise(F.lit("down"))
 
 
@@ -88,7 +90,7 @@ def describe_subscription(dirn, threshold) -> Column:
 
 def alert_subject(coin, dirn, change) -> Column:
     """P9 subject: name, verb by direction, |change| at 2 dp."""
-    verb = F.when(_c(dirn) == "drop", F.lit("dropped")).otherwise(F.lit("surged"))
+    verb = F.when(_c(dirn) == "drop", F.lit(DROP_SUBJECT_VERB)).otherwise(F.lit(RISE_SUBJECT_VERB))
     return F.concat(
         F.lit("Price alert: "), display_name(coin), F.lit(" "), verb, F.lit(" "),
         _plain_fixed(F.abs(_c(change)), 2), F.lit("%"),
@@ -97,11 +99,11 @@ def alert_subject(coin, dirn, change) -> Column:
 
 def alert_body_head(coin, dirn, change, price) -> Column:
     """The tick part of the P9 body (everything before the threshold)."""
-    verb = F.when(_c(dirn) == "drop", F.lit("dropped")).otherwise(F.lit("risen"))
+    verb = F.when(_c(dirn) == "drop", F.lit(DROP_BODY_VERB)).otherwise(F.lit(RISE_BODY_VERB))
     return F.concat(
         display_name(coin), F.lit(" has "), verb, F.lit(" "), _plain_fixed(F.abs(_c(change)), 2),
         F.lit("% over 24h. Price now $"), F.coalesce(F.format_number(_c(price), 4), F.lit("n/a")),
-        F.lit(". Your threshold: "),
+        F.lit(f". {THRESHOLD_PHRASE}: "),
     )
 
 

@@ -2,8 +2,11 @@
 
 Rule (sequential form): walk a coin's ticks in (time, seq) order; a tick with a
 non-null, non-zero change is *kept* when at least ``C`` seconds passed since
-the coin's last kept tick, and keeping it restarts the cooldown.  Zero and
-null changes never touch the state, so they are dropped up front.
+the coin's last kept tick, and keeping it restarts the cooldown.  Zero, null
+and NaN changes never touch the state, so they are dropped up front.  Of the
+ticks of one instant only the first can be kept, so the job works on distinct
+instants; redelivered ticks and ticks without a ``seq`` need no more than an
+order among equals at the end.
 
 A per-coin fold would put all of a hot coin's ticks through one task.  This
 module computes the same set with joins and windows only:
@@ -41,8 +44,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketpulse.constants import COOLDOWN_SECONDS
+from marketpulse.functions.labels import nan_to_null
 from marketpulse.functions.time import epoch_micros
-from marketpulse.operators.joins import broadcast_if_small
+from marketpulse.operators.joins import within_broadcast_limit
 from marketpulse.session import checkpoint_dir
 
 DEFAULT_COOLDOWN_SECONDS = COOLDOWN_SECONDS
@@ -55,10 +59,9 @@ SMALL_LEVEL_ROWS = 2_000_000
 # lookup is one window per bucket; otherwise it runs on distinct instants in
 # sub-bucket chunks
 SMALL_BUCKET_ROWS = 1_000_000
-# the down-sweep's entering-state table has at most three rows per occupied
-# bucket (two children per block, counted over all coins); it is broadcast
-# when the measured number of occupied buckets is within this (<= 750k rows)
-BROADCAST_STATES = 250_000
+# bytes of a row of the down-sweep's entering-state table, of which there are at
+# most three per occupied bucket
+STATE_BYTES = 64
 
 
 class Scratch:
@@ -93,10 +96,25 @@ def materialize(df: DataFrame, name: str, scratch: Scratch | None = None) -> Dat
     return spark.read.parquet(path)
 
 
-def candidates(df: DataFrame, key: str, ts: str, seq: str, change: str) -> DataFrame:
-    c = F.col(change)
-    return (df.where(F.col(key).isNotNull() & F.col(ts).isNotNull() & c.isNotNull() & (c != 0))
-            .select(F.col(key).alias("key"), epoch_micros(ts).alias("t"), F.col(seq).alias("s")))
+def may_alert(change: str) -> F.Column:
+    """Ticks that the cooldown looks at: a change that is there and not zero."""
+    c = nan_to_null(change)
+    return c.isNotNull() & (c != 0)
+
+
+def tick_order(df: DataFrame, key: str, ts: str, seq: str) -> F.Column:
+    """Order among a coin's ticks: by time, then ingest sequence, what is missing
+    last; ticks without a sequence at one instant by their other columns."""
+    first = [c for c in (ts, seq) if c in df.columns]
+    rest = [c for c in df.columns if c not in (key, ts, seq)]
+    return F.struct(*[x for i, c in enumerate(first) for x in (F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_v{i}"))],
+                    *[F.col(c).alias(f"_r{i}") for i, c in enumerate(rest)])
+
+
+def candidates(df: DataFrame, key: str, ts: str, change: str) -> DataFrame:
+    """(key, t) of the instants at which a coin may keep a tick; ``s`` is unused."""
+    return (df.where(F.col(key).isNotNull() & F.col(ts).isNotNull() & may_alert(change))
+            .select(F.col(key).alias("key"), epoch_micros(ts).alias("t")).distinct().withColumn("s", F.lit(0).cast("long")))
 
 
 def first_at_or_after(targets: DataFrame, probes: DataFrame, cooldown_us: int, chunks: int = 1024) -> DataFrame:
@@ -228,9 +246,9 @@ def kept_ticks(cand: DataFrame, cooldown_us: int, scratch: Scratch | None = None
 
     # 3b. down-sweep: entering state of every block, top to bottom.  The
     # entering-state table has at most three rows per occupied bucket
-    # (measured above), so below that bound it is broadcast and the level
-    # tables are scanned in place instead of shuffled.
-    small_enter = int(stats["b"] or 0) <= BROADCAST_STATES
+    # (measured above); while that is under the session's broadcast limit, the
+    # level tables are scanned in place instead of shuffled.
+    small_enter = within_broadcast_limit(cand.sparkSession, 3 * STATE_BYTES * int(stats["b"] or 0))
     hint = F.broadcast if small_enter else (lambda d: d)
     enter = buckets.where(F.col("r") == 0).select("key", F.lit(0).cast("long").alias("j"),
                                                   bot.alias("e_t"), bot.alias("e_s"))
@@ -255,31 +273,53 @@ def cooldown(df: DataFrame, seconds: float = DEFAULT_COOLDOWN_SECONDS, key: str
     """Ticks of ``df`` that pass the per-coin cooldown (event time), as a
     table written to the shared checkpoint folder.
 
-    ``seq`` is the ingest sequence (e.g. a topic offset) and is unique per
-    coin, so it breaks ties between equal instants; a redelivered message has
-    its own sequence number and is skipped like any tick inside the cooldown.
+    ``seq`` is the ingest sequence (e.g. a topic offset) and orders ticks of one
+    instant; it may be null or missing (see ``tick_order``).  A redelivered tick is
+    skipped like any tick inside the cooldown.  Ticks without a time can't be placed
+    in event time and are not kept.
 
     ``ready`` optionally carries state from earlier input: rows ``(key,
     ready_at)`` with the earliest instant (naive UTC) at which the coin may keep
     a tick again; older ticks of that coin are skipped.  This is how the
-    streaming form continues a coin's chain across micro-batches."""
+    streaming form continues a coin's chain across micro-batches.
+
+    Without a ``scratch`` of the caller's, intermediate tables are freed here."""
+    if seconds <= 0:
+        raise ValueError("a cooldown takes more than 0 seconds")
+    own = Scratch() if scratch is None else scratch
     cooldown_us = int(round(seconds * 1_000_000))
-    cand = candidates(df, key, ts, seq, change)
+    cand = candidates(df, key, ts, change)
     if ready is not None:
-        r = broadcast_if_small(ready.select(F.col(key).alias("key"), epoch_micros("ready_at").alias("ready_t")))
+        r = ready.select(F.col(key).alias("key"), epoch_micros("ready_at").alias("ready_t"))
         cand = cand.join(r, "key", "left").where(F.col("ready_t").isNull() | (F.col("t") >= F.col("ready_t"))) \
             .drop("ready_t")
-    kept = materialize(kept_ticks(cand, cooldown_us, scratch, small_level_rows, small_bucket_rows), "cooldown-kept",
-                       scratch)
-    cond = ((F.col(key) == F.col("_k.key")) & (F.col(seq) == F.col("_k.s"))
-            & (epoch_micros(ts) == F.col("_k.t")))
-    # both tables are written: at most one row per coin-bucket, so the planner
-    # sees their real size and broadcasts them while they are small
-    return materialize(df.join(kept.alias("_k"), cond, "left_semi"), "cooldown-cooled", scratch)
+    kept = materialize(kept_ticks(cand, cooldown_us, own, small_level_rows, small_bucket_rows), "cooldown-kept", own)
+    # a written table of at most one row per coin-bucket: the planner sees its
+    # real size and broadcasts it while it is small
+    there = (F.col(key) == F.col("_k.key")) & (epoch_micros(ts) == F.col("_k.t"))
+    at_instant = df.where(may_alert(change)).join(kept.alias("_k"), there, "left_semi")
+    first = F.min_by(F.struct(*df.columns), tick_order(df, key, ts, seq)).alias("_row")
+    cooled = materialize(at_instant.groupBy(key, ts).agg(first).select("_row.*"), "cooldown-cooled", scratch)
+    if scratch is None:
+        own.release()
+    return cooled
+
+
+def cooldown_by_arrival(df: DataFrame, now, ready: DataFrame | None = None, key: str = "id", ts: str = "timestamp",
+                        seq: str = "seq", change: str = "price_change_pct_24h") -> DataFrame:
+    """T1 by processing time for one micro-batch: all its ticks arrive at ``now``
+    (naive UTC), so of each coin that is ready by then the first tick is kept,
+    whatever times the ticks bear, none included."""
+    rows = df.where(F.col(key).isNotNull() & may_alert(change))
+    if ready is not None:
+        blocked = ready.where(F.col("ready_at") > F.lit(now).cast("timestamp_ntz")).select(F.col(key).alias("_blocked"))
+        rows = rows.join(blocked, F.col(key) == F.col("_blocked"), "left_anti")
+    return rows.groupBy(key).agg(F.min_by(F.struct(*df.columns), tick_order(df, key, ts, seq)).alias("_row")).select("_row.*")
 
 
 def next_ready(kept: DataFrame, seconds: float = DEFAULT_COOLDOWN_SECONDS, key: str = "id",
-               ts: str = "timestamp") -> DataFrame:
-    """Carried state after a run: per coin, last kept instant + cooldown."""
-    return kept.groupBy(key).agg(
-        (F.max(ts) + F.make_dt_interval(secs=F.lit(float(seconds)))).alias("ready_at"))
+               ts: str = "timestamp", now=None) -> DataFrame:
+    """Carried state after a run: per coin, last kept instant + cooldown (by
+    processing time: ``now`` + cooldown)."""
+    last = F.max(ts) if now is None else F.max(F.lit(now).cast("timestamp_ntz"))
+    return kept.groupBy(key).agg((last + F.make_dt_interval(secs=F.lit(float(seconds)))).alias("ready_at"))

@@ -1,27 +1,27 @@
-"""Join helpers: a broadcast hint only behind a measured size bound."""
+"""Join helpers: a broadcast hint only where the planner itself would broadcast."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# dictionary-like inputs (lexicons, topic terms, coin universes) above this
-# many rows are joined by shuffle (with AQE skew splitting) instead
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, persist: bool = False) -> DataFrame:
-    """Hint a broadcast of ``df`` only when it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap for a big
-    input; beyond the bound the join is left to the planner and AQE.  For a
-    derived table (an aggregate) ``persist`` keeps what the check computed, so
-    the join does not compute it again; a table found too big is released."""
-    if persist:
-        df = df.persist()
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df)
-    if persist:
-        df.unpersist()
-    return df
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+
+
+def within_broadcast_limit(spark: SparkSession, size_bytes: int) -> bool:
+    """Whether a table of this (measured) size is under the session's own
+    ``spark.sql.autoBroadcastJoinThreshold``.  For derived tables whose size the
+    planner can only overestimate; beyond the limit the join stays a shuffle."""
+    limit = re.fullmatch(r"(-?\d+)([a-z]*)", spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m").lower())
+    return size_bytes <= int(limit[1]) * _UNITS[limit[2]]
+
+
+def broadcast_within_limit(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if its measured size is under the session's
+    limit.  For dictionaries (lexicons, topics): the planner knows no size of a
+    frame made from rows and would shuffle the stream that probes it."""
+    strings = [F.sum(F.octet_length(c)) for c, t in df.dtypes if t == "string"]
+    n, *octets = df.agg(F.count(F.lit(1)), *strings).first()
+    return F.broadcast(df) if within_broadcast_limit(df.sparkSession, 16 * n * (1 + len(df.columns)) + sum(x or 0 for x in octets)) else df

@@ -10,6 +10,7 @@ so a replayed batch reads the same state and rewrites the same output.
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 from collections.abc import Callable
 
@@ -21,9 +22,11 @@ from pyspark.sql.streaming import StreamingQuery
 from marketpulse.constants import BUCKET_WIDTH, SENTIMENT_TRIGGER, TICK_TRIGGER
 from marketpulse.functions.time import naive_utc, zoned
 from marketpulse.operators.alerts import match_alerts
-from marketpulse.operators.cooldown import DEFAULT_COOLDOWN_SECONDS, Scratch, cooldown, next_ready
+from marketpulse.operators.cooldown import (DEFAULT_COOLDOWN_SECONDS, Scratch, cooldown, cooldown_by_arrival, materialize,
+                                            next_ready)
 from marketpulse.operators.sentiment import sentiment_summary
-from marketpulse.streaming.sinks import append_batch, append_summary
+from marketpulse.schemas import TICK_VALUE_COLUMNS
+from marketpulse.streaming.sinks import append_batch, append_summary, delete_folders
 
 
 
@@ -55,7 +58,8 @@ def run_to_end(query: StreamingQuery) -> None:
 class CooldownState:
     """Per-coin ``ready_at`` carried between micro-batches, one small Parquet
     partition per batch id (cumulative, so batch ``n`` reads only ``n-1``),
-    under the stream id of the checkpoint: a new checkpoint starts fresh."""
+    under the stream id of the checkpoint: a new checkpoint starts fresh.  Only the
+    last two are kept: when batch ``n`` runs, ``n-2`` is committed for good."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -73,12 +77,15 @@ class CooldownState:
     def carry(self, batch_id: int, prev: DataFrame | None) -> None:
         """Empty batch: the state after it is the state before it."""
         if prev is not None:
-            prev.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+            self._replace(batch_id, prev)
 
-    def write(self, batch_id: int, prev: DataFrame | None, kept: DataFrame, seconds: float) -> None:
-        new = next_ready(kept, seconds)
+    def write(self, batch_id: int, prev: DataFrame | None, new: DataFrame) -> None:
         merged = new if prev is None else prev.unionByName(new).groupBy("id").agg(F.max("ready_at").alias("ready_at"))
-        merged.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        self._replace(batch_id, merged)
+
+    def _replace(self, batch_id: int, state: DataFrame) -> None:
+        state.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        delete_folders(self.spark, f"{self.path}/batch_id={batch_id - 2}")
 
 
 def cooldown_batch_fn(state: CooldownState, out_path: str, stream_id: str,
@@ -97,7 +104,7 @@ def cooldown_batch_fn(state: CooldownState, out_path: str, stream_id: str,
             append_batch(kept, batch_id, out_path, stream_id, skip_empty=False)
             if on_kept is not None:
                 on_kept(kept, batch_id)
-            state.write(batch_id, prev, kept, seconds)
+            state.write(batch_id, prev, next_ready(kept, seconds))
         finally:
             scratch.release()
             batch.unpersist()
@@ -116,12 +123,25 @@ def cooldown_stream(ticks: DataFrame, out_path: str, state_path: str, checkpoint
 
 def tick_job(ticks: DataFrame, history_path: str, alerts_path: str, dead_letter_path: str, state_path: str,
              subscriptions: Callable[[], DataFrame], checkpoint: str, stream_id: str | None = None,
-             seconds: float = DEFAULT_COOLDOWN_SECONDS, preview: bool = False, **trigger) -> StreamingQuery:
-    """Decoded tick stream -> history (K1), dead letters for rows without an
-    id, cooldown (T1) with carried state, alert match (J1) against the
-    subscription table as it is at this batch, alert outbox (K6)."""
+             seconds: float = DEFAULT_COOLDOWN_SECONDS, preview: bool = False, clock: str = "event",
+             now: Callable[[int], object] | None = None, **trigger) -> StreamingQuery:
+    """Decoded tick stream -> history (K1), cooldown (T1) with carried state,
+    alert match (J1) against the subscription table as it is at this batch, alert
+    outbox (K6), and dead letters for ticks that the cooldown can't look at.
+
+    ``clock="event"`` measures the cooldown on the ticks' own times; a tick without
+    a time goes to the dead letters (``reason`` "no time") besides the history.
+    ``clock="processing"`` measures it on the batches' arrival (``now(batch_id)``,
+    by default the time of the batch), so a tick's time, or lack of one, doesn't
+    matter.  A tick without an id only goes to the dead letters ("no id")."""
+    if clock not in ("event", "processing"):
+        raise ValueError(f"unknown clock {clock!r}")
     stream_id = stream_id or stream_id_for(checkpoint)
     state = CooldownState(ticks.sparkSession, f"{state_path}/stream_id={stream_id}")
+    no_id = F.col("id").isNull()
+    reason = F.when(no_id, F.lit("no id"))
+    if clock == "event":
+        reason = reason.when(F.col("timestamp").isNull(), F.lit("no time"))
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch, scratch = batch.persist(), Scratch()
@@ -130,14 +150,19 @@ def tick_job(ticks: DataFrame, history_path: str, alerts_path: str, dead_letter_
             if batch.isEmpty():  # K7: nothing to do but carry the state forward
                 state.carry(batch_id, prev)
                 return
-            good = batch.where(F.col("id").isNotNull())
-            append_batch(batch.where(F.col("id").isNull()), batch_id, dead_letter_path, stream_id, skip_empty=False)
+            good = batch.where(~no_id)
+            append_batch(batch.withColumn("reason", reason).where("reason is not null"), batch_id, dead_letter_path, stream_id, skip_empty=False)
             append_batch(good, batch_id, history_path, stream_id, preview=preview, date_from="timestamp",
                          skip_empty=False)
-            kept = cooldown(good, seconds, ready=prev, scratch=scratch)
+            at = None
+            if clock == "processing":
+                at = now(batch_id) if now is not None else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+                kept = materialize(cooldown_by_arrival(good, at, prev), "cooldown-cooled", scratch)
+            else:
+                kept = cooldown(good, seconds, ready=prev, scratch=scratch)
             alerts = match_alerts(kept, subscriptions(), render=True)
             append_batch(alerts, batch_id, alerts_path, stream_id, skip_empty=False)
-            state.write(batch_id, prev, kept, seconds)
+            state.write(batch_id, prev, next_ready(kept, seconds, now=at))
         finally:
             scratch.release()
             batch.unpersist()
@@ -166,7 +191,7 @@ def sentiment_job(articles: DataFrame, raw_path: str, summary_path: str, checkpo
 
 
 def resample_stream(ticks: DataFrame, width: str = BUCKET_WIDTH, delay: str = "1 hour",
-                    values: tuple[str, ...] = ("current_price", "price_change_pct_24h", "total_volume")) -> DataFrame:
+                    values: tuple[str, ...] = tuple(TICK_VALUE_COLUMNS)) -> DataFrame:
     """W1 on a stream: event-time buckets closed by a watermark, last non-null
     value per column; append mode emits a bucket once the watermark passes
     its end, later rows for it are dropped.  Empty buckets are not emitted."""
