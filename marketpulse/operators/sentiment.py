@@ -1,10 +1,11 @@
 """Article scoring and sentiment summaries.
 
 Text is tokenised on executors with built-in string functions; the lexicon and
-topic tables join the token stream *inside* each partition (broadcast after a
-row-count check, shuffle join beyond it), and the per-article aggregation
-combines map-side, because all tokens of an article come from one input row.
-Only one partial row per article crosses the shuffle; whole texts are scored.
+topic tables join the token stream *inside* each partition while they are under
+the session's broadcast limit, and the per-article aggregation combines map-side, because
+all tokens of an article come from one input row.  Only one partial row per
+article crosses the shuffle; whole texts are scored, and scores and means are
+not rounded.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from pyspark.sql import functions as F
 from marketpulse.constants import ARTICLE_LANGUAGE, ARTICLES_PER_COIN
 from marketpulse.functions.labels import sentiment_label
 from marketpulse.functions.time import now_utc
-from marketpulse.operators.joins import broadcast_if_small
+from marketpulse.operators.joins import broadcast_within_limit
 
 # token = maximal run of letters (any script), case-folded
 NON_LETTERS = r"[^\p{L}]+"
-SCORE_DIGITS = 9
+# polarities are summed exactly at this precision
+POLARITY = "decimal(18,9)"
 
 
 def tokens(text) -> F.Column:
@@ -32,44 +34,51 @@ def score_text(articles: DataFrame, lexicon: DataFrame, id_col: str = "doc_id",
     """X1 + P5: polarity in [-1, 1] per article = mean polarity of its tokens
     found in the lexicon (every occurrence counts), 0.0 when none is found.
 
-    The lexicon is broadcast when it is dictionary-sized (checked), so the
-    token stream is never shuffled; ``keep`` columns ride along with the
-    article id through the per-article aggregate (never the text itself)."""
-    lex = broadcast_if_small(lexicon.select(F.lower("word").alias("_tok"), F.col("polarity").alias("_pol")))
-    toks = articles.select(F.col(id_col), *keep, F.explode_outer(tokens(text)).alias("_tok"))
-    scored = toks.join(lex, "_tok", "left").groupBy(id_col, *keep).agg(F.avg("_pol").alias("_avg"))
-    score = F.round(F.coalesce(F.col("_avg"), F.lit(0.0)), SCORE_DIGITS)
-    return scored.select(id_col, *keep, score.alias("sentiment_score"), sentiment_label(score).alias("sentiment_label"))
+    One row per input row, also where ids repeat: rows are told apart by a number
+    of their own, which is also the only grouping key; ``keep`` columns ride along
+    as values.  A word that the lexicon lists more than once (or in two cases)
+    counts once, with its mean polarity.  Polarities are summed as decimals, so the
+    score, which is not rounded, does not depend on the order of the sum."""
+    lex = broadcast_within_limit(lexicon.groupBy(F.lower("word").alias("_tok")).agg(F.avg("polarity").cast(POLARITY).alias("_pol")))
+    rows = articles.select(F.monotonically_increasing_id().alias("_row"), F.struct(id_col, *keep).alias("_keep"), tokens(text).alias("_toks"))
+    toks = rows.select("_row", "_keep", F.posexplode_outer("_toks").alias("_pos", "_tok"))
+    # the first token's row carries the article's columns, the others only its number
+    toks = toks.withColumn("_keep", F.when(F.coalesce(F.col("_pos") == 0, F.lit(True)), F.col("_keep")))
+    scored = toks.join(lex, "_tok", "left").groupBy("_row").agg(
+        F.first("_keep", ignorenulls=True).alias("_keep"), F.sum("_pol").cast("double").alias("_sum"), F.count("_pol").alias("_n"))
+    score = F.coalesce(F.try_divide("_sum", F.col("_n").cast("double")), F.lit(0.0))
+    return scored.select("_keep.*", score.alias("sentiment_score"), sentiment_label(score).alias("sentiment_label"))
 
 
 def with_scores(articles: DataFrame, lexicon: DataFrame, keep: tuple[str, ...] = ("coin",), id_col: str = "doc_id",
                 text: str = "text") -> DataFrame:
-    """Article id, the short ``keep`` columns, score and label."""
+    """Article id, the ``keep`` columns, score and label."""
     return score_text(articles, lexicon, id_col, text, keep)
 
 
 def select_articles(articles: DataFrame, topics: DataFrame, lang: str | None = ARTICLE_LANGUAGE,
                     k: int = ARTICLES_PER_COIN,
-                    id_col: str = "doc_id", text: str = "text", published: str = "published_at") -> DataFrame:
+                    id_col: str = "doc_id", text: str = "text", published: str = "published_at",
+                    keep: tuple[str, ...] = ()) -> DataFrame:
     """Per topic, the ``k`` newest articles (ties by id) in ``lang`` whose
     tokens contain every term of the topic (case-insensitive).  An article
     matching several topics is returned once per topic.
 
-    The (topic, term, number of terms) table is broadcast when small
-    (checked); each article's distinct tokens probe it in place, and the hit
+    The (topic, term, number of terms) table is broadcast while its size is under
+    the session's limit; each article's distinct tokens then probe it in place, and the hit
     count per (topic, article) combines map-side.  The top-k window gets a
-    partial group limit before its shuffle."""
+    partial group limit before its shuffle.  ``keep`` columns of the chosen
+    articles are joined back by id, after the choice."""
     src = articles if lang is None else articles.where(F.col("lang") == lang)
     terms = (topics.select(F.col("coin").alias("topic"), F.explode("terms").alias("_tok"))
              .select("topic", F.lower("_tok").alias("_tok")).distinct())
-    terms = terms.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("topic")))
-    terms = broadcast_if_small(terms)
+    terms = broadcast_within_limit(terms.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("topic"))))
     toks = src.select(F.col(id_col), F.col(published), F.explode(F.array_distinct(tokens(text))).alias("_tok"))
     hits = toks.join(terms, "_tok").groupBy("topic", "_n", id_col, published).agg(F.count(F.lit(1)).alias("_hit"))
     matched = hits.where(F.col("_hit") == F.col("_n"))
     w = Window.partitionBy("topic").orderBy(F.col(published).desc(), F.col(id_col).asc())
-    return (matched.select("topic", id_col, published, F.row_number().over(w).alias("rank"))
-            .where(F.col("rank") <= k))
+    chosen = matched.select("topic", id_col, published, F.row_number().over(w).alias("rank")).where(F.col("rank") <= k)
+    return chosen.join(src.select(id_col, published, *keep), [id_col, published]) if keep else chosen
 
 
 def sentiment_summary(scored: DataFrame, as_of=None, coin: str = "coin", score: str = "sentiment_score") -> DataFrame:
@@ -77,7 +86,7 @@ def sentiment_summary(scored: DataFrame, as_of=None, coin: str = "coin", score:
     counted); a null coin is its own group; one timestamp for the whole batch."""
     stamp = now_utc() if as_of is None else F.lit(as_of).cast("timestamp_ntz")
     return scored.groupBy(coin).agg(
-        F.round(F.avg(score), 6).alias("avg_sentiment"),
+        F.avg(score).alias("avg_sentiment"),
         F.count(F.lit(1)).cast("int").alias("article_count"),
     ).withColumn("timestamp", stamp)
 
@@ -87,5 +96,5 @@ def poll_average(scored: DataFrame, coins: DataFrame, coin: str = "coin", score:
     for a coin without articles.  Both join sides are one row per coin."""
     agg = scored.groupBy(coin).agg(F.avg(score).alias("_avg"), F.count(F.lit(1)).alias("_n"))
     return coins.select(coin).join(agg, coin, "left").select(
-        coin, F.round(F.coalesce("_avg", F.lit(0.0)), 6).alias("avg_sentiment"),
+        coin, F.coalesce("_avg", F.lit(0.0)).alias("avg_sentiment"),
         F.coalesce("_n", F.lit(0)).cast("int").alias("article_count"))

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketpulse.functions.labels import change_label, display_name, price_label, trend, volume_label
-from marketpulse.operators.joins import broadcast_if_small
 from marketpulse.schemas import TICK_VALUE_COLUMNS
 
 
@@ -61,20 +60,18 @@ def tick_counts(df: DataFrame, key: str = "id") -> DataFrame:
 def at_least(df: DataFrame, n: int = 2, key: str = "id") -> DataFrame:
     """Keep the ticks of coins that have at least ``n`` rows (HAVING + semi join).
 
-    The count side is one row per coin after a map-side combine; it is
-    broadcast after a row-count check, so the tick side (where one coin may
-    hold a third of the rows) is never shuffled; beyond the bound the join is
-    a shuffle join whose hot coins AQE splits."""
-    keep = broadcast_if_small(tick_counts(df, key).where(F.col("n_ticks") >= n).select(key), persist=True)
-    return df.join(keep, on=key, how="left_semi")
+    The count side is one row per coin after a map-side combine, so AQE turns the
+    join into a broadcast once it has seen its size; beyond the planner's limit it
+    stays a shuffle join whose hot coins AQE splits.  Nothing runs before the plan does."""
+    return df.join(tick_counts(df, key).where(F.col("n_ticks") >= n).select(key), on=key, how="left_semi")
 
 
 def market_share(df: DataFrame, key: str = "id", ts: str = "timestamp", seq: str | None = "seq") -> DataFrame:
     """A10: market-cap share of each coin from its latest snapshot.
 
-    Null caps are left out; when every cap is zero the share is null.  The
-    total is a one-row aggregate attached by a broadcast equi-join on a
-    constant key, so no single task ever sees the per-coin table."""
+    Null caps are left out; when every cap is zero the share is null.  The total
+    is a one-row aggregate that every coin's row is paired with (a cross join with
+    one row, written as a join on a constant), so no task sees the per-coin table."""
     snap = latest_by_coin(df, key, ts, seq, values=["market_cap"]).where(F.col("market_cap").isNotNull())
     total = snap.agg(F.sum("market_cap").alias("total_cap")).withColumn("_one", F.lit(1))
     return (snap.withColumn("_one", F.lit(1))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from marketpulse.constants import BUCKET_WIDTH, FLAT_RANGE_FRACTION, RANGE_PADDING, SPARKLINE_PADDING
 from marketpulse.functions.labels import change_label, display_name, price_label, trend
 from marketpulse.functions.time import epoch_micros, from_epoch_micros
-from marketpulse.operators.snapshot import for_coin, latest_by_coin, tick_counts
+from marketpulse.operators.snapshot import for_coin
 
 DEFAULT_WIDTH = BUCKET_WIDTH
 _UNITS = {"second": 1, "seconds": 1, "s": 1, "minute": 60, "minutes": 60, "min": 60, "t": 60,
@@ -53,7 +53,14 @@ def _sparse_buckets(df: DataFrame, width_us: int, key: str, ts: str, seq: str |
             .groupBy(F.col(key), b.cast("long").alias("_b")).agg(*aggs, F.count(F.lit(1)).alias("_n")))
 
 
-def _resample(df: DataFrame, width, key, ts, seq, values, fill: bool, min_ticks: int | None = None) -> DataFrame:
+# empty buckets are generated in runs of at most so many, whatever the gap
+GAP_RUN = 65_536
+
+
+def _resample(df: DataFrame, width, key, ts, seq, values, fill: bool, min_ticks: int | None = None,
+              per_coin: dict[str, F.Column] | None = None) -> DataFrame:
+    """``per_coin``: further columns, aggregates over all of a coin's occupied
+    buckets (``_b`` is the bucket, null for rows without a time, and comes last)."""
     width_us = width_seconds(width) * 1_000_000
     if values is None:
         values = [c for c in df.columns if c not in (key, ts, seq)]
@@ -66,16 +73,20 @@ def _resample(df: DataFrame, width, key, ts, seq, values, fill: bool, min_ticks:
     extra = []
     if min_ticks is not None:  # A7 on the same window: rows per coin, null times included
         extra = [F.sum("_n").over(Window.partitionBy(key)).alias("_total")]
-    stepped = sparse.select(key, "_b", *cols, F.sequence(F.col("_b"), last_b, F.lit(width_us)).alias("_seq"), *extra)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    more = {name: agg.over(whole) for name, agg in (per_coin or {}).items()}
+    stepped = sparse.select(key, "_b", *cols, last_b.alias("_to"), *extra, *[c.alias(n) for n, c in more.items()])
     stepped = stepped.where(F.col("_b").isNotNull())
     if min_ticks is not None:
         stepped = stepped.where(F.col("_total") >= min_ticks)
-    exploded = stepped.select(key, *values, F.posexplode("_seq").alias("_pos", "_bucket"))
+    runs = stepped.select(key, "_b", "_to", *values, *more, F.explode(F.sequence("_b", "_to", F.lit(GAP_RUN * width_us))).alias("_run"))
+    run_to = F.least(F.col("_run") + F.lit((GAP_RUN - 1) * width_us), F.col("_to"))
+    exploded = runs.select(key, "_b", *values, *more, F.explode(F.sequence("_run", run_to, F.lit(width_us))).alias("_bucket"))
     if fill:
         out_vals = [F.col(c) for c in values]
     else:  # empty buckets between occupied ones are present but null
-        out_vals = [F.when(F.col("_pos") == 0, F.col(c)).alias(c) for c in values]
-    return exploded.select(key, from_epoch_micros(F.col("_bucket")).alias("bucket"), *out_vals)
+        out_vals = [F.when(F.col("_bucket") == F.col("_b"), F.col(c)).alias(c) for c in values]
+    return exploded.select(key, from_epoch_micros(F.col("_bucket")).alias("bucket"), *out_vals, *more)
 
 
 def resample_last(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str = "timestamp",
@@ -129,12 +140,16 @@ def compare(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str = "time
 def sparklines(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str = "timestamp",
                seq: str | None = "seq", padding: float = SPARKLINE_PADDING) -> DataFrame:
     """Price series of coins with more than one tick, with the trend of the
-    latest change and a padded y range (0.15)."""
-    series = resample_ffill(df, width, key, ts, seq, values=["current_price"], min_ticks=2)
-    snap = latest_by_coin(df, key, ts, seq, values=["price_change_pct_24h"])
-    rng = tight_range(series, padding, key)
-    meta = snap.select(key, trend("price_change_pct_24h").alias("trend")).join(rng, key)
-    return series.join(meta, key).select(key, "bucket", "current_price", "trend", "range_low", "range_high")
+    latest change and a padded y range (0.15).
+
+    Trend and range come from the same buckets and window as the series: a coin's
+    latest change is that of its last bucket that has one, and filling adds no
+    price that an occupied bucket doesn't have."""
+    in_time = F.when(F.col("_b").isNotNull(), F.col("current_price"))
+    change = "price_change_pct_24h"
+    series = _resample(df, width, key, ts, seq, ["current_price", change], fill=True, min_ticks=2, per_coin={
+        "_change": F.last(change, ignorenulls=True), "_mn": F.min(in_time), "_mx": F.max(in_time)})
+    return series.select(key, "bucket", "current_price", trend("_change").alias("trend"), *_padded(F.col("_mn"), F.col("_mx"), padding))
 
 
 def detail_series(df: DataFrame, coin: str, width=DEFAULT_WIDTH, key: str = "id", ts: str = "timestamp",
@@ -174,14 +189,14 @@ def coin_cards(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str = "t
                seq: str | None = "seq", padding: float = SPARKLINE_PADDING) -> DataFrame:
     """One card per coin: latest price and change labels with the trend,
     and the sparkline's padded range for coins with more than one tick (null
-    otherwise).  Snapshot, tick count and range are per-coin aggregates joined
-    on the coin key."""
-    snap = latest_by_coin(df, key, ts, seq, values=["current_price", "price_change_pct_24h"])
-    counts = tick_counts(df, key)
-    series = resample_ffill(df, width, key, ts, seq, values=["current_price"], min_ticks=2)
-    rng = tight_range(series, padding, key)
-    c = F.col("price_change_pct_24h")
-    return (snap.join(counts, key).join(rng, key, "left")
-            .select(key, display_name(key).alias("name"), price_label("current_price").alias("price_label"),
-                    change_label(c).alias("change_label"), trend(c).alias("trend"),
-                    (F.col("n_ticks") > 1).alias("has_sparkline"), "range_low", "range_high"))
+    otherwise).  Latest values, tick count and range are one aggregate over the
+    coin's occupied buckets: one scan and no join."""
+    c, price = F.col("price_change_pct_24h"), F.col("current_price")
+    sparse = _sparse_buckets(df, width_seconds(width) * 1_000_000, key, ts, seq, ["current_price", "price_change_pct_24h"])
+    last = F.struct(F.col("_b").isNull(), F.col("_b"))
+    many, in_time = F.sum("_n") > 1, F.when(F.col("_b").isNotNull(), price)
+    cards = sparse.groupBy(key).agg(
+        F.max_by(price, F.when(price.isNotNull(), last)).alias("current_price"), F.max_by(c, F.when(c.isNotNull(), last)).alias("price_change_pct_24h"),
+        many.alias("has_sparkline"), F.when(many, F.min(in_time)).alias("_mn"), F.when(many, F.max(in_time)).alias("_mx"))
+    return cards.select(key, display_name(key).alias("name"), price_label("current_price").alias("price_label"), change_label(c).alias("change_label"),
+                        trend(c).alias("trend"), "has_sparkline", *_padded(F.col("_mn"), F.col("_mx"), padding))

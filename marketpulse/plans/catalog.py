@@ -19,11 +19,14 @@ from marketpulse.operators import sentiment as X
 from marketpulse.operators import snapshot as S
 from marketpulse.operators import subscriptions as K
 from marketpulse.operators import timeseries as W
+from marketpulse.plans import fixtures as FX
 from marketpulse.plans import views as V
-from marketpulse.plans.oracle import ARTICLE_CTE, COMMANDS_CTE, LEXICON_CTE, SUBS_CTE, TICK_CTE, TOPIC_CTE, with_
-from marketpulse.schemas import TICK_WIRE_SEQ
+from marketpulse.plans.oracle import (ARTICLE_CTE, COMMANDS_CTE, EDGE_CTE, LEXICON_CTE, NULL_COMMANDS_CTE, SUBS_CTE, TICK_CTE,
+                                      TOPIC_CTE, with_)
+from marketpulse.schemas import TICK, TICK_WIRE_SEQ
 from marketpulse.session import scratch_path
 from marketpulse.sources import codec as C
+from marketpulse.sources import ingest as IN
 from marketpulse.sources import payloads as PL
 from marketpulse.streaming import jobs as ST
 from marketpulse.streaming.sinks import append_batch, read_table
@@ -83,6 +86,12 @@ def q_coins_with_history(spark, sf_dir):
     return S.tick_counts(V.ticks(spark, sf_dir)).where("n_ticks >= 2")
 
 
+@register("at_least", with_(TICK_CTE) + """
+SELECT * FROM tick WHERE id IN (SELECT id FROM tick GROUP BY id HAVING count(*) >= 1000)""")
+def q_at_least(spark, sf_dir):
+    return S.at_least(V.ticks(spark, sf_dir), 1000)
+
+
 @register("market_share", with_(TICK_CTE) + """,
 snap AS (SELECT id, arg_max(market_cap, CASE WHEN market_cap IS NOT NULL THEN
                 struct_pack(n := "timestamp" IS NULL, t := "timestamp", s := seq) END) AS market_cap
@@ -307,6 +316,28 @@ def q_subs_outcome(spark, sf_dir):
     return K.with_outcome(V.subscription_commands(spark, sf_dir))
 
 
+@register("subs_outcome_nulls", with_(COMMANDS_CTE, NULL_COMMANDS_CTE) + """
+SELECT email, coin, op, ts, seq,
+       CASE WHEN op = 'upsert' THEN CASE WHEN prev = 'upsert' THEN 'updated' ELSE 'created' END
+            ELSE CASE WHEN prev = 'upsert' THEN 'deleted' ELSE 'noop' END END AS outcome
+FROM (SELECT *, lag(op) OVER (PARTITION BY email, coin ORDER BY ts NULLS LAST, seq NULLS LAST) AS prev FROM cmdn)""")
+def q_subs_outcome_nulls(spark, sf_dir):
+    return K.with_outcome(V.commands_with_nulls(spark, sf_dir))
+
+
+NULL_ORDER_SQL = "struct_pack(n := {c}ts IS NULL, t := coalesce({c}ts, TIMESTAMP '1970-01-01'), s := {c}seq)"
+
+
+@register("subs_state_nulls", with_(COMMANDS_CTE, NULL_COMMANDS_CTE) + f""",
+dl AS (SELECT email, coin, max({NULL_ORDER_SQL.format(c='')}) AS del_at FROM cmdn WHERE op = 'delete' GROUP BY 1, 2),
+live AS (SELECT c.* FROM cmdn c LEFT JOIN dl ON c.email IS NOT DISTINCT FROM dl.email AND c.coin IS NOT DISTINCT FROM dl.coin
+         WHERE c.op = 'upsert' AND (dl.del_at IS NULL OR {NULL_ORDER_SQL.format(c='c.')} > dl.del_at))
+SELECT email, coin, arg_max(threshold, {NULL_ORDER_SQL.format(c='')}) AS threshold, arg_max(direction, {NULL_ORDER_SQL.format(c='')}) AS direction,
+       min(ts) AS created_at FROM live GROUP BY 1, 2""")
+def q_subs_state_nulls(spark, sf_dir):
+    return K.apply_commands(V.commands_with_nulls(spark, sf_dir))
+
+
 def _form(spark, sf_dir):
     s = V.subscriptions(spark, sf_dir)
     return s.select("email", P.display_name("coin").alias("coin"),
@@ -379,7 +410,16 @@ SELECT id, symbol, current_price, coalesce(price_change_pct_24h, 0.0) AS price_c
        total_volume, max("timestamp") OVER (PARTITION BY seq // 10) AS "timestamp"
 FROM tick QUALIFY id IN ({", ".join(repr(c) for c in MARKET_UNIVERSE)})""")
 def q_market_payload(spark, sf_dir):
-    return PL.restrict(PL.normalise_market(PL.market_payloads(V.ticks(spark, sf_dir))), MARKET_UNIVERSE)
+    return PL.restrict(PL.normalise_market(FX.market_payloads(V.ticks(spark, sf_dir))), MARKET_UNIVERSE)
+
+
+@register("tick_ingest", with_(TICK_CTE) + f"""
+SELECT id, symbol, current_price, coalesce(price_change_pct_24h, 0.0) AS price_change_pct_24h, market_cap,
+       total_volume, max("timestamp") OVER (PARTITION BY seq // 10) AS "timestamp"
+FROM tick QUALIFY id IN ({", ".join(repr(c) for c in MARKET_UNIVERSE)})""")
+def q_tick_ingest(spark, sf_dir):
+    """The producer's whole way, and back: payloads, ticks, messages, decoded ticks."""
+    return C.decode_ticks(C.encode(IN.ingest_ticks(FX.market_payloads(V.ticks(spark, sf_dir)), MARKET_UNIVERSE), micros=True))
 
 
 def _articles(spark, sf_dir):
@@ -391,11 +431,11 @@ SELECT coin, title, title || '. ' || coalesce(description, '') AS text, coalesce
        published_at, CAST(max(published_at) OVER (PARTITION BY coin, doc_id // 50) AS TIMESTAMP) AS "timestamp"
 FROM art""")
 def q_article_payload(spark, sf_dir):
-    return PL.normalise_articles(PL.news_payloads(_articles(spark, sf_dir)))
+    return PL.normalise_articles(FX.news_payloads(_articles(spark, sf_dir))).drop("article_id")
 
 
 SCORE_SQL = """tok AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}]+')) AS w FROM {src}),
-scores AS (SELECT t.doc_id, round(coalesce(avg(lex.polarity), 0.0), 9) AS sentiment_score
+scores AS (SELECT t.doc_id, coalesce(CAST(sum(CAST(lex.polarity AS DECIMAL(18, 9))) AS DOUBLE) / count(lex.polarity), 0.0) AS sentiment_score
            FROM tok t LEFT JOIN lex ON lex.word = t.w GROUP BY t.doc_id),
 labelled AS (SELECT doc_id, sentiment_score,
                     CASE WHEN sentiment_score > 0.1 THEN 'positive' WHEN sentiment_score < -0.1 THEN 'negative'
@@ -407,6 +447,23 @@ def q_score_text(spark, sf_dir):
     return X.score_text(_articles(spark, sf_dir), V.lexicon(spark))
 
 
+@register("article_ingest", with_(ARTICLE_CTE, LEXICON_CTE, TOPIC_CTE) + """,
+full_text AS (SELECT doc_id, title, title || '. ' || coalesce(description, '') AS text, coalesce(source, 'unknown') AS source, published_at FROM art),
+toks AS (SELECT *, regexp_split_to_array(lower(text), '[^\\p{L}]+') AS w FROM full_text),
+m AS (SELECT topic.coin AS topic, toks.* FROM toks, topic WHERE list_has_all(w, topic.terms)),
+k AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY topic ORDER BY published_at DESC) <= 10),
+tok AS (SELECT topic, doc_id, unnest(w) AS w FROM k),
+sc AS (SELECT topic, doc_id, coalesce(CAST(sum(CAST(lex.polarity AS DECIMAL(18, 9))) AS DOUBLE) / count(lex.polarity), 0.0) AS score
+       FROM tok LEFT JOIN lex ON lex.word = tok.w GROUP BY topic, doc_id)
+SELECT topic AS coin, title, score AS sentiment_score,
+       CASE WHEN score > 0.1 THEN 'positive' WHEN score < -0.1 THEN 'negative' ELSE 'neutral' END AS sentiment_label, source, published_at
+FROM k JOIN sc USING (topic, doc_id)""")
+def q_article_ingest(spark, sf_dir):
+    """The producer's whole way, and back: payloads, articles, messages, decoded articles."""
+    found = IN.ingest_articles(FX.news_payloads(_articles(spark, sf_dir)), V.topics(spark), V.lexicon(spark))
+    return C.decode_articles(C.encode(found)).drop("timestamp")
+
+
 @register("select_articles", with_(ARTICLE_CTE, TOPIC_CTE) + """,
 toks AS (SELECT doc_id, published_at, regexp_split_to_array(lower(text), '[^\\p{L}]+') AS w FROM art WHERE lang = 'en'),
 m AS (SELECT topic.coin AS topic, doc_id, published_at FROM toks, topic WHERE list_has_all(w, topic.terms))
@@ -416,12 +473,18 @@ def q_select_articles(spark, sf_dir):
     return X.select_articles(_articles(spark, sf_dir), V.topics(spark))
 
 
+def _rounded(summary: DataFrame) -> DataFrame:
+    """Means of doubles depend on the order of the sum in their last digits; the
+    queries compare six digits, the operators don't round."""
+    return summary.withColumn("avg_sentiment", F.round("avg_sentiment", 6))
+
+
 @register("sentiment_summary", with_(ARTICLE_CTE, LEXICON_CTE, SCORE_SQL.format(src="art")) + f"""
 SELECT a.coin, round(avg(l.sentiment_score), 6) AS avg_sentiment, CAST(count(*) AS INTEGER) AS article_count,
        TIMESTAMP '{AS_OF}' AS "timestamp"
 FROM art a JOIN labelled l USING (doc_id) GROUP BY a.coin""")
 def q_sentiment_summary(spark, sf_dir):
-    return X.sentiment_summary(X.with_scores(_articles(spark, sf_dir), V.lexicon(spark)), AS_OF)
+    return _rounded(X.sentiment_summary(X.with_scores(_articles(spark, sf_dir), V.lexicon(spark)), AS_OF))
 
 
 POLL_UNIVERSE = V.COIN_BY_REMAINDER + ["bitcoin"]
@@ -435,7 +498,7 @@ SELECT u.coin, round(coalesce(agg.a, 0.0), 6) AS avg_sentiment, CAST(coalesce(ag
 FROM u LEFT JOIN agg USING (coin)""")
 def q_poll_average(spark, sf_dir):
     coins = spark.createDataFrame([(c,) for c in POLL_UNIVERSE], "coin string")
-    return X.poll_average(X.with_scores(_articles(spark, sf_dir), V.lexicon(spark)), coins)
+    return _rounded(X.poll_average(X.with_scores(_articles(spark, sf_dir), V.lexicon(spark)), coins))
 
 
 # ---------------------------------------------------------------- streaming
@@ -463,9 +526,8 @@ def q_stream_cooldown(spark, sf_dir):
     return read_table(spark, f"{base}/kept")
 
 
-@register("stream_resample", with_(TICK_CTE, _sparse_sql(["current_price", "price_change_pct_24h", "total_volume"]))
-          + f"""
-SELECT id, bucket, current_price, price_change_pct_24h, total_volume FROM sparse
+@register("stream_resample", with_(TICK_CTE, _sparse_sql(TICK_VALUES)) + f"""
+SELECT id, bucket, symbol, current_price, price_change_pct_24h, market_cap, total_volume FROM sparse
 WHERE bucket + INTERVAL 30 MINUTE <= (SELECT max("timestamp") FROM tick) - INTERVAL {RESAMPLE_DELAY}""")
 def q_stream_resample(spark, sf_dir):
     base = scratch_path(spark, "stream-resample")
@@ -477,17 +539,10 @@ def q_stream_resample(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
-def _message_folder(df: DataFrame, base: str) -> str:
-    """Stage messages as JSON-lines files: the offline stand-in of a topic."""
-    path = f"{base}/topic"
-    df.select("value").write.mode("overwrite").text(path)
-    return path
-
-
 @register("tick_job", OUTBOX_SQL)
 def q_tick_job(spark, sf_dir):
     base = scratch_path(spark, "tick-job")
-    topic = _message_folder(C.encode(V.ticks(spark, sf_dir), micros=True), base)
+    topic = FX.message_folder(C.encode(V.ticks(spark, sf_dir), micros=True), base)
     ticks = C.decode(spark.readStream.text(topic), TICK_WIRE_SEQ)
     q = ST.tick_job(ticks, f"{base}/history", f"{base}/alerts", f"{base}/dead", f"{base}/state",
                     lambda: V.subscriptions(spark, sf_dir), f"{base}/_checkpoint", available_now=True)
@@ -495,6 +550,53 @@ def q_tick_job(spark, sf_dir):
     return read_table(spark, f"{base}/alerts")
 
 
+EDGE_COOLED_CTE = COOLED_CTE[:COOLED_CTE.index("cooled AS")].replace("FROM tick", "FROM first_of") + """cooled AS (SELECT f.* EXCLUDE (nth) FROM first_of f JOIN chain c ON f.id = c.id AND f."timestamp" = c."timestamp")"""
+FIRST_CTE = """first_of AS (
+  SELECT *, row_number() OVER (PARTITION BY id, "timestamp" ORDER BY seq NULLS LAST) AS nth FROM edge
+  WHERE price_change_pct_24h IS NOT NULL AND price_change_pct_24h <> 0 QUALIFY nth = 1)"""
+
+
+@register("tick_job_edges", with_(TICK_CTE, EDGE_CTE, FIRST_CTE, EDGE_COOLED_CTE, SUBS_CTE, MATCH_CTE) + """
+SELECT 'alert' AS kind, email, coin, change, threshold, "timestamp", NULL AS reason FROM alerts
+UNION ALL
+SELECT 'dead letter', NULL, id, price_change_pct_24h, NULL, "timestamp", CASE WHEN id IS NULL THEN 'no id' ELSE 'no time' END
+FROM edge WHERE id IS NULL OR "timestamp" IS NULL""")
+def q_tick_job_edges(spark, sf_dir):
+    base = scratch_path(spark, "tick-job-edges")
+    topic = FX.message_folder(V.edge_messages(spark, sf_dir), base)
+    ticks = C.decode(spark.readStream.text(topic), TICK_WIRE_SEQ)
+    q = ST.tick_job(ticks, f"{base}/history", f"{base}/alerts", f"{base}/dead", f"{base}/state",
+                    lambda: V.subscriptions(spark, sf_dir), f"{base}/_checkpoint", available_now=True)
+    ST.run_to_end(q)
+    alerts = read_table(spark, f"{base}/alerts").select(F.lit("alert").alias("kind"), "email", "coin", "change", "threshold", "timestamp",
+                                                        F.lit(None).cast("string").alias("reason"))
+    dead = read_table(spark, f"{base}/dead").select(F.lit("dead letter").alias("kind"), F.lit(None).cast("string").alias("email"), F.col("id").alias("coin"),
+                                                    F.col("price_change_pct_24h").alias("change"), F.lit(None).cast("double").alias("threshold"), "timestamp", "reason")
+    return alerts.unionByName(dead)
+
+
+@register("stream_replay", with_(TICK_CTE) + "SELECT * FROM tick WHERE seq % 4 = 1")
+def q_stream_replay(spark, sf_dir):
+    """Two batches, each replayed with less than it had: the first with nothing."""
+    path, ticks = f"{scratch_path(spark, 'stream-replay')}/history", V.ticks(spark, sf_dir)
+    for batch_id, rule in ((0, "seq % 2 = 0"), (1, "seq % 2 = 1"), (0, "false"), (1, "seq % 4 = 1")):
+        append_batch(ticks.where(rule), batch_id, path, "s", date_from="timestamp", skip_empty=False)
+    return read_table(spark, path, schema=TICK)
+
+
+HISTORY_FROM, HISTORY_TO = "2024-01-08 12:00:00", "2024-01-21 00:00:00"
+
+
+@register("history_scan", with_(TICK_CTE) + f"""
+SELECT * FROM tick WHERE "timestamp" >= TIMESTAMP '{HISTORY_FROM}' AND "timestamp" < TIMESTAMP '{HISTORY_TO}'""")
+def q_history_scan(spark, sf_dir):
+    path = f"{scratch_path(spark, 'history')}/ticks"
+    empty = C.scan_ticks(spark, path, HISTORY_FROM, HISTORY_TO)  # before the first write
+    append_batch(V.ticks(spark, sf_dir), 0, path, "s", date_from="timestamp")
+    found = C.scan_ticks(spark, path, HISTORY_FROM, HISTORY_TO).drop("date", "stream_id", "batch_id")
+    return found.unionByName(empty)
+
+
 @register("sentiment_job", ORACLE["sentiment_summary"])
 def q_sentiment_job(spark, sf_dir):
     base = scratch_path(spark, "sentiment-job")
@@ -502,12 +604,12 @@ def q_sentiment_job(spark, sf_dir):
     msgs = C.encode(arts.select("coin", "title", "sentiment_score", "sentiment_label",
                                 F.coalesce("source", F.lit(UNKNOWN_SOURCE)).alias("source"), "published_at",
                                 F.col("published_at").alias("timestamp")), time_columns=())
-    topic = _message_folder(msgs, base)
+    topic = FX.message_folder(msgs, base)
     articles = C.decode_articles(spark.readStream.text(topic))
     q = ST.sentiment_job(articles, f"{base}/raw", f"{base}/summary", f"{base}/_checkpoint",
                          as_of=lambda batch_id: AS_OF, available_now=True)
     ST.run_to_end(q)
-    return read_table(spark, f"{base}/summary")
+    return _rounded(read_table(spark, f"{base}/summary"))
 
 
 @register("coin_cards", with_(TICK_CTE, MULTI_CTE, _filled_sql(["current_price"], "multi"), _range_sql(SPARKLINE_PADDING)) + f""",

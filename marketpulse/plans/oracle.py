@@ -18,6 +18,17 @@ TICK_CTE = """tick AS (
          event_id AS seq
   FROM events)"""
 
+EDGE_CTE = """edge AS (
+  SELECT CASE WHEN seq % 37 = 0 THEN NULL ELSE id END AS id, symbol, current_price,
+         CASE WHEN seq % 29 = 0 THEN NULL ELSE price_change_pct_24h END AS price_change_pct_24h, market_cap, total_volume,
+         CASE WHEN seq % 31 = 0 THEN NULL ELSE "timestamp" END AS "timestamp", CASE WHEN seq % 43 = 0 THEN NULL ELSE seq END AS seq
+  FROM tick, LATERAL (SELECT unnest(range(CASE WHEN seq % 41 = 0 THEN 2 ELSE 1 END))) AS twice)"""
+
+NULL_COMMANDS_CTE = """cmdn AS (
+  SELECT CASE WHEN seq % 17 = 0 THEN NULL ELSE email END AS email, CASE WHEN seq % 19 = 0 THEN NULL ELSE coin END AS coin, op, threshold, direction,
+         CASE WHEN seq % 13 = 0 THEN NULL ELSE ts END AS ts, seq
+  FROM cmd)"""
+
 COIN_CASE = """CASE {x} WHEN 0 THEN 'click' WHEN 1 THEN 'error' WHEN 2 THEN 'purchase'
                     WHEN 3 THEN 'signup' WHEN 4 THEN 'view' END"""
 

@@ -127,6 +127,22 @@ def topics(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(TOPIC_ROWS, TOPIC)
 
 
-def coin_table(spark: SparkSession) -> DataFrame:
-    """The coin universe of the fixture, one row per coin."""
-    return spark.createDataFrame([(c,) for c in COIN_BY_REMAINDER], "coin string")
+def edge_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tick messages with what real input has, injected by rule on the event's id:
+    NaN changes, times that are no times, missing ids, missing sequences, and
+    messages that are delivered twice."""
+    eid = F.col("seq")
+    t = ticks(spark, sf_dir)
+    change = F.when(eid % 29 == 0, F.lit(float("nan"))).otherwise(F.col("price_change_pct_24h"))
+    time = F.when(eid % 31 == 0, F.lit("soon")).otherwise(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    fields = {"id": F.when(eid % 37 != 0, F.col("id")), "symbol": F.col("symbol"), "current_price": F.col("current_price"), "price_change_pct_24h": change,
+              "market_cap": F.col("market_cap"), "total_volume": F.col("total_volume"), "timestamp": time, "seq": F.when(eid % 43 != 0, eid)}
+    message = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("value")
+    return t.select(message, F.explode(F.sequence(F.lit(1), F.when(eid % 41 == 0, 2).otherwise(1)))).select("value")
+
+
+def commands_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The command log with missing times, emails and coins injected by rule."""
+    eid = F.col("seq")
+    return subscription_commands(spark, sf_dir).withColumns({
+        "email": F.when(eid % 17 != 0, F.col("email")), "coin": F.when(eid % 19 != 0, F.col("coin")), "ts": F.when(eid % 13 != 0, F.col("ts"))})

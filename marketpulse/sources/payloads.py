@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketpulse.constants import UNKNOWN_SOURCE
-from marketpulse.functions.time import naive_utc, now_utc
+from marketpulse.functions.labels import nan_to_null
+from marketpulse.functions.time import now_utc
 from marketpulse.schemas import MARKET_ITEM, NEWS_PAYLOAD
 
 CHANGE_KEY = "price_change_percentage_24h"
@@ -36,14 +37,14 @@ def normalise_market(df: DataFrame, as_of="polled_at", payload: str = "payload",
     elems = df.select(_as_of(as_of).alias("_at"),
                       F.explode(F.from_json(F.col(payload), T.ArrayType(T.StringType()))).alias("_e"))
     item = F.from_json("_e", MARKET_ITEM)
-    change = item[CHANGE_KEY]
+    change = nan_to_null(item[CHANGE_KEY])
     if null_change == "keep":
         present = F.map_contains_key(F.from_json("_e", T.MapType(T.StringType(), T.StringType())), CHANGE_KEY)
         change = F.when(present, change).otherwise(F.lit(0.0))
     else:
         change = F.coalesce(change, F.lit(0.0))
     return elems.select(
-        item["id"].alias("id"), item["symbol"].alias("symbol"), item["current_price"].alias("current_price"),
+        item["id"].alias("id"), item["symbol"].alias("symbol"), nan_to_null(item["current_price"]).alias("current_price"),
         change.alias("price_change_pct_24h"), item["market_cap"].alias("market_cap"),
         item["total_volume"].alias("total_volume"), F.col("_at").alias("timestamp"))
 
@@ -60,37 +61,18 @@ def restrict(df: DataFrame, universe, key: str = "id") -> DataFrame:
 def normalise_articles(df: DataFrame, as_of="polled_at", payload: str = "payload", coin: str = "coin") -> DataFrame:
     """News payload to article rows: title and description default to
     empty, ``text = title + ". " + description``, source name defaults to
-    ``unknown`` (also for an explicit null source), publishedAt to ``""``."""
+    ``unknown`` (also for an explicit null source), publishedAt to ``""``.
+
+    ``article_id`` is a hash of the coin and the article's own fields, so a poll that
+    returns an article again gives it the same id."""
     parsed = df.select(F.col(coin).alias("coin"), _as_of(as_of).alias("_at"),
                        F.from_json(F.col(payload), NEWS_PAYLOAD).alias("_p"))
     arts = parsed.select("coin", "_at", F.explode_outer("_p.articles").alias("a")).where(F.col("a").isNotNull())
     title = F.coalesce(F.col("a.title"), F.lit(""))
     desc = F.coalesce(F.col("a.description"), F.lit(""))
+    ident = F.xxhash64("coin", "a.title", "a.description", "a.source.name", "a.publishedAt")
     return arts.select(
-        "coin", title.alias("title"), F.concat(title, F.lit(". "), desc).alias("text"),
+        ident.alias("article_id"), "coin", title.alias("title"), F.concat(title, F.lit(". "), desc).alias("text"),
         F.coalesce(F.col("a.source.name"), F.lit(UNKNOWN_SOURCE)).alias("source"),
         F.coalesce(F.col("a.publishedAt"), F.lit("")).alias("published_at"),
         F.col("_at").alias("timestamp"))
-
-
-def market_payloads(ticks: DataFrame, poll_size: int = 10) -> DataFrame:
-    """Inverse of S9 for fixtures and replays: ticks grouped into polls of at
-    most ``poll_size`` consecutive sequence numbers, one JSON array per poll."""
-    item = F.struct(F.col("id"), F.col("symbol"), F.col("current_price"),
-                    F.col("price_change_pct_24h").alias(CHANGE_KEY), F.col("market_cap"), F.col("total_volume"))
-    return (ticks.groupBy(F.floor(F.col("seq") / poll_size).alias("poll_id"))
-            .agg(F.max("timestamp").alias("polled_at"), F.to_json(F.collect_list(item)).alias("payload")))
-
-
-def news_payloads(articles: DataFrame, poll_size: int = 10) -> DataFrame:
-    """Inverse of S11 for fixtures and replays: one ``{"articles": [...]}``
-    object per coin and run of ``5 * poll_size`` consecutive article ids (the
-    fixture spreads five coins over the ids, so a poll holds about
-    ``poll_size`` articles; any input gives at most ``5 * poll_size``).  Null
-    fields are left out."""
-    art = F.struct(F.col("title"), F.col("description"), F.struct(F.col("source").alias("name")).alias("source"),
-                   F.col("published_at").alias("publishedAt"))
-    per_coin = F.floor(F.col("doc_id") / F.lit(5 * poll_size))
-    return (articles.groupBy("coin", per_coin.alias("poll_id"))
-            .agg(naive_utc(F.max("published_at").try_cast("timestamp")).alias("polled_at"),
-                 F.to_json(F.struct(F.collect_list(art).alias("articles"))).alias("payload")))

@@ -8,13 +8,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from marketpulse.plans import catalog
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 from oracle_check import TABLES, rows  # noqa: E402
 
 from tests.conftest import SF_SMALL  # noqa: E402
 
-BATCH_QUERIES = [n for n in E.queries() if not n.startswith(("stream_", "tick_job", "sentiment_job"))]
+BATCH_QUERIES = [n for n in catalog.QUERIES if not n.startswith(("stream_", "tick_job", "sentiment_job"))]
 
 
 @pytest.fixture(scope="module")
@@ -28,10 +29,10 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     got = E.queries()[name](spark, SF_SMALL).toPandas()
     want = duck.execute(E.oracle_sql()[name]).df()
