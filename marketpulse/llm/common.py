@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from marketpulse.session import scratch_path
+from marketpulse.session import file_system, scratch_path
 
 #: ASCII white space, and a word between it (the same text in Java, RE2 and Python)
 BLANK = r"[\x20\x09-\x0D]"
@@ -25,6 +25,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a ``stored`` table that nothing needs any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        fs, cls = file_system(df.sparkSession, path)
+        fs.delete(cls(path), True)
+
+
 def whole(text: Column) -> Column:
     """A document's text; null counts as empty."""
     return F.coalesce(text, F.lit(""))

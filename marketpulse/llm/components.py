@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from marketpulse.llm.common import stored
+from marketpulse.llm.common import discard, stored
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -27,15 +27,16 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``u, v`` (long) -> ``node, component``, the smallest node that is reachable.
 
-    Alternates large and small stars until nothing changes, some log(n) times;
-    joins on a node with many neighbours are split by AQE. Loops, repeated edges
-    and edges with a null are of no account. Nodes without an edge don't appear."""
+    Alternates large and small stars until every node hangs on one that hangs on
+    none, some log(n) times; joins on a node with many neighbours are split by AQE.
+    Loops, repeated edges and edges with a null are of no account. Nodes without an
+    edge don't appear."""
     edges = stored(edges.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u <> v").distinct(), "edges")
-    state = None
     while True:
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == state:
+        before, edges = edges, stored(_stars(_stars(edges, True), False), "edges")
+        discard(before)
+        torn = edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
+        deep = edges.join(edges.select(F.col("v").alias("c")), F.col("u") == F.col("c"), "left_semi").select("u")
+        if torn.unionByName(deep).isEmpty():
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        state = now
-        edges = stored(_stars(_stars(edges, True), False), "edges")

@@ -19,7 +19,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketpulse.llm.common import stored, table
-from marketpulse.llm.linking import linked_components
+from marketpulse.llm.components import components
+from marketpulse.llm.linking import linked_components, pairs_across, with_partner
 
 #: Bands of coordinates. Of documents at a similarity of 0.8, 1 - (1 - 0.8**5)**28, all but 1.5 in 100,000, share a band.
 ROWS, BANDS = 5, 28
@@ -29,7 +30,9 @@ WIDTH, PERCENT = 5, 80
 SKETCH_BITS, SLACK = 512, 4.5
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 #: Words whose hash a worker keeps at hand
-CACHED = 1_000_000
+CACHED = 200_000
+#: Sets on either side of a cell, and shingles that a cell looks at in one go
+BLOCK, SLICE = 128, 32_768
 
 SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, " + ", ".join(f"{s} long" for s in SKETCH)
 
@@ -117,12 +120,16 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id, d1, shingles`` (sorted 64-bit hashes as bytes)."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, seen = WordHashes(), set()
         for ids, texts in _slices(batches):
-            found = [shingle_set(t, width, hashes) for t in texts]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(ids, pa.int64()), pa.array([int(np.frombuffer(xxhash.xxh3_128_digest(f.tobytes()), np.int64)[0]) for f in found], pa.int64()),
-                pa.array([f.tobytes() for f in found], pa.binary())], ["doc_id", "d1", "shingles"])
+            rows = []
+            for doc_id, text in zip(ids, texts):
+                data = shingle_set(text, width, hashes).tobytes()
+                row = (doc_id, int(np.frombuffer(xxhash.xxh3_128_digest(data), np.int64)[0]), data)
+                if row[:2] not in seen:  # repeated rows
+                    seen.add(row[:2])
+                    rows.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "d1", "shingles"])
 
     return docs.select("doc_id", "text").mapInArrow(sets, "doc_id long, d1 long, shingles binary")
 
@@ -167,6 +174,49 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(similar, "u long, v long"))
 
 
+def _cell_links(cell: pa.Table, percent: int) -> pa.Table:
+    """Links between the two sides of a cell, across parts: all intersections by
+    matrix products over slices of the shingles that occur."""
+    sets = [np.frombuffer(x, np.uint64) for x in cell["shingles"].to_pylist()]
+    node, part, left = (cell[c].to_numpy() for c in ("node", "part", "left_side"))
+    left = left.astype(bool)
+    sizes = np.array([len(x) for x in sets])
+    _, place = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(place, kind="stable")
+    place, row = place[order], row[order]
+    shared = np.zeros((left.sum(), (~left).sum()), np.float32)
+    for first in range(0, int(place[-1]) + 1, SLICE):
+        span = slice(*np.searchsorted(place, (first, first + SLICE)))
+        there = np.zeros((len(sets), SLICE), np.float32)
+        there[row[span], place[span] - first] = 1
+        shared += there[left] @ there[~left].T
+    union = sizes[left][:, None] + sizes[~left][None] - shared
+    x, y = np.nonzero((100 * shared >= percent * union) & (part[left][:, None] != part[~left][None]))
+    return pa.table({"u": pa.array(node[left][x], pa.int64()), "v": pa.array(node[~left][y], pa.int64())})
+
+
+def links_in_cells(own: DataFrame, clusters: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links across the parts of each cluster. A cluster's nodes are dealt into blocks
+    of about ``BLOCK``; the nodes outside its largest part meet every block, a
+    cell at a time, so a task holds two blocks and no pairs are listed."""
+    nodes = own.select("node", "part").distinct().join(clusters.select(F.col("node").alias("c_node"), F.col("component").alias("cluster")), F.col("node") == F.col("c_node")).drop("c_node")
+    nodes = stored(nodes, "crowds")
+    by_part = nodes.groupBy("cluster", "part").agg(F.count("*").alias("n"))
+    crowds = by_part.groupBy(F.col("cluster").alias("l_cluster")).agg(
+        F.max_by("part", F.struct("n", "part")).alias("largest"), F.sum("n").alias("all"), F.max("n").alias("most"), F.count("*").alias("parts")).where("parts > 1")
+    n_all, n_few = F.ceil(F.col("all") / BLOCK).cast("int"), F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int")
+    at = F.abs(F.xxhash64("node") % (1 << 31)).cast("int")
+    dealt = nodes.join(crowds, F.col("cluster") == F.col("l_cluster")).select(
+        "cluster", "node", "part", (at % n_few).alias("few_block"), (at % n_all).alias("block"), n_few.alias("n_few"), n_all.alias("n_all"),
+        (F.col("part") != F.col("largest")).alias("few"))
+    with_sets = dealt.join(sets.select(F.col("doc_id").alias("o_id"), "shingles"), F.col("node") == F.col("o_id"))
+    as_few = F.when(F.col("few"), F.transform(F.sequence(F.lit(0), F.col("n_all") - 1), lambda j: F.struct(F.col("few_block").alias("i"), j.alias("j"), F.lit(1).alias("left_side"))))
+    as_one = F.transform(F.sequence(F.lit(0), F.col("n_few") - 1), lambda i: F.struct(i.alias("i"), F.col("block").alias("j"), F.lit(0).alias("left_side")))
+    cells = with_sets.select("cluster", "node", "part", "shingles", F.inline(F.concat(F.coalesce(as_few, F.array().cast("array<struct<i:int,j:int,left_side:int>>")), as_one)))
+    return cells.groupBy("cluster", "i", "j").applyInArrow(lambda cell: _cell_links(cell, percent), "u long, v long")
+
+
 def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, kept``.
 
@@ -185,14 +235,28 @@ def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         F.min("doc_id").alias("node"), *[F.first(c).alias(a) for c, a in (("n_shingles", "n"), ("bands", "bands"), *zip(SKETCH, SKETCH))]), "nodes")
     entries = nodes.select(F.explode("bands").alias("key"), "node")
     shared = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = stored(entries.join(shared, "key"), "members")
+    details = nodes.drop("bands", "d2")
+
+    def alike(a: str, b: str) -> Column:
+        return _alike(a, b, percent)
+
+    members = stored(with_partner(stored(entries.join(shared, "key"), "bucket-members"), details, alike), "members")
+    paired = stored(details.join(members.select("node").distinct(), "node", "left_semi"), "paired")
+    # as many as there are near copies in the corpus: not to be broadcast at any size
+    wanted = paired.select(F.col("node").alias("w")).distinct().hint("merge")
+    sets = stored(full_sets(docs.join(wanted, F.col("doc_id") == F.col("w"), "left_semi"), width), "sets")
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a.node").alias("w")).unionByName(pairs.select(F.col("b.node").alias("w"))).distinct()
-        sets = stored(full_sets(docs.join(wanted, F.col("doc_id") == F.col("w"), "left_semi"), width).dropDuplicates(["doc_id", "d1"]), "sets")
         return confirmed(pairs, sets, percent)
 
-    parts = linked_components(members, nodes.drop("bands", "d2"), lambda a, b: _alike(a, b, percent), _bits_apart, confirm)
+    def confirm_across(own: DataFrame, tested: DataFrame) -> DataFrame:
+        clusters = stored(components(tested), "clusters")  # what is alike hangs together, linked or not
+        lone = own.join(clusters.select(F.col("node").alias("c_node"), "component"), F.col("node") == F.col("c_node"), "left")
+        lone = lone.select("key", "node", "part", F.coalesce("component", "node").alias("cluster"))
+        pairs = stored(pairs_across(lone, paired, tested, alike, unless="cluster"), "pairs")
+        return links_in_cells(own, clusters, sets, percent).unionByName(confirm(pairs))
+
+    parts = linked_components(members, paired, alike, _bits_apart, confirm, confirm_across)
     own = nodes.join(parts.withColumnRenamed("node", "p_node"), F.col("node") == F.col("p_node"), "left").select(
         F.col("d1").alias("n_d1"), F.col("d2").alias("n_d2"), F.coalesce("component", "node").alias("component"))
     return (rows.join(stored(own, "components"), (F.col("d1") == F.col("n_d1")) & (F.col("d2") == F.col("n_d2")) & (F.col("n_shingles") > 0), "left")
