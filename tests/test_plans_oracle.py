@@ -11,7 +11,7 @@ import __spark_entry__ as E
 from marketpulse.plans import catalog
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
-from oracle_check import TABLES, rows  # noqa: E402
+from oracle_check import TABLES, duck_rows, duck_types, spark_rows, spark_types  # noqa: E402
 
 from tests.conftest import SF_SMALL  # noqa: E402
 
@@ -34,9 +34,9 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    got = E.queries()[name](spark, SF_SMALL).toPandas()
-    want = duck.execute(E.oracle_sql()[name]).df()
-    assert rows(got) == rows(want)
+    got, want = E.queries()[name](spark, SF_SMALL), duck.sql(E.oracle_sql()[name])
+    assert spark_types(got) == duck_types(want)
+    assert spark_rows(got) == duck_rows(want)
 
 
 def test_entry_smoke(spark):
