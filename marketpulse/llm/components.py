@@ -38,5 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
         torn = edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
         deep = edges.join(edges.select(F.col("v").alias("c")), F.col("u") == F.col("c"), "left_semi").select("u")
         if torn.unionByName(deep).isEmpty():
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+            out = edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+            out.stored_at = edges.stored_at
+            return out

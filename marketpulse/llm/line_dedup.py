@@ -10,11 +10,12 @@ groups aren't paired in full.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from marketpulse.llm.common import stored, table, whole
+from marketpulse.llm.common import discard, stored, table, whole
 from marketpulse.llm.linking import linked_components
 
 #: Bits of the SimHash: fields of one long that count three bits at once
@@ -25,7 +26,11 @@ DISTANCE = 2
 BLOCKS = ((0, 16), (16, 16), (32, 16), (48, 15))
 #: Edits allowed per hundred code points of the longer line
 PERCENT_EDITS = 20
+#: Long lines are compared in cuts of up to so many code points; within a cut, more edits than this count as all of it.
+CUT, CUT_EDITS = r"(?s).{512,1023}? |.{1,1024}", 1024 * PERCENT_EDITS // 100
 _ONES = sum(1 << i * STRIDE for i in range(FIELDS))
+#: A place is doc_id * _LINES + line_no, exact as a decimal; a missing id comes after all others
+_LINES, _NO_ID = Decimal(1 << 31), Decimal(1 << 63)
 
 
 def normalised_line(line: Column) -> Column:
@@ -72,6 +77,27 @@ def _alike(a: str, b: str) -> Column:
     return (_bits_apart(a, b) <= DISTANCE) & ((F.greatest(n_a, n_b) - F.least(n_a, n_b)) * 100 <= F.greatest(n_a, n_b) * PERCENT_EDITS)
 
 
+def _within(x: Column, y: Column, most: Column) -> Column:
+    """Whether two lines are at most so many edits apart. The edits of cut against
+    cut are enough in all, if not the fewest; only where they don't show it, and
+    there is more than one cut, the whole lines are compared, in time that grows with the square of
+    their length."""
+    def apart(a: Column, b: Column) -> Column:
+        a, b = F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))
+        edits = F.call_function("levenshtein", a, b, F.least(most, F.lit(CUT_EDITS)))
+        return F.when(a == b, F.lit(0)).when(edits >= 0, edits).otherwise(F.greatest(F.char_length(a), F.char_length(b)))
+    cuts = [F.regexp_extract_all(c, F.lit(CUT), F.lit(0)) for c in (x, y)]
+    by_cut = F.aggregate(F.zip_with(*cuts, apart), F.lit(0), lambda n, d: n + d)
+    several = F.greatest(F.char_length(x), F.char_length(y)) > 1024
+    return (by_cut <= most) | (several & (F.call_function("levenshtein", x, y, most) >= 0))
+
+
+def _unpacked(place: str, doc_id: str, line_no: str) -> list[Column]:
+    line = F.pmod(F.col(place), F.lit(_LINES).cast("decimal(38,0)")).cast("long")
+    owner = F.floor((F.col(place) - line.cast("decimal(38,0)")) / F.lit(_LINES).cast("decimal(38,0)")).cast("decimal(38,0)")
+    return [F.when(owner < F.lit(_NO_ID).cast("decimal(38,0)"), owner.cast("long")).alias(doc_id), line.alias(line_no)]
+
+
 def fuzzy_lines(docs: DataFrame) -> DataFrame:
     """One row per line that has a letter or digit: ``doc_id, line_no`` (from 0),
     ``keep_doc_id, keep_line_no`` (the occurrence that stays) and ``kept``.
@@ -80,40 +106,44 @@ def fuzzy_lines(docs: DataFrame) -> DataFrame:
     their normalised texts by at most ``PERCENT_EDITS`` edits per hundred code
     points. The first occurrence by ``doc_id`` (null ids last) and line of a linked group stays.
     Lines without a letter or digit are not listed, so they stay. Null and empty
-    texts have no lines. Lines of any length are taken whole. Rows of one id and
-    line with the same text are listed once for each. An empty table gives an empty
+    texts have no lines. Lines of any length are taken whole. Rows that repeat an id
+    and a line's text are listed once. Lines count as equal when a 64-bit hash and
+    the length agree. An empty table gives an empty
     result; columns other than ``doc_id`` and ``text`` are not looked at."""
     docs = docs.select("doc_id", "text")
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line_no")
-    nodes = stored(with_simhash(docs).groupBy("h", "n").agg(F.min(place).alias("first"), F.first("sim").alias("sim"))
+    place = (F.coalesce(F.col("doc_id").cast("decimal(38,0)"), F.lit(_NO_ID).cast("decimal(38,0)")) * F.lit(_LINES).cast("decimal(18,0)")
+             + F.col("line_no").cast("decimal(18,0)")).cast("decimal(38,0)")
+    lines = stored(with_simhash(docs).withColumn("place", place), "line-hashes")
+    nodes = stored(lines.groupBy("h", "n").agg(F.min("place").alias("first"), F.min("sim").alias("sim"))
                    .withColumn("node", F.monotonically_increasing_id()), "lines")
     entries = nodes.select(F.explode(_keys()).alias("key"), F.struct("node", "n", "sim").alias("a"))
     others = entries.select(F.col("key").alias("o_key"), F.col("a").alias("b"))
     near = (F.col("key") == F.col("o_key")) & (F.col("a.node") != F.col("b.node")) & _alike("a", "b")
-    members = stored(entries.join(others, near, "left_semi").select("key", F.col("a.node").alias("node")), "members")
+    members = stored(entries.join(others, near, "left_semi").select("key", "a.node"), "members")
     paired = nodes.join(members.select("node").distinct(), "node", "left_semi")
     details = stored(paired.select("node", "n", "sim"), "paired")
-    wanted = paired.select("node", F.col("h").alias("w_h"), F.col("n").alias("w_n"), F.col("first.doc_id").alias("w_id"), F.col("first.line_no").alias("w_line"))
+    wanted = paired.select("node", F.col("h").alias("w_h"), F.col("n").alias("w_n"), *_unpacked("first", "w_id", "w_line"))
     there = (F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("line_no") == F.col("w_line")) & (F.col("h") == F.col("w_h")) & (F.col("n") == F.col("w_n")))
     some = docs.join(wanted.select(F.col("w_id").alias("s_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("s_id")), "left_semi")
-    lines = stored(_lines(some).join(wanted, there).select("node", "line").dropDuplicates(["node"]), "paired-lines")
+    texts = stored(_lines(some).join(wanted, there).select("node", "line").dropDuplicates(["node"]), "paired-lines")
 
     def confirm(pairs: DataFrame) -> DataFrame:
-        a, b = lines.select(F.col("node").alias("x"), F.col("line").alias("line_a")), lines.select(F.col("node").alias("y"), F.col("line").alias("line_b"))
+        a, b = texts.select(F.col("node").alias("x"), F.col("line").alias("line_a")), texts.select(F.col("node").alias("y"), F.col("line").alias("line_b"))
         both = pairs.join(a, F.col("a.node") == F.col("x")).join(b, F.col("b.node") == F.col("y"))
+
         most = F.floor(F.greatest("a.n", "b.n") * PERCENT_EDITS / 100).cast("int")
-        edits = F.call_function("levenshtein", F.col("line_a"), F.col("line_b"), most)  # -1 beyond that many
-        return both.where(edits >= 0).select(F.col("x").alias("u"), F.col("y").alias("v"))
+        return both.where(_within(F.col("line_a"), F.col("line_b"), most)).select(F.col("x").alias("u"), F.col("y").alias("v"))
 
     parts = linked_components(members, details, _alike, _bits_apart, confirm)
     linked = nodes.select("node", "first").join(parts, "node")
     keepers = linked.groupBy(F.col("component").alias("k_component")).agg(F.min("first").alias("keep"))
     keepers = linked.join(keepers, F.col("component") == F.col("k_component")).select(F.col("node").alias("k_node"), "keep")
-    choice = stored(nodes.join(stored(keepers, "keepers"), F.col("node") == F.col("k_node"), "left").select(
+    keepers = stored(keepers, "keepers")
+    choice = stored(nodes.join(keepers, F.col("node") == F.col("k_node"), "left").select(
         F.col("h").alias("c_h"), F.col("n").alias("c_n"), F.coalesce("keep", "first").alias("keep")), "line-choices")
-    kept = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("line_no") == F.col("keep.line_no"))
-    return _lines(docs).drop("line").join(choice, (F.col("h") == F.col("c_h")) & (F.col("n") == F.col("c_n"))).select(
-        "doc_id", "line_no", F.col("keep.doc_id").alias("keep_doc_id"), F.col("keep.line_no").alias("keep_line_no"), kept.alias("kept"))
+    discard(parts, keepers, nodes, members, details, texts)
+    return (lines.join(choice, (F.col("h") == F.col("c_h")) & (F.col("n") == F.col("c_n")))
+            .select("doc_id", "line_no", *_unpacked("keep", "keep_doc_id", "keep_line_no"), (F.col("place") == F.col("keep")).alias("kept")))
 
 
 def without_repeated_lines(docs: DataFrame) -> DataFrame:

@@ -14,11 +14,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marketpulse.llm.common import stored
+from marketpulse.llm.common import discard, stored
 from marketpulse.llm.components import components
 
 #: Rounds over pivots at most; what they leave is tested pair by pair.
-ROUNDS = 4
+ROUNDS = 2
 Of = Callable[[str, str], Column]
 
 
@@ -77,7 +77,7 @@ def with_partner(members: DataFrame, details: DataFrame, alike: Of) -> DataFrame
 
 
 def linked_components(members: DataFrame, details: DataFrame, alike: Of, distance: Of, confirm: Callable[[DataFrame], DataFrame],
-                      confirm_across: Callable[[DataFrame, DataFrame], DataFrame] | None = None, rounds: int = ROUNDS) -> DataFrame:
+                      confirm_across: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
     """``node, component`` (the smallest node) of the nodes that have a link.
 
     ``members``: ``key, node``, a row for each bucket of a node. ``details``: a row
@@ -87,22 +87,28 @@ def linked_components(members: DataFrame, details: DataFrame, alike: Of, distanc
     and returns the linked ones as ``u, v``.
 
     What the rounds leave goes to ``confirm_across``: it takes members with their
-    component (``key, node, part``) and the pairs tested so far (``u, v``), and returns the links
-    between different parts of a bucket. By default these pairs are listed and confirmed."""
+    component (``key, node, part``) and the pairs tested so far (``u, v``), and returns
+    the links between different parts of a bucket, stored. By default these pairs are listed and confirmed."""
     spark = members.sparkSession
     parts = spark.createDataFrame([], "node long, component long")
     tested = links = spark.createDataFrame([], "u long, v long")
-    for turn in range(rounds):
+    used = []
+    for turn in range(ROUNDS):
         pairs = stored(_pivot_pairs(members, details, parts, tested, alike, distance, turn), "pairs")
         found = stored(confirm(pairs), "links")
+        used += [pairs, found]
         tested = tested.unionByName(pairs.select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct())
         links = links.unionByName(found)
         if found.isEmpty():
             break
+        used.append(parts)
         parts = components(links)
     own = with_parts(members, parts)
     mixed = own.groupBy("key").agg(F.min("part").alias("first"), F.max("part").alias("last")).where("first < last").select("key")
     own = stored(own.join(mixed, "key"), "mixed")
-    rest = confirm_across(own, tested) if confirm_across else confirm(pairs_across(own, details, tested, alike))
-    rest = stored(rest, "links")
-    return parts if rest.isEmpty() else components(links.unionByName(rest))
+    rest = confirm_across(own, tested) if confirm_across else stored(confirm(pairs_across(own, details, tested, alike)), "links")
+    if not rest.isEmpty():
+        used.append(parts)
+        parts = components(links.unionByName(rest))
+    discard(own, rest, *used)
+    return parts

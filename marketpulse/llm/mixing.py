@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from marketpulse.llm.common import WORD, stored, table, whole
+from marketpulse.llm.common import WORD, discard, stored, table, whole
 
 #: Weights of the sources in code-point order, repeating
 WEIGHTS = (3, 1, 2)
@@ -75,10 +75,10 @@ def quotas(rows: DataFrame) -> DataFrame:
     to the target. Rows of equal key and id are taken together."""
     rows = rows.withColumn("bucket", _bucket(F.col("key"))).withColumn("nn_id", F.coalesce("doc_id", F.lit(_NO_ID)))
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = stored(source_targets(sizes)
+    table_of_targets = stored(source_targets(sizes)
                   .withColumn("epochs", F.coalesce(F.floor(F.try_divide(F.col("target"), F.col("source_size").cast("double"))), F.lit(0)))
                   .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "targets")
-    plan = plan.withColumnRenamed("source", "p_source")
+    plan = table_of_targets.withColumnRenamed("source", "p_source")
     mine = F.col("source").eqNullSafe(F.col("p_source"))
     up_to = Window.partitionBy("source").orderBy("bucket")
     edge = (rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
@@ -93,8 +93,10 @@ def quotas(rows: DataFrame) -> DataFrame:
             .groupBy("source").agg(F.first("bucket").alias("last_bucket"), F.max(F.when(
                 F.col("through") + F.col("start") < 2 * F.col("rest"), F.struct("key", "nn_id"))).alias("last"))
             .select(F.col("source"), "last_bucket", F.col("last.key").alias("last_key"), F.col("last.nn_id").alias("last_id")))
-    return stored(plan.join(ends, mine, "left").select(
+    found = stored(plan.join(ends, mine, "left").select(
         "p_source", "source_size", "target", "epochs", "last_bucket", "last_key", "last_id"), "quotas")
+    discard(table_of_targets)
+    return found
 
 
 def _copies() -> Column:

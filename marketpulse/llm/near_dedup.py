@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from marketpulse.llm.common import stored, table
+from marketpulse.llm.common import discard, stored, table
 from marketpulse.llm.components import components
 from marketpulse.llm.linking import linked_components, pairs_across, with_partner
 
@@ -30,7 +30,7 @@ WIDTH, PERCENT = 5, 80
 SKETCH_BITS, SLACK = 512, 4.5
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 #: Words whose hash a worker keeps at hand
-CACHED = 200_000
+CACHED = 100_000
 #: Sets on either side of a cell, and shingles that a cell looks at in one go
 BLOCK, SLICE = 128, 32_768
 
@@ -240,7 +240,8 @@ def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     def alike(a: str, b: str) -> Column:
         return _alike(a, b, percent)
 
-    members = stored(with_partner(stored(entries.join(shared, "key"), "bucket-members"), details, alike), "members")
+    entries_shared = stored(entries.join(shared, "key"), "bucket-members")
+    members = stored(with_partner(entries_shared, details, alike), "members")
     paired = stored(details.join(members.select("node").distinct(), "node", "left_semi"), "paired")
     # as many as there are near copies in the corpus: not to be broadcast at any size
     wanted = paired.select(F.col("node").alias("w")).distinct().hint("merge")
@@ -254,12 +255,16 @@ def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         lone = own.join(clusters.select(F.col("node").alias("c_node"), "component"), F.col("node") == F.col("c_node"), "left")
         lone = lone.select("key", "node", "part", F.coalesce("component", "node").alias("cluster"))
         pairs = stored(pairs_across(lone, paired, tested, alike, unless="cluster"), "pairs")
-        return links_in_cells(own, clusters, sets, percent).unionByName(confirm(pairs))
+        found = stored(links_in_cells(own, clusters, sets, percent).unionByName(confirm(pairs)), "links")
+        discard(clusters, pairs)
+        return found
 
     parts = linked_components(members, paired, alike, _bits_apart, confirm, confirm_across)
     own = nodes.join(parts.withColumnRenamed("node", "p_node"), F.col("node") == F.col("p_node"), "left").select(
         F.col("d1").alias("n_d1"), F.col("d2").alias("n_d2"), F.coalesce("component", "node").alias("component"))
-    return (rows.join(stored(own, "components"), (F.col("d1") == F.col("n_d1")) & (F.col("d2") == F.col("n_d2")) & (F.col("n_shingles") > 0), "left")
+    own = stored(own, "components")
+    discard(parts, nodes, entries_shared, members, paired, sets)
+    return (rows.join(own, (F.col("d1") == F.col("n_d1")) & (F.col("d2") == F.col("n_d2")) & (F.col("n_shingles") > 0), "left")
             .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
             .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
 
