@@ -99,8 +99,11 @@ class RuleEnsemble:
     def fit(cls, docs: DataFrame, labels: DataFrame) -> RuleEnsemble:
         """From at most ``SAMPLE`` labelled rows outside the held-out fold. Without
         labels of both classes every score is the share of label 1 (no labels: 0.5)."""
-        chosen = (labels.select("doc_id", F.col("quality").cast("double").alias("label")).dropna()
-                  .where(fold(F.col("doc_id")) != HELD_OUT).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(SAMPLE))
+        known = labels.select("doc_id", F.col("quality").cast("double").alias("label")).dropna().where(fold(F.col("doc_id")) != HELD_OUT)
+        # of a large table, first those whose hash is low enough for somewhat more than the sample
+        share = min(1.0, 1.2 * SAMPLE / max(1, known.count()))
+        drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+        chosen = known.where(drawn < F.lit(int(share * (1 << 40)))).orderBy(drawn, "doc_id", "label").limit(SAMPLE)
         # the sample's size is bounded, so it can be broadcast
         known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
         sample = stored(with_statistics(known, kept=("doc_id", "label")), "quality-sample").orderBy("doc_id", "label", *STATISTICS).coalesce(1).cache()
