@@ -28,6 +28,8 @@ BLOCKS = ((0, 16), (16, 16), (32, 16), (48, 15))
 PERCENT_EDITS = 20
 #: Long lines are compared in cuts of up to so many code points; within a cut, more edits than this count as all of it.
 CUT, CUT_EDITS = r"(?s).{512,1023}? |.{1,1024}", 1024 * PERCENT_EDITS // 100
+#: Looked for first: a distance takes time in proportion to its limit, and most near lines have few edits.
+FEW_EDITS = 16
 _ONES = sum(1 << i * STRIDE for i in range(FIELDS))
 #: A place is doc_id * _LINES + line_no, exact as a decimal; a missing id comes after all others
 _LINES, _NO_ID = Decimal(1 << 31), Decimal(1 << 63)
@@ -84,8 +86,9 @@ def _within(x: Column, y: Column, most: Column) -> Column:
     their length."""
     def apart(a: Column, b: Column) -> Column:
         a, b = F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))
-        edits = F.call_function("levenshtein", a, b, F.least(most, F.lit(CUT_EDITS)))
-        return F.when(a == b, F.lit(0)).when(edits >= 0, edits).otherwise(F.greatest(F.char_length(a), F.char_length(b)))
+        few, edits = (F.call_function("levenshtein", a, b, F.least(most, F.lit(limit))) for limit in (FEW_EDITS, CUT_EDITS))
+        longer = F.greatest(F.char_length(a), F.char_length(b))
+        return F.when(a == b, F.lit(0)).when(few >= 0, few).when(edits >= 0, edits).otherwise(longer)
     cuts = [F.regexp_extract_all(c, F.lit(CUT), F.lit(0)) for c in (x, y)]
     by_cut = F.aggregate(F.zip_with(*cuts, apart), F.lit(0), lambda n, d: n + d)
     several = F.greatest(F.char_length(x), F.char_length(y)) > 1024
