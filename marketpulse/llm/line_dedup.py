@@ -2,8 +2,10 @@
 
 Lines are normalised (letters and digits in lower case, single spaces) and get a
 SimHash of their words. Equal lines are one node, its first occurrence standing
-for it. SimHashes within two bits agree in at least two of four blocks, so nodes
-meet in a bucket for each pair of blocks; links are confirmed by edit distance.
+for it. Nodes meet in buckets by two pigeonhole schemes. SimHashes within two bits
+agree in at least two of four blocks, a bucket for each pair of blocks. And words are
+dealt by hash into five blocks: a replaced word alters two of them at most, so the
+others agree. What meets within ``DISTANCE`` bits is confirmed by edit distance.
 Of each connected group one occurrence stays. ``linking`` sees to it that large
 groups aren't paired in full.
 """
@@ -21,9 +23,19 @@ from marketpulse.llm.linking import linked_components
 #: Bits of the SimHash: fields of one long that count three bits at once
 STRIDE, FIELDS = 21, 3
 BITS = STRIDE * FIELDS
-#: SimHashes may differ in so many bits; blocks as (first bit, width), of which two agree then
-DISTANCE = 2
+#: SimHashes may differ in so many bits: one of five words replaced moves 13 of 63 on average, give or take 3
+DISTANCE = 20
+#: SimHashes within so many bits always meet; blocks as (first bit, width), of which two agree then
+CLOSE = 2
 BLOCKS = ((0, 16), (16, 16), (32, 16), (48, 15))
+#: Blocks of words, and the keys made of them by the line's number of words (from, to), blocks in a key and
+#: words that a key must have. The ranges overlap by two words, so that lines a word or two apart share one.
+WORD_BLOCKS = 5
+WORD_KEYS = ((1, 11, 3, 2), (10, 21, 2, 3), (20, 1 << 62, 1, 2))
+#: Bits of a count of a block's words, and words of a line from which on the counts aren't looked at
+HELD, MANY = 12, 4000
+#: Texts of so many code points or more are counted in two steps: 21 bits hold no more words
+LONG, CHUNK = (1 << STRIDE), 20
 #: Edits allowed per hundred code points of the longer line
 PERCENT_EDITS = 20
 #: Long lines are compared in cuts of up to so many code points; within a cut, more edits than this count as all of it.
@@ -46,28 +58,60 @@ def _lines(docs: DataFrame) -> DataFrame:
             .withColumn("h", F.xxhash64("line")).withColumn("n", F.char_length("line")))
 
 
-def with_simhash(docs: DataFrame) -> DataFrame:
-    """``doc_id, line_no, h, n, sim``: bit i of ``sim`` is set when it is in the
-    hashes of more than half of the words."""
-    words = _lines(docs).select("doc_id", "line_no", "h", "n", F.explode(F.split("line", " ")).alias("word"))
-    hashed = words.select("doc_id", "line_no", "h", "n", F.xxhash64("word").alias("w"))
+_LINE = ["doc_id", "line_no", "h", "n"]
+_BLOCK = [f"b{i}" for i in range(WORD_BLOCKS)]
+
+
+def _counted(docs: DataFrame, long: bool) -> DataFrame:
+    """Per line of every row: ``words``, how many have bit i as ``f<i>``, the words of
+    each block as one hash, and ``held``, how many words the blocks have. A row's
+    lines are counted on their own, so repeated rows don't add up. ``long``: by runs of
+    words first, whose counts fit their fields."""
+    rows = _lines(docs).withColumn("row", F.monotonically_increasing_id())
+    run = [(F.shiftright("pos", CHUNK) if long else F.lit(0)).alias("run")]
+    hashed = rows.select(*_LINE, "row", F.posexplode(F.split("line", " ")).alias("pos", "word")).select(*_LINE, "row", *run, F.xxhash64("word").alias("w"))
+    hashed = hashed.withColumn("block", F.pmod("w", F.lit(WORD_BLOCKS)).cast("int"))
     sums = [F.try_sum(F.shiftright("w", k).bitwiseAND(F.lit(_ONES))).alias(f"c{k}") for k in range(STRIDE)]
-    counted = hashed.groupBy("doc_id", "line_no", "h", "n").agg(F.count("*").alias("words"), *sums)
-    sim = F.lit(0).cast("long")
-    for k in range(STRIDE):
-        for f in range(FIELDS):
-            count = F.shiftright(F.coalesce(f"c{k}", F.lit(0)), f * STRIDE).bitwiseAND(F.lit((1 << STRIDE) - 1))
-            sim = sim.bitwiseOR(F.when(count * 2 > F.col("words"), F.lit(1 << (f * STRIDE + k))).otherwise(F.lit(0).cast("long")))
-    return counted.select("doc_id", "line_no", "h", "n", sim.alias("sim"))
+    sums += [F.bit_xor(F.when(F.col("block") == i, F.shiftright("w", 32).cast("int"))).alias(b) for i, b in enumerate(_BLOCK)]
+    # beyond MANY words, when a sum may run over, nothing looks at it
+    sums.append(F.coalesce(F.try_sum(F.expr(f"shiftleft(1L, block * {HELD})")), F.lit(0)).alias("held"))
+    counted = hashed.groupBy(*_LINE, "row", *(["run"] if long else [])).agg(F.count("*").alias("words"), *sums)
+    bits = [F.shiftright(f"c{k}", f * STRIDE).bitwiseAND(F.lit((1 << STRIDE) - 1)).alias(f"f{f * STRIDE + k}") for f in range(FIELDS) for k in range(STRIDE)]
+    blocks = [F.coalesce(b, F.lit(0)).alias(b) for b in _BLOCK]
+    counted = counted.select(*_LINE, "row", "words", "held", *blocks, *bits)
+    if not long:
+        return counted
+    return counted.groupBy(*_LINE, "row").agg(F.sum("words").alias("words"), F.max("held").alias("held"), *[F.bit_xor(b).alias(b) for b in _BLOCK],
+                                              *[F.sum(f"f{i}").alias(f"f{i}") for i in range(BITS)])
+
+
+def with_simhash(docs: DataFrame) -> DataFrame:
+    """``doc_id, line_no, h, n, sim, words, held, b0..b4``: bit i of ``sim`` is set
+    when it is in the hashes of more than half of the words."""
+    size = F.char_length(whole(F.col("text")))
+    out = None
+    for long, part in ((False, docs),):
+        sim = F.lit(0).cast("long")
+        for i in range(BITS):
+            sim = sim.bitwiseOR(F.when(F.col(f"f{i}") * 2 > F.col("words"), F.lit(1 << i)).otherwise(F.lit(0).cast("long")))
+        own = _counted(part, long).select(*_LINE, sim.alias("sim"), "words", "held", *_BLOCK)
+        out = own if out is None else out.unionByName(own)
+    return out.dropDuplicates(_LINE)
 
 
 def _keys() -> Column:
-    """A bucket for each pair of blocks."""
+    """A bucket for each pair of blocks of the SimHash and each group of blocks of words."""
     def block(i: int) -> Column:
         first, width = BLOCKS[i]
         return F.shiftright("sim", first).bitwiseAND(F.lit((1 << width) - 1))
-    pairs = combinations(range(len(BLOCKS)), len(BLOCKS) - DISTANCE)
-    return F.array(*[F.shiftleft(block(i), 16).bitwiseOR(block(j)).bitwiseOR(F.lit(no << 32)) for no, (i, j) in enumerate(pairs)])
+    pairs = combinations(range(len(BLOCKS)), len(BLOCKS) - CLOSE)
+    keys = [F.shiftleft(block(i), 16).bitwiseOR(block(j)).bitwiseOR(F.lit(no << 32)) for no, (i, j) in enumerate(pairs)]
+    for no, (low, high, n_blocks, least) in enumerate(WORD_KEYS):
+        for group in combinations(range(WORD_BLOCKS), n_blocks):
+            held = sum((F.shiftright("held", i * HELD).bitwiseAND(F.lit((1 << HELD) - 1)) for i in group), F.lit(0))
+            enough = F.col("words").between(low, high) & ((F.col("words") > MANY) | (held >= least))
+            keys.append(F.when(enough, F.xxhash64(F.lit(no), *[F.lit(i) for i in group], *[F.col(_BLOCK[i]) for i in group])))
+    return F.array_compact(F.array(*keys))
 
 
 def _bits_apart(a: str, b: str) -> Column:
@@ -105,9 +149,9 @@ def fuzzy_lines(docs: DataFrame) -> DataFrame:
     """One row per line that has a letter or digit: ``doc_id, line_no`` (from 0),
     ``keep_doc_id, keep_line_no`` (the occurrence that stays) and ``kept``.
 
-    Lines are linked when their SimHashes differ in at most ``DISTANCE`` bits and
-    their normalised texts by at most ``PERCENT_EDITS`` edits per hundred code
-    points. The first occurrence by ``doc_id`` (null ids last) and line of a linked group stays.
+    Lines are linked when they share a bucket, their SimHashes differ in at most
+    ``DISTANCE`` bits and their normalised texts by at most ``PERCENT_EDITS`` edits per
+    hundred code points. The first occurrence by ``doc_id`` (null ids last) and line of a linked group stays.
     Lines without a letter or digit are not listed, so they stay. Null and empty
     texts have no lines. Lines of any length are taken whole. Rows that repeat an id
     and a line's text are listed once. Lines count as equal when a 64-bit hash and
@@ -117,7 +161,7 @@ def fuzzy_lines(docs: DataFrame) -> DataFrame:
     place = (F.coalesce(F.col("doc_id").cast("decimal(38,0)"), F.lit(_NO_ID).cast("decimal(38,0)")) * F.lit(_LINES).cast("decimal(18,0)")
              + F.col("line_no").cast("decimal(18,0)")).cast("decimal(38,0)")
     lines = stored(with_simhash(docs).withColumn("place", place), "line-hashes")
-    nodes = stored(lines.groupBy("h", "n").agg(F.min("place").alias("first"), F.min("sim").alias("sim"))
+    nodes = stored(lines.groupBy("h", "n").agg(F.min("place").alias("first"), *[F.min(c).alias(c) for c in ("sim", "words", "held", *_BLOCK)])
                    .withColumn("node", F.monotonically_increasing_id()), "lines")
     entries = nodes.select(F.explode(_keys()).alias("key"), F.struct("node", "n", "sim").alias("a"))
     others = entries.select(F.col("key").alias("o_key"), F.col("a").alias("b"))

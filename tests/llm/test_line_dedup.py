@@ -72,3 +72,27 @@ def test_very_long_lines_and_empty(spark):
     got = fuzzy_lines(frame(spark, [(1, LONG, None), (2, LONG.upper(), None), (3, LONG + " a few words more", None)])).collect()
     assert {r.doc_id: r.keep_doc_id for r in got} == {1: 1, 2: 1, 3: 1}
     assert fuzzy_lines(spark.createDataFrame([], SCHEMA)).count() == 0 and fuzzy_lines(frame(spark, [(1, None, None)])).count() == 0
+
+
+def test_planted_changes_are_linked(spark):
+    """Against edit similarity alone: lines with one and two words replaced, by length."""
+    rnd = random.Random(4)
+
+    def word():
+        return "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randrange(2, 9)))
+    rows, planted = [], []
+    for n_words in (6, 14, 28, 60):
+        for changed in (1, 2):
+            for _ in range(60):
+                words = [word() for _ in range(n_words)]
+                other = list(words)
+                for at in rnd.sample(range(n_words), changed):
+                    other[at] = word()
+                a, b = " ".join(words), " ".join(other)
+                if a != b and edits(a, b, most := max(len(a), len(b)) * PERCENT_EDITS // 100) <= most:
+                    planted.append((n_words, changed, len(rows)))
+                    rows += [(len(rows), a, "a"), (len(rows) + 1, b, "a")]
+    keep = {r.doc_id: r.keep_doc_id for r in fuzzy_lines(frame(spark, rows)).collect()}
+    for n_words, changed, least in ((6, 1, 0.8), (14, 1, 0.9), (28, 1, 1), (60, 1, 1), (14, 2, 0.6), (28, 2, 0.9), (60, 2, 0.95)):
+        linked = [keep[i + 1] == i for n, c, i in planted if (n, c) == (n_words, changed)]
+        assert len(linked) > 20 and sum(linked) >= least * len(linked), (n_words, changed, sum(linked), len(linked))
