@@ -135,7 +135,7 @@ def _within(x: Column, y: Column, most: Column) -> Column:
         return F.when(a == b, F.lit(0)).when(few >= 0, few).when(edits >= 0, edits).otherwise(longer)
     cuts = [F.regexp_extract_all(c, F.lit(CUT), F.lit(0)) for c in (x, y)]
     by_cut = F.aggregate(F.zip_with(*cuts, apart), F.lit(0), lambda n, d: n + d)
-    several = F.greatest(F.char_length(x), F.char_length(y)) > 1024
+    several = F.greatest(F.char_length(x), F.char_length(y)) > 512
     return (by_cut <= most) | (several & (F.call_function("levenshtein", x, y, most) >= 0))
 
 

@@ -96,3 +96,12 @@ def test_planted_changes_are_linked(spark):
     for n_words, changed, least in ((6, 1, 0.8), (14, 1, 0.9), (28, 1, 1), (60, 1, 1), (14, 2, 0.6), (28, 2, 0.9), (60, 2, 0.95)):
         linked = [keep[i + 1] == i for n, c, i in planted if (n, c) == (n_words, changed)]
         assert len(linked) > 20 and sum(linked) >= least * len(linked), (n_words, changed, sum(linked), len(linked))
+
+
+def test_text_missing_at_the_start_of_two_cuts(spark):
+    rnd = random.Random(6)
+    rows = []
+    for n in (600, 800, 1000):
+        line = " ".join(f"w{rnd.randrange(10 ** 4)}" for _ in range(n // 6))
+        rows += [(n, "x" * (n // 8) + " " + line, "a"), (n + 1, line, "a")]
+    assert {r.doc_id: r.keep_doc_id for r in fuzzy_lines(frame(spark, rows)).collect()} == {n + i: n for n in (600, 800, 1000) for i in (0, 1)}
