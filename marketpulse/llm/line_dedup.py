@@ -90,7 +90,7 @@ def with_simhash(docs: DataFrame) -> DataFrame:
     when it is in the hashes of more than half of the words."""
     size = F.char_length(whole(F.col("text")))
     out = None
-    for long, part in ((False, docs),):
+    for long, part in ((False, docs.where(size < LONG)), (True, docs.where(size >= LONG))):
         sim = F.lit(0).cast("long")
         for i in range(BITS):
             sim = sim.bitwiseOR(F.when(F.col(f"f{i}") * 2 > F.col("words"), F.lit(1 << i)).otherwise(F.lit(0).cast("long")))

@@ -105,3 +105,11 @@ def test_text_missing_at_the_start_of_two_cuts(spark):
         line = " ".join(f"w{rnd.randrange(10 ** 4)}" for _ in range(n // 6))
         rows += [(n, "x" * (n // 8) + " " + line, "a"), (n + 1, line, "a")]
     assert {r.doc_id: r.keep_doc_id for r in fuzzy_lines(frame(spark, rows)).collect()} == {n + i: n for n in (600, 800, 1000) for i in (0, 1)}
+
+
+def test_counts_of_many_words(spark):
+    """Over two million words in one line, or in repeated rows of one."""
+    many = spark.range(250_000).selectExpr("CAST(NULL AS LONG) AS doc_id", "'the quick brown fox jumps over a lazy dog' AS text")
+    docs = many.unionByName(spark.createDataFrame([(1, "the quick brown fox jumps over a lazy dog"), (2, "fox " * 2_200_000), (3, "fox")], "doc_id long, text string"))
+    sims = {r.doc_id: r.sim for r in with_simhash(docs).collect()}
+    assert sims[None] == sims[1] and sims[2] == sims[3]
