@@ -116,6 +116,21 @@ def signed(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sign, SIGNED)
 
 
+def with_digest(docs: DataFrame, width: int) -> DataFrame:
+    """``doc_id, text, d1, d2``, the digest that ``signed`` gives."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for ids, texts in _slices(batches):
+            sets = [shingle_set(text, width, hashes) for text in texts]
+            pairs = [np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64).tolist() if len(s) else (0, 0) for s in sets]
+            columns = (ids, texts, [d for d, _ in pairs], [d for _, d in pairs])
+            types = (pa.int64(), pa.string(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "text", "d1", "d2"])
+
+    return docs.select("doc_id", "text").mapInArrow(digest, "doc_id long, text string, d1 long, d2 long")
+
+
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id, d1, shingles`` (sorted 64-bit hashes as bytes)."""
 
@@ -217,7 +232,7 @@ def links_in_cells(own: DataFrame, clusters: DataFrame, sets: DataFrame, percent
     return cells.groupBy("cluster", "i", "j").applyInArrow(lambda cell: _cell_links(cell, percent), "u long, v long")
 
 
-def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, digests: bool = False) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, kept``.
 
     Documents are linked when their shingle sets have a Jaccard similarity of
@@ -226,7 +241,7 @@ def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     shingles and are linked with nothing. A row without an id takes no part: its
     component is null and it is kept. Ids should be unique: of rows that repeat one,
     each follows its own text's links, and texts with the same smallest id count as
-    linked. An empty table gives an empty result; columns other than ``doc_id`` and
+    linked. With ``digests`` also ``d1, d2``, the digest of the row's set. An empty table gives an empty result; columns other than ``doc_id`` and
     ``text`` aren't looked at."""
     docs = docs.select("doc_id", "text")
     rows = stored(signed(docs, width), "signatures")
@@ -266,13 +281,22 @@ def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     discard(parts, nodes, entries_shared, members, paired, sets)
     return (rows.join(own, (F.col("d1") == F.col("n_d1")) & (F.col("d2") == F.col("n_d2")) & (F.col("n_shingles") > 0), "left")
             .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
-            .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
+            .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), *(["d1", "d2"] if digests else [])))
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs``, all columns, that ``near_components`` keeps."""
-    gone = near_components(docs, width, percent).where("not kept").select(F.col("doc_id").alias("g_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("g_id"), "left_anti")
+    """The rows of ``docs``, all columns, that ``near_components`` keeps. Where an id
+    has rows that are kept and others that aren't, they are told apart by their text."""
+    found = stored(near_components(docs, width, percent, digests=True).where("doc_id is not null").select("doc_id", "d1", "d2", "kept").distinct(), "kept-sets")
+    dropped = found.where("not kept").select(F.col("doc_id").alias("g_id"), F.col("d1").alias("g_d1"), F.col("d2").alias("g_d2"))
+    kept = found.where("kept").select(F.col("doc_id").alias("k_id")).distinct()
+    mixed = stored(dropped.join(kept, F.col("g_id") == F.col("k_id"), "left_semi"), "mixed-ids")
+    rows = docs.join(mixed.select("g_id").distinct(), F.col("doc_id") == F.col("g_id"), "left_semi").select("doc_id", "text")
+    apart = (F.col("doc_id") == F.col("g_id")) & (F.col("d1") == F.col("g_d1")) & (F.col("d2") == F.col("g_d2"))
+    texts = stored(with_digest(rows, width).join(mixed, apart, "left_semi").select(F.col("doc_id").alias("g_id"), F.col("text").alias("g_text")).distinct(), "mixed-texts")
+    whole_ids = dropped.join(kept, F.col("g_id") == F.col("k_id"), "left_anti").select("g_id").distinct()
+    gone = whole_ids.withColumn("g_text", F.lit(None).cast("string")).unionByName(texts)
+    return docs.join(gone, (F.col("doc_id") == F.col("g_id")) & (F.col("g_text").isNull() | (F.col("g_text") == F.col("text"))), "left_anti")
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

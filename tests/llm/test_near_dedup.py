@@ -70,3 +70,11 @@ def test_signature_estimates_similarity():
 def test_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert near_components(empty).count() == 0 and one_of_each(empty).count() == 0
+
+
+def test_two_texts_of_one_id(spark):
+    """One is a copy of a smaller id's text, the other is its own: only the copy goes."""
+    rnd = random.Random(12)
+    one, two = (" ".join(f"w{rnd.randrange(5000)}" for _ in range(60)) for _ in range(2))
+    rows = [(1, one, "a"), (5, one, "b"), (5, two, "c"), (5, None, "d"), (6, two + " end", "e"), (7, one, "f")]
+    assert sorted(r.source for r in one_of_each(frame(spark, rows)).collect()) == ["a", "c", "d"]
