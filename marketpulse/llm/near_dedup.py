@@ -26,8 +26,8 @@ from marketpulse.llm.linking import linked_components, pairs_across, with_partne
 ROWS, BANDS = 5, 28
 WIDTH, PERCENT = 5, 80
 #: Coordinates whose lowest bit is kept, and by how many standard deviations they may fall short of
-#: what the similarity makes likely before a pair is not tested (4.5: 3 in a million)
-SKETCH_BITS, SLACK = 512, 4.5
+#: what the similarity makes likely before a pair is not tested (5.5: at the threshold 2 in ten million, by the binomial tail)
+SKETCH_BITS, SLACK = 512, 5.5
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 #: Words whose hash a worker keeps at hand
 CACHED = 100_000

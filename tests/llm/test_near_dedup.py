@@ -1,8 +1,9 @@
+import math
 import random
 
 import numpy as np
 
-from marketpulse.llm.near_dedup import WordHashes, near_components, one_of_each, shingle_set, signature
+from marketpulse.llm.near_dedup import BANDS, ROWS, SKETCH_BITS, SLACK, WordHashes, near_components, one_of_each, shingle_set, signature
 from tests.llm.odd import LONG, SCHEMA, frame, odd_rows
 from tests.llm.test_linking import roots
 
@@ -78,3 +79,11 @@ def test_two_texts_of_one_id(spark):
     one, two = (" ".join(f"w{rnd.randrange(5000)}" for _ in range(60)) for _ in range(2))
     rows = [(1, one, "a"), (5, one, "b"), (5, two, "c"), (5, None, "d"), (6, two + " end", "e"), (7, one, "f")]
     assert sorted(r.source for r in one_of_each(frame(spark, rows)).collect()) == ["a", "c", "d"]
+
+
+def test_sketches_lose_less_than_the_bands():
+    """At the threshold, by the binomial tail: a bit of the sketch differs in a tenth of the cases."""
+    p = (1 - 0.8) / 2
+    most = int(SKETCH_BITS * p + SLACK * (SKETCH_BITS * p * (1 - p)) ** 0.5)
+    tail = sum(math.comb(SKETCH_BITS, k) * p ** k * (1 - p) ** (SKETCH_BITS - k) for k in range(most + 1, SKETCH_BITS + 1))
+    assert tail < 1e-6 < (1 - 0.8 ** ROWS) ** BANDS
