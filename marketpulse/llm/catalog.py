@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from marketpulse.llm.chat import OP1_SQL, op1_chat_perspectives
 from marketpulse.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from marketpulse.llm.fill_in_middle import OP13_SQL, op13_fill_in_middle
 from marketpulse.llm.fingerprints import OP2_SQL, op2_fingerprints
 from marketpulse.llm.language_model import op8_language_model
 from marketpulse.llm.line_dedup import op6_fuzzy_lines
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_language_model": op8_language_model,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pack_sequences": op10_pack_sequences,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLE = {
@@ -32,4 +34,5 @@ ORACLE = {
     "op4_mix_sources": OP4_SQL,
     "op7_near_dedup": OP7_SQL,
     "op9_exact_dedup": OP9_SQL,
+    "op13_fill_in_middle": OP13_SQL,
 }

@@ -1,0 +1,50 @@
+import hashlib
+import re
+
+from marketpulse.llm.fill_in_middle import cut, fill_in_middle, rendered, restored
+from tests.llm.odd import LONG, SCHEMA, frame, odd_rows
+
+
+def brute(doc_id, text):
+    text = text or ""
+    tokens = re.findall(r"[A-Za-z]+|[^A-Za-z]", text)
+    n = len(tokens)
+    digest = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[i * 8:i * 8 + 8], 16) for i in range(4)]
+    if not text or any(s in text for s in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    prefix, middle, suffix = "".join(tokens[:a]), "".join(tokens[a:b]), "".join(tokens[b:])
+    if h[3] % 100 < 20:
+        return n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def test_rows_equal_brute_force(spark):
+    rows = odd_rows() + [(i, "It's 3 < 4:\n<<P and S>> zażółć 😀 " * (i % 5), "a") for i in range(100, 200)]
+    rows += [(300, "has <P> in it", "a"), (301, "has <S>", "a"), (302, "<M>", "a"), (303, "<", "a"), (304, "\n", "a"), (305, LONG, "a")]
+    got = fill_in_middle(frame(spark, rows)).collect()
+    text_of = {}
+    for i, text, _ in rows:
+        text_of.setdefault(i, []).append(text)
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == sorted((i is None, i or 0) for i, _, _ in rows)
+    want = sorted(((i, *brute(i, t)) for i, t, _ in rows), key=repr)
+    assert sorted(((r.doc_id, r.n, r.form, r.prefix_chars, r.middle_chars, r.output) for r in got), key=repr) == want
+    assert {r.form for r in got} == {"plain", "psm", "spm"}
+    for r in got:
+        assert r.output_sha256 == hashlib.sha256(r.output.encode()).hexdigest()
+        pieces = [tuple(p) for p in r.pieces]
+        own = [t or "" for t in text_of[r.doc_id] if rendered(pieces, t or "") == r.output]
+        assert own and rendered(restored(pieces, r.form), own[0]) == own[0]
+        assert r.restored_sha256 == hashlib.sha256(own[0].encode()).hexdigest()
+
+
+def test_cut_splits_descriptors():
+    pieces = [(0, 5, 4), (1, 0, 3), (0, 0, 5)]
+    assert cut(pieces, [2, 7]) == [[(0, 5, 2)], [(0, 7, 2), (1, 0, 3)], [(0, 0, 5)]]
+    assert cut(pieces, [0, 12]) == [[], pieces, []] and cut([], [0, 0]) == [[], [], []]
+    assert cut(pieces, [4, 4]) == [[(0, 5, 4)], [], [(1, 0, 3), (0, 0, 5)]]
+
+
+def test_empty_table(spark):
+    assert fill_in_middle(spark.createDataFrame([], SCHEMA)).count() == 0
