@@ -11,6 +11,7 @@ from marketpulse.llm.line_dedup import op6_fuzzy_lines
 from marketpulse.llm.mixing import OP4_SQL, op4_mix_sources
 from marketpulse.llm.near_dedup import OP7_SQL, op7_near_dedup
 from marketpulse.llm.packing import op10_pack_sequences
+from marketpulse.llm.parity_join import OP12_SQL, op12_parity_join
 from marketpulse.llm.quality import op5_quality_rules
 from marketpulse.llm.token_counts import op3_token_counts
 
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_language_model": op8_language_model,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pack_sequences": op10_pack_sequences,
+    "op12_parity_join": op12_parity_join,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
@@ -34,5 +36,6 @@ ORACLE = {
     "op4_mix_sources": OP4_SQL,
     "op7_near_dedup": OP7_SQL,
     "op9_exact_dedup": OP9_SQL,
+    "op12_parity_join": OP12_SQL,
     "op13_fill_in_middle": OP13_SQL,
 }

@@ -77,7 +77,8 @@ def with_partner(members: DataFrame, details: DataFrame, alike: Of) -> DataFrame
 
 
 def linked_components(members: DataFrame, details: DataFrame, alike: Of, distance: Of, confirm: Callable[[DataFrame], DataFrame],
-                      confirm_across: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
+                      confirm_across: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+                      known: DataFrame | None = None, seen: DataFrame | None = None) -> DataFrame:
     """``node, component`` (the smallest node) of the nodes that have a link.
 
     ``members``: ``key, node``, a row for each bucket of a node. ``details``: a row
@@ -88,11 +89,14 @@ def linked_components(members: DataFrame, details: DataFrame, alike: Of, distanc
 
     What the rounds leave goes to ``confirm_across``: it takes members with their
     component (``key, node, part``) and the pairs tested so far (``u, v``), and returns
-    the links between different parts of a bucket, stored. By default these pairs are listed and confirmed."""
+    the links between different parts of a bucket, stored. By default these pairs are listed and confirmed.
+    ``known``: links found before, ``seen``: the pairs (``u <= v``) tested for them."""
     spark = members.sparkSession
     parts = spark.createDataFrame([], "node long, component long")
     tested = links = spark.createDataFrame([], "u long, v long")
     used = []
+    if known is not None:
+        tested, links, parts = seen, known, components(known)
     for turn in range(ROUNDS):
         pairs = stored(_pivot_pairs(members, details, parts, tested, alike, distance, turn), "pairs")
         found = stored(confirm(pairs), "links")
