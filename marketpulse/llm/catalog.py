@@ -6,6 +6,7 @@ from marketpulse.llm.chat import OP1_SQL, op1_chat_perspectives
 from marketpulse.llm.exact_dedup import OP9_SQL, op9_exact_dedup
 from marketpulse.llm.fill_in_middle import OP13_SQL, op13_fill_in_middle
 from marketpulse.llm.fingerprints import OP2_SQL, op2_fingerprints
+from marketpulse.llm.hard_negatives import OP11_SQL, op11_hard_negatives
 from marketpulse.llm.language_model import op8_language_model
 from marketpulse.llm.line_dedup import op6_fuzzy_lines
 from marketpulse.llm.mixing import OP4_SQL, op4_mix_sources
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_language_model": op8_language_model,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pack_sequences": op10_pack_sequences,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_parity_join": op12_parity_join,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
@@ -36,6 +38,7 @@ ORACLE = {
     "op4_mix_sources": OP4_SQL,
     "op7_near_dedup": OP7_SQL,
     "op9_exact_dedup": OP9_SQL,
+    "op11_hard_negatives": OP11_SQL,
     "op12_parity_join": OP12_SQL,
     "op13_fill_in_middle": OP13_SQL,
 }

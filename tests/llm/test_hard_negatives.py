@@ -1,0 +1,86 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from marketpulse.llm import hard_negatives as H
+
+SCHEMA = "vec_id long, embedding array<float>, label int, v string, cluster string, i int, a int"
+
+
+def vectors(n, dim=6, seed=3):
+    rnd = random.Random(seed)
+    centres = [[rnd.gauss(0, 1) for _ in range(dim)] for _ in range(5)]
+    rows = []
+    for i in range(n):
+        c = rnd.choice(centres)
+        rows.append((i, [x + rnd.gauss(0, 0.3) for x in c], rnd.randrange(10)))
+    return rows
+
+
+def odd_vectors():
+    nan, inf = float("nan"), float("inf")
+    same = [0.5, -0.25, 0.125, 0.0, 1.0, 0.75]
+    return ([(None, same, 1), (1001, None, 1), (1002, same, None), (1003, [nan] + same[1:], 1), (1004, [inf] + same[1:], 1), (1005, [None] + same[1:], 1),
+             (1100, [0.0] * 6, 2), (1101, [], 3), (1200, [], 3), (1201, [], 4), (1300, [1.0, 2.0], 5), (1301, [1.0, 1.0], 5), (1302, [1.0, 1.5], 6),
+             (-100, same, 7), (-98, same, 0)] + [(2000 + i, same, i % 10) for i in range(40)] + [(2000, same, 0), (2500, same, 4), (2500, same, 4)])
+
+
+def brute(rows):
+    kept = {}
+    for i, v, label in rows:
+        if i is None or v is None or label is None or any(x is None or not np.isfinite(x) for x in v):
+            continue
+        label = label if i % 7 else (label + 1) % 10
+        row = (label, tuple(int(np.floor(256 * float(np.float32(x)))) for x in v))
+        kept[i] = min(kept.get(i, row), row)
+    out = []
+    for a, (label, v) in kept.items():
+        if a % 100:
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(v, w)), b, m) for b, (m, w) in kept.items() if b != a and len(w) == len(v))
+        for s, p, m in [x for x in scored if x[2] == label][:5]:
+            fit = [(n, b) for n, b, k in scored if k != label and 80 * -s <= 100 * -n <= 100 * -s][:5]
+            out += [(a, p, rank, b, -s, -n) for rank, (n, b) in enumerate(fit, 1)]
+    return sorted(out)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, None, None, None, None) for r in rows], SCHEMA)
+
+
+@pytest.mark.parametrize("rows,anchors", [(8192, 8192), (90, 3)])
+def test_result_equals_brute_force(spark, monkeypatch, rows, anchors):
+    monkeypatch.setattr(H, "ROWS", rows)
+    monkeypatch.setattr(H, "ANCHORS", anchors)
+    monkeypatch.setattr(H, "STEP", 8)
+    data = vectors(700) + odd_vectors()
+    want = brute(data)
+    got = H.hard_negatives(H.prepared(frame(spark, data)), F.col("vec_id") % 100 == 0)
+    assert sorted(tuple(r) for r in got.collect()) == want and want
+
+
+def test_walk_ends_early_and_misses_nothing():
+    rng = np.random.default_rng(5)
+    rows = np.floor(256 * rng.normal(size=(4000, 8)) * rng.gamma(1, 1, size=(4000, 1))).astype(np.int64)
+    members = rows[:6] + rng.integers(-3, 3, (6, 8))
+    best = H.Best(6, 5, len(rows))
+    made = H.walk(members, rows, lambda who, some, s: best.add(who, some, s, np.ones_like(s, bool)), lambda: best.least)
+    scores = members @ rows.T
+    for m in range(6):
+        order = np.lexsort((np.arange(len(rows)), -scores[m]))[:5]
+        assert best.of(m) == [(int(i), int(scores[m, i])) for i in order]
+    near = H.Best(1, 5, len(rows))
+    alone = H.walk(members[:1], rows, lambda who, some, s: near.add(who, some, s, np.ones_like(s, bool)), lambda: near.least)
+    assert alone < len(rows) and made <= 6 * len(rows)
+
+
+def test_products_are_exact_beyond_floating_point():
+    big = np.array([[2 ** 30, 1], [-(2 ** 30), 3]], np.int64)
+    assert H._products(big, big).tolist() == [[2 ** 60 + 1, -(2 ** 60) + 3], [-(2 ** 60) + 3, 2 ** 60 + 9]]
+
+
+def test_empty_table_and_no_anchor(spark):
+    for rows in ([], [(1, [1.0], 2)], [(100, [1.0], 2)]):
+        assert H.hard_negatives(H.prepared(frame(spark, rows)), F.col("vec_id") % 100 == 0).count() == 0
