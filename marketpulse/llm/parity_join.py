@@ -33,13 +33,13 @@ from marketpulse.llm.near_dedup import WordHashes, confirmed, full_sets, links_i
 WIDTH, PERCENT = 4, 85
 #: Each band's sizes reach up to about so many times its least
 BAND = 2
-#: Bits of the parity that candidates are held against
+#: Least bits of the parity that candidates are held against; large sets have half as many as shingles or more,
+#: so that unlike sets differ in more bits than the bound
 PARITY_BITS = 1024
-PARITY = [f"p{i}" for i in range(PARITY_BITS // 64)]
 #: Similarities for which the sizes of a band leave more shingles than words
 PERCENTS = range(80, 101)
 
-SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>, " + ", ".join(f"{p} long" for p in PARITY)
+SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, keys array<long>, parity array<long>"
 
 
 def most_apart(both: int, percent: int) -> int:
@@ -104,8 +104,10 @@ def join_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
 
 
 def parity_bits(shingles: np.ndarray) -> np.ndarray:
-    """Whether an odd number of shingles falls on each bit, as signed 64-bit numbers."""
-    odd = np.bincount((_mixed(shingles, 0) & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    """Whether an odd number of shingles falls on each bit, as signed 64-bit numbers.
+    A power of two of them; XORing the halves gives the parity of half as many bits."""
+    bits = max(PARITY_BITS, (1 << (len(shingles) - 1).bit_length()) >> 1)
+    odd = np.bincount((_mixed(shingles, 0) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -114,7 +116,7 @@ def signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        types = [pa.int64()] * 4 + [pa.list_(pa.int64())] + [pa.int64()] * len(PARITY)
+        types = [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2
         names = [f.split()[0] for f in SIGNED.split(", ")]
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -123,19 +125,25 @@ def signed(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     found = shingle_set(text, width, hashes)
                     if len(found):
                         d1, d2 = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64)
-                        rows.append((doc_id, len(found), int(d1), int(d2), join_keys(found, percent), *parity_bits(found).tolist()))
+                        rows.append((doc_id, len(found), int(d1), int(d2), join_keys(found, percent), parity_bits(found)))
                     else:
-                        rows.append((doc_id, 0, 0, 0, [], *[0] * len(PARITY)))
+                        rows.append((doc_id, 0, 0, 0, [], []))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
     return docs.select("doc_id", "text").mapInArrow(sign, SIGNED)
 
 
 def _bits_apart(a: str, b: str) -> Column:
-    apart = F.lit(0)
-    for p in PARITY:
-        apart = apart + F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}")))
-    return apart
+    """Bits in which two parities differ; of linked sets one has at most twice as many as the other."""
+    x, y = F.col(f"{a}.parity"), F.col(f"{b}.parity")
+    size = F.least(F.size(x), F.size(y))
+
+    def folded(z: Column) -> Column:
+        halves = F.zip_with(F.slice(z, F.lit(1), size), F.slice(z, size + 1, size), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(z) > size, halves).otherwise(z)
+
+    differ = F.zip_with(folded(x), folded(y), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.aggregate(differ, F.lit(0), lambda n, d: n + d)
 
 
 def _alike(a: str, b: str, percent: int) -> Column:
@@ -171,7 +179,7 @@ def linked_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     rows = stored(sketched.select("doc_id", "n_shingles", "d1", "d2"), "rows")
     first = rows.where("doc_id is not null and n_shingles > 0").groupBy(F.col("d1").alias("f_d1"), F.col("d2").alias("f_d2")).agg(F.min("doc_id").alias("node"))
     is_first = (F.col("doc_id") == F.col("node")) & (F.col("d1") == F.col("f_d1")) & (F.col("d2") == F.col("f_d2"))
-    nodes = stored(sketched.join(first, is_first).select("node", F.col("n_shingles").alias("n"), "d1", "d2", "keys", *PARITY).dropDuplicates(["node", "d1", "d2"]), "nodes")
+    nodes = stored(sketched.join(first, is_first).select("node", F.col("n_shingles").alias("n"), "d1", "d2", "keys", "parity").dropDuplicates(["node", "d1", "d2"]), "nodes")
     discard(sketched)
     entries = nodes.select(F.explode("keys").alias("key"), "node")
     shared = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1").select("key", "first")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from marketpulse.llm.near_dedup import WordHashes, shingle_set
-from marketpulse.llm.parity_join import PARITY, join_keys, linked_sets, most_apart, parity_bits, schemes
+from marketpulse.llm.parity_join import join_keys, linked_sets, most_apart, parity_bits, schemes
 from tests.llm.odd import SCHEMA, frame, odd_rows
 from tests.llm.test_linking import roots
 
@@ -61,12 +61,13 @@ def test_linked_sets_share_a_key(percent):
                 shared = len(np.intersect1d(own, other))
                 if len(other) and 100 * shared >= percent * (len(own) + len(other) - shared):
                     assert len(np.intersect1d(join_keys(own, percent), join_keys(other, percent)))
-                    bits = int(np.bitwise_count((parity_bits(own) ^ parity_bits(other)).view(np.uint64)).sum())
+                    x, y = parity_bits(own), parity_bits(other)
+                    x, y = (z if len(z) == min(len(x), len(y)) else z[:len(z) // 2] ^ z[len(z) // 2:] for z in (x, y))
+                    bits = int(np.bitwise_count((x ^ y).view(np.uint64)).sum())
                     assert bits <= len(own) + len(other) - 2 * shared <= most_apart(len(own) + len(other), percent)
 
 
 def test_keys_stay_in_proportion():
-    assert len(PARITY) == 16
     for n in range(30, 5000, 61):
         assert sum(words for _, words, _ in schemes(n, 85)) <= 0.9 * n
 
