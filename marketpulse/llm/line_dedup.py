@@ -1,7 +1,7 @@
 """Fuzzy line de-duplication.
 
 Lines are normalised (letters and digits in lower case, single spaces) and get a
-SimHash of their words. Equal lines are one node, its first occurrence standing
+SimHash of their distinct words. Equal lines are one node, its first occurrence standing
 for it. Nodes meet in buckets by two pigeonhole schemes. SimHashes within two bits
 agree in at least two of four blocks, a bucket for each pair of blocks. And words are
 dealt by hash into five blocks: a replaced word alters two of them at most, so the
@@ -18,11 +18,12 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketpulse.llm.common import discard, stored, table, whole
-from marketpulse.llm.linking import linked_components
+from marketpulse.llm.linking import linked_components, with_partner
 
-#: Bits of the SimHash: fields of one long that count three bits at once
-STRIDE, FIELDS = 21, 3
-BITS = STRIDE * FIELDS
+#: Bits of the SimHash, and how many of them a long counts at once: seven in lines of up to 511 distinct
+#: words, three in longer ones
+BITS = 63
+SHORT, LONG = 7, 3
 #: SimHashes may differ in so many bits: one of five words replaced moves 13 of 63 on average, give or take 3
 DISTANCE = 20
 #: SimHashes within so many bits always meet; blocks as (first bit, width), of which two agree then
@@ -34,15 +35,16 @@ WORD_BLOCKS = 5
 WORD_KEYS = ((1, 11, 3, 2), (10, 21, 2, 3), (20, 1 << 62, 1, 2))
 #: Bits of a count of a block's words, and words of a line from which on the counts aren't looked at
 HELD, MANY = 12, 4000
-#: Texts of so many code points or more are counted in two steps: 21 bits hold no more words
-LONG, CHUNK = (1 << STRIDE), 20
+#: Distinct words up to which seven fields hold the counts; code points that a line of more has at least
+FEW_WORDS, FEW_POINTS = (1 << BITS // SHORT) - 1, 2 * ((1 << BITS // SHORT) - 1)
+#: Words of longer lines are counted in runs: the fields of 21 bits hold no more
+CHUNK = 20
 #: Edits allowed per hundred code points of the longer line
 PERCENT_EDITS = 20
 #: Long lines are compared in cuts of up to so many code points; within a cut, more edits than this count as all of it.
 CUT, CUT_EDITS = r"(?s).{512,1023}? |.{1,1024}", 1024 * PERCENT_EDITS // 100
 #: Looked for first: a distance takes time in proportion to its limit, and most near lines have few edits.
 FEW_EDITS = 16
-_ONES = sum(1 << i * STRIDE for i in range(FIELDS))
 #: A place is doc_id * _LINES + line_no, exact as a decimal; a missing id comes after all others
 _LINES, _NO_ID = Decimal(1 << 31), Decimal(1 << 63)
 
@@ -62,39 +64,43 @@ _LINE = ["doc_id", "line_no", "h", "n"]
 _BLOCK = [f"b{i}" for i in range(WORD_BLOCKS)]
 
 
-def _counted(docs: DataFrame, long: bool) -> DataFrame:
-    """Per line of every row: ``words``, how many have bit i as ``f<i>``, the words of
-    each block as one hash, and ``held``, how many words the blocks have. A row's
-    lines are counted on their own, so repeated rows don't add up. ``long``: by runs of
-    words first, whose counts fit their fields."""
-    rows = _lines(docs).withColumn("row", F.monotonically_increasing_id())
-    run = [(F.shiftright("pos", CHUNK) if long else F.lit(0)).alias("run")]
-    hashed = rows.select(*_LINE, "row", F.posexplode(F.split("line", " ")).alias("pos", "word")).select(*_LINE, "row", *run, F.xxhash64("word").alias("w"))
+def _counted(lines: DataFrame, fields: int) -> DataFrame:
+    """Per line of every row: ``words`` (distinct ones), how many have bit i as ``f<i>``,
+    the words of each block as the sum of their hashes, and ``held``, how many words the
+    blocks have. A row's lines are counted on their own, so repeated rows don't add
+    up. Lines of many words are counted by runs of words, whose counts fit their fields."""
+    stride = BITS // fields
+    ones = sum(1 << i * stride for i in range(fields))
+    whole_line = [*_LINE, "row"]
+    run = ["run"] if fields == LONG else []
+    hashed = lines.select(*whole_line, F.posexplode("hashes").alias("pos", "w")).withColumn("run", F.shiftright("pos", CHUNK))
     hashed = hashed.withColumn("block", F.pmod("w", F.lit(WORD_BLOCKS)).cast("int"))
-    sums = [F.try_sum(F.shiftright("w", k).bitwiseAND(F.lit(_ONES))).alias(f"c{k}") for k in range(STRIDE)]
-    sums += [F.bit_xor(F.when(F.col("block") == i, F.shiftright("w", 32).cast("int"))).alias(b) for i, b in enumerate(_BLOCK)]
+    sums = [F.sum(F.shiftright("w", k).bitwiseAND(F.lit(ones))).alias(f"c{k}") for k in range(stride)]
+    sums += [F.coalesce(F.sum(F.when(F.col("block") == i, F.shiftrightunsigned("w", 32))), F.lit(0)).alias(b) for i, b in enumerate(_BLOCK)]
     # beyond MANY words, when a sum may run over, nothing looks at it
     sums.append(F.coalesce(F.try_sum(F.expr(f"shiftleft(1L, block * {HELD})")), F.lit(0)).alias("held"))
-    counted = hashed.groupBy(*_LINE, "row", *(["run"] if long else [])).agg(F.count("*").alias("words"), *sums)
-    bits = [F.shiftright(f"c{k}", f * STRIDE).bitwiseAND(F.lit((1 << STRIDE) - 1)).alias(f"f{f * STRIDE + k}") for f in range(FIELDS) for k in range(STRIDE)]
-    blocks = [F.coalesce(b, F.lit(0)).alias(b) for b in _BLOCK]
-    counted = counted.select(*_LINE, "row", "words", "held", *blocks, *bits)
-    if not long:
+    counted = hashed.groupBy(*whole_line, *run).agg(F.count("*").alias("words"), *sums)
+    bits = [F.shiftright(f"c{k}", f * stride).bitwiseAND(F.lit((1 << stride) - 1)).alias(f"f{f * stride + k}") for f in range(fields) for k in range(stride)]
+    counted = counted.select(*whole_line, "words", "held", *_BLOCK, *bits)
+    if not run:
         return counted
-    return counted.groupBy(*_LINE, "row").agg(F.sum("words").alias("words"), F.max("held").alias("held"), *[F.bit_xor(b).alias(b) for b in _BLOCK],
-                                              *[F.sum(f"f{i}").alias(f"f{i}") for i in range(BITS)])
+    return counted.groupBy(*whole_line).agg(F.sum("words").alias("words"), F.max("held").alias("held"), *[F.sum(b).alias(b) for b in _BLOCK],
+                                            *[F.sum(f"f{i}").alias(f"f{i}") for i in range(BITS)])
 
 
 def with_simhash(docs: DataFrame) -> DataFrame:
     """``doc_id, line_no, h, n, sim, words, held, b0..b4``: bit i of ``sim`` is set
-    when it is in the hashes of more than half of the words."""
-    size = F.char_length(whole(F.col("text")))
+    when it is in the hashes of more than half of the line's distinct words."""
+    long_line = F.exists(F.split("text", "\n", -1), lambda line: F.char_length(line) >= FEW_POINTS)
     out = None
-    for long, part in ((False, docs.where(size < LONG)), (True, docs.where(size >= LONG))):
+    for fields, part in ((SHORT, docs), (LONG, docs.where(F.col("text").isNotNull() & long_line))):
+        hashes = F.array_distinct(F.transform(F.split("line", " "), lambda word: F.xxhash64(word)))
+        lines = _lines(part).withColumn("row", F.monotonically_increasing_id()).select(*_LINE, "row", hashes.alias("hashes"))
+        lines = lines.where(F.size("hashes") <= FEW_WORDS if fields == SHORT else F.size("hashes") > FEW_WORDS)
         sim = F.lit(0).cast("long")
         for i in range(BITS):
             sim = sim.bitwiseOR(F.when(F.col(f"f{i}") * 2 > F.col("words"), F.lit(1 << i)).otherwise(F.lit(0).cast("long")))
-        own = _counted(part, long).select(*_LINE, sim.alias("sim"), "words", "held", *_BLOCK)
+        own = _counted(lines, fields).select(*_LINE, sim.alias("sim"), "words", "held", *_BLOCK)
         out = own if out is None else out.unionByName(own)
     return out.dropDuplicates(_LINE)
 
@@ -163,10 +169,11 @@ def fuzzy_lines(docs: DataFrame) -> DataFrame:
     lines = stored(with_simhash(docs).withColumn("place", place), "line-hashes")
     nodes = stored(lines.groupBy("h", "n").agg(F.min("place").alias("first"), *[F.min(c).alias(c) for c in ("sim", "words", "held", *_BLOCK)])
                    .withColumn("node", F.monotonically_increasing_id()), "lines")
-    entries = nodes.select(F.explode(_keys()).alias("key"), F.struct("node", "n", "sim").alias("a"))
-    others = entries.select(F.col("key").alias("o_key"), F.col("a").alias("b"))
-    near = (F.col("key") == F.col("o_key")) & (F.col("a.node") != F.col("b.node")) & _alike("a", "b")
-    members = stored(entries.join(others, near, "left_semi").select("key", "a.node"), "members")
+    entries = nodes.select(F.explode(_keys()).alias("key"), "node")
+    # nearly every key is one node's alone: those go before anything but the key is moved
+    shared = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    entries = stored(entries.join(shared, "key"), "bucket-members")
+    members = stored(with_partner(entries, nodes.select("node", "n", "sim"), _alike), "members")
     paired = nodes.join(members.select("node").distinct(), "node", "left_semi")
     details = stored(paired.select("node", "n", "sim"), "paired")
     wanted = paired.select("node", F.col("h").alias("w_h"), F.col("n").alias("w_n"), *_unpacked("first", "w_id", "w_line"))
@@ -177,7 +184,8 @@ def fuzzy_lines(docs: DataFrame) -> DataFrame:
     def confirm(pairs: DataFrame) -> DataFrame:
         a, b = texts.select(F.col("node").alias("x"), F.col("line").alias("line_a")), texts.select(F.col("node").alias("y"), F.col("line").alias("line_b"))
         both = pairs.join(a, F.col("a.node") == F.col("x")).join(b, F.col("b.node") == F.col("y"))
-
+        # distances cost far more than their bytes: dealt over all tasks, whatever their size
+        both = both.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "x", "y")
         most = F.floor(F.greatest("a.n", "b.n") * PERCENT_EDITS / 100).cast("int")
         return both.where(_within(F.col("line_a"), F.col("line_b"), most)).select(F.col("x").alias("u"), F.col("y").alias("v"))
 
@@ -188,7 +196,7 @@ def fuzzy_lines(docs: DataFrame) -> DataFrame:
     keepers = stored(keepers, "keepers")
     choice = stored(nodes.join(keepers, F.col("node") == F.col("k_node"), "left").select(
         F.col("h").alias("c_h"), F.col("n").alias("c_n"), F.coalesce("keep", "first").alias("keep")), "line-choices")
-    discard(parts, keepers, nodes, members, details, texts)
+    discard(parts, keepers, nodes, entries, members, details, texts)
     return (lines.join(choice, (F.col("h") == F.col("c_h")) & (F.col("n") == F.col("c_n")))
             .select("doc_id", "line_no", *_unpacked("keep", "keep_doc_id", "keep_line_no"), (F.col("place") == F.col("keep")).alias("kept")))
 

@@ -113,3 +113,35 @@ def test_counts_of_many_words(spark):
     docs = many.unionByName(spark.createDataFrame([(1, "the quick brown fox jumps over a lazy dog"), (2, "fox " * 2_200_000), (3, "fox")], "doc_id long, text string"))
     sims = {r.doc_id: r.sim for r in with_simhash(docs).collect()}
     assert sims[None] == sims[1] and sims[2] == sims[3]
+
+
+def test_repeated_words_make_no_common_bucket(spark):
+    """Words that repeat don't cancel: lines of one repeated word share no bucket of words."""
+    from pyspark.sql import functions as F
+
+    from marketpulse.llm.line_dedup import CLOSE, _keys
+    n_sim = 6 if CLOSE == 2 else 0
+    names = ["alpha", "beta", "gamma", "delta", "eps", "zeta"]
+    rows = [(i, " ".join([w] * n), "a") for i, (w, n) in enumerate((w, n) for w in names for n in (1, 2, 20, 21, 4100))]
+    rows += [(100 + i, f"{w} {v} " * 12, "a") for i, (w, v) in enumerate(zip(names, names[1:]))]
+    found = with_simhash(frame(spark, rows)).withColumn("keys", _keys()).collect()
+    assert all(r.words == 1 and len(r.keys) == n_sim for r in found if r.doc_id < 100)  # a key takes two words
+    keys = [set(r.keys[n_sim:]) for r in found if r.doc_id >= 100]
+    assert all(keys) and all(not (a & b) for i, a in enumerate(keys) for b in keys[i + 1:])
+
+
+def test_lines_around_the_limit_of_short_counts(spark):
+    from marketpulse.llm.line_dedup import FEW_WORDS
+    rnd = random.Random(3)
+    rows = []
+    for n in (FEW_WORDS - 1, FEW_WORDS, FEW_WORDS + 1, 3 * FEW_WORDS):
+        words = [f"{rnd.randrange(10 ** 9)}q" for _ in range(n)]
+        rows += [(n, " ".join(words), "a"), (10_000 + n, " ".join(words + words[:50]), "a"), (20_000 + n, " ".join(words[1:]), "a")]
+    docs = frame(spark, rows + [(7, "a b " * 1500, "a")])
+    found = {r.doc_id: r for r in with_simhash(docs).collect()}
+    assert len(found) == 13 and found[7].words == 2
+    for n in (FEW_WORDS - 1, FEW_WORDS, FEW_WORDS + 1, 3 * FEW_WORDS):
+        assert found[n].words == n and found[10_000 + n].sim == found[n].sim
+        assert (found[20_000 + n].sim ^ found[n].sim).bit_count() < 8
+    keep = {r.doc_id: r.keep_doc_id for r in fuzzy_lines(docs).collect()}
+    assert all(keep[20_000 + n] == n for n in (FEW_WORDS - 1, FEW_WORDS, FEW_WORDS + 1, 3 * FEW_WORDS))
