@@ -35,8 +35,10 @@ WORD_BLOCKS = 5
 WORD_KEYS = ((1, 11, 3, 2), (10, 21, 2, 3), (20, 1 << 62, 1, 2))
 #: Bits of a count of a block's words, and words of a line from which on the counts aren't looked at
 HELD, MANY = 12, 4000
-#: Distinct words up to which seven fields hold the counts; code points that a line of more has at least
-FEW_WORDS, FEW_POINTS = (1 << BITS // SHORT) - 1, 2 * ((1 << BITS // SHORT) - 1)
+#: Distinct words up to which seven fields hold the counts, and a text with a line that may have more: a letter
+#: makes one word at most
+FEW_WORDS = (1 << BITS // SHORT) - 1
+LONG_LINE = rf"(?:\A|\n)[^\n]{{{FEW_WORDS}}}"
 #: Words of longer lines are counted in runs: the fields of 21 bits hold no more
 CHUNK = 20
 #: Edits allowed per hundred code points of the longer line
@@ -91,9 +93,8 @@ def _counted(lines: DataFrame, fields: int) -> DataFrame:
 def with_simhash(docs: DataFrame) -> DataFrame:
     """``doc_id, line_no, h, n, sim, words, held, b0..b4``: bit i of ``sim`` is set
     when it is in the hashes of more than half of the line's distinct words."""
-    long_line = F.exists(F.split("text", "\n", -1), lambda line: F.char_length(line) >= FEW_POINTS)
     out = None
-    for fields, part in ((SHORT, docs), (LONG, docs.where(F.col("text").isNotNull() & long_line))):
+    for fields, part in ((SHORT, docs), (LONG, docs.where(F.col("text").rlike(LONG_LINE)))):
         hashes = F.array_distinct(F.transform(F.split("line", " "), lambda word: F.xxhash64(word)))
         lines = _lines(part).withColumn("row", F.monotonically_increasing_id()).select(*_LINE, "row", hashes.alias("hashes"))
         lines = lines.where(F.size("hashes") <= FEW_WORDS if fields == SHORT else F.size("hashes") > FEW_WORDS)
@@ -187,16 +188,18 @@ def fuzzy_lines(docs: DataFrame) -> DataFrame:
         # distances cost far more than their bytes: dealt over all tasks, whatever their size
         both = both.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "x", "y")
         most = F.floor(F.greatest("a.n", "b.n") * PERCENT_EDITS / 100).cast("int")
-        return both.where(_within(F.col("line_a"), F.col("line_b"), most)).select(F.col("x").alias("u"), F.col("y").alias("v"))
+        # as a generator: a filter would be moved below the exchange
+        linked = F.array(F.struct(F.col("x").alias("u"), F.col("y").alias("v")))
+        return both.select(F.inline(F.when(_within(F.col("line_a"), F.col("line_b"), most), linked)))
 
     parts = linked_components(members, details, _alike, _bits_apart, confirm)
     linked = nodes.select("node", "first").join(parts, "node")
-    keepers = linked.groupBy(F.col("component").alias("k_component")).agg(F.min("first").alias("keep"))
-    keepers = linked.join(keepers, F.col("component") == F.col("k_component")).select(F.col("node").alias("k_node"), "keep")
+    firsts = stored(linked.groupBy(F.col("component").alias("k_component")).agg(F.min("first").alias("keep")), "firsts")
+    keepers = linked.join(firsts, F.col("component") == F.col("k_component")).select(F.col("node").alias("k_node"), "keep")
     keepers = stored(keepers, "keepers")
     choice = stored(nodes.join(keepers, F.col("node") == F.col("k_node"), "left").select(
         F.col("h").alias("c_h"), F.col("n").alias("c_n"), F.coalesce("keep", "first").alias("keep")), "line-choices")
-    discard(parts, keepers, nodes, entries, members, details, texts)
+    discard(parts, firsts, keepers, nodes, entries, members, details, texts)
     return (lines.join(choice, (F.col("h") == F.col("c_h")) & (F.col("n") == F.col("c_n")))
             .select("doc_id", "line_no", *_unpacked("keep", "keep_doc_id", "keep_line_no"), (F.col("place") == F.col("keep")).alias("kept")))
 
