@@ -29,13 +29,14 @@ def direction(change) -> Column:
 
 
 def effective_threshold(threshold) -> Column:
-    """A missing threshold means the default 2.0."""
-    return F.coalesce(_c(threshold), F.lit(DEFAULT_THRESHOLD))
+    """A missing threshold (NaN is one) means the default 2.0."""
+    return F.coalesce(nan_to_null(threshold), F.lit(DEFAULT_THRESHOLD))
 
 
 def threshold_hit(change, threshold, dirn) -> Column:
-    """Inclusive hit test, two branches (differs from ``abs`` for negative t)."""
-    c, t, d = _c(change), _c(threshold), _c(dirn)
+    """Inclusive hit test, two branches (differs from ``abs`` for negative t).
+    Nothing hits or is hit by NaN, which Spark orders above every number."""
+    c, t, d = nan_to_null(change), nan_to_null(threshold), _c(dirn)
     return ((d == "drop") & (c <= -t)) | ((d == "rise") & (c >= t))
 
 

@@ -8,13 +8,15 @@ subscription table is scanned in place without a shuffle.  For a long
 backfill the join falls back to a shuffle join whose skewed coin partitions
 AQE splits.
 
-Both sides are keyed by (coin, direction, threshold band): a tick goes to every
-band up to its own change, the only ones that hold thresholds it can hit.  So a
+Both sides are keyed by (coin, direction, cell).  Thresholds lie in bands, bands in
+a binary tree of cells.  A subscription is in one cell per level; a tick goes to the
+cells that cover the bands up to its own change, the only ones that hold
+thresholds it can hit: at most one per level, six in all, and no band twice.  So a
 coin and direction is dealt over many tasks, and pairs that can't match are
 mostly never made.
 
-With ``render=True`` the alert text is rendered on the tick side before the
-join (number formatting once per cooled tick, not once per alert); each alert
+With ``render=True`` the alert text is rendered on the tick side before it is
+dealt to cells (number formatting once per cooled tick, not once per cell or alert); each alert
 then only appends its subscriber's threshold.
 """
 
@@ -27,26 +29,38 @@ from marketpulse.functions.labels import (alert_body, alert_body_head, alert_bod
                                           effective_threshold, threshold_hit)
 
 
-# thresholds are dealt into bands of one per cent; the last one is open
-BANDS = 64
+# thresholds are dealt into bands of one per cent, the last one is open; 64 bands are the leaves of a tree of 7 levels
+BANDS, LEVELS = 64, 7
 
 
 def _band(percent) -> F.Column:
     return F.greatest(F.lit(0), F.least(F.lit(BANDS - 1), F.floor(percent))).cast("int")
 
 
+def _cells_of(band) -> F.Column:
+    """The cell of each level that a band lies in."""
+    return F.array(*[F.lit(level * BANDS) + F.shiftright(band, level) for level in range(LEVELS)])
+
+
+def _cover(band) -> F.Column:
+    """The fewest cells that hold the bands from 0 to ``band``: one for each bit of their number."""
+    n = band + 1
+    return F.array_compact(F.array(*[F.when(F.shiftright(n, level).bitwiseAND(F.lit(1)) == 1, F.lit(level * BANDS) + F.shiftright(n, level) - 1)
+                                     for level in range(LEVELS)]))
+
+
 def match_alerts(cooled: DataFrame, subs: DataFrame, key: str = "id", change: str = "price_change_pct_24h",
                  price: str = "current_price", ts: str = "timestamp", render: bool = False) -> DataFrame:
     """One row per (cooled tick, subscriber) whose direction and threshold
     hit; with ``render`` also the K6 subject and body."""
     t = cooled.select(F.col(key).alias("coin"), F.col(change).alias("change"), F.col(price).alias("price"),
                       F.col(ts).alias("timestamp"), direction(change).alias("direction"))
-    t = t.withColumn("_band", F.explode(F.sequence(F.lit(0), _band(F.abs("change")))))
     if render:
         t = t.withColumns({"subject": alert_subject("coin", "direction", "change"),
                            "_head": alert_body_head("coin", "direction", "change", "price")})
+    t = t.withColumn("_band", F.explode(_cover(_band(F.abs("change")))))
     s = subs.select("email", "coin", "direction", effective_threshold("threshold").alias("threshold"))
-    s = s.withColumn("_band", _band(F.col("threshold")))
+    s = s.withColumn("_band", F.explode(_cells_of(_band(F.col("threshold")))))
     cond = ((t["coin"] == s["coin"]) & (t["direction"] == s["direction"]) & (t["_band"] == s["_band"])
             & threshold_hit(t["change"], s["threshold"], t["direction"]))
     cols = [s["email"], t["coin"], t["direction"], t["change"], t["price"], s["threshold"], t["timestamp"]]

@@ -11,78 +11,62 @@ order among equals at the end.
 A per-coin fold would put all of a hot coin's ticks through one task.  This
 module computes the same set with joins and windows only:
 
-1.  Cut time into buckets of width ``C`` (``k = floor(t / C)``).  Two kept
-    ticks are at least ``C`` apart, so a bucket keeps at most one tick.  The
-    state after bucket ``k`` is therefore "the tick kept in ``k``" or ``⊥``.
-2.  The state after the next occupied bucket is a function of that state:
-    from ``⊥`` (or across an empty bucket) it is the bucket's first tick;
-    from tick ``s`` in the adjacent bucket it is the first tick at or after
-    ``s + C`` in this bucket, or ``⊥``.  The probe ``s + C`` always lands in
-    the adjacent bucket.  When a bucket is large (measured), the lookup
-    (``first_at_or_after``) works on distinct instants inside sub-bucket
-    chunks, so even a bucket holding a third of all rows is spread over many
-    tasks; otherwise it is one running-minimum window per (coin, bucket).
-3.  Functions are composed pairwise in a tree over bucket ranks (a level is
-    half the size of the one below, so the total work is linear), then the
-    entering state of every bucket is pushed down the tree with one key join
-    per level.  Large levels are composed by an equi-join and written to the
-    shared checkpoint folder (lineage cut, real sizes for AQE); once a level
-    is small (``SMALL_LEVEL_ROWS``) the rest are composed by a window over a
-    single reference and kept in memory.
-
-Partition keys are (coin, bucket, chunk) for windows and (coin, block,
-state) for joins; the only per-coin window runs over one row per occupied
-bucket (time span / C rows).  A state that many ticks map to is a skewed join
-key with a single build row, which AQE splits.
+1.  A kept tick ``x`` is followed by ``next(x)``, the coin's first tick at or
+    after ``x + C``.  Time is cut into buckets of width ``C``; the probe ``x + C``
+    lands in the bucket after ``x``'s, where one running minimum finds the answer,
+    or else it is the first tick of the occupied bucket after that.
+2.  A tick that comes ``C`` or more after the one before it is kept whatever was
+    kept before (a *root*; so is a coin's first tick).  The chain is cut there:
+    every root starts a chain of its own, which ends before the next root.
+3.  Chains are composed over blocks of buckets, 32 blocks at once: a shuffle by
+    (coin, larger block), then five doublings inside it, each a window in which the
+    ticks of a left half that lead into the right half find their row there.
+    A row is a tick at which a block can be entered, with the ticks kept from
+    there on inside the block and the tick that follows beyond it.  Only ticks of a
+    block's first bucket, its first tick after that (when what precedes is empty) and
+    roots can be entered, so every level has about a 32nd of the rows of the one
+    below, and the work is linear.  Rows that nothing enters are gone after a doubling.
+4.  The job ends when every root's chain has ended within its block.
+
+No partition holds a whole coin: windows are keyed by (coin, bucket) or (coin,
+block), sorted and spilled by Spark, and hold distinct instants only, at most ``C``
+in microseconds per bucket whatever the number of rows.  The only per-coin window
+runs over one row per occupied bucket (time span / C rows).
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketpulse.constants import COOLDOWN_SECONDS
 from marketpulse.functions.labels import nan_to_null
 from marketpulse.functions.time import epoch_micros
-from marketpulse.operators.joins import within_broadcast_limit
 from marketpulse.session import checkpoint_dir
 
 DEFAULT_COOLDOWN_SECONDS = COOLDOWN_SECONDS
-BOT = -(1 << 63)  # encodes the state "nothing kept" (⊥)
-# tree levels at or below this many rows are composed by a window and kept in
-# memory; larger ones by a skew-splittable join and written to the checkpoint
-# folder
-SMALL_LEVEL_ROWS = 2_000_000
-# when no (coin, bucket) holds more rows than this (measured), the as-of
-# lookup is one window per bucket; otherwise it runs on distinct instants in
-# sub-bucket chunks
-SMALL_BUCKET_ROWS = 1_000_000
-# bytes of a row of the down-sweep's entering-state table, of which there are at
-# most three per occupied bucket
-STATE_BYTES = 64
+# doublings in one shuffle: 32 blocks become one
+DOUBLINGS = 5
+# added to bucket numbers, so that those before 1970 are shifted like the others
+FIRST_BUCKET = 1 << 60
 
 
 class Scratch:
     """Intermediate tables of one run: folders written to the shared checkpoint
-    folder and persisted levels.  ``release()`` frees both once the result has
-    been consumed (the streaming jobs call it after every micro-batch)."""
+    folder.  ``release()`` deletes them once the result has been consumed."""
 
     def __init__(self):
         self.paths: list[str] = []
-        self.frames: list[DataFrame] = []
 
     def release(self) -> None:
-        for df in self.frames:
-            df.unpersist()
         for path in self.paths:
             spark = SparkSession.getActiveSession()
             jvm = spark.sparkContext._jvm
             hpath = jvm.org.apache.hadoop.fs.Path(path)
             hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
         self.paths.clear()
-        self.frames.clear()
 
 
 def materialize(df: DataFrame, name: str, scratch: Scratch | None = None) -> DataFrame:
@@ -93,7 +77,7 @@ def materialize(df: DataFrame, name: str, scratch: Scratch | None = None) -> Dat
     df.write.mode("overwrite").parquet(path)
     if scratch is not None:
         scratch.paths.append(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def may_alert(change: str) -> F.Column:
@@ -112,164 +96,81 @@ def tick_order(df: DataFrame, key: str, ts: str, seq: str) -> F.Column:
 
 
 def candidates(df: DataFrame, key: str, ts: str, change: str) -> DataFrame:
-    """(key, t) of the instants at which a coin may keep a tick; ``s`` is unused."""
+    """(key, t) of the instants at which a coin may keep a tick."""
     return (df.where(F.col(key).isNotNull() & F.col(ts).isNotNull() & may_alert(change))
-            .select(F.col(key).alias("key"), epoch_micros(ts).alias("t")).distinct().withColumn("s", F.lit(0).cast("long")))
-
-
-def first_at_or_after(targets: DataFrame, probes: DataFrame, cooldown_us: int, chunks: int = 1024) -> DataFrame:
-    """As-of lookup inside a bucket: for each probe instant ``p`` of (key, k),
-    the smallest target ``(t, s)`` of the same (key, k) with ``t >= p``.
-
-    Targets and probes are first reduced to distinct instants (map-side
-    aggregates, so any number of rows at one instant is one row).  The lookup
-    runs inside chunks of ``C / chunks`` (a running minimum, latest first);
-    a probe with no target left in its chunk takes the minimum of the later
-    chunks, a window over at most ``chunks`` aggregate rows per bucket.  No
-    partition ever holds more than one chunk's distinct instants."""
-    width = max(1, cooldown_us // chunks)
-    tgt = targets.groupBy("key", "k", "t").agg(F.min("s").alias("s")).select(
-        "key", "k", F.col("t").alias("time"), F.lit(0).alias("kind"), F.struct("t", "s").alias("tgt"))
-    prb = probes.select("key", "k", F.col("p").alias("time")).distinct().select(
-        "key", "k", "time", F.lit(1).alias("kind"), F.lit(None).cast("struct<t:long,s:long>").alias("tgt"))
-    rows = tgt.unionByName(prb).withColumn("c", F.floor(F.col("time") / F.lit(width)))
-    within = (Window.partitionBy("key", "k", "c").orderBy(F.col("time").desc(), F.col("kind").asc())
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    in_chunk = rows.withColumn("y", F.min("tgt").over(within)).where(F.col("kind") == 1)
-    later = Window.partitionBy("key", "k").orderBy(F.col("c").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    chunk_min = (rows.groupBy("key", "k", "c").agg(F.min("tgt").alias("cm"))
-                 .select("key", "k", "c", F.min("cm").over(later).alias("later")))
-    return in_chunk.join(chunk_min, ["key", "k", "c"]).select(
-        "key", "k", F.col("time").alias("p"), F.coalesce("y", "later").alias("y"))
-
-
-def _probe_in_bucket(cand: DataFrame, probes: DataFrame) -> DataFrame:
-    """The same lookup when every bucket is small (measured): probes carry
-    their payload through one running-minimum window per (coin, bucket)."""
-    tgt = cand.select("key", "k", F.col("t").alias("time"), F.lit(0).alias("kind"), F.struct("t", "s").alias("tgt"),
-                      F.lit(None).cast("long").alias("j"), F.lit(None).cast("long").alias("x_t"),
-                      F.lit(None).cast("long").alias("x_s"))
-    prb = probes.select("key", "k", F.col("p").alias("time"), F.lit(1).alias("kind"),
-                        F.lit(None).cast("struct<t:long,s:long>").alias("tgt"), "j", "x_t", "x_s")
-    w = (Window.partitionBy("key", "k").orderBy(F.col("time").desc(), F.col("kind").asc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return tgt.unionByName(prb).withColumn("y", F.min("tgt").over(w)).where(F.col("kind") == 1)
-
-
-def _compose_by_join(f: DataFrame) -> DataFrame:
-    """One tree level for large tables: an equi-join of the left block's output
-    state with the right block's input state.  The right side has one row per
-    (coin, block, state), so a state that many left rows map to is a skewed
-    key with a single build row, which AQE splits."""
-    left = f.where(F.col("j") % 2 == 0).select(
-        "key", F.floor(F.col("j") / 2).alias("J"), "x_t", "x_s", F.col("y_t").alias("m_t"), F.col("y_s").alias("m_s"))
-    right = f.where(F.col("j") % 2 == 1).select(
-        "key", F.floor(F.col("j") / 2).alias("J"), F.col("x_t").alias("m_t"), F.col("x_s").alias("m_s"),
-        F.col("y_t").alias("z_t"), F.col("y_s").alias("z_s"))
-    return left.join(right, ["key", "J", "m_t", "m_s"], "left").select(
-        "key", F.col("J").alias("j"), "x_t", "x_s", F.coalesce("z_t", "m_t").alias("y_t"),
-        F.coalesce("z_s", "m_s").alias("y_s"))
-
-
-def _compose_by_window(f: DataFrame) -> DataFrame:
-    """The same level for small tables: one projection keys left rows by their
-    output state and right rows by their input state, and a window over
-    (coin, block, state) hands the right row's output to the left rows.  The
-    level is referenced once, so it can be persisted instead of written."""
-    left = F.col("j") % 2 == 0
-    proj = f.select(
-        "key", F.floor(F.col("j") / 2).alias("J"), left.alias("_left"), "x_t", "x_s", "y_t", "y_s",
-        F.when(left, F.col("y_t")).otherwise(F.col("x_t")).alias("m_t"),
-        F.when(left, F.col("y_s")).otherwise(F.col("x_s")).alias("m_s"))
-    wm = Window.partitionBy("key", "J", "m_t", "m_s")
-    return (proj.select("*", F.max(F.when(~F.col("_left"), F.col("y_t"))).over(wm).alias("z_t"),
-                        F.max(F.when(~F.col("_left"), F.col("y_s"))).over(wm).alias("z_s"))
-            .where(F.col("_left"))
-            .select("key", F.col("J").alias("j"), "x_t", "x_s", F.coalesce("z_t", "m_t").alias("y_t"),
-                    F.coalesce("z_s", "m_s").alias("y_s")))
-
-
-def kept_ticks(cand: DataFrame, cooldown_us: int, scratch: Scratch | None = None,
-               small_level_rows: int = SMALL_LEVEL_ROWS, small_bucket_rows: int = SMALL_BUCKET_ROWS) -> DataFrame:
-    """(key, t, s) of the kept ticks among candidate rows (key, t, s)."""
+            .select(F.col(key).alias("key"), epoch_micros(ts).alias("t")).distinct())
+
+
+def _bucket(t: str, cooldown_us: int) -> F.Column:
+    return F.expr(f"({t} - pmod({t}, {cooldown_us}L)) div {cooldown_us}L + {FIRST_BUCKET}L")
+
+
+def _steps(cand: DataFrame, cooldown_us: int) -> DataFrame:
+    """Per instant ``x`` of a coin: ``root``, ``prev`` (the instant before it, or
+    ``x`` itself where that is in the same bucket) and ``exit``, the instant that
+    follows when ``x`` is kept (null when that is a root, or there is none)."""
     C = F.lit(cooldown_us)
-    cand = cand.withColumn("k", F.floor(F.col("t") / C).cast("long"))
-
-    # 1. occupied buckets: first tick, rank, next occupied bucket
-    first = F.min(F.struct("t", "s")).alias("f")
-    wb = Window.partitionBy("key").orderBy("k")
-    buckets = materialize(
-        cand.groupBy("key", "k").agg(first, F.count(F.lit(1)).alias("n")).select(
-            "key", "k", "f", "n", (F.row_number().over(wb) - 1).alias("r"),
-            F.lead("k").over(wb).alias("k_next"), F.lead("f").over(wb).alias("f_next")),
-        "cooldown-buckets", scratch)
-
-    ticks = cand.join(buckets.select("key", "k", "r", "k_next", "f_next"), ["key", "k"])
-
-    # 2. level-0 transfer functions, keyed (key, j=rank, x) -> y
-    bot = F.lit(BOT)
-    f_bot = buckets.select("key", F.col("r").alias("j"), bot.alias("x_t"), bot.alias("x_s"),
-                           F.col("f.t").alias("y_t"), F.col("f.s").alias("y_s"))
-    f_gap = ticks.where(F.col("k_next").isNotNull() & (F.col("k_next") != F.col("k") + 1)).select(
-        "key", (F.col("r") + 1).alias("j"), F.col("t").alias("x_t"), F.col("s").alias("x_s"),
-        F.col("f_next.t").alias("y_t"), F.col("f_next.s").alias("y_s"))
-    probes = ticks.where(F.col("k_next") == F.col("k") + 1).select(
-        "key", F.col("k_next").alias("k"), (F.col("t") + C).alias("p"),
-        (F.col("r") + 1).alias("j"), F.col("t").alias("x_t"), F.col("s").alias("x_s"))
-    stats = buckets.agg(F.max("r").alias("r"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("b"),
-                        F.max("n").alias("max_n")).first()
-    if (stats["max_n"] or 0) > small_bucket_rows:
-        ans = first_at_or_after(cand.select("key", "k", "t", "s"), probes.select("key", "k", "p"), cooldown_us)
-        hit = probes.join(ans, ["key", "k", "p"])
-    else:
-        hit = _probe_in_bucket(cand, probes)
-    f_probe = hit.select("key", "j", "x_t", "x_s", F.coalesce(F.col("y.t"), bot).alias("y_t"),
-                         F.coalesce(F.col("y.s"), bot).alias("y_s"))
-    level = materialize(f_bot.unionByName(f_gap).unionByName(f_probe), "cooldown-f0", scratch)
-    levels = [level]
-
-    # 3a. up-sweep: F_{l+1}(J) = F_l(2J+1) . F_l(2J).  A level has one row per
-    # left-block row of the level below, so sizes never grow; typically they
-    # halve.  Level 0 has at most one row per tick plus one per bucket.
-    depth = int(stats["r"] or 0).bit_length()
-    size = int(stats["n"] or 0) + int(stats["b"] or 0)
-    for lvl in range(depth):
-        f = levels[-1]
-        if size > small_level_rows:
-            up = materialize(_compose_by_join(f), f"cooldown-f{lvl + 1}", scratch)
-            size = up.count()  # exact, from the written files' metadata
-        else:  # every level from here on is at most this small (sizes never grow)
-            up = _compose_by_window(f).persist()
-            if scratch is not None:
-                scratch.frames.append(up)
-        levels.append(up)
-
-    # 3b. down-sweep: entering state of every block, top to bottom.  The
-    # entering-state table has at most three rows per occupied bucket
-    # (measured above); while that is under the session's broadcast limit, the
-    # level tables are scanned in place instead of shuffled.
-    small_enter = within_broadcast_limit(cand.sparkSession, 3 * STATE_BYTES * int(stats["b"] or 0))
-    hint = F.broadcast if small_enter else (lambda d: d)
-    enter = buckets.where(F.col("r") == 0).select("key", F.lit(0).cast("long").alias("j"),
-                                                  bot.alias("e_t"), bot.alias("e_s"))
-    for lvl in range(depth - 1, -1, -1):
-        f = levels[lvl].select("key", "j", F.col("x_t").alias("e_t"), F.col("x_s").alias("e_s"), "y_t", "y_s")
-        joined = f.join(hint(enter.select("key", (F.col("j") * 2).alias("j"), "e_t", "e_s")),
-                        ["key", "j", "e_t", "e_s"])
-        children = F.array(
-            F.struct(F.col("j").alias("j"), F.col("e_t").alias("e_t"), F.col("e_s").alias("e_s")),
-            F.struct((F.col("j") + 1).alias("j"), F.col("y_t").alias("e_t"), F.col("y_s").alias("e_s")))
-        enter = joined.select("key", F.inline(children))
-
-    f0 = levels[0].select("key", "j", F.col("x_t").alias("e_t"), F.col("x_s").alias("e_s"), "y_t", "y_s")
-    kept = f0.join(hint(enter), ["key", "j", "e_t", "e_s"]).where(F.col("y_t") != bot)
-    return kept.select("key", F.col("y_t").alias("t"), F.col("y_s").alias("s"))
+    cand = cand.withColumn("k", _bucket("t", cooldown_us))
+    over = Window.partitionBy("key").orderBy("k")
+    buckets = cand.groupBy("key", "k").agg(F.min("t").alias("first"), F.max("t").alias("last")).select(
+        "*", F.lag("last").over(over).alias("earlier"), F.lead("k").over(over).alias("k1"),
+        *[F.lead(c, n).over(over).alias(f"{c}{n}") for c, n in (("first", 1), ("last", 1), ("first", 2))])
+    # the first tick of the buckets from k + 2 on, and whether it is a root
+    adjacent = F.col("k1") == F.col("k") + 1
+    later = F.when(adjacent, F.struct(F.col("first2").alias("t"), (F.col("first2") - F.col("last1") >= C).alias("root"))).otherwise(
+        F.struct(F.col("first1").alias("t"), (F.col("first1") - F.col("last") >= C).alias("root")))
+    placed = cand.join(buckets.select("key", "k", "first", "earlier", later.alias("later")), ["key", "k"])
+    prev = F.when(F.col("t") == F.col("first"), F.col("earlier")).otherwise(F.col("t"))
+    placed = placed.select("key", "k", "t", prev.alias("prev"), (prev.isNull() | (F.col("t") - prev >= C)).alias("root"), "later")
+    both = F.array(F.struct(F.col("k").alias("at"), F.col("t").alias("time"), F.lit(0).alias("probe")),
+                   F.struct((F.col("k") + 1).alias("at"), (F.col("t") + C).alias("time"), F.lit(1).alias("probe")))
+    rows = placed.select("key", "t", "prev", "root", "later", F.inline(both))
+    latest_first = Window.partitionBy("key", "at").orderBy(F.col("time").desc(), "probe").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = F.min(F.when(F.col("probe") == 0, F.struct("t", "root"))).over(latest_first)
+    after = F.coalesce(F.col("found"), F.when(F.col("later.t").isNotNull(), F.col("later")))
+    return rows.withColumn("found", found).where("probe = 1").select(
+        "key", F.col("t").alias("x"), "root", "prev", F.when(~after["root"], after["t"]).alias("exit"), F.array("t").alias("path"))
+
+
+def _composed(rows: DataFrame, first_bit: int, cooldown_us: int) -> DataFrame:
+    """Rows of blocks of ``2 ** first_bit`` buckets to rows of blocks 32 times as long."""
+    df = rows.withColumn("k", _bucket("x", cooldown_us)).withColumn("k_exit", _bucket("exit", cooldown_us))
+    df = df.withColumn("block", F.shiftright("k", first_bit + DOUBLINGS)).repartition("key", "block")
+    for bit in range(first_bit, first_bit + DOUBLINGS):
+        pair = F.shiftright("k", bit + 1)
+        right = F.shiftright("k", bit).bitwiseAND(F.lit(1)) == 1
+        goes_on = ~right & F.coalesce(F.shiftright("k_exit", bit + 1) == pair, F.lit(False))
+        meets = Window.partitionBy("key", "block", "pair", "meet")
+        df = df.withColumns({"pair": pair, "right": right, "goes_on": goes_on, "meet": F.when(goes_on, F.col("exit")).otherwise(F.col("x"))})
+        df = df.withColumn("rest", F.first(F.when(F.col("right"), F.struct("exit", "k_exit", "path")), ignorenulls=True).over(meets))
+        # of a right half only its first tick, when nothing lies between it and the pair's first bucket, and roots can be entered
+        second_bucket = (F.shiftleft("pair", bit + 1) - F.lit(FIRST_BUCKET) + 1) * F.lit(cooldown_us)
+        df = df.where(~F.col("right") | F.col("root") | (F.col("prev") < second_bucket))
+        df = df.select("key", "block", "k", "x", "root", "prev", *[F.when(F.col("goes_on"), F.col("rest")[c]).otherwise(F.col(c)).alias(c) for c in ("exit", "k_exit")],
+                       F.when(F.col("goes_on"), F.concat("path", F.col("rest.path"))).otherwise(F.col("path")).alias("path"))
+    return df.select("key", "x", "root", "prev", "exit", "path")
+
+
+def kept_ticks(cand: DataFrame, cooldown_us: int, scratch: Scratch | None = None) -> DataFrame:
+    """(key, t) of the kept instants among candidate instants (key, t)."""
+    rows = _steps(materialize(cand, "cooldown-instants", scratch), cooldown_us)
+    ended = F.col("root") & F.col("exit").isNull()
+    bit, kept = 0, None
+    while True:
+        open_chains = Observation(f"open chains {bit}")
+        level = _composed(rows, bit, cooldown_us).where(ended | F.col("exit").isNotNull() | ~F.col("root"))
+        level = level.observe(open_chains, F.count_if(F.col("root") & F.col("exit").isNotNull()).alias("n"))
+        level = materialize(level, f"cooldown-level-{bit}", scratch)
+        done = level.where(ended).select("key", F.explode("path").alias("t"))
+        kept = done if kept is None else kept.unionByName(done)
+        if not open_chains.get["n"]:
+            return kept
+        rows, bit = level.where(~ended), bit + DOUBLINGS
 
 
 def cooldown(df: DataFrame, seconds: float = DEFAULT_COOLDOWN_SECONDS, key: str = "id", ts: str = "timestamp",
              seq: str = "seq", change: str = "price_change_pct_24h", ready: DataFrame | None = None,
-             scratch: Scratch | None = None, small_level_rows: int = SMALL_LEVEL_ROWS,
-             small_bucket_rows: int = SMALL_BUCKET_ROWS) -> DataFrame:
+             scratch: Scratch | None = None) -> DataFrame:
     """Ticks of ``df`` that pass the per-coin cooldown (event time), as a
     table written to the shared checkpoint folder.
 
@@ -280,46 +181,32 @@ def cooldown(df: DataFrame, seconds: float = DEFAULT_COOLDOWN_SECONDS, key: str
 
     ``ready`` optionally carries state from earlier input: rows ``(key,
     ready_at)`` with the earliest instant (naive UTC) at which the coin may keep
-    a tick again; older ticks of that coin are skipped.  This is how the
-    streaming form continues a coin's chain across micro-batches.
+    a tick again; older ticks of that coin are skipped, so a backfill can go on
+    where another one ended.
 
     Without a ``scratch`` of the caller's, intermediate tables are freed here."""
     if seconds <= 0:
         raise ValueError("a cooldown takes more than 0 seconds")
     own = Scratch() if scratch is None else scratch
-    cooldown_us = int(round(seconds * 1_000_000))
+    cooldown_us = max(1, int(round(seconds * 1_000_000)))
     cand = candidates(df, key, ts, change)
     if ready is not None:
         r = ready.select(F.col(key).alias("key"), epoch_micros("ready_at").alias("ready_t"))
         cand = cand.join(r, "key", "left").where(F.col("ready_t").isNull() | (F.col("t") >= F.col("ready_t"))) \
             .drop("ready_t")
-    kept = materialize(kept_ticks(cand, cooldown_us, own, small_level_rows, small_bucket_rows), "cooldown-kept", own)
+    kept = kept_ticks(cand, cooldown_us, own)
     # a written table of at most one row per coin-bucket: the planner sees its
     # real size and broadcasts it while it is small
-    there = (F.col(key) == F.col("_k.key")) & (epoch_micros(ts) == F.col("_k.t"))
-    at_instant = df.where(may_alert(change)).join(kept.alias("_k"), there, "left_semi")
-    first = F.min_by(F.struct(*df.columns), tick_order(df, key, ts, seq)).alias("_row")
-    cooled = materialize(at_instant.groupBy(key, ts).agg(first).select("_row.*"), "cooldown-cooled", scratch)
+    cooled = materialize(first_of_instants(df.where(may_alert(change)), epoch_micros(ts), kept, key, ts, seq), "cooldown-cooled", scratch)
     if scratch is None:
         own.release()
     return cooled
 
 
-def cooldown_by_arrival(df: DataFrame, now, ready: DataFrame | None = None, key: str = "id", ts: str = "timestamp",
-                        seq: str = "seq", change: str = "price_change_pct_24h") -> DataFrame:
-    """T1 by processing time for one micro-batch: all its ticks arrive at ``now``
-    (naive UTC), so of each coin that is ready by then the first tick is kept,
-    whatever times the ticks bear, none included."""
-    rows = df.where(F.col(key).isNotNull() & may_alert(change))
-    if ready is not None:
-        blocked = ready.where(F.col("ready_at") > F.lit(now).cast("timestamp_ntz")).select(F.col(key).alias("_blocked"))
-        rows = rows.join(blocked, F.col(key) == F.col("_blocked"), "left_anti")
-    return rows.groupBy(key).agg(F.min_by(F.struct(*df.columns), tick_order(df, key, ts, seq)).alias("_row")).select("_row.*")
-
-
-def next_ready(kept: DataFrame, seconds: float = DEFAULT_COOLDOWN_SECONDS, key: str = "id",
-               ts: str = "timestamp", now=None) -> DataFrame:
-    """Carried state after a run: per coin, last kept instant + cooldown (by
-    processing time: ``now`` + cooldown)."""
-    last = F.max(ts) if now is None else F.max(F.lit(now).cast("timestamp_ntz"))
-    return kept.groupBy(key).agg((last + F.make_dt_interval(secs=F.lit(float(seconds)))).alias("ready_at"))
+def first_of_instants(df: DataFrame, at: F.Column, kept: DataFrame, key: str = "id", ts: str = "timestamp", seq: str = "seq") -> DataFrame:
+    """The first tick of ``df`` at each kept instant (``key``, ``t`` in microseconds)
+    of the clock ``at``."""
+    there = (F.col(key) == F.col("_k.key")) & (at == F.col("_k.t"))
+    at_instant = df.join(kept.alias("_k"), there, "left_semi").withColumn("_at", at)
+    first = F.min_by(F.struct(*df.columns), tick_order(df, key, ts, seq)).alias("_row")
+    return at_instant.groupBy(key, "_at").agg(first).select("_row.*")

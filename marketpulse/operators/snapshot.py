@@ -14,11 +14,11 @@ from marketpulse.functions.labels import change_label, display_name, price_label
 from marketpulse.schemas import TICK_VALUE_COLUMNS
 
 
-def order_key(ts: str = "timestamp", seq: str | None = "seq") -> F.Column:
+def order_key(df: DataFrame, ts: str = "timestamp", seq: str | None = "seq") -> F.Column:
     """Time order with null times last (they sort after every instant), then
-    the ingest sequence as the tie-break."""
+    the ingest sequence as the tie-break, when ``df`` has one."""
     parts = [F.col(ts).isNull(), F.col(ts)]
-    if seq is not None:
+    if seq is not None and seq in df.columns:
         parts.append(F.col(seq))
     return F.struct(*parts)
 
@@ -30,7 +30,7 @@ def latest_by_coin(df: DataFrame, key: str = "id", ts: str = "timestamp", seq: s
     A row with a null time sorts last and therefore wins; null keys are dropped.
     The time column itself reports its last non-null value (the latest instant)."""
     values = values if values is not None else [c for c in TICK_VALUE_COLUMNS if c in df.columns]
-    ok = order_key(ts, seq)
+    ok = order_key(df, ts, seq)
     aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ok)).alias(c) for c in values]
     aggs.append(F.max(ts).alias(ts))
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
@@ -39,10 +39,32 @@ def latest_by_coin(df: DataFrame, key: str = "id", ts: str = "timestamp", seq: s
 def last_volume(df: DataFrame, key: str = "id", ts: str = "timestamp", seq: str | None = "seq") -> DataFrame:
     """A4: volume of the last *row* per coin (a null there stays null), with label."""
     out = (df.where(F.col(key).isNotNull()).groupBy(key)
-           .agg(F.max_by("total_volume", order_key(ts, seq)).alias("total_volume")))
+           .agg(F.max_by("total_volume", order_key(df, ts, seq)).alias("total_volume")))
     return out.withColumn("volume_label", volume_label("total_volume"))
 
 
+def partials(df: DataFrame, key: str = "id", ts: str = "timestamp", seq: str | None = "seq",
+             values: list[str] | None = None) -> DataFrame:
+    """A3, A4, A6 and A7 in mergeable form: per coin each column's last non-null value
+    with its place in the order (``<column>_at``), the last row's volume, the latest
+    instant and the number of ticks.  Written with every batch, these few rows stand
+    for the batch's ticks; ``from_partials`` merges any number of them."""
+    values = values if values is not None else [c for c in TICK_VALUE_COLUMNS if c in df.columns]
+    at = F.struct(F.col(ts).isNull().alias("late"), F.col(ts).alias("ts"), (F.col(seq) if seq in df.columns else F.lit(None).cast("long")).alias("seq"))
+    aggs = [x for c in values for x in (F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at)).alias(c), F.max(F.when(F.col(c).isNotNull(), at)).alias(f"{c}_at"))]
+    aggs += [F.max_by("total_volume", at).alias("last_volume"), F.max(at).alias("last_at"), F.max(ts).alias("last_tick"), F.count(F.lit(1)).alias("n_ticks")]
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
+
+
+def from_partials(parts: DataFrame, key: str = "id", ts: str = "timestamp") -> DataFrame:
+    """Per coin what ``latest_by_coin`` gives (A3), ``last_volume`` (A4) and ``n_ticks``
+    (A7), from ``partials`` of all its ticks; raw ticks aren't read.  The largest ``timestamp``
+    is A6."""
+    values = [c.removesuffix("_at") for c in parts.columns if c.endswith("_at") and c != "last_at"]
+    return parts.groupBy(key).agg(*[F.max_by(c, f"{c}_at").alias(c) for c in values], F.max("last_tick").alias(ts),
+                                  F.max_by("last_volume", "last_at").alias("last_volume"), F.sum("n_ticks").alias("n_ticks"))
+
+
 def coins(df: DataFrame, key: str = "id") -> DataFrame:
     """A5: distinct coins (nulls dropped)."""
     return df.where(F.col(key).isNotNull()).select(key).distinct()

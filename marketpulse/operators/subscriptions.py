@@ -10,13 +10,16 @@ in order on one machine.  Keys compare null-safely throughout.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketpulse.functions.labels import (DEFAULT_THRESHOLD, MAX_THRESHOLD, MIN_THRESHOLD, describe_subscription,
                                           effective_threshold)
 from marketpulse.constants import DROP_FORM_LABEL
 from marketpulse.functions.time import epoch_micros
+from marketpulse.schemas import SUBSCRIPTION, SUBSCRIPTION_COMMAND
+from marketpulse.session import file_system
+from marketpulse.sources.codec import read_or_empty
 
 KEY = ["email", "coin"]
 
@@ -50,6 +53,59 @@ def apply_commands(commands: DataFrame) -> DataFrame:
     )
 
 
+def fold(state: DataFrame, commands: DataFrame) -> DataFrame:
+    """``state`` (a row per subscription, as ``apply_commands`` gives it) after further
+    commands in the order of ``seq``, which the log gives out: what a full fold gives,
+    at the cost of the state and the new commands alone."""
+    deletes = commands.where(F.col("op") == "delete").groupBy(*KEY).agg(F.max("seq").alias("del_at"))
+    upserts = commands.where(F.col("op") == "upsert").select(*KEY, "threshold", "direction", F.col("ts").alias("created_at"), F.col("seq").alias("_at"))
+    before = state.select(*KEY, "threshold", "direction", "created_at", F.lit(None).cast("long").alias("_at"))
+    rows = before.unionByName(upserts)
+    live = rows.join(deletes, _same(rows, deletes, KEY), "left").where(F.col("del_at").isNull() | F.coalesce(F.col("_at") > F.col("del_at"), F.lit(False)))
+    at = F.struct(F.col("_at").isNotNull(), F.col("_at"))
+    return live.select(*[rows[c] for c in rows.columns]).groupBy(*KEY).agg(
+        F.max_by("threshold", at).alias("threshold"), F.max_by("direction", at).alias("direction"), F.min_by("created_at", at).alias("created_at"))
+
+
+class SubscriptionLog:
+    """A command log (Parquet, appended to; ``seq`` grows) with its state as of a
+    position.  ``advance`` writes the state at a position as a table of its own;
+    ``as_of`` starts from the last one before the position asked for and reads only
+    the commands after it (pushed down to the scan)."""
+
+    def __init__(self, spark: SparkSession, log_path: str, state_path: str):
+        self.spark, self.log_path, self.state_path = spark, log_path, state_path
+
+    def commands(self) -> DataFrame:
+        return read_or_empty(self.spark, self.log_path, SUBSCRIPTION_COMMAND)
+
+    def position(self) -> int:
+        """The last command's sequence number; -1 before the first."""
+        return int(self.commands().agg(F.coalesce(F.max("seq"), F.lit(-1))).first()[0])
+
+    def _written(self, upto: int) -> int | None:
+        fs, cls = file_system(self.spark, self.state_path)
+        done = [int(f.getPath().getParent().getName().split("=")[1]) for f in fs.globStatus(cls(f"{self.state_path}/upto=*/_SUCCESS")) or []]
+        return max((p for p in done if p <= upto), default=None)
+
+    def as_of(self, position: int) -> DataFrame:
+        """The subscriptions after all commands up to ``position``."""
+        base = self._written(position)
+        state = self.spark.createDataFrame([], SUBSCRIPTION) if base is None else self.spark.read.schema(SUBSCRIPTION).parquet(f"{self.state_path}/upto={base}")
+        later = self.commands().where(F.col("seq") <= position)
+        return fold(state, later if base is None else later.where(F.col("seq") > base))
+
+    def advance(self, keep: int = 2) -> int:
+        """Write the state as of now; the last ``keep`` tables stay, for batches that may be replayed."""
+        position = self.position()
+        if self._written(position) != position:
+            self.as_of(position).write.mode("overwrite").parquet(f"{self.state_path}/upto={position}")
+        fs, cls = file_system(self.spark, self.state_path)
+        for old in sorted(int(f.getPath().getName().split("=")[1]) for f in fs.globStatus(cls(f"{self.state_path}/upto=*")) or [])[:-keep]:
+            fs.delete(cls(f"{self.state_path}/upto={old}"), True)
+        return position
+
+
 def with_outcome(commands: DataFrame, chunk_seconds: int = 4, day_seconds: int = 86400) -> DataFrame:
     """Outcome of each command in log order: an upsert is ``updated`` when the
     key's previous command was an upsert, else ``created``; a delete is

@@ -46,15 +46,26 @@ def _sparse_buckets(df: DataFrame, width_us: int, key: str, ts: str, seq: str |
     """Occupied buckets only: last non-null value per column in (time, seq)
     order, plus the row count.  Rows with a null time form a null bucket that
     only contributes to the count."""
-    order = F.struct(F.col(ts), F.col(seq)) if seq else F.struct(F.col(ts))
+    order = F.struct(F.col(ts), F.col(seq)) if seq in df.columns else F.struct(F.col(ts))
     b = F.floor(epoch_micros(ts) / F.lit(width_us)) * F.lit(width_us)
     aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in values]
     return (df.where(F.col(key).isNotNull())
             .groupBy(F.col(key), b.cast("long").alias("_b")).agg(*aggs, F.count(F.lit(1)).alias("_n")))
 
 
-# empty buckets are generated in runs of at most so many, whatever the gap
-GAP_RUN = 65_536
+# a run of equal buckets is expanded in pieces of at most so many, dealt over all tasks
+GAP_RUN = 4096
+
+
+def expanded(runs: DataFrame, width_us: int, first: str, last: str) -> DataFrame:
+    """``runs`` with a row for every bucket from ``first`` to ``last`` (in microseconds), as
+    ``_bucket``.  A run is cut into pieces, which are dealt out before they are
+    expanded, so that a gap of decades doesn't fall to the task that found it."""
+    pieces = runs.withColumn("_piece", F.explode(F.sequence(first, last, F.lit(GAP_RUN * width_us).cast("long"))))
+    n = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    piece_to = F.least(F.col("_piece") + F.lit((GAP_RUN - 1) * width_us), F.col(last))
+    dealt = pieces.repartition(n, F.xxhash64(*[c for c, t in pieces.dtypes if t == "string"], "_piece"))
+    return dealt.withColumn("_bucket", F.explode(F.sequence("_piece", piece_to, F.lit(width_us).cast("long")))).drop("_piece")
 
 
 def _resample(df: DataFrame, width, key, ts, seq, values, fill: bool, min_ticks: int | None = None,
@@ -79,9 +90,7 @@ def _resample(df: DataFrame, width, key, ts, seq, values, fill: bool, min_ticks:
     stepped = stepped.where(F.col("_b").isNotNull())
     if min_ticks is not None:
         stepped = stepped.where(F.col("_total") >= min_ticks)
-    runs = stepped.select(key, "_b", "_to", *values, *more, F.explode(F.sequence("_b", "_to", F.lit(GAP_RUN * width_us))).alias("_run"))
-    run_to = F.least(F.col("_run") + F.lit((GAP_RUN - 1) * width_us), F.col("_to"))
-    exploded = runs.select(key, "_b", *values, *more, F.explode(F.sequence("_run", run_to, F.lit(width_us))).alias("_bucket"))
+    exploded = expanded(stepped.select(key, "_b", "_to", *values, *more), width_us, "_b", "_to")
     if fill:
         out_vals = [F.col(c) for c in values]
     else:  # empty buckets between occupied ones are present but null
@@ -130,10 +139,8 @@ def compare(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str = "time
             seq: str | None = "seq") -> DataFrame:
     """Indexed comparison series ``(price - base) / base * 100`` where base
     is the coin's first bucket price; coins with more than one tick only."""
-    filled = resample_ffill(df, width, key, ts, seq, values=["current_price"], min_ticks=2)
-    w = Window.partitionBy(key).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    base = F.first("current_price", ignorenulls=False).over(w)
-    p = F.col("current_price")
+    filled = _resample(df, width, key, ts, seq, ["current_price"], fill=True, min_ticks=2, per_coin={"_base": F.first("current_price")})
+    p, base = F.col("current_price"), F.col("_base")
     return filled.select(key, "bucket", (F.try_divide(p - base, base) * F.lit(100.0)).alias("pct_change"))
 
 
@@ -163,22 +170,24 @@ def detail_series(df: DataFrame, coin: str, width=DEFAULT_WIDTH, key: str = "id"
 def history_panel(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str = "timestamp",
                   seq: str | None = "seq", padding: float = RANGE_PADDING) -> DataFrame:
     """Every coin's price series with a padded range (no tick guard)."""
-    series = resample_ffill(df, width, key, ts, seq, values=["current_price"])
-    rng = tight_range(series, padding, key)
-    return series.join(rng, key).select(key, "bucket", "current_price", "range_low", "range_high")
+    in_time = F.when(F.col("_b").isNotNull(), F.col("current_price"))
+    series = _resample(df, width, key, ts, seq, ["current_price"], fill=True, per_coin={"_mn": F.min(in_time), "_mx": F.max(in_time)})
+    return series.select(key, "bucket", "current_price", *_padded(F.col("_mn"), F.col("_mx"), padding))
 
 
 def period_stats(df: DataFrame, width=DEFAULT_WIDTH, key: str = "id", ts: str = "timestamp",
                  seq: str | None = "seq") -> DataFrame:
     """First, last, high, low, total change and latest 24 h change on the
     resampled series (so high/low ignore intra-bucket extremes)."""
-    series = resample_ffill(df, width, key, ts, seq, values=["current_price", "price_change_pct_24h"])
-    agg = series.groupBy(key).agg(
-        F.min_by("current_price", "bucket").alias("first_price"),
-        F.max_by("current_price", "bucket").alias("last_price"),
-        F.max("current_price").alias("high"),
-        F.min("current_price").alias("low"),
-        F.max_by("price_change_pct_24h", "bucket").alias("change_24h"),
+    price, change = F.col("current_price"), F.col("price_change_pct_24h")
+    buckets = _sparse_buckets(df, width_seconds(width) * 1_000_000, key, ts, seq, ["current_price", "price_change_pct_24h"]).where("_b is not null")
+    # what filling adds repeats a value of an occupied bucket, so these suffice
+    agg = buckets.groupBy(key).agg(
+        F.min_by(price, "_b").alias("first_price"),
+        F.max_by(price, F.when(price.isNotNull(), F.col("_b"))).alias("last_price"),
+        F.max(price).alias("high"),
+        F.min(price).alias("low"),
+        F.max_by(change, F.when(change.isNotNull(), F.col("_b"))).alias("change_24h"),
     )
     total = F.try_divide(F.col("last_price") - F.col("first_price"), F.col("first_price")) * F.lit(100.0)
     return agg.select(key, "first_price", "last_price", "high", "low", total.alias("total_change"), "change_24h",

@@ -434,8 +434,10 @@ def q_article_payload(spark, sf_dir):
     return PL.normalise_articles(FX.news_payloads(_articles(spark, sf_dir))).drop("article_id")
 
 
-SCORE_SQL = """tok AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}]+')) AS w FROM {src}),
-scores AS (SELECT t.doc_id, coalesce(CAST(sum(CAST(lex.polarity AS DECIMAL(18, 9))) AS DOUBLE) / count(lex.polarity), 0.0) AS sentiment_score
+SUM_SQL = "list_reduce(list_prepend(0.0::DOUBLE, list(lex.polarity::DOUBLE ORDER BY pos) FILTER (lex.polarity IS NOT NULL)), lambda a, b: a + b)"
+SCORE_SQL = """words AS (SELECT doc_id, regexp_split_to_array(lower(text), '[^\\p{{L}}]+') AS ws FROM {src}),
+tok AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM words),
+scores AS (SELECT t.doc_id, coalesce(""" + SUM_SQL + """ / nullif(count(lex.polarity), 0), 0.0) AS sentiment_score
            FROM tok t LEFT JOIN lex ON lex.word = t.w GROUP BY t.doc_id),
 labelled AS (SELECT doc_id, sentiment_score,
                     CASE WHEN sentiment_score > 0.1 THEN 'positive' WHEN sentiment_score < -0.1 THEN 'negative'
@@ -452,8 +454,8 @@ full_text AS (SELECT doc_id, title, title || '. ' || coalesce(description, '') A
 toks AS (SELECT *, regexp_split_to_array(lower(text), '[^\\p{L}]+') AS w FROM full_text),
 m AS (SELECT topic.coin AS topic, toks.* FROM toks, topic WHERE list_has_all(w, topic.terms)),
 k AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY topic ORDER BY published_at DESC) <= 10),
-tok AS (SELECT topic, doc_id, unnest(w) AS w FROM k),
-sc AS (SELECT topic, doc_id, coalesce(CAST(sum(CAST(lex.polarity AS DECIMAL(18, 9))) AS DOUBLE) / count(lex.polarity), 0.0) AS score
+tok AS (SELECT topic, doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS pos FROM k),
+sc AS (SELECT topic, doc_id, coalesce(""" + SUM_SQL + """ / nullif(count(lex.polarity), 0), 0.0) AS score
        FROM tok LEFT JOIN lex ON lex.word = tok.w GROUP BY topic, doc_id)
 SELECT topic AS coin, title, score AS sentiment_score,
        CASE WHEN score > 0.1 THEN 'positive' WHEN score < -0.1 THEN 'negative' ELSE 'neutral' END AS sentiment_label, source, published_at
@@ -521,30 +523,42 @@ def q_stream_append(spark, sf_dir):
 def q_stream_cooldown(spark, sf_dir):
     base = scratch_path(spark, "stream-cooldown")
     ticks = V.tick_projection(V.stream_table(spark, sf_dir, "events"))
-    ST.run_to_end(ST.cooldown_stream(ticks, f"{base}/kept", f"{base}/state", f"{base}/_checkpoint",
-                                     available_now=True))
+    ST.run_to_end(ST.cooldown_stream(ticks, f"{base}/kept", f"{base}/_checkpoint", available_now=True))
     return read_table(spark, f"{base}/kept")
 
 
-@register("stream_resample", with_(TICK_CTE, _sparse_sql(TICK_VALUES)) + f"""
-SELECT id, bucket, symbol, current_price, price_change_pct_24h, market_cap, total_volume FROM sparse
-WHERE bucket + INTERVAL 30 MINUTE <= (SELECT max("timestamp") FROM tick) - INTERVAL {RESAMPLE_DELAY}""")
-def q_stream_resample(spark, sf_dir):
-    base = scratch_path(spark, "stream-resample")
+CLOSED_CTE = f"""closed AS (
+  SELECT * FROM tick WHERE time_bucket(INTERVAL '30 minutes', "timestamp") + INTERVAL 30 MINUTE <= (SELECT max("timestamp") FROM tick) - INTERVAL {RESAMPLE_DELAY})"""
+
+
+def _stream_resample(spark, sf_dir, name, fill):
+    base = scratch_path(spark, name)
     ticks = V.tick_projection(V.stream_table(spark, sf_dir, "events"))
-    q = (ST.resample_stream(ticks, delay=RESAMPLE_DELAY).writeStream.outputMode("append").format("parquet")
+    q = (ST.resample_stream(ticks, delay=RESAMPLE_DELAY, fill=fill).writeStream.outputMode("append").format("parquet")
          .option("path", f"{base}/out").option("checkpointLocation", f"{base}/_checkpoint")
          .trigger(availableNow=True).start())
     ST.run_to_end(q)
     return spark.read.parquet(f"{base}/out")
 
 
+@register("stream_resample", with_(TICK_CTE, CLOSED_CTE, _sparse_sql(TICK_VALUES).replace("FROM tick", "FROM closed")) + """
+SELECT g.id, g.bucket, s.symbol, s.current_price, s.price_change_pct_24h, s.market_cap, s.total_volume
+FROM grid g LEFT JOIN sparse s ON s.id = g.id AND s.bucket = g.bucket""")
+def q_stream_resample(spark, sf_dir):
+    return _stream_resample(spark, sf_dir, "stream-resample", False)
+
+
+@register("stream_ffill", with_(TICK_CTE, CLOSED_CTE, _filled_sql(TICK_VALUES, "closed")) + "SELECT * FROM filled")
+def q_stream_ffill(spark, sf_dir):
+    return _stream_resample(spark, sf_dir, "stream-ffill", True)
+
+
 @register("tick_job", OUTBOX_SQL)
 def q_tick_job(spark, sf_dir):
     base = scratch_path(spark, "tick-job")
     topic = FX.message_folder(C.encode(V.ticks(spark, sf_dir), micros=True), base)
     ticks = C.decode(spark.readStream.text(topic), TICK_WIRE_SEQ)
-    q = ST.tick_job(ticks, f"{base}/history", f"{base}/alerts", f"{base}/dead", f"{base}/state",
+    q = ST.tick_job(ticks, f"{base}/history", f"{base}/alerts", f"{base}/dead",
                     lambda: V.subscriptions(spark, sf_dir), f"{base}/_checkpoint", available_now=True)
     ST.run_to_end(q)
     return read_table(spark, f"{base}/alerts")
@@ -565,7 +579,7 @@ def q_tick_job_edges(spark, sf_dir):
     base = scratch_path(spark, "tick-job-edges")
     topic = FX.message_folder(V.edge_messages(spark, sf_dir), base)
     ticks = C.decode(spark.readStream.text(topic), TICK_WIRE_SEQ)
-    q = ST.tick_job(ticks, f"{base}/history", f"{base}/alerts", f"{base}/dead", f"{base}/state",
+    q = ST.tick_job(ticks, f"{base}/history", f"{base}/alerts", f"{base}/dead",
                     lambda: V.subscriptions(spark, sf_dir), f"{base}/_checkpoint", available_now=True)
     ST.run_to_end(q)
     alerts = read_table(spark, f"{base}/alerts").select(F.lit("alert").alias("kind"), "email", "coin", "change", "threshold", "timestamp",
@@ -584,6 +598,87 @@ def q_stream_replay(spark, sf_dir):
     return read_table(spark, path, schema=TICK)
 
 
+REPLAY_FROM, REPLAY_POSITION = 2, 3  # the log's position at the batch's first try, as a fraction of it
+
+
+def _log_sql(state: str) -> str:
+    return f"""log AS (SELECT * FROM cmd WHERE seq <= (SELECT {REPLAY_FROM} * max(seq) // {REPLAY_POSITION} FROM cmd)),
+dl AS (SELECT email, coin, max(seq) AS del_at FROM log WHERE op = 'delete' GROUP BY 1, 2),
+live AS (SELECT c.* FROM log c LEFT JOIN dl USING (email, coin) WHERE c.op = 'upsert' AND (dl.del_at IS NULL OR c.seq > dl.del_at)),
+{state} AS (SELECT email, coin, arg_max(threshold, seq) AS threshold, arg_max(direction, seq) AS direction, arg_min(ts, seq) AS created_at FROM live GROUP BY 1, 2)"""
+
+
+@register("alerts_replay", with_(TICK_CTE, COOLED_CTE, COMMANDS_CTE, _log_sql("subs"), MATCH_CTE) + "SELECT * FROM alerts")
+def q_alerts_replay(spark, sf_dir):
+    """A batch whose first try sees a part of the command log, and whose replay comes
+    after the rest of it: the same alerts, from the state at the batch's position."""
+    base = scratch_path(spark, "alerts-replay")
+    commands = V.subscription_commands(spark, sf_dir)
+    upto = commands.agg(F.max("seq")).first()[0] * REPLAY_FROM // REPLAY_POSITION
+    log = K.SubscriptionLog(spark, f"{base}/commands", f"{base}/state")
+    cooled = T.cooldown(V.ticks(spark, sf_dir))
+    commands.where(F.col("seq") <= upto // 2).write.mode("append").parquet(log.log_path)
+    log.advance()
+    commands.where((F.col("seq") > upto // 2) & (F.col("seq") <= upto)).write.mode("append").parquet(log.log_path)
+    ST.write_alerts(cooled, log, 0, f"{base}/alerts", "s")
+    commands.where(F.col("seq") > upto).write.mode("append").parquet(log.log_path)
+    log.advance()
+    ST.write_alerts(cooled, log, 0, f"{base}/alerts", "s")
+    return read_table(spark, f"{base}/alerts").select("email", "coin", "direction", "change", "price", "threshold", "timestamp")
+
+
+@register("latest_from_partials", with_(TICK_CTE) + f"""
+SELECT id, {_arg_last_nonnull('symbol')}, {_arg_last_nonnull('current_price')},
+       {_arg_last_nonnull('price_change_pct_24h')}, {_arg_last_nonnull('market_cap')},
+       {_arg_last_nonnull('total_volume')}, max("timestamp") AS "timestamp",
+       arg_max_null(total_volume, struct_pack(n := "timestamp" IS NULL, t := "timestamp", s := seq)) AS last_volume, count(*) AS n_ticks
+FROM tick WHERE id IS NOT NULL GROUP BY id""")
+def q_latest_from_partials(spark, sf_dir):
+    """Four batches' partial snapshots, merged without a look at the ticks."""
+    path, ticks = f"{scratch_path(spark, 'partials')}/latest", V.ticks(spark, sf_dir)
+    for batch_id in range(4):
+        append_batch(S.partials(ticks.where(F.col("seq") % 4 == batch_id)), batch_id, path, "s", date_from="last_tick", skip_empty=False)
+    return S.from_partials(read_table(spark, path))
+
+
+@register("latest_decoded", with_(TICK_CTE) + """,
+t AS (SELECT id, symbol, current_price, price_change_pct_24h, market_cap, total_volume, date_trunc('second', "timestamp") AS "timestamp" FROM tick)
+SELECT id, max("timestamp") AS "timestamp", count(DISTINCT time_bucket(INTERVAL '30 minutes', "timestamp")) AS n_buckets FROM t GROUP BY id""")
+def q_latest_decoded(spark, sf_dir):
+    """A3, A4 and W1 on ticks as the messages have them, without an ingest sequence."""
+    ticks = C.decode_ticks(C.encode(V.ticks(spark, sf_dir).drop("seq")))
+    buckets = W.resample_last(ticks, values=["market_cap"]).where("market_cap is not null").groupBy("id").agg(F.count("*").alias("n_buckets"))
+    return S.latest_by_coin(ticks).select("id", "timestamp").join(S.last_volume(ticks).select("id"), "id").join(buckets, "id")
+
+
+EDGE_ARTICLE_CTE = """arte AS (
+  SELECT CASE WHEN doc_id % 5 = 0 THEN doc_id - 1 ELSE doc_id END AS doc_id, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE published_at END AS published_at, lang, text
+  FROM art, LATERAL (SELECT unnest(range(CASE WHEN doc_id % 4 = 0 THEN 2 ELSE 1 END))) AS twice)"""
+
+
+@register("select_articles_edges", with_(ARTICLE_CTE, TOPIC_CTE, EDGE_ARTICLE_CTE) + """,
+toks AS (SELECT doc_id, published_at, regexp_split_to_array(lower(text), '[^\\p{L}]+') AS w FROM arte),
+m AS (SELECT topic.coin AS topic, doc_id, published_at FROM toks, topic WHERE list_has_all(w, topic.terms))
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY topic ORDER BY published_at DESC NULLS LAST, doc_id) AS INTEGER) AS rank FROM m)
+WHERE rank <= 200""")
+def q_select_articles_edges(spark, sf_dir):
+    """Repeated rows, ids that two texts share, and articles without a date."""
+    return X.select_articles(V.edge_articles(spark, sf_dir), V.topics(spark), None, 200)
+
+
+@register("match_alerts_edges", with_(TICK_CTE, COOLED_CTE, SUBS_CTE, MATCH_CTE) + f"""
+SELECT * FROM alerts WHERE substr(email, 5, 1) NOT IN ('1', '2')
+UNION ALL
+SELECT s.email, c.id, s.direction, c.price_change_pct_24h, c.current_price, 2.0, c."timestamp" FROM subs s JOIN cooled c
+ON s.coin = c.id AND s.direction = {DIRECTION_SQL.format(c='c.price_change_pct_24h')} AND abs(c.price_change_pct_24h) >= 2.0
+WHERE substr(s.email, 5, 1) IN ('1', '2')""")
+def q_match_alerts_edges(spark, sf_dir):
+    """Subscriptions whose threshold is NaN count as having none."""
+    subs = V.subscriptions(spark, sf_dir)
+    nan = F.substring("email", 5, 1).isin("1", "2")
+    return J.match_alerts(T.cooldown(V.ticks(spark, sf_dir)), subs.withColumn("threshold", F.when(nan, F.lit(float("nan"))).otherwise(F.col("threshold"))))
+
+
 HISTORY_FROM, HISTORY_TO = "2024-01-08 12:00:00", "2024-01-21 00:00:00"
 
 

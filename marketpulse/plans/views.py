@@ -146,3 +146,12 @@ def commands_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     eid = F.col("seq")
     return subscription_commands(spark, sf_dir).withColumns({
         "email": F.when(eid % 17 != 0, F.col("email")), "coin": F.when(eid % 19 != 0, F.col("coin")), "ts": F.when(eid % 13 != 0, F.col("ts"))})
+
+
+def edge_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles as several polls return them, injected by rule on the article's id:
+    rows that come twice, ids that two texts share, and missing dates."""
+    d = F.col("doc_id")
+    twice = F.explode(F.sequence(F.lit(1), F.when(d % 4 == 0, 2).otherwise(1)))
+    return article_inputs(spark, sf_dir).select(F.when(d % 5 == 0, d - 1).otherwise(d).alias("doc_id"),
+                                                F.when(d % 3 != 0, F.col("published_at")).alias("published_at"), "lang", "text", twice).drop("col")

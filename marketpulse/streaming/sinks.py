@@ -5,10 +5,16 @@ clearing what an earlier try of the batch left there, so a replayed batch (after
 a failure between the write and the checkpoint commit) replaces its own rows,
 also when it has none any more, instead of duplicating or keeping them.  ``stream_id`` is tied to the checkpoint: a new checkpoint
 restarts batch ids at 0 and must not overwrite the history of the old one.
+
+A batch's record, a small file beside the table, is written before its rows. It names
+the dates that a try of the batch may have rows in, so that a replay finds them
+without listing the table, and whatever else a replay has to see again.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +30,58 @@ def delete_folders(spark: SparkSession, pattern: str) -> None:
         fs.delete(found.getPath(), True)
 
 
+class BatchRecord:
+    """What a batch's earlier tries have left word of: one JSON file per batch under
+    ``_batches`` of a sink (readers skip folders that start with an underscore)."""
+
+    def __init__(self, spark: SparkSession, path: str, stream_id: str, batch_id: int):
+        self.fs, self.cls = file_system(spark, path)
+        self.io = spark.sparkContext._jvm.org.apache.commons.io.IOUtils
+        self.path = f"{path}/_batches/stream_id={stream_id}/batch_id={int(batch_id)}"
+
+    def read(self) -> dict:
+        for place in (self.path, f"{self.path}.new"):  # the second only after a failure between delete and rename
+            if self.fs.exists(self.cls(place)):
+                stream = self.fs.open(self.cls(place))
+                try:
+                    return json.loads(self.io.toString(stream, "UTF-8"))
+                finally:
+                    stream.close()
+        return {}
+
+    def write(self, record: dict) -> None:
+        stream = self.fs.create(self.cls(f"{self.path}.new"), True)
+        try:
+            stream.write(json.dumps(record).encode())
+        finally:
+            stream.close()
+        self.fs.delete(self.cls(self.path), False)
+        self.fs.rename(self.cls(f"{self.path}.new"), self.cls(self.path))
+
+    def once(self, name: str, decide) -> object:
+        """The value that the batch's first try decided on."""
+        record = self.read()
+        if name not in record:
+            record[name] = decide()
+            self.write(record)
+        return record[name]
+
+
+def _clear_dates(df: DataFrame, batch_id: int, path: str, stream_id: str, date_from: str) -> None:
+    """Delete the partitions that earlier tries of the batch may have written, and
+    record the ones that this try may write."""
+    spark = df.sparkSession
+    record = BatchRecord(spark, path, stream_id, batch_id)
+    found = record.read()
+    dates = {str(r[0]) for r in df.select(F.to_date(date_from).alias("d")).distinct().collect()}  # those of one batch
+    fs, cls = file_system(spark, path)
+    if "dates" in found:
+        for date in found["dates"]:
+            name = "__HIVE_DEFAULT_PARTITION__" if date == "None" else date
+            fs.delete(cls(f"{path}/date={name}/stream_id={stream_id}/batch_id={int(batch_id)}"), True)
+    record.write(found | {"dates": sorted(dates)})
+
+
 def append_batch(df: DataFrame, batch_id: int, path: str, stream_id: str, preview: bool = False,
                  fmt: str = "parquet", date_from: str | None = None, skip_empty: bool = True) -> int:
     """Write one micro-batch; returns its row count, observed
@@ -31,10 +89,14 @@ def append_batch(df: DataFrame, batch_id: int, path: str, stream_id: str, previe
     detected up front (cheap on a persisted batch); a derived output is
     written directly (``skip_empty=False``) so it is computed only once, and
     an empty one simply creates no partition.  ``date_from`` adds a leading
-    ``date`` partition derived from that instant column, for range pruning."""
+    ``date`` partition derived from that instant column, for range pruning; the
+    batch's dates are computed first, so ``df`` should be persisted or cheap."""
     parts = ["stream_id", "batch_id"] if date_from is None else ["date", "stream_id", "batch_id"]
-    dates = "" if date_from is None else "date=*/"
-    delete_folders(df.sparkSession, f"{path}/{dates}stream_id={stream_id}/batch_id={int(batch_id)}")
+    if date_from is None:
+        fs, cls = file_system(df.sparkSession, path)
+        fs.delete(cls(f"{path}/stream_id={stream_id}/batch_id={int(batch_id)}"), True)
+    else:
+        _clear_dates(df, batch_id, path, stream_id, date_from)
     if skip_empty and df.isEmpty():
         return 0
     obs = Observation(f"rows_{stream_id}_{batch_id}")

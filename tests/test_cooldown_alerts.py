@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketpulse.operators import alerts as J
 from marketpulse.operators import cooldown as T
@@ -44,8 +45,8 @@ def test_state_is_per_coin(spark):
     assert kept_seqs(T.cooldown(ticks_df(spark, rows))) == [1, 2]
 
 
-@pytest.mark.parametrize("seed,small_rows", [(1, 2_000_000), (2, 0), (3, 50)])
-def test_cooldown_matches_sequential_loop(spark, seed, small_rows):
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_cooldown_matches_sequential_loop(spark, seed):
     rnd = random.Random(seed)
     rows, seq = [], 0
     for coin in ["a", "b", "c", "d"]:
@@ -58,8 +59,8 @@ def test_cooldown_matches_sequential_loop(spark, seed, small_rows):
     rows.append(tick(None, 5, change=1.0, seq=seq + 1))
     rows.append(tick("a", None, change=1.0, seq=seq + 2))
     want = sequential_cooldown(rows)
-    assert kept_seqs(T.cooldown(ticks_df(spark, rows), small_level_rows=small_rows)) == want
-    assert kept_seqs(T.cooldown(ticks_df(spark, rows), small_level_rows=small_rows, small_bucket_rows=0)) == want
+    assert kept_seqs(T.cooldown(ticks_df(spark, rows))) == want
+    assert kept_seqs(T.cooldown(ticks_df(spark, rows), seconds=600)) == sequential_cooldown(rows, 600)
 
 
 def test_cooldown_with_carried_state(spark):
@@ -100,24 +101,6 @@ def test_results_do_not_depend_on_session_zone(spark):
     assert utc[0] == sequential_cooldown(rows)
 
 
-@pytest.mark.parametrize("chunks", [1, 4, 64])
-def test_first_at_or_after_matches_brute_force(spark, chunks):
-    rnd = random.Random(chunks)
-    cooldown_us = 1000
-    targets = [("a", 0, rnd.randint(0, 999), i) for i in range(60)]
-    targets += [("a", 0, 500, 100 + i) for i in range(5)]          # many rows at one instant
-    targets += [("b", 3, 3000 + rnd.randint(0, 999), 200 + i) for i in range(5)]
-    probes = [("a", 0, p) for p in [0, 1, 249, 250, 500, 501, 998, 999] + [rnd.randint(0, 999) for _ in range(20)]]
-    probes += [("b", 3, 3000), ("b", 3, 3999), ("c", 5, 5000)]     # "c" has no targets
-    tdf = spark.createDataFrame(targets, "key string, k long, t long, s long")
-    pdf = spark.createDataFrame(probes, "key string, k long, p long")
-    got = {(r["key"], r["p"]): (None if r["y"] is None else (r["y"]["t"], r["y"]["s"]))
-           for r in T.first_at_or_after(tdf, pdf, cooldown_us, chunks).collect()}
-    for key, k, p in probes:
-        cands = [(t, s) for kk, kb, t, s in targets if kk == key and kb == k and t >= p]
-        assert got[(key, p)] == (min(cands) if cands else None)
-
-
 def test_tick_without_subscribers_still_consumes_cooldown(spark):
     # coin "a" first moves with nobody subscribed; the second tick 10 minutes
     # later would hit the threshold but is inside the cooldown
@@ -141,7 +124,6 @@ def test_cooldown_with_a_hot_bucket_and_equal_instants(spark):
         rows.append(tick("cold", rnd.randint(0, 20_000), change=1.0, seq=seq))
     df = ticks_df(spark, rows)
     assert kept_seqs(T.cooldown(df)) == sequential_cooldown(rows)
-    assert kept_seqs(T.cooldown(df, small_level_rows=0, small_bucket_rows=0)) == sequential_cooldown(rows)
 
 
 def test_cooldown_on_empty_and_all_zero_input(spark):
@@ -160,3 +142,52 @@ def test_rendering_before_the_join_equals_rendering_per_alert(spark):
     cols = ("email", "subject", "body")
     assert rows_of(J.match_alerts(cooled, subs, render=True), *cols) == rows_of(
         J.alert_outbox(J.match_alerts(cooled, subs)), *cols)
+
+
+def test_cooldown_over_three_levels_without_a_root(spark):
+    """A dense series of 4,000 hours: its only root is the first tick, and no two entries of a block ever meet."""
+    rows = [tick("a", 20 + i * 1260, change=1.0, seq=i) for i in range(11_500)] + [tick("b", -5000 + i * 4000, change=1.0, seq=20_000 + i) for i in range(5)]
+    assert kept_seqs(T.cooldown(ticks_df(spark, rows))) == sequential_cooldown(rows)
+
+
+def test_cooldown_runs_few_jobs(spark):
+    rows = [tick("abc"[i % 3], i * 500, change=1.0, seq=i) for i in range(3000)]
+    df = ticks_df(spark, rows).repartition(4).persist()
+    df.count()
+    sc = spark.sparkContext
+    sc.setJobGroup("cooldown-jobs", "counted")
+    try:
+        T.cooldown(df)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        df.unpersist()
+    assert len(sc.statusTracker().getJobIdsForGroup("cooldown-jobs")) <= 15
+
+
+def test_a_tick_covers_the_bands_below_it_once():
+    for band in range(J.BANDS):
+        n, cells = band + 1, set()
+        for level in range(J.LEVELS):
+            if n >> level & 1:
+                cells.add((level, (n >> level) - 1))
+        assert len(cells) <= 6
+        for other in range(J.BANDS):
+            assert sum((level, other >> level) in cells for level in range(J.LEVELS)) == (other <= band)
+
+
+def test_cells_in_spark_and_nan_thresholds(spark):
+    got = spark.range(J.BANDS).select("id", J._cover(F.col("id").cast("int")).alias("cover"), J._cells_of(F.col("id").cast("int")).alias("cells")).collect()
+    for a in got:
+        assert len(a.cover) <= 6
+        for b in got:
+            assert len(set(a.cover) & set(b.cells)) == (b.id <= a.id)
+    cooled = ticks_df(spark, [tick("a", 0, change=-3.0, seq=1), tick("a", 1, change=1.5, seq=2), tick("a", 2, change=float("nan"), seq=3)])
+    subs = _subs(spark, [("n@e", "a", float("nan"), "drop"), ("m@e", "a", float("nan"), "rise")])
+    assert rows_of(J.match_alerts(cooled, subs), "email", "change", "threshold") == [("n@e", -3.0, 2.0)]
+
+
+def test_rendering_lies_below_the_deal_to_cells(spark):
+    cooled = ticks_df(spark, [tick("a", 0, price=1.0, change=-3.0, seq=1)])
+    plan = J.match_alerts(cooled, _subs(spark, [("x@e", "a", 1.0, "drop")]), render=True)._jdf.queryExecution().optimizedPlan().toString()
+    tick_side = plan[plan.index("_head") if plan.index("_head") < plan.index("Generate") else 0:]
+    assert "format_number" in tick_side[tick_side.index("Generate"):] and "format_number" not in tick_side[:tick_side.index("Generate")]

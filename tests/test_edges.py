@@ -12,13 +12,14 @@ from marketpulse.functions import labels as P
 from marketpulse.operators import alerts as J
 from marketpulse.operators import cooldown as T
 from marketpulse.operators import sentiment as X
+from marketpulse.operators import snapshot as S
 from marketpulse.operators import subscriptions as K
 from marketpulse.operators import timeseries as W
 from marketpulse.schemas import SUBSCRIPTION, SUBSCRIPTION_COMMAND, TICK, TICK_WIRE_SEQ
 from marketpulse.sources import codec as C
 from marketpulse.streaming import jobs as ST
 from marketpulse.streaming.sinks import append_batch, compact_date, read_table
-from tests.helpers import at, tick, ticks_df
+from tests.helpers import at, rows_of, tick, ticks_df
 
 NAN = float("nan")
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -165,13 +166,67 @@ def test_tick_job_by_processing_time(spark, tmp_dir):
         os.utime(f"{tmp_dir}/in/{i}.json", (i + 1, i + 1))
     ticks = C.decode(spark.readStream.option("maxFilesPerTrigger", 1).text(f"{tmp_dir}/in"), TICK_WIRE_SEQ)
     subs = spark.createDataFrame([("s@x", "a", 1.0, "rise", at(0))], SUBSCRIPTION)
-    ST.run_to_end(ST.tick_job(ticks, f"{tmp_dir}/h", f"{tmp_dir}/a", f"{tmp_dir}/d", f"{tmp_dir}/s", lambda: subs, f"{tmp_dir}/c", clock="processing",
-                              now=lambda b: at([0, 1800, 3600][b]), available_now=True))
+    ST.run_to_end(ST.tick_job(ticks, f"{tmp_dir}/h", f"{tmp_dir}/a", f"{tmp_dir}/d", lambda: subs, f"{tmp_dir}/c", clock="processing",
+                              arrival=F.when(F.col("seq") <= 3, F.lit(at(0))).when(F.col("seq") == 4, F.lit(at(1800))).otherwise(F.lit(at(3600))).cast("timestamp_ntz"),
+                              available_now=True))
     # batch 0: the tick with a time is first in order; batch 1 is inside the cooldown whatever its time; batch 2 is ready
     assert sorted(r.change for r in read_table(spark, f"{tmp_dir}/a").collect()) == [4.0, 6.0]
     assert [r.reason for r in read_table(spark, f"{tmp_dir}/d").collect()] == ["no id"]
-    states = [n for _, dirs, _ in os.walk(f"{tmp_dir}/s") for n in dirs if n.startswith("batch_id=")]
-    assert sorted(states) == ["batch_id=1", "batch_id=2"]
+
+
+def test_long_gap_spreads_over_tasks(spark):
+    """Two ticks 56 years apart, at one minute: no task makes more than a few shares of the 29 million buckets."""
+    from marketpulse.functions.time import EPOCH
+    df = ticks_df(spark, [tick("a", 0, price=1.0, seq=1), tick("a", 2 * 366 * 86_400, price=2.0, seq=2)])
+    df = df.withColumn("timestamp", F.when(F.col("seq") == 1, F.lit(EPOCH).cast("timestamp_ntz")).otherwise(F.col("timestamp")))
+    sizes = [r["count"] for r in W.resample_ffill(df, "1 minute", values=["current_price"]).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and sum(sizes) > 29_000_000 and max(sizes) < 2 * min(sizes)
+
+
+def test_polarity_just_above_the_bound(spark):
+    lexicon = spark.createDataFrame([("up", 0.1000000004), ("down", -0.1000000004), ("flat", 0.1), (None, 1.0)], "word string, polarity double")
+    texts = spark.createDataFrame([(1, "Up!"), (2, "down"), (3, "flat"), (4, None), (5, "up flat, UP other")], "doc_id long, text string")
+    want = [(1, 0.1000000004, "positive"), (2, -0.1000000004, "negative"), (3, 0.1, "neutral"), (4, 0.0, "neutral"), (5, (0.1000000004 + 0.1 + 0.1000000004) / 3, "positive")]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit in (before, "10"):  # in place, and by a join
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            assert sorted(tuple(r) for r in X.score_text(texts, lexicon).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_articles_that_repeat_are_matched_row_by_row(spark):
+    topics = spark.createDataFrame([("t", ["one", "Two"]), ("u", ["one"]), ("none", []), (None, ["one"])], "coin string, terms array<string>")
+    rows = [(1, "one two", "2024"), (1, "one two", "2024"), (2, "one", "2025"), (2, "two", "2025"), (3, "TWO, one", None), (None, "one two three", "2023"), (4, None, "2026")]
+    articles = spark.createDataFrame(rows, "doc_id long, text string, published_at string")
+    want = {("t", 1): 1, ("t", 1, 2): 2, ("t", None): 3, ("t", 3): 4}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit in (before, "10"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            got = X.select_articles(articles, topics, None, keep=("text",)).collect()
+            assert sorted((r.rank, r.doc_id, r.text) for r in got if r.topic == "t") == [(1, 1, "one two"), (2, 1, "one two"), (3, None, "one two three"), (4, 3, "TWO, one")]
+            assert [r.doc_id for r in sorted(got, key=lambda r: r.rank) if r.topic == "u"] == [2, 1, 1, None, 3] and {r.topic for r in got} == {"t", "u"}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_top_k_state_across_polls(spark):
+    topics = spark.createDataFrame([("t", ["one"])], "coin string, terms array<string>")
+    rows = [(i, f"one {i}", f"20{10 + i}") for i in range(12)]
+    polls = [X.select_articles(spark.createDataFrame(part, "doc_id long, text string, published_at string"), topics, None, 4) for part in (rows[:7], rows[5:9], rows[2:])]
+    state = polls[0]
+    for poll in polls[1:]:
+        state = X.newest_across_polls(state, poll, 4)
+    whole = X.select_articles(spark.createDataFrame(rows, "doc_id long, text string, published_at string"), topics, None, 4)
+    assert rows_of(state) == rows_of(whole) and whole.count() == 4
+
+
+def test_ticks_without_a_sequence(spark):
+    bare = ticks_df(spark, [tick("a", 0, price=1.0, vol=2, seq=1), tick("a", 4000, price=None, vol=None, seq=2)]).drop("seq")
+    assert rows_of(S.latest_by_coin(bare), "id", "current_price") == [("a", 1.0)] and rows_of(S.last_volume(bare), "total_volume") == [(None,)]
+    assert W.resample_ffill(bare).count() == 3 and W.coin_cards(bare).count() == 1 and S.market_share(bare).count() == 0
 
 
 def test_entry_without_the_llm_subpackage(tmp_dir):

@@ -26,11 +26,10 @@ def _rows(series):
 
 
 @SETTINGS
-@given(series=SERIES, skew_path=st.booleans())
-def test_cooldown_equals_sequential_rule(spark, series, skew_path):
+@given(series=SERIES)
+def test_cooldown_equals_sequential_rule(spark, series):
     rows = _rows(series)
-    kw = {"small_level_rows": 0, "small_bucket_rows": 0} if skew_path else {}
-    got = sorted(r["seq"] for r in T.cooldown(ticks_df(spark, rows), **kw).select("seq").collect())
+    got = sorted(r["seq"] for r in T.cooldown(ticks_df(spark, rows)).select("seq").collect())
     assert got == sequential_cooldown(rows)
 
 
@@ -68,19 +67,6 @@ def test_subscription_fold_equals_replay(spark, commands):
     assert sorted(rows_of(K.with_outcome(df, chunk_seconds=30, day_seconds=200), "seq", "outcome")) == outcomes
 
 
-@SETTINGS
-@given(targets=st.lists(st.tuples(st.integers(0, 999), st.integers(0, 50)), max_size=60),
-       probes=st.lists(st.integers(0, 999), min_size=1, max_size=30), chunks=st.sampled_from([1, 3, 16, 1000]))
-def test_first_at_or_after_equals_brute_force(spark, targets, probes, chunks):
-    tdf = spark.createDataFrame([("a", 0, t, s) for t, s in targets], "key string, k long, t long, s long")
-    pdf = spark.createDataFrame([("a", 0, p) for p in probes], "key string, k long, p long")
-    got = {r["p"]: (None if r["y"] is None else (r["y"]["t"], r["y"]["s"]))
-           for r in T.first_at_or_after(tdf, pdf, 1000, chunks).collect()}
-    for p in probes:
-        cands = [(t, s) for t, s in targets if t >= p]
-        assert got[p] == (min(cands) if cands else None)
-
-
 @SETTINGS
 @given(series=st.lists(st.tuples(st.sampled_from("ab"), st.one_of(st.none(), st.integers(0, 50)),
                                  st.one_of(st.none(), st.floats(1, 100)), st.one_of(st.none(), st.floats(-5, 5))),

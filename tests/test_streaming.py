@@ -56,7 +56,7 @@ def test_cooldown_stream_equals_batch_and_survives_restart(spark, tmp_dir):
     src = f"{tmp_dir}/src"
     os.makedirs(src)
     _write_message_files(spark, rows, src)
-    ST.run_to_end(ST.cooldown_stream(_stream(spark, src), f"{tmp_dir}/o1", f"{tmp_dir}/s1", f"{tmp_dir}/c1",
+    ST.run_to_end(ST.cooldown_stream(_stream(spark, src), f"{tmp_dir}/o1", f"{tmp_dir}/c1",
                                      available_now=True))
     whole = sorted(r["seq"] for r in read_table(spark, f"{tmp_dir}/o1").collect())
     assert whole == expected
@@ -68,11 +68,11 @@ def test_cooldown_stream_equals_batch_and_survives_restart(spark, tmp_dir):
     os.makedirs(staged)
     _write_message_files(spark, rows, staged)
     os.rename(f"{staged}/part-0.json", f"{src2}/part-0.json")
-    ST.run_to_end(ST.cooldown_stream(_stream(spark, src2), f"{tmp_dir}/o2", f"{tmp_dir}/s2", f"{tmp_dir}/c2",
+    ST.run_to_end(ST.cooldown_stream(_stream(spark, src2), f"{tmp_dir}/o2", f"{tmp_dir}/c2",
                                      available_now=True))
     for p in (1, 2):
         os.rename(f"{staged}/part-{p}.json", f"{src2}/part-{p}.json")
-    ST.run_to_end(ST.cooldown_stream(_stream(spark, src2), f"{tmp_dir}/o2", f"{tmp_dir}/s2", f"{tmp_dir}/c2",
+    ST.run_to_end(ST.cooldown_stream(_stream(spark, src2), f"{tmp_dir}/o2", f"{tmp_dir}/c2",
                                      available_now=True))
     resumed = sorted(r["seq"] for r in read_table(spark, f"{tmp_dir}/o2").collect())
     assert resumed == expected
@@ -126,7 +126,7 @@ def test_tick_job_over_three_batches_equals_batch(spark, tmp_dir):
     src = f"{tmp_dir}/src"
     os.makedirs(src)
     _write_message_files(spark, rows, src)
-    q = ST.tick_job(_stream(spark, src), f"{tmp_dir}/h", f"{tmp_dir}/a", f"{tmp_dir}/d", f"{tmp_dir}/s",
+    q = ST.tick_job(_stream(spark, src), f"{tmp_dir}/h", f"{tmp_dir}/a", f"{tmp_dir}/d",
                     lambda: subs, f"{tmp_dir}/c", available_now=True)
     ST.run_to_end(q)
     got = sorted((r["email"], r["coin"], str(r["timestamp"])) for r in read_table(spark, f"{tmp_dir}/a").collect())
@@ -208,3 +208,101 @@ def test_resample_stream_equals_batch_on_closed_buckets(spark, tmp_dir):
                                                                          | F.col("price_change_pct_24h").isNotNull())
     want = [r for r in rows_of(batch, "id", "bucket", *values) if r[1] <= closed_before]
     assert got == want and got
+
+
+def test_gap_filled_stream_equals_batch_over_batches(spark, tmp_dir):
+    """Three files, one batch each: what the batch form makes of the ticks in closed buckets, filled or not."""
+    import datetime as dt
+
+    from marketpulse.operators import timeseries as W
+    rows = [r if i % 5 else tick(r[0], 0, seq=r[7]) for i, r in enumerate(_tick_rows())]
+    rows = [(*r[:4], 2 ** 60 + r[7] if r[7] % 3 else None, *r[5:]) for r in rows if (r[6] - rows[0][6]).total_seconds() % 20_000 < 9_000]
+    src = f"{tmp_dir}/src"
+    os.makedirs(src)
+    _write_message_files(spark, rows, src)
+    values = ("current_price", "price_change_pct_24h", "market_cap")
+    end = max(r[6] for r in rows) - dt.timedelta(hours=1)
+    closed = [r for r in rows if (r[6].replace(minute=r[6].minute // 30 * 30, second=0, microsecond=0) + dt.timedelta(minutes=30)) <= end]
+    for fill, batch in ((True, W.resample_ffill), (False, W.resample_last)):
+        q = (ST.resample_stream(_stream(spark, src), delay="1 hour", values=values, fill=fill).writeStream.outputMode("append").format("parquet")
+             .option("path", f"{tmp_dir}/out{fill}").option("checkpointLocation", f"{tmp_dir}/ck{fill}").trigger(availableNow=True).start())
+        ST.run_to_end(q)
+        got = rows_of(spark.read.parquet(f"{tmp_dir}/out{fill}"), "id", "bucket", *values)
+        assert got == rows_of(batch(ticks_df(spark, closed), values=list(values)), "id", "bucket", *values)
+        assert len(got) > len({(r[0], r[1]) for r in got if r[2] is not None}) or fill
+
+
+def test_calls_per_batch_do_not_grow_with_the_dates(spark, tmp_dir, monkeypatch):
+    """A replay finds its partitions by the batch's record: no listing, and as many calls with 3 dates as with 300."""
+    from marketpulse.streaming import sinks
+    monkeypatch.setattr(sinks, "delete_folders", None)  # the only function that lists
+    batch = ticks_df(spark, [tick("a", 0, seq=1), tick("a", 86_400, seq=2), tick("a", None, seq=3)])
+    calls = []
+    for days in (3, 300):
+        hist = f"{tmp_dir}/h{days}"
+        append_batch(ticks_df(spark, [tick("a", i * 86_400, seq=i) for i in range(days)]), 0, hist, "s", date_from="timestamp")
+        append_batch(batch, 1, hist, "s", date_from="timestamp")
+        seen = []
+        original = sinks.BatchRecord.read
+        monkeypatch.setattr(sinks.BatchRecord, "read", lambda self: seen.append(original(self)) or seen[-1])
+        append_batch(batch.where("seq = 1"), 1, hist, "s", date_from="timestamp")
+        monkeypatch.setattr(sinks.BatchRecord, "read", original)
+        calls.append([sorted(r["dates"]) for r in seen])
+        assert sorted(r["seq"] for r in read_table(spark, hist).collect()) == sorted([*range(days), 1])
+        append_batch(batch.where("false"), 1, hist, "s", date_from="timestamp")
+        assert read_table(spark, hist).count() == days
+    assert calls[0] == calls[1] == [["2024-01-01", "2024-01-02", "None"]]
+
+
+def test_record_survives_a_failure_between_delete_and_rename(spark, tmp_dir):
+    from marketpulse.streaming.sinks import BatchRecord
+    record = BatchRecord(spark, f"{tmp_dir}/t", "s", 4)
+    assert record.read() == {} and record.once("position", lambda: 7) == 7 and record.once("position", lambda: 9) == 7
+    os.rename(f"{tmp_dir}/t/_batches/stream_id=s/batch_id=4", f"{tmp_dir}/t/_batches/stream_id=s/batch_id=4.new")
+    assert record.read() == {"position": 7}
+
+
+def test_replayed_batch_sees_the_same_subscriptions(spark, tmp_dir):
+    from marketpulse.operators.subscriptions import SubscriptionLog
+    from marketpulse.schemas import SUBSCRIPTION_COMMAND
+    from tests.helpers import at
+    log = SubscriptionLog(spark, f"{tmp_dir}/log", f"{tmp_dir}/state")
+    assert log.position() == -1 and log.as_of(-1).count() == 0
+
+    def say(*commands):
+        spark.createDataFrame(commands, SUBSCRIPTION_COMMAND).write.mode("append").parquet(log.log_path)
+    say(("x@e", "a", "upsert", 1.0, "rise", at(0), 0), ("y@e", "a", "upsert", 1.0, "rise", at(1), 1))
+    assert log.advance() == 1 and log.advance() == 1
+    say(("y@e", "a", "delete", None, None, at(2), 2), ("x@e", "a", "upsert", 3.0, "rise", at(3), 3))
+    cooled = ticks_df(spark, [tick("a", 0, price=1.0, change=4.0, seq=1)])
+    ST.write_alerts(cooled, log, 0, f"{tmp_dir}/a", "s")
+    first = rows_of(read_table(spark, f"{tmp_dir}/a"), "email", "threshold")
+    say(("x@e", "a", "delete", None, None, at(4), 4), ("z@e", "a", "upsert", 1.0, "rise", at(5), 5))
+    log.advance()
+    ST.write_alerts(cooled, log, 0, f"{tmp_dir}/a", "s")
+    assert rows_of(read_table(spark, f"{tmp_dir}/a"), "email", "threshold") == first == [("x@e", 3.0)]
+    ST.write_alerts(cooled, log, 1, f"{tmp_dir}/a2", "s")
+    assert rows_of(read_table(spark, f"{tmp_dir}/a2"), "email", "threshold") == [("z@e", 1.0)]
+    assert rows_of(log.as_of(3), "email", "created_at") == [("x@e", at(0))]
+    plan = log.as_of(5)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(seq,5)" in plan
+
+
+def test_partials_equal_the_full_scan_and_read_no_history(spark, tmp_dir):
+    from marketpulse.operators import snapshot as S
+    rows = _tick_rows() + [tick("a", None, price=5.0, seq=900), tick("c", 5, vol=3, seq=901), tick("c", 6, price=None, vol=None, seq=902), tick(None, 7, price=1.0, seq=903)]
+    src = f"{tmp_dir}/src"
+    os.makedirs(src)
+    _write_message_files(spark, rows, src)
+    subs = spark.createDataFrame([], "email string, coin string, threshold double, direction string")
+    ST.run_to_end(ST.tick_job(_stream(spark, src), f"{tmp_dir}/h", f"{tmp_dir}/a", f"{tmp_dir}/d", lambda: subs, f"{tmp_dir}/c",
+                              snapshot_path=f"{tmp_dir}/latest", available_now=True))
+    hist, parts = read_table(spark, f"{tmp_dir}/h"), read_table(spark, f"{tmp_dir}/latest")
+    assert parts.count() <= 3 * 4
+    merged = S.from_partials(parts)
+    full = S.latest_by_coin(hist)
+    assert rows_of(merged, *full.columns) == rows_of(full, *full.columns)
+    assert rows_of(merged, "id", "last_volume") == rows_of(S.last_volume(hist), "id", "total_volume")
+    assert rows_of(merged, "id", "n_ticks") == rows_of(S.tick_counts(hist), "id", "n_ticks")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert f"{tmp_dir}/latest" in plan and f"{tmp_dir}/h" not in plan
