@@ -185,6 +185,8 @@ def linked_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     shared = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1").select("key", "first")
     members = stored(entries.join(shared, "key"), "members")
     details = stored(nodes.drop("keys", "d2").join(members.select("node").distinct(), "node", "left_semi"), "paired")
+    ids = stored(nodes.select("node", "d1", "d2"), "node-ids")
+    discard(nodes)
 
     def alike(a: str, b: str) -> Column:
         return _alike(a, b, percent)
@@ -213,10 +215,10 @@ def linked_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     rest = stored(members.select("key", "node").join(mixed, "key"), "mixed-members")
     tested = pairs.select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct()
     final = linked_components(rest, details, alike, _bits_apart, confirm, confirm_across, links, tested)
-    own = nodes.join(final.withColumnRenamed("node", "p_node"), F.col("node") == F.col("p_node"), "left").select(
+    own = ids.join(final.withColumnRenamed("node", "p_node"), F.col("node") == F.col("p_node"), "left").select(
         F.col("d1").alias("n_d1"), F.col("d2").alias("n_d2"), F.coalesce("component", "node").alias("component"))
     own = stored(own, "components")
-    discard(nodes, members, details, sets, pairs, links, parts, rest, final)
+    discard(ids, members, details, sets, pairs, links, parts, rest, final)
     return (rows.join(own, (F.col("d1") == F.col("n_d1")) & (F.col("d2") == F.col("n_d2")) & (F.col("n_shingles") > 0), "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")))
 
