@@ -35,7 +35,7 @@ WIDTH, PERCENT = 4, 85
 BAND = 2
 #: Least bits of the parity that candidates are held against; large sets have half as many as shingles or more,
 #: so that unlike sets differ in more bits than the bound
-PARITY_BITS = 1024
+PARITY_BITS = 256
 #: Similarities for which the sizes of a band leave more shingles than words
 PERCENTS = range(80, 101)
 
@@ -155,7 +155,8 @@ def _alike(a: str, b: str, percent: int) -> Column:
 
 def _starred(members: DataFrame, details: DataFrame, alike) -> DataFrame:
     """Of every node that is alike the first one of a bucket, the likeliest such pair (``a``, ``b``)."""
-    pairs = members.where("node <> first").select("node", "first").distinct()
+    firsts = members.groupBy(F.col("key").alias("f_key")).agg(F.min("node").alias("first"))
+    pairs = members.join(firsts, F.col("key") == F.col("f_key")).where("node <> first").select("node", "first").distinct()
     pairs = with_details(with_details(pairs, details, "node", "a"), details, "first", "b").where(alike("a", "b"))
     best = pairs.groupBy("node").agg(F.min_by(F.struct("a", "b"), F.struct(_bits_apart("a", "b"), "first")).alias("pair"))
     return best.select("pair.*")
@@ -182,7 +183,7 @@ def linked_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     nodes = stored(sketched.join(first, is_first).select("node", F.col("n_shingles").alias("n"), "d1", "d2", "keys", "parity").dropDuplicates(["node", "d1", "d2"]), "nodes")
     discard(sketched)
     entries = nodes.select(F.explode("keys").alias("key"), "node")
-    shared = entries.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1").select("key", "first")
+    shared = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = stored(entries.join(shared, "key"), "members")
     details = stored(nodes.drop("keys", "d2").join(members.select("node").distinct(), "node", "left_semi"), "paired")
     ids = stored(nodes.select("node", "d1", "d2"), "node-ids")
@@ -212,7 +213,7 @@ def linked_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     parts = components(links)
     own = with_parts(members, parts)
     mixed = own.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
-    rest = stored(members.select("key", "node").join(mixed, "key"), "mixed-members")
+    rest = stored(members.join(mixed, "key"), "mixed-members")
     tested = pairs.select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct()
     final = linked_components(rest, details, alike, _bits_apart, confirm, confirm_across, links, tested)
     own = ids.join(final.withColumnRenamed("node", "p_node"), F.col("node") == F.col("p_node"), "left").select(
