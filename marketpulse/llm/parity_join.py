@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketpulse.llm.common import discard, stored, table
 from marketpulse.llm.components import components
-from marketpulse.llm.linking import linked_components, pairs_across, with_details, with_parts
+from marketpulse.llm.linking import pairs_across, with_details, with_parts
 from marketpulse.llm.near_dedup import WordHashes, confirmed, full_sets, links_in_cells, shingle_set
 
 WIDTH, PERCENT = 4, 85
@@ -199,27 +199,25 @@ def linked_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     def confirm(pairs: DataFrame) -> DataFrame:
         return confirmed(pairs, sets, percent)
 
-    def confirm_across(own: DataFrame, tested: DataFrame) -> DataFrame:
-        clusters = stored(components(tested), "clusters")  # what is alike hangs together, linked or not
-        lone = own.join(clusters.select(F.col("node").alias("c_node"), "component"), F.col("node") == F.col("c_node"), "left")
-        lone = lone.select("key", "node", "part", F.coalesce("component", "node").alias("cluster"))
-        pairs = stored(pairs_across(lone, details, tested, alike, unless="cluster"), "pairs")
-        found = stored(links_in_cells(own, clusters, sets, percent).unionByName(confirm(pairs)), "links")
-        discard(clusters, pairs)
-        return found
-
+    # round by stars: what is alike hangs together afterwards, and most of what is linked
     pairs = stored(_starred(members, details, alike), "pairs")
     links = stored(confirm(pairs), "links")
     parts = components(links)
+    # then all that buckets still hold across parts: within a cluster in cells, else pair by pair
     own = with_parts(members, parts)
-    mixed = own.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
-    rest = stored(members.join(mixed, "key"), "mixed-members")
+    mixed = own.groupBy(F.col("key").alias("m_key")).agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("m_key")
+    own_members = stored(own.join(mixed, F.col("key") == F.col("m_key")).drop("m_key"), "mixed-members")
     tested = pairs.select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct()
-    final = linked_components(rest, details, alike, _bits_apart, confirm, confirm_across, links, tested)
+    clusters = stored(components(tested), "clusters")
+    lone = own_members.join(clusters.select(F.col("node").alias("c_node"), "component"), F.col("node") == F.col("c_node"), "left")
+    lone = lone.select("key", "node", "part", F.coalesce("component", "node").alias("cluster"))
+    across = stored(pairs_across(lone, details, tested, alike, unless="cluster"), "pairs")
+    rest = stored(links_in_cells(own_members, clusters, sets, percent).unionByName(confirm(across)), "links")
+    final = parts if rest.isEmpty() else components(links.unionByName(rest))
     own = ids.join(final.withColumnRenamed("node", "p_node"), F.col("node") == F.col("p_node"), "left").select(
         F.col("d1").alias("n_d1"), F.col("d2").alias("n_d2"), F.coalesce("component", "node").alias("component"))
     own = stored(own, "components")
-    discard(ids, members, details, sets, pairs, links, parts, rest, final)
+    discard(ids, members, details, sets, pairs, links, parts, own_members, clusters, across, rest, final)
     return (rows.join(own, (F.col("d1") == F.col("n_d1")) & (F.col("d2") == F.col("n_d2")) & (F.col("n_shingles") > 0), "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")))
 
