@@ -178,9 +178,10 @@ def linked_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketched = stored(signed(docs, width, percent), "sketches")
     rows = stored(sketched.select("doc_id", "n_shingles", "d1", "d2"), "rows")
-    first = rows.where("doc_id is not null and n_shingles > 0").groupBy(F.col("d1").alias("f_d1"), F.col("d2").alias("f_d2")).agg(F.min("doc_id").alias("node"))
-    is_first = (F.col("doc_id") == F.col("node")) & (F.col("d1") == F.col("f_d1")) & (F.col("d2") == F.col("f_d2"))
-    nodes = stored(sketched.join(first, is_first).select("node", F.col("n_shingles").alias("n"), "d1", "d2", "keys", "parity").dropDuplicates(["node", "d1", "d2"]), "nodes")
+    # keys and parities are moved once, and of copies that a task reads only one
+    sets_of = sketched.where("doc_id is not null and n_shingles > 0").groupBy("d1", "d2").agg(
+        F.min_by(F.struct(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "keys", "parity"), "doc_id").alias("first"))
+    nodes = stored(sets_of.select("first.*", "d1", "d2"), "nodes")
     discard(sketched)
     entries = nodes.select(F.explode("keys").alias("key"), "node")
     shared = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
