@@ -22,6 +22,8 @@ from marketpulse.session import file_system
 from marketpulse.sources.codec import read_or_empty
 
 KEY = ["email", "coin"]
+#: Day and chunk of commands without a time, after all others
+_NO_TIME = (1 << 63) - 1
 
 
 def _order() -> F.Column:
@@ -110,31 +112,34 @@ def with_outcome(commands: DataFrame, chunk_seconds: int = 4, day_seconds: int =
     """Outcome of each command in log order: an upsert is ``updated`` when the
     key's previous command was an upsert, else ``created``; a delete is
     ``deleted`` after an upsert, else ``noop``.  Every command has an outcome:
-    missing emails and coins are keys, missing times come last.
-
-    The previous command is what counts, so a chunk's first command needs the last
-    command of the chunks before.  That is a running maximum in two levels, so no
-    partition holds a whole key: a ``lag`` inside (key, chunk of ``chunk_seconds``),
-    and over the last command of each chunk, by day and then over days."""
+    missing emails and coins are keys, missing times come last, and a missing
+    operation is no upsert.
+
+    The previous command is what counts, so no partition holds a whole key: it is the
+    one before inside (key, chunk of ``chunk_seconds``), for a chunk's first command the
+    last one of the chunk before within the day, and for a day's first chunk that of the
+    day before.  Last commands are taken from the rows as they lie for the step below, so
+    the log is read and dealt out once."""
     us = epoch_micros("ts")
-    rows = commands.select("email", "coin", "op", "ts", "seq", F.floor(us / F.lit(day_seconds * 1_000_000)).alias("_d"),
-                           F.floor(us / F.lit(chunk_seconds * 1_000_000)).alias("_c"))
-    in_chunk = Window.partitionBy(*KEY, "_d", "_c").orderBy(F.col("ts").asc_nulls_last(), F.col("seq").asc_nulls_last())
-    lagged = rows.select("*", F.lag("op").over(in_chunk).alias("_prev"))
-
-    def running(level: str, *outer: str):
-        return Window.partitionBy(*KEY, *outer).orderBy(F.col(level).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    by_chunk = rows.groupBy(*KEY, "_d", "_c").agg(F.max_by("op", _order()).alias("_last"))
-    chunks = by_chunk.select(*KEY, "_d", "_c", F.last("_last").over(running("_c", "_d")).alias("_earlier_chunk"))
-    by_day = by_chunk.groupBy(*KEY, "_d").agg(F.max_by("_last", F.struct(F.col("_c").isNull(), "_c")).alias("_last"))
-    days = by_day.select(*KEY, "_d", F.last("_last").over(running("_d")).alias("_earlier_day"))
-    before = chunks.join(days, _same(chunks, days, [*KEY, "_d"]), "inner").select(
-        *[chunks[c] for c in (*KEY, "_d", "_c")], F.coalesce("_earlier_chunk", "_earlier_day").alias("_before"))
-    res = lagged.join(before, _same(lagged, before, [*KEY, "_d", "_c"]), "inner")
-    after_upsert = F.coalesce(F.col("_prev"), F.col("_before")) == "upsert"
-    outcome = (F.when(lagged["op"] == "upsert", F.when(after_upsert, "updated").otherwise("created"))
+
+    def part_of_time(seconds: int) -> F.Column:
+        return F.coalesce(F.floor(us / F.lit(seconds * 1_000_000)), F.lit(_NO_TIME))
+    rows = commands.select(F.struct(*KEY).alias("_k"), "op", "ts", "seq",
+                           part_of_time(day_seconds).alias("_d"), part_of_time(chunk_seconds).alias("_c"))
+
+    def before(df: DataFrame, op: str, found: str, keys: list[str], *order: F.Column) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        # nothing is computed from the operation below the exchange, so that both readers find the same one
+        return df.withColumns({found: F.lag(op).over(w), f"{found}_start": F.lag(F.lit(True)).over(w).isNull(), f"{found}_end": F.lead(F.lit(True)).over(w).isNull()})
+    placed = before(rows, "op", "_prev", ["_k", "_d", "_c"], F.col("ts").asc_nulls_last(), F.col("seq").asc_nulls_last())
+    chunks = before(placed.where("_prev_end").select("_k", "_d", "_c", F.col("op").alias("_last")), "_last", "_chunk", ["_k", "_d"], F.col("_c"))
+    days = before(chunks.where("_chunk_end").select("_k", "_d", "_last"), "_last", "_day", ["_k"], F.col("_d"))
+    # the keys are structs: a missing email or coin equals another missing one
+    earlier = chunks.join(days.select("_k", "_d", "_day"), ["_k", "_d"]).select("_k", "_d", "_c", F.when(F.col("_chunk_start"), F.col("_day")).otherwise(F.col("_chunk")).alias("_before"))
+    after_upsert = F.when(F.col("_prev_start"), F.col("_before")).otherwise(F.col("_prev")).eqNullSafe("upsert")
+    outcome = (F.when(F.col("op") == "upsert", F.when(after_upsert, "updated").otherwise("created"))
                .otherwise(F.when(after_upsert, "deleted").otherwise("noop")))
-    return res.select(*[lagged[c] for c in ("email", "coin", "op", "ts", "seq")], outcome.alias("outcome"))
+    return placed.join(earlier, ["_k", "_d", "_c"]).select("_k.*", "op", "ts", "seq", outcome.alias("outcome"))
 
 
 def normalise_command(form: DataFrame) -> DataFrame:

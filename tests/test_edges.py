@@ -71,6 +71,18 @@ def test_every_command_has_an_outcome(spark):
     assert {(r.email, r.coin) for r in K.apply_commands(log.where("seq is not null")).collect()} == {("e", "a")}
 
 
+def test_outcomes_read_and_deal_out_the_log_once(spark, tmp_dir):
+    rows = [(f"e{i % 7}", None if i % 5 == 0 else "a", None if i % 11 == 0 else "upsert" if i % 3 else "delete", 1.0, "rise", at(i * 3), i) for i in range(200)]
+    spark.createDataFrame(rows, SUBSCRIPTION_COMMAND).write.parquet(f"{tmp_dir}/log")
+    df = K.with_outcome(spark.read.schema(SUBSCRIPTION_COMMAND).parquet(f"{tmp_dir}/log"))
+    found, last = {r.seq: r.outcome for r in df.collect()}, {}
+    assert df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("FileScan parquet") == 1
+    for email, coin, op, _, _, _, seq in rows:
+        after = last.get((email, coin)) == "upsert"
+        assert found[seq] == (("updated" if after else "created") if op == "upsert" else "deleted" if after else "noop"), (seq, op)
+        last[email, coin] = op
+
+
 def test_replay_with_less_or_nothing(spark, tmp_dir):
     df = ticks_df(spark, [tick("a", i * 90_000, change=1.0, seq=i) for i in range(4)])
     for date_from in (None, "timestamp"):
