@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from marketpulse.functions.labels import (alert_body, alert_body_head, alert_body_tail, alert_subject, direction,
                                           effective_threshold, threshold_hit)
+from marketpulse.functions.time import epoch_micros
 
 
 # thresholds are dealt into bands of one per cent, the last one is open; 64 bands are the leaves of a tree of 7 levels
@@ -80,3 +81,23 @@ def render_alert(alerts: DataFrame) -> DataFrame:
 def alert_outbox(alerts: DataFrame) -> DataFrame:
     """K6: one notification row per alert, with rendered subject and body."""
     return render_alert(alerts.select("email", "coin", "direction", "change", "price", "threshold", "timestamp"))
+
+
+def with_alert_id(alerts: DataFrame) -> DataFrame:
+    """Delivery identity of K6: ``alert_id``, the SHA-256 of subscriber, coin, direction and
+    instant.  It comes from the alert alone, so a replayed batch, a restarted stream and a
+    backfill give the same alert the same id.  Missing parts count as parts of their own."""
+    def part(c: str) -> F.Column:
+        return F.coalesce(F.concat(F.char_length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-"))
+    at = F.coalesce(epoch_micros("timestamp").cast("string"), F.lit("-"))
+    return alerts.withColumn("alert_id", F.sha2(F.concat(part("email"), part("coin"), part("direction"), at), 256))
+
+
+def unsent(outbox: DataFrame, receipts: DataFrame) -> DataFrame:
+    """What a mailer still has to send: the alerts of ``outbox`` whose ``alert_id`` isn't in
+    ``receipts``, each once, also where the outbox has it repeatedly.  Both sides meet on the
+    id, which deals them out evenly; of rows that share an id and differ, the least one counts."""
+    rows = outbox if "alert_id" in outbox.columns else with_alert_id(outbox)
+    rest = [c for c in rows.columns if c != "alert_id"]
+    left = rows.join(receipts.select("alert_id"), "alert_id", "left_anti")
+    return left.groupBy("alert_id").agg(F.min(F.struct(*rest)).alias("_row")).select("_row.*", "alert_id")

@@ -294,6 +294,24 @@ def q_alert_outbox(spark, sf_dir):
     return J.match_alerts(T.cooldown(V.ticks(spark, sf_dir)), V.subscriptions(spark, sf_dir), render=True)
 
 
+RECEIPTS_UPTO = "2024-01-16 00:00:00"
+
+
+@register("alerts_unsent", f"""
+SELECT *, sha256(length(email) || ':' || email || length(coin) || ':' || coin || length(direction) || ':' || direction
+                 || CAST(epoch_us("timestamp") AS VARCHAR)) AS alert_id
+FROM ({OUTBOX_SQL}) WHERE "timestamp" >= TIMESTAMP '{RECEIPTS_UPTO}'""")
+def q_alerts_unsent(spark, sf_dir):
+    """What a mailer has to send after a replay wrote the outbox twice, when the alerts
+    before an instant have their receipts."""
+    path = f"{scratch_path(spark, 'outbox')}/alerts"
+    outbox = J.with_alert_id(J.match_alerts(T.cooldown(V.ticks(spark, sf_dir)), V.subscriptions(spark, sf_dir), render=True))
+    outbox.write.parquet(path)
+    written = spark.read.parquet(path)
+    receipts = written.where(F.col("timestamp") < F.lit(RECEIPTS_UPTO).cast("timestamp_ntz")).select("alert_id")
+    return J.unsent(written.unionByName(written), receipts)
+
+
 ORDER_SQL = "struct_pack(t := ts, s := seq)"
 STATE_SQL = f"""dl AS (SELECT email, coin, max({ORDER_SQL}) AS del_at FROM cmd WHERE op = 'delete' GROUP BY 1, 2),
 live AS (SELECT c.* FROM cmd c LEFT JOIN dl USING (email, coin)

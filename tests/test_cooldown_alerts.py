@@ -191,3 +191,19 @@ def test_rendering_lies_below_the_deal_to_cells(spark):
     plan = J.match_alerts(cooled, _subs(spark, [("x@e", "a", 1.0, "drop")]), render=True)._jdf.queryExecution().optimizedPlan().toString()
     tick_side = plan[plan.index("_head") if plan.index("_head") < plan.index("Generate") else 0:]
     assert "format_number" in tick_side[tick_side.index("Generate"):] and "format_number" not in tick_side[:tick_side.index("Generate")]
+
+
+def test_a_mailer_skips_what_it_has_sent(spark):
+    rows = [("e1", "a", "rise", 3.0, 1.0, 2.0, at(0)), ("e1", "a", "rise", 3.0, 1.0, 2.0, at(4000)), ("e2", "a", "rise", 3.0, 1.0, 2.0, at(0)),
+            (None, "a", "rise", 3.0, 1.0, 2.0, None), ("1", "1:b", "rise", 3.0, 1.0, 2.0, at(0)), ("11", ":b", "rise", 3.0, 1.0, 2.0, at(0))]
+    outbox = J.alert_outbox(spark.createDataFrame(rows, "email string, coin string, direction string, change double, price double, threshold double, timestamp timestamp_ntz"))
+    ids = {(r.email, r.timestamp): r.alert_id for r in J.with_alert_id(outbox).collect()}
+    assert len(set(ids.values())) == len(rows)
+    none = J.with_alert_id(outbox).where("false")
+    assert sorted(r.alert_id for r in J.unsent(outbox, none).collect()) == sorted(ids.values())
+    receipts = spark.createDataFrame([(ids["e1", at(0)],), (ids["e1", at(0)],), (None,)], "alert_id string")
+    repeated = outbox.unionByName(outbox).unionByName(outbox.withColumn("price", F.col("price") + 1))
+    got = J.unsent(repeated, receipts)
+    assert sorted(r.alert_id for r in got.collect()) == sorted(set(ids.values()) - {ids["e1", at(0)]})
+    assert got.columns == [*outbox.columns, "alert_id"] and {r.price for r in got.collect()} == {1.0}
+    assert J.unsent(outbox.where("false"), receipts).count() == 0
