@@ -56,6 +56,41 @@ def test_model_beats_the_base_on_held_out_documents(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.08 * sum(r.n_tokens for r in held)
 
 
+def test_scores_equal_token_by_token(spark, monkeypatch):
+    """The trained weights, read one token at a time: a softmax over the classes, and within
+    the other class the word's smoothed share."""
+    monkeypatch.setattr(lm, "HEAD", 300)  # so that some predicted words are in the head, and others' counts are joined
+    learned, train = [], lm.train
+    monkeypatch.setattr(lm, "train", lambda *a: learned.append(train(*a)) or learned[-1])
+    rows = [r for r in odd_rows() if r[1] != LONG] + corpus(200)
+    got = lm.scored(frame(spark, rows)).collect()
+    model, counts = learned[0], Counter()
+    for i, t, _ in rows:
+        if not is_held_out(i):
+            counts.update(tokens(t)[:-1])
+    ranked = sorted(counts, key=lambda w: (-counts[w], w))
+    classes = {w: 2 + at for at, w in enumerate(ranked[:lm.CLASSES - 2])} | {None: lm.END}
+    others = ranked[lm.CLASSES - 2:]
+    rest = sum(counts[w] for w in others) + len(others) + 1
+    assert len(others) > 300 - lm.CLASSES
+
+    def plain(text):
+        total, back = 0.0, [lm.END] * lm.ORDER
+        for w in tokens(text):
+            hidden = sum(model.read[c].astype(float) * model.place[i] for i, c in enumerate(back))
+            scores = [float(hidden @ model.write[k] + model.bias[k]) for k in range(lm.CLASSES)]
+            k = classes.get(w, lm.OTHER)
+            total += (scores[k] - math.log(sum(map(math.exp, scores)))) / math.log(10)
+            if k == lm.OTHER:
+                total += math.log10((counts[w] + 1) / rest)
+            back = [lm.CLASSES + zlib.crc32(w) % lm.HASHED if k == lm.OTHER else k, *back[:-1]]
+        return total
+
+    want = sorted(((repr(i), len(tokens(t)), plain(t)) for i, t, _ in rows))
+    for w, g in zip(want, sorted((repr(r.doc_id), r.n_tokens, r.score) for r in got), strict=True):
+        assert w[:2] == g[:2] and math.isclose(w[2], g[2], rel_tol=1e-4, abs_tol=1e-3), (w, g)
+
+
 def test_probabilities_sum_to_one():
     head = [(f"w{i}", 1000 - i) for i in range(400)]
     vocabulary = lm.Vocabulary(head, 50)

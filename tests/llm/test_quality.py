@@ -4,6 +4,7 @@ import re
 import zlib
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from marketpulse.llm.quality import STATISTICS, RuleEnsemble, keep_good, scored, tree_rules, with_statistics
@@ -47,6 +48,34 @@ def test_statistics_equal_brute_force(spark):
         assert math.isclose(r.stops, t.count(".") / n) and math.isclose(r.lines, t.count("\n") / n) and math.isclose(r.exclamations, t.count("!") / n)
 
 
+def plain_statistics(text):
+    """The statistics of a text, counted in Python."""
+    t = text or ""
+    words, parts = re.findall(r"[^\x20\x09-\x0D]+", t), [p for p in re.split(r"[.!?\n]+[\x20\x09-\x0D]*", t) if p]
+    n, n_words = len(t), len(words)
+
+    def share(part, of):
+        return part / of if of else 0.0
+    symbols = len(regex.sub(r"[\p{L}\p{N}\x20\x09-\x0D.,;:!?'\"()-]", "", t))
+    return (math.log1p(n), math.log1p(n_words), share(sum(map(len, words)), n_words), share(len(set(words)), n_words), share(len(set(parts)), len(parts)),
+            share(len(regex.findall(r"\p{L}", t)), n), share(len(regex.findall(r"\p{Lu}", t)), n), share(len(re.findall("[0-9]", t)), n), share(symbols, n),
+            share(t.count("!"), n), share(t.count("."), n), share(t.count("\n"), n), share(len(parts), n_words))
+
+
+def test_scores_equal_rules_held_by_hand(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{SF}/labels.parquet")
+    docs = docs.unionByName(frame(spark, odd_rows()).where("doc_id is not null and doc_id <> 9").select(F.col("doc_id") - 1000, "text").toDF("doc_id", "text"))
+    model = RuleEnsemble.fit(docs, labels)
+    assert len(model.weights) > 3
+    got = {r.doc_id: r.score for r in scored(docs, labels).collect()}
+    texts = docs.collect()
+    assert len(texts) == len(got) > 1000
+    for doc_id, text in texts:
+        x = plain_statistics(text)
+        odds = model.intercept + sum(w for rule, w in model.weights if all(low < x[f] <= high for f, low, high in rule))
+        assert math.isclose(got[doc_id], 1 / (1 + math.exp(-odds)), rel_tol=1e-9), doc_id
+
+
 def test_held_out_accuracy(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     rows = scored(docs, labels).join(labels, "doc_id").collect()
