@@ -3,8 +3,8 @@
 A text without its ASCII white space is cut into chunks whose ends depend on the
 content alone; a document's recipe is the ordered list of its chunks'
 identifiers. Documents are equal when their recipes are. An identifier is a
-64-bit hash that is verified: distinct chunks meet once, and a hash that two
-different chunks share is replaced by the chunk's text in every recipe. So long
+64-bit hash that is verified: distinct chunks meet once, and where different chunks
+share a hash, a recipe has the number of its chunk among them as well. So long
 texts move once, as distinct chunks; everything after that handles recipes.
 """
 
@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from marketpulse.llm.common import BLANK, n_points, stored, table, whole
 
-#: A chunk ends at the first sentence mark after 512 code points, or after 4096 code points.
-CHUNK = r"(?s).{512,4095}?[.!?]|.{1,4096}"
+#: A chunk ends at the first sentence mark after 512 code points; where there is none up to 2048, after the first
+#: doubled code point, so that text without such marks is cut by its content as well; or after 4096 code points.
+#: Marks at strictly regular distances are the exception: cuts that an insertion shifted may then never meet the old ones.
+CHUNK = r"(?s).{512,2047}?[.!?\u3002\uFF01\uFF1F]|.{512,4094}?(.)\1|.{1,4096}"
 
 
 def normalised(text: Column) -> Column:
@@ -30,22 +32,33 @@ def _identifier(chunk: Column, bits: int) -> Column:
     return F.xxhash64(chunk) if bits == 64 else F.xxhash64(chunk).bitwiseAND(F.lit((1 << bits) - 1))
 
 
-def clashing_identifiers(docs: DataFrame, bits: int = 64) -> list[int]:
-    """Hashes that two different chunks share. By the birthday bound some N**2 / 2**65
-    of N distinct chunks do: none up to billions, hundreds in 100 TB."""
+def _distinct_chunks(docs: DataFrame, bits: int) -> DataFrame:
     chunk = F.explode(chunks_of(normalised(F.col("text")))).alias("chunk")
-    distinct = docs.select(chunk).select(_identifier(F.col("chunk"), bits).alias("id"), "chunk").distinct()
-    shared = distinct.groupBy("id").count().where("count > 1")
-    return sorted(r["id"] for r in shared.select("id").collect())
+    return docs.select(chunk).select(_identifier(F.col("chunk"), bits).alias("id"), "chunk").distinct()
 
 
-def recipe(normal: Column, clashes: list[int], bits: int = 64) -> Column:
-    """Ordered verified identifiers: numbers, or texts where any hash clashes."""
-    if not clashes:
-        return F.transform(chunks_of(normal), lambda c: _identifier(c, bits))
-    bad = F.array(*map(F.lit, clashes))
-    return F.transform(chunks_of(normal), lambda c: F.when(F.array_contains(bad, _identifier(c, bits)), F.concat(F.lit("="), c)).otherwise(
-        F.concat(F.lit("#"), _identifier(c, bits).cast("string"))))
+def clashing_identifiers(docs: DataFrame, bits: int = 64) -> DataFrame:
+    """``id``: hashes that two different chunks share. By the birthday bound some
+    N**2 / 2**65 of N distinct chunks do: none up to billions, hundreds in 100 TB, but
+    any number in crafted text; so they stay a table."""
+    return _distinct_chunks(docs, bits).groupBy("id").count().where("count > 1").select("id")
+
+
+def recipe(normal: Column, bits: int = 64) -> Column:
+    """Ordered identifiers of a text's chunks."""
+    return F.transform(chunks_of(normal), lambda c: _identifier(c, bits))
+
+
+def _marks(docs: DataFrame, clashes: DataFrame, bits: int) -> DataFrame:
+    """Per text (``m_sha``) with clashing identifiers: ``marks``, their places and the
+    chunk's number among those that share the identifier."""
+    one_id = Window.partitionBy("id").orderBy("chunk")
+    numbered = _distinct_chunks(docs, bits).join(clashes, "id").withColumn("nth", F.row_number().over(one_id)).select(
+        F.col("id").alias("n_id"), F.col("chunk").alias("n_chunk"), "nth")
+    normal = docs.select(normalised(F.col("text")).alias("normal")).distinct()
+    places = normal.select(F.sha2("normal", 256).alias("m_sha"), F.posexplode(chunks_of(F.col("normal"))).alias("place", "chunk"))
+    found = places.join(numbered, (_identifier(F.col("chunk"), bits) == F.col("n_id")) & (F.col("chunk") == F.col("n_chunk")))
+    return found.groupBy("m_sha").agg(F.sort_array(F.collect_list(F.struct("place", "nth"))).alias("marks"))
 
 
 def exact_classes(docs: DataFrame, bits: int = 64) -> DataFrame:
@@ -59,15 +72,19 @@ def exact_classes(docs: DataFrame, bits: int = 64) -> DataFrame:
     than ``doc_id`` and ``text`` are not looked at. ``bits`` under 64 makes
     clashes likely, for tests."""
     docs = docs.select("doc_id", "text")
-    clashes = clashing_identifiers(docs, bits)
+    clashes = stored(clashing_identifiers(docs, bits), "clashes")
     normal = docs.select("doc_id", n_points(whole(F.col("text"))).alias("n_chars"), normalised(F.col("text")).alias("normal"))
     rows = stored(normal.select(
-        "doc_id", "n_chars", F.sha2("normal", 256).alias("text_sha256"), recipe(F.col("normal"), clashes, bits).alias("recipe"),
+        "doc_id", "n_chars", F.sha2("normal", 256).alias("text_sha256"), recipe(F.col("normal"), bits).alias("recipe"),
         F.monotonically_increasing_id().alias("row")), "recipes")
     # ~x turns the order of x round without overflow; null sorts below every value
     best = F.max(F.struct("n_chars", F.bitwise_not("doc_id").alias("last_id"), F.bitwise_not("row").alias("last_row")))
-    groups = stored(rows.groupBy("recipe").agg(F.count("*").alias("group_size"), best.alias("best")), "classes")
-    return rows.join(groups, "recipe").select(
+    key = ["recipe"]
+    if not clashes.isEmpty():
+        marked = rows.join(_marks(docs, clashes, bits), F.col("text_sha256") == F.col("m_sha"), "left").drop("m_sha")
+        rows, key = stored(marked.withColumn("marks", F.coalesce("marks", F.array().cast("array<struct<place:int,nth:int>>"))), "marked-recipes"), ["recipe", "marks"]
+    groups = stored(rows.groupBy(*key).agg(F.count("*").alias("group_size"), best.alias("best")), "classes")
+    return rows.join(groups, key).select(
         "doc_id", F.bitwise_not("best.last_id").alias("keep_id"), "group_size",
         (F.col("row") == F.bitwise_not("best.last_row")).alias("kept"), "text_sha256", "n_chars")
 

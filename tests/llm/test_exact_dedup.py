@@ -1,9 +1,11 @@
 import hashlib
+import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from marketpulse.llm.exact_dedup import drop_exact_copies, exact_classes
+from marketpulse.llm.exact_dedup import chunks_of, drop_exact_copies, exact_classes, normalised
 from tests.llm.odd import SCHEMA, frame, odd_rows
 
 ROWS = odd_rows() + [(30, "a" * 9000, "a"), (31, "a" * 4096 + " " + "a" * 4904, "a"), (32, "a" * 9001, "a")]
@@ -33,6 +35,22 @@ def test_classes_equal_brute_force(spark, bits):
     assert all(r.doc_id == r.keep_id for r in got if r.kept)
 
 
+def test_chunks_follow_the_content(spark):
+    """All chunks together are the text, and behind an insertion at its start most stay as they
+    were: with sentence marks, without any, and in another script."""
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choice("abcdefghij") for _ in range(60_000)), "".join(chr(0x4E00 + rnd.randrange(300)) for _ in range(60_000)),
+             "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") * rnd.choice([1, 1, 1, 2]) + ("." if rnd.random() < 0.01 else "") for _ in range(60_000)),
+             "".join(chr(0x3042 + i % 50) + ("\u3002" if rnd.random() < 0.01 else "") for i in range(60_000)), "ab" * 9000, "\n" + "x" * 5000, ""]
+    rows = [(2 * i + j, (["", "inserted,"][j] + t)) for i, t in enumerate(texts) for j in (0, 1)]
+    got = {r.doc_id: (r.n, r.c) for r in spark.createDataFrame(rows, "doc_id long, text string").select(
+        "doc_id", normalised(F.col("text")).alias("n"), chunks_of(normalised(F.col("text"))).alias("c")).collect()}
+    assert all("".join(c) == n and all(len(x) <= 4096 for x in c) for n, c in got.values())
+    for i in range(4):
+        (_, a), (_, b) = got[2 * i], got[2 * i + 1]
+        assert len(a) > 10 and len(set(a) & set(b)) >= 0.7 * len(a), (i, len(a), len(set(a) & set(b)))
+
+
 def test_filter_keeps_one_row_of_each_class_with_all_columns(spark):
     docs = frame(spark, ROWS)
     kept = drop_exact_copies(docs)
