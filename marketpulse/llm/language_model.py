@@ -1,14 +1,20 @@
 """Scores of a log-bilinear language model next to a unigram base.
 
-Word counts come from all training documents. The most frequent words, the end
-and one class for all other words are what a log-bilinear network predicts
-from the words before: the sum of their vectors, weighed by position, times an
-output vector for each class. It is trained in numpy inside Spark tasks by
-noise-contrastive estimation: in every round each task runs over its part of the
-training documents from the same start, and the weights are averaged by tokens.
-Scoring normalises over all classes in batched matrix products; a word of the
-other class gets its share of smoothed counts on top, so probabilities of all
-words, known or not, sum to one.
+Word counts come from all training documents. The end, every word with at least
+``LEAST`` training occurrences and one unit for all other words are what a
+log-bilinear network predicts from the words before: the sum of their vectors,
+weighed by position, times an output vector for each unit. So the predicted
+vocabulary grows with the corpus, up to ``PREDICTED`` words. The network is trained
+in numpy inside Spark tasks by noise-contrastive estimation: in every round each
+task runs over its part of the training documents from the same start, and the
+weights are averaged by tokens.
+
+Scoring normalises in two steps of batched matrix products. The most frequent
+units are classes of their own, the others are dealt by frequency into classes of
+like mass. A class is predicted by its units' mean vector, weighed by their
+biases (the sum of their exponentials to first order), and a unit within its class
+by a softmax over the class. A word of the other unit gets its share of smoothed
+counts on top, so probabilities of all words, known or not, sum to one.
 """
 
 from __future__ import annotations
@@ -26,15 +32,22 @@ from marketpulse.llm.common import stored, table, whole
 FOLDS, HELD_OUT = 7, 2
 #: At most so many words' counts are held by every task; the counts of the others are joined.
 HEAD = 65_536
-#: Classes that are predicted: 0 the end, 1 any other word, then the most frequent words
-CLASSES, END, OTHER = 128, 0, 1
+#: Words with so many training occurrences are predicted, the most frequent ones up to a bound on the weights
+LEAST, PREDICTED = 32, 16384
+#: Units that are predicted: 0 the end, 1 any other word, then the words by falling count
+END, OTHER = 0, 1
+#: Units that are a class of their own, and classes of the others
+SINGLE, BINS = 64, 128
 #: Vectors by hash for the words that are read but not predicted
 HASHED = 384
 ORDER, WIDTH = 3, 16
 NOISE, BATCH, RATE, SEED = 32, 512, 0.3, 11
+#: Rows that are normalised at once over classes, and within classes
+STEP, SPAN = 4096, 1 << 16
+#: Weights in a row of a task's answer
+PIECE = 4096
 #: Sixteenths of the training documents that each round covers, together all
 ROUNDS = (range(0, 1), range(1, 4), range(4, 16))
-_SIZES = {"read": (CLASSES + HASHED, WIDTH), "place": (ORDER, WIDTH), "write": (CLASSES, WIDTH), "bias": (CLASSES,)}
 #: A-Z to lower case, white space to spaces
 FOLDED = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz     ")
 
@@ -63,6 +76,11 @@ def most_frequent(counts: DataFrame) -> list[tuple[str, int]]:
     return sorted(((r["word"], r["c"]) for r in words), key=lambda wc: (-wc[1], wc[0]))
 
 
+def units_of(head: list[tuple[str, int]]) -> int:
+    """How many units are predicted for words by falling count."""
+    return 2 + sum(c >= LEAST for _, c in head[:PREDICTED])
+
+
 class Vocabulary(dict):
     """Head words (bytes) to their place in the arrays; others to -1 - hash."""
 
@@ -70,11 +88,11 @@ class Vocabulary(dict):
         super().__init__((w.encode(), i) for i, (w, _) in enumerate(head))
         self.log_count = np.log10(np.array([c + 1 for _, c in head], np.float64))
         self.log_end = float(np.log10(n_ends + 1))
-        n_short = min(len(head), CLASSES - 2)
-        self.class_of = np.full(len(head), OTHER, np.int64)
-        self.class_of[:n_short] = np.arange(2, n_short + 2)
-        hashed = np.array([CLASSES + zlib.crc32(w) % HASHED for w in self], np.int64)
-        self.read_as = np.where(self.class_of == OTHER, hashed, self.class_of) if len(head) else hashed
+        self.units = units_of(head)
+        self.unit_of = np.full(len(head), OTHER, np.int64)
+        self.unit_of[:self.units - 2] = np.arange(2, self.units)
+        hashed = np.array([self.units + zlib.crc32(w) % HASHED for w in self], np.int64)
+        self.read_as = np.where(self.unit_of == OTHER, hashed, self.unit_of)
 
     def __missing__(self, word: bytes) -> int:
         return -1 - zlib.crc32(word) % HASHED
@@ -86,84 +104,145 @@ def tokens_of(vocabulary: Vocabulary, texts: list[str | None]) -> tuple[list[lis
 
 
 def contexts_of(vocabulary: Vocabulary, codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The ``ORDER`` inputs before every token (row i: i + 1 back) and its class, of
+    """The ``ORDER`` inputs before every token (row i: i + 1 back) and its unit, of
     all texts one after another, each closed by the end. Before a text the end is read."""
     flat = np.concatenate([np.concatenate([c, np.full(ORDER, len(vocabulary))]) for c in codes])  # the end, and room to look back
     read = np.append(vocabulary.read_as, END)
-    write = np.append(vocabulary.class_of, END)
-    inputs = np.where(flat < 0, CLASSES - 1 - flat, read[np.maximum(flat, 0)])
-    classes = np.where(flat < 0, OTHER, write[np.maximum(flat, 0)])
+    write = np.append(vocabulary.unit_of, END)
+    inputs = np.where(flat < 0, vocabulary.units - 1 - flat, read[np.maximum(flat, 0)])
+    units = np.where(flat < 0, OTHER, write[np.maximum(flat, 0)])
     inputs = np.concatenate([np.full(ORDER, END), inputs])
     at = np.concatenate([np.arange(len(c) + 1) + start for c, start in zip(codes, np.cumsum([0] + [len(c) + ORDER for c in codes]))])
-    return np.stack([inputs[at + ORDER - 1 - i] for i in range(ORDER)]), classes[at]
+    return np.stack([inputs[at + ORDER - 1 - i] for i in range(ORDER)]), units[at]
 
 
 class LogBilinear:
     """Weights as one vector, with views of its parts."""
 
-    def __init__(self, weights: np.ndarray):
-        self.weights, at = np.asarray(weights, np.float32), 0
-        for name, shape in _SIZES.items():
+    def __init__(self, weights: np.ndarray, units: int):
+        self.weights, self.units, at = np.asarray(weights, np.float32), units, 0
+        for name, shape in self.sizes(units).items():
             n = int(np.prod(shape))
             setattr(self, name, self.weights[at:at + n].reshape(shape))
             at += n
 
+    @staticmethod
+    def sizes(units: int) -> dict[str, tuple[int, ...]]:
+        return {"read": (units + HASHED, WIDTH), "place": (ORDER, WIDTH), "write": (units, WIDTH), "bias": (units,)}
+
     @classmethod
     def start(cls, log_share: np.ndarray) -> LogBilinear:
-        rng = np.random.default_rng(SEED)
-        model = cls(np.zeros(sum(int(np.prod(s)) for s in _SIZES.values()), np.float32))
-        model.read[:] = rng.normal(0, 0.1, _SIZES["read"])
-        model.write[:] = rng.normal(0, 0.1, _SIZES["write"])
+        rng, sizes = np.random.default_rng(SEED), cls.sizes(len(log_share))
+        model = cls(np.zeros(sum(int(np.prod(s)) for s in sizes.values()), np.float32), len(log_share))
+        model.read[:] = rng.normal(0, 0.1, sizes["read"])
+        model.write[:] = rng.normal(0, 0.1, sizes["write"])
         model.place[:] = 1
         model.bias[:] = log_share
         return model
 
     def hidden(self, contexts: np.ndarray) -> np.ndarray:
-        out = (self.read * self.place[0])[contexts[0]]
+        out = self.read[contexts[0]] * self.place[0]
         for place, c in zip(self.place[1:], contexts[1:]):
-            out += (self.read * place)[c]
+            out += self.read[c] * place
         return out
 
-    def log10_probabilities(self, contexts: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        out, ones = np.empty(len(classes)), np.ones(CLASSES, np.float32)
-        write = np.ascontiguousarray(self.write.T)
-        for at in range(0, len(classes), 4096):
-            scores = self.hidden(contexts[:, at:at + 4096]) @ write
-            scores += self.bias
-            np.clip(scores, -80, 80, out=scores)  # within the exponentials of a float32
-            chosen = scores[np.arange(len(scores)), classes[at:at + 4096]]
-            np.exp(scores, out=scores)
-            out[at:at + 4096] = chosen - np.log(scores @ ones)
-        return out / np.log(10)
-
-    def learn(self, contexts: np.ndarray, classes: np.ndarray, log_noise: np.ndarray, rng: np.random.Generator, squares: np.ndarray) -> None:
-        """One pass of noise-contrastive estimation with Adagrad; a batch shares its noise."""
-        noise_share = np.exp(log_noise.astype(np.float64))
-        noise_share /= noise_share.sum()
-        order = rng.permutation(len(classes))
-        step = np.zeros_like(self.weights)
-        parts = LogBilinear(step)
-        lane = np.arange(WIDTH)
+    def learn(self, contexts: np.ndarray, units: np.ndarray, log_noise: np.ndarray, rng: np.random.Generator, squares: LogBilinear) -> None:
+        """One pass of noise-contrastive estimation with Adagrad, whose sums of squares are
+        ``squares``; a batch shares its noise and alters the vectors that it meets."""
+        upto = np.cumsum(np.exp(log_noise.astype(np.float64)))
+        order = rng.permutation(len(units))
+        offset = (self.bias - log_noise - np.log(NOISE)).astype(np.float32)  # alters with the bias
         for at in range(0, len(order), BATCH):
             pick = order[at:at + BATCH]
-            ctx, true = contexts[:, pick], classes[pick]
-            noise = rng.choice(CLASSES, NOISE, p=noise_share)
-            hidden = self.hidden(ctx)
-            odds = (hidden * self.write[true]).sum(axis=1) + self.bias[true] - log_noise[true] - np.log(NOISE)
-            off = hidden @ self.write[noise].T + self.bias[noise] - log_noise[noise] - np.log(NOISE)
+            ctx, true = contexts[:, pick], units[pick]
+            noise = np.minimum(np.searchsorted(upto, rng.random(NOISE) * upto[-1], side="right"), self.units - 1)
+            hidden, written, noised = self.hidden(ctx), self.write[true], self.write[noise]
+            odds = np.einsum("ij,ij->i", hidden, written) + offset[true]
+            off = hidden @ noised.T + offset[noise]
             g_true = 1 / (1 + np.exp(np.clip(odds, -30, 30)))
             g_noise = -1 / (1 + np.exp(np.clip(-off, -30, 30)))
-            back = g_true[:, None] * self.write[true] + g_noise @ self.write[noise]
-            flat = (true[:, None] * WIDTH + lane).ravel()
-            parts.write[:] = np.bincount(flat, (g_true[:, None] * hidden).ravel(), CLASSES * WIDTH).reshape(parts.write.shape)
-            np.add.at(parts.write, noise, g_noise.T @ hidden)
-            parts.bias[:] = np.bincount(true, g_true, CLASSES) + np.bincount(noise, g_noise.sum(axis=0), CLASSES)
-            flat = (ctx[:, :, None] * WIDTH + lane).ravel()
-            parts.read[:] = np.bincount(flat, (back[None] * self.place[:, None]).ravel(), parts.read.size).reshape(parts.read.shape)
-            parts.place[:] = [(back * self.read[c]).sum(axis=0) for c in ctx]
-            step /= len(pick)
-            squares += step * step
-            self.weights += RATE * step / np.sqrt(squares)
+            back = g_true[:, None] * written + g_noise @ noised
+            places = np.stack([(back * self.read[c]).sum(axis=0) for c in ctx]) / len(pick)
+            rows, slots = _met(ctx, len(self.read))
+            read = _summed(slots.ravel(), (back[None] * self.place[:, None]).reshape(-1, WIDTH), len(rows)) / len(pick)
+            _climb(self.read, squares.read, rows, read)
+            rows, slots = _met(np.concatenate([true, noise]), self.units)
+            write = _summed(slots, np.concatenate([g_true[:, None] * hidden, g_noise.T @ hidden]), len(rows)) / len(pick)
+            bias = np.bincount(slots, np.concatenate([g_true, g_noise.sum(axis=0)]), len(rows)) / len(pick)
+            _climb(self.write, squares.write, rows, write)
+            _climb(self.bias, squares.bias, rows, bias)
+            offset[rows] = self.bias[rows] - log_noise[rows] - np.float32(np.log(NOISE))
+            _climb(self.place, squares.place, slice(None), places)
+
+
+def _met(units: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The units that occur, ascending, and for every occurrence its place among them."""
+    there = np.zeros(n, bool)
+    there[units] = True
+    return np.flatnonzero(there), (np.cumsum(there) - 1)[units]
+
+
+def _summed(slots: np.ndarray, vectors: np.ndarray, n: int) -> np.ndarray:
+    flat = (slots[:, None] * WIDTH + np.arange(WIDTH)).ravel()
+    return np.bincount(flat, vectors.ravel(), n * WIDTH).reshape(n, WIDTH)
+
+
+def _climb(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray | slice, step: np.ndarray) -> None:
+    step = step.astype(np.float32)
+    total = squares[rows] + step * step
+    squares[rows] = total
+    weights[rows] += np.float32(RATE) * step / np.sqrt(total)
+
+
+def class_starts(log_share: np.ndarray) -> np.ndarray:
+    """First unit of every class: ``SINGLE`` units alone, the others in ``BINS`` runs of like mass."""
+    single = np.arange(min(SINGLE, len(log_share)))
+    rest = np.cumsum(np.exp(log_share[SINGLE:].astype(np.float64)))
+    if not len(rest):
+        return single
+    cuts = np.searchsorted(rest, rest[-1] * np.arange(BINS) / BINS)
+    return np.concatenate([single, SINGLE + np.unique(cuts)])
+
+
+class TwoSteps:
+    """Log probabilities of a model: of a unit's class, and of the unit within it."""
+
+    def __init__(self, model: LogBilinear, first: np.ndarray):
+        self.model, self.first = model, first
+        self.after = np.append(first[1:], model.units)
+        self.class_of = np.repeat(np.arange(len(first)), self.after - first)
+        bias = model.bias.astype(np.float64)
+        top = np.maximum.reduceat(bias, first)
+        mass = np.exp(bias - top[self.class_of])
+        total = np.add.reduceat(mass, first)
+        self.bias = (top + np.log(total)).astype(np.float32)
+        mean = np.add.reduceat(mass[:, None] * model.write, first, axis=0) / total[:, None]
+        self.write = np.ascontiguousarray(mean.T.astype(np.float32))
+        self.inside = [np.ascontiguousarray(model.write[a:b].T) for a, b in zip(first, self.after)]
+
+    @staticmethod
+    def _chosen(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
+        np.clip(scores, -80, 80, out=scores)  # within the exponentials of a float32
+        chosen = scores[np.arange(len(scores)), at]
+        np.exp(scores, out=scores)
+        return chosen - np.log(scores @ np.ones(scores.shape[1], np.float32))
+
+    def log10_probabilities(self, contexts: np.ndarray, units: np.ndarray) -> np.ndarray:
+        out = np.empty(len(units))
+        for start in range(0, len(units), SPAN):
+            own = units[start:start + SPAN]
+            hidden, classes, logs = self.model.hidden(contexts[:, start:start + SPAN]), self.class_of[own], out[start:start + SPAN]
+            for at in range(0, len(own), STEP):
+                rows = slice(at, at + STEP)
+                logs[rows] = self._chosen(hidden[rows] @ self.write + self.bias, classes[rows])
+            by_class = np.argsort(classes, kind="stable")
+            ends = np.searchsorted(classes, np.arange(len(self.first) + 1), sorter=by_class)
+            for c in np.flatnonzero((np.diff(ends) > 0) & (self.after - self.first > 1)):
+                first, after = self.first[c], self.after[c]
+                for at in range(ends[c], ends[c + 1], STEP):
+                    rows = by_class[at:min(at + STEP, ends[c + 1])]
+                    logs[rows] += self._chosen(hidden[rows] @ self.inside[c] + self.model.bias[first:after], own[rows] - first)
+        return out / np.log(10)
 
 
 def _batches(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[list[list]]:
@@ -173,8 +252,8 @@ def _batches(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[lis
 
 
 def train(docs: DataFrame, vocabulary: Vocabulary, log_share: np.ndarray) -> LogBilinear:
-    """Over all of ``docs``, each document in one of the rounds. What comes back to
-    the driver is one average for each weight."""
+    """Over all of ``docs``, each document in one of the rounds. Tasks answer in rows of
+    ``PIECE`` weights, and what comes back to the driver is one average for each weight."""
     sc = docs.sparkSession.sparkContext
     known = sc.broadcast(vocabulary)
     model = LogBilinear.start(log_share)
@@ -183,23 +262,30 @@ def train(docs: DataFrame, vocabulary: Vocabulary, log_share: np.ndarray) -> Log
         begin = sc.broadcast(model.weights)
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = LogBilinear(begin.value.copy())
-            squares, n = np.full_like(own.weights, 1e-3), 0
+            own = LogBilinear(begin.value.copy(), len(log_share))
+            squares, n = LogBilinear(np.full_like(own.weights, 1e-3), own.units), 0
             rng = np.random.default_rng([SEED, round_no])
             for (texts,) in _batches(batches):
-                contexts, classes = contexts_of(known.value, tokens_of(known.value, texts)[1])
-                own.learn(contexts, classes, log_share, rng, squares)
-                n += len(classes)
+                contexts, units = contexts_of(known.value, tokens_of(known.value, texts)[1])
+                own.learn(contexts, units, log_share, rng, squares)
+                n += len(units)
             if n:
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(own.weights))), pa.array(own.weights.astype(np.float64) * n), pa.array(np.full(len(own.weights), n))],
-                                                 ["i", "x", "n"])
-
-        part = docs.where((sixteenth >= share.start) & (sixteenth < share.stop)).select("text").mapInArrow(learn, "i long, x double, n long")
-        averages = part.groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).collect()
+                pieces = [own.weights[at:at + PIECE].tobytes() for at in range(0, len(own.weights), PIECE)]
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.binary()), pa.array([n] * len(pieces), pa.int64())],
+                                                 ["piece", "weights", "n"])
+
+        def average(rows: pa.Table) -> pa.Table:
+            n, total = 0, 0.0
+            for weights, own in zip(rows["weights"], rows["n"].to_pylist()):
+                total = total + np.frombuffer(weights.as_buffer(), np.float32).astype(np.float64) * own
+                n += own
+            return pa.table({"piece": rows["piece"].slice(0, 1), "weights": pa.array([(total / n).astype(np.float32).tobytes()], pa.binary())})
+
+        part = docs.where((sixteenth >= share.start) & (sixteenth < share.stop)).select("text").mapInArrow(learn, "piece int, weights binary, n long")
+        averages = part.groupBy("piece").applyInArrow(average, "piece int, weights binary").collect()
         if averages:
-            weights = np.empty(len(model.weights), np.float32)
-            weights[[r["i"] for r in averages]] = [r["x"] for r in averages]
-            model = LogBilinear(weights)
+            weights = b"".join(bytes(r["weights"]) for r in sorted(averages, key=lambda r: r["piece"]))
+            model = LogBilinear(np.frombuffer(weights, np.float32), len(log_share))
     return model
 
 
@@ -219,29 +305,28 @@ def scored(docs: DataFrame) -> DataFrame:
     total, types = n_words + n_docs, n_types + (n_docs > 0)
     head = most_frequent(counts)
     vocabulary = Vocabulary(head, n_docs)
-    short = [c for _, c in head[:CLASSES - 2]]
-    other = n_words - sum(short)
-    share = np.full(CLASSES, 1.0)
-    share[END], share[OTHER] = n_docs + 1, other + (n_types - len(short)) + 1
-    share[2:2 + len(short)] += short
+    predicted = [c for _, c in head[:vocabulary.units - 2]]
+    other = n_words - sum(predicted) + n_types - len(predicted) + 1  # smoothed, and one unknown
+    share = np.array([n_docs + 1, other, *predicted], np.float64)
     log_share = np.log(share / share.sum()).astype(np.float32)
     model = train(learned, vocabulary, log_share)
-    log_rest = float(np.log10(other + (n_types - len(short)) + 1))
+    first, log_rest = class_starts(log_share), float(np.log10(other))
     sc = docs.sparkSession.sparkContext
     known, weights = sc.broadcast(vocabulary), sc.broadcast(model.weights)
     shape = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double, tail array<struct<word: string, n: long>>"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, vocab = LogBilinear(weights.value), known.value
+        vocab = known.value
+        own = TwoSteps(LogBilinear(weights.value, vocab.units), first)
         log_count = np.append(vocab.log_count, vocab.log_end)
         for ids, texts, outs in _batches(batches):
             words, codes = tokens_of(vocab, texts)
-            contexts, classes = contexts_of(vocab, codes)
+            contexts, units = contexts_of(vocab, codes)
             lengths = np.array([len(c) + 1 for c in codes])
             starts = np.cumsum(lengths) - lengths
             flat = np.concatenate([np.append(c, len(vocab)) for c in codes])
             logs = np.where(flat < 0, 0.0, log_count[np.maximum(flat, 0)])
-            likely = own.log10_probabilities(contexts, classes) + (classes == OTHER) * (logs - log_rest)
+            likely = own.log10_probabilities(contexts, units) + (units == OTHER) * (logs - log_rest)
             tails = [Counter(w[i].decode("utf-8", "surrogatepass") for i in np.flatnonzero(c < 0)) for w, c in zip(words, codes)]
             n_known = np.add.reduceat(flat >= 0, starts) if vocab.log_end or len(vocab) else np.zeros(len(ids), np.int64)
             yield pa.RecordBatch.from_arrays([

@@ -57,33 +57,60 @@ def test_model_beats_the_base_on_held_out_documents(spark):
 
 
 def test_scores_equal_token_by_token(spark, monkeypatch):
-    """The trained weights, read one token at a time: a softmax over the classes, and within
-    the other class the word's smoothed share."""
+    """The trained weights, read one token at a time: a softmax over the classes, one over the
+    units of the class, and within the other unit the word's smoothed share."""
     monkeypatch.setattr(lm, "HEAD", 300)  # so that some predicted words are in the head, and others' counts are joined
+    monkeypatch.setattr(lm, "PREDICTED", 200)
+    monkeypatch.setattr(lm, "LEAST", 8)
+    monkeypatch.setattr(lm, "SINGLE", 30)
+    monkeypatch.setattr(lm, "BINS", 9)
     learned, train = [], lm.train
     monkeypatch.setattr(lm, "train", lambda *a: learned.append(train(*a)) or learned[-1])
     rows = [r for r in odd_rows() if r[1] != LONG] + corpus(200)
     got = lm.scored(frame(spark, rows)).collect()
-    model, counts = learned[0], Counter()
+    model, counts, n_docs = learned[0], Counter(), 0
     for i, t, _ in rows:
         if not is_held_out(i):
             counts.update(tokens(t)[:-1])
+            n_docs += 1
     ranked = sorted(counts, key=lambda w: (-counts[w], w))
-    classes = {w: 2 + at for at, w in enumerate(ranked[:lm.CLASSES - 2])} | {None: lm.END}
-    others = ranked[lm.CLASSES - 2:]
+    assert counts[ranked[199]] >= 8
+    units = {w: 2 + at for at, w in enumerate(ranked[:200])} | {None: lm.END}
+    others = ranked[200:]
     rest = sum(counts[w] for w in others) + len(others) + 1
-    assert len(others) > 300 - lm.CLASSES
+    assert len(others) > 100 and model.units == 202
+
+    # units alone, then runs that reach the next ninth of what is left
+    mass = [n_docs + 1, rest, *[counts[w] for w in ranked[:200]]]
+    members, upto = [[u] for u in range(30)], 0
+    for u in range(30, 202):
+        bin_no = math.ceil(9 * (upto := upto + mass[u]) / sum(mass[30:])) - 1
+        before = math.ceil(9 * (upto - mass[u]) / sum(mass[30:])) - 1
+        if u == 30 or any(before < k <= bin_no and 9 * upto >= k * sum(mass[30:]) for k in range(1, 9)):
+            members.append([])
+        members[-1].append(u)
+    assert 30 < len(members) <= 39 and max(map(len, members)) > 5
+    home = {u: c for c, us in enumerate(members) for u in us}
+    vectors = []
+    for us in members:
+        weight = [math.exp(model.bias[u]) for u in us]
+        vectors.append((sum(x * model.write[u].astype(float) for x, u in zip(weight, us)) / sum(weight), math.log(sum(weight))))
+
+    def log_softmax(scores, at):
+        return scores[at] - math.log(sum(map(math.exp, scores)))
 
     def plain(text):
         total, back = 0.0, [lm.END] * lm.ORDER
         for w in tokens(text):
             hidden = sum(model.read[c].astype(float) * model.place[i] for i, c in enumerate(back))
-            scores = [float(hidden @ model.write[k] + model.bias[k]) for k in range(lm.CLASSES)]
-            k = classes.get(w, lm.OTHER)
-            total += (scores[k] - math.log(sum(map(math.exp, scores)))) / math.log(10)
-            if k == lm.OTHER:
+            u = units.get(w, lm.OTHER)
+            us = members[home[u]]
+            nats = log_softmax([float(hidden @ v) + b for v, b in vectors], home[u])
+            nats += log_softmax([float(hidden @ model.write[x] + model.bias[x]) for x in us], us.index(u))
+            total += nats / math.log(10)
+            if u == lm.OTHER:
                 total += math.log10((counts[w] + 1) / rest)
-            back = [lm.CLASSES + zlib.crc32(w) % lm.HASHED if k == lm.OTHER else k, *back[:-1]]
+            back = [model.units + zlib.crc32(w) % lm.HASHED if u == lm.OTHER else u, *back[:-1]]
         return total
 
     want = sorted(((repr(i), len(tokens(t)), plain(t)) for i, t, _ in rows))
@@ -92,21 +119,69 @@ def test_scores_equal_token_by_token(spark, monkeypatch):
 
 
 def test_probabilities_sum_to_one():
-    head = [(f"w{i}", 1000 - i) for i in range(400)]
+    head = [(f"w{i}", 1000 - 2 * i) for i in range(499)]
     vocabulary = lm.Vocabulary(head, 50)
+    assert vocabulary.units == 2 + 485 == lm.units_of(head)  # the last with 32 occurrences
+    share = np.array([51, 200, *[c for _, c in head[:485]]], float)
+    log_share = np.log(share / share.sum()).astype(np.float32)
     rng = np.random.default_rng(0)
-    model = lm.LogBilinear.start(np.log(np.full(lm.CLASSES, 1 / lm.CLASSES)))
-    model.read[:] = rng.normal(0, 1, model.read.shape)
-    words, codes = lm.tokens_of(vocabulary, ["w3 w9 w4 nope", None, "W1"])
-    contexts, classes = lm.contexts_of(vocabulary, codes)
-    assert classes.tolist() == [5, 11, 6, lm.OTHER, lm.END, lm.END, 3, lm.END]
-    assert contexts[:, 0].tolist() == [lm.END] * 3 and contexts[:, 3].tolist() == [6, 11, 5] and contexts[:, 5].tolist() == [lm.END] * 3
-    total = sum(10 ** model.log10_probabilities(contexts, np.full(len(classes), c)) for c in range(lm.CLASSES))
-    assert np.allclose(total, 1, atol=1e-5)
-    # within the other class: smoothed counts of its words and one unknown
-    rest = head[lm.CLASSES - 2:]
-    z = sum(c for _, c in rest) + len(rest) + 1
-    assert math.isclose(sum((c + 1) / z for _, c in rest) + 1 / z, 1)
+    model = lm.LogBilinear.start(log_share)
+    model.read[:], model.write[:] = rng.normal(0, 1, model.read.shape), rng.normal(0, 0.5, model.write.shape)
+    words, codes = lm.tokens_of(vocabulary, ["w3 w9 w4 nope w490", None, "W1"])
+    contexts, units = lm.contexts_of(vocabulary, codes)
+    assert units.tolist() == [5, 11, 6, lm.OTHER, lm.OTHER, lm.END, lm.END, 3, lm.END]
+    assert contexts[:, 0].tolist() == [lm.END] * 3 and contexts[:, 3].tolist() == [6, 11, 5] and contexts[:, 6].tolist() == [lm.END] * 3
+    steps = lm.TwoSteps(model, lm.class_starts(log_share))
+    total = sum(10 ** steps.log10_probabilities(contexts, np.full(len(units), u)) for u in range(vocabulary.units))
+    assert np.allclose(total, 1, atol=1e-4)
+
+
+def test_classes_cover_all_units_with_like_mass():
+    for n in (2, 3, lm.SINGLE, lm.SINGLE + 1, lm.SINGLE + 5, 1000, lm.PREDICTED + 2):
+        share = 1 / np.arange(1, n + 1)
+        first = lm.class_starts(np.log(share / share.sum()).astype(np.float32))
+        assert first[0] == 0 and (np.diff(first) > 0).all() and first[-1] < n and len(first) <= lm.SINGLE + lm.BINS
+        assert n > lm.SINGLE or len(first) == n
+        mass = np.add.reduceat(share, first)[lm.SINGLE:]
+        assert n < 1000 or mass.max() < 2 * share[lm.SINGLE:].sum() / lm.BINS + share[lm.SINGLE]
+
+
+def test_predicted_words_grow_with_the_corpus():
+    """The words that are predicted, and what they gain, grow with the training documents."""
+    units = [lm.units_of(sorted(((w, c * n) for w, c in (("a", 40), ("b", 20), ("c", 9), ("d", 1))), key=lambda x: -x[1])) for n in (1, 2, 4, 32)]
+    assert units == [3, 4, 5, 6]
+    assert lm.units_of([(str(i), 99) for i in range(lm.PREDICTED + 50)]) == lm.PREDICTED + 2 and lm.units_of([]) == 2
+
+
+def test_sparse_updates_equal_dense_ones():
+    """One batch against the gradient of every weight written out."""
+    rng = np.random.default_rng(1)
+    log_share = np.log(np.full(40, 1 / 40)).astype(np.float32)
+    model = lm.LogBilinear.start(log_share)
+    before = lm.LogBilinear(model.weights.copy(), 40)
+    contexts, units = rng.integers(0, 40 + lm.HASHED, (lm.ORDER, 90)), rng.integers(0, 40, 90)
+    squares = lm.LogBilinear(np.full_like(model.weights, 1e-3), 40)
+    seeded = np.random.default_rng(5)
+    seeded.permutation(90)
+    upto = np.cumsum(np.exp(log_share.astype(np.float64)))
+    noise = np.minimum(np.searchsorted(upto, seeded.random(lm.NOISE) * upto[-1], side="right"), 39)
+    model.learn(contexts, units, log_share, np.random.default_rng(5), squares)
+    step = lm.LogBilinear(np.zeros_like(before.weights), 40)
+    for i in range(90):
+        read = [before.read[c] for c in contexts[:, i]]
+        hidden = sum(r * p for r, p in zip(read, before.place))
+        back = np.zeros(lm.WIDTH)
+        for u, real in [(units[i], True), *[(u, False) for u in noise]]:
+            odds = hidden @ before.write[u] + before.bias[u] - log_share[u] - math.log(lm.NOISE)
+            g = (real - 1 / (1 + math.exp(-odds))) / 90
+            step.write[u] += g * hidden
+            step.bias[u] += g
+            back += g * before.write[u]
+        for place, c in enumerate(contexts[:, i]):
+            step.read[c] += back * before.place[place]
+            step.place[place] += back * read[place]
+    want = before.weights + lm.RATE * step.weights / np.sqrt(1e-3 + step.weights ** 2)
+    assert np.allclose(model.weights, want, atol=2e-4)
 
 
 def test_nothing_to_learn_from(spark):
