@@ -3,8 +3,9 @@
 The tick side of J1 is the *cooled* tick set (at most one row per coin per
 cooldown window), the subscription side may hold millions of rows keyed by
 only a handful of coins.  The cooldown writes the cooled ticks, so the planner
-sees their real size and broadcasts them while they are small: the
-subscription table is scanned in place without a shuffle.  For a long
+sees their real size and broadcasts them while they are small.  A subscription
+gives hundreds of alerts, so a compact file of them, which one task scans, is dealt
+out over all tasks before it meets the ticks.  For a long
 backfill the join falls back to a shuffle join whose skewed coin partitions
 AQE splits.
 
@@ -50,6 +51,13 @@ def _cover(band) -> F.Column:
                                      for level in range(LEVELS)]))
 
 
+def _dealt(subs: DataFrame) -> DataFrame:
+    """Subscriptions evenly over all tasks, however few files or row groups hold them.  The
+    number is given, so that AQE, which sees only how small they are, doesn't merge them again."""
+    spark = subs.sparkSession
+    return subs.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
 def match_alerts(cooled: DataFrame, subs: DataFrame, key: str = "id", change: str = "price_change_pct_24h",
                  price: str = "current_price", ts: str = "timestamp", render: bool = False) -> DataFrame:
     """One row per (cooled tick, subscriber) whose direction and threshold
@@ -60,7 +68,7 @@ def match_alerts(cooled: DataFrame, subs: DataFrame, key: str = "id", change: st
         t = t.withColumns({"subject": alert_subject("coin", "direction", "change"),
                            "_head": alert_body_head("coin", "direction", "change", "price")})
     t = t.withColumn("_band", F.explode(_cover(_band(F.abs("change")))))
-    s = subs.select("email", "coin", "direction", effective_threshold("threshold").alias("threshold"))
+    s = _dealt(subs.select("email", "coin", "direction", effective_threshold("threshold").alias("threshold")))
     s = s.withColumn("_band", F.explode(_cells_of(_band(F.col("threshold")))))
     cond = ((t["coin"] == s["coin"]) & (t["direction"] == s["direction"]) & (t["_band"] == s["_band"])
             & threshold_hit(t["change"], s["threshold"], t["direction"]))

@@ -207,3 +207,12 @@ def test_a_mailer_skips_what_it_has_sent(spark):
     assert sorted(r.alert_id for r in got.collect()) == sorted(set(ids.values()) - {ids["e1", at(0)]})
     assert got.columns == [*outbox.columns, "alert_id"] and {r.price for r in got.collect()} == {1.0}
     assert J.unsent(outbox.where("false"), receipts).count() == 0
+
+
+def test_subscriptions_of_one_file_are_dealt_over_tasks(spark):
+    cooled = ticks_df(spark, [tick("a", i, price=1.0, change=9.0, seq=i) for i in range(3)])
+    subs = _subs(spark, [(f"u{i}@e", "a", 1.0 + i % 7, "rise") for i in range(400)]).coalesce(1)
+    alerts = J.match_alerts(F.broadcast(cooled), subs, render=True)
+    per_task = [r["count"] for r in alerts.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 1200
+    assert len(per_task) >= 4 and max(per_task) <= 600
