@@ -212,26 +212,60 @@ def resample_stream(ticks: DataFrame, width: str = BUCKET_WIDTH, delay: str = "1
     return out.select("id", naive_utc(F.col("w.start")).alias("bucket"), *values)
 
 
+# a coin's ticks are folded to the last values of their buckets in blocks of about so many
+FOLD_ROWS = 50_000
+
+
+def last_values(values: tuple[str, ...]) -> Callable[[Iterator[pd.DataFrame]], tuple[set[int], dict[str, pd.DataFrame]]]:
+    """A function (nested, so that it travels with its job) from the parts of a coin's
+    ticks to their buckets ``b`` and, per column, the last value that is there in each of
+    them with its place (``t``, ``s``); of equal places the later row counts.  It holds
+    one block and a row per bucket and column, however many ticks come."""
+    def blocks(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
+        for part in parts:
+            held.append(part)
+            n += len(part)
+            if n >= FOLD_ROWS:
+                yield pd.concat(held)
+                held, n = [], 0
+        if n:
+            yield pd.concat(held)
+
+    def fold(parts: Iterator[pd.DataFrame]) -> tuple[set[int], dict[str, pd.DataFrame]]:
+        occupied, last = set(), {}
+        for rows in blocks(parts):
+            occupied.update(rows["b"].unique().tolist())
+            for name in values:
+                own = rows.loc[rows[name].notna(), ["b", "t", "s", name]]
+                both = pd.concat([last[name], own]) if name in last else own
+                last[name] = both.sort_values(["t", "s"], kind="stable").groupby("b").tail(1)
+        return occupied, last
+
+    return fold
+
+
 def _regular(src: DataFrame, width_us: int, values: tuple[str, ...], fill: bool) -> DataFrame:
     """Closed buckets with the empty ones before them.  A coin's state holds its open
     buckets, per column the last value with its place in the order, and the last
     closed bucket's values; it wakes when the watermark passes the end of an open
-    bucket.  Values pass as text, which keeps every long and double as it is; an empty
+    bucket.  A batch's ticks are folded block by block, so a task never holds a coin's
+    ticks, only its buckets.  Values pass as text, which keeps every long and double as it is; an empty
     stretch leaves the operator as one run and is expanded afterwards."""
     types = {f.name: f.dataType for f in src.schema.fields}
+    fold = last_values(values)
 
     def close(coin: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         found = json.loads(state.get[0]) if state.exists else {"last": None, "before": [None] * len(values), "open": {}}
         buckets = {int(b): own for b, own in found["open"].items()}
         closed_to = state.getCurrentWatermarkMs() * 1000
-        ticks = [] if state.hasTimedOut else [p for p in parts if len(p)]
-        if ticks:
-            rows = pd.concat(ticks).sort_values(["t", "s"], kind="stable")
-            rows = rows[rows["b"] + width_us > closed_to]  # what comes later than that is dropped
-            for b in rows["b"].unique():
-                buckets.setdefault(int(b), [None] * len(values))
+        if not state.hasTimedOut:
+            in_time = (p[p["b"] + width_us > closed_to] for p in parts)  # what comes later than that is dropped
+            occupied, latest = fold(in_time)
+            for b in occupied:
+                buckets.setdefault(b, [None] * len(values))
             for i, name in enumerate(values):
-                for r in rows[rows[name].notna()].groupby("b").tail(1)[["b", "t", "s", name]].itertuples(index=False):
+                for r in latest[name].itertuples(index=False) if name in latest else ():
                     held, own = buckets[int(r[0])][i], [int(r[1]), int(r[2]), r[3]]
                     if held is None or held[:2] <= own[:2]:
                         buckets[int(r[0])][i] = own

@@ -1,7 +1,10 @@
 """Streaming: idempotent sinks (K1), stream = batch, restart from checkpoint."""
 
 import os
+import random
+import weakref
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from marketpulse.operators import cooldown as T
@@ -306,3 +309,35 @@ def test_partials_equal_the_full_scan_and_read_no_history(spark, tmp_dir):
     assert rows_of(merged, "id", "n_ticks") == rows_of(S.tick_counts(hist), "id", "n_ticks")
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert f"{tmp_dir}/latest" in plan and f"{tmp_dir}/h" not in plan
+
+
+def test_stream_fold_does_not_hold_a_coins_ticks(monkeypatch):
+    """A coin's ticks come in many parts: whatever their number, only a few are held at a time."""
+    monkeypatch.setattr(ST, "FOLD_ROWS", 500)
+    rnd, made, most, whole = random.Random(3), [], 0, []
+
+    def parts():
+        nonlocal most
+        for i in range(60):
+            rows = [(b, b + rnd.randint(0, 3), rnd.randint(0, 2), f"{i}-{j}" if rnd.random() < 0.7 else None) for j in range(100) for b in [10 * rnd.randint(0, 4)]]
+            whole.extend(rows)
+            part = pd.DataFrame(rows, columns=["b", "t", "s", "v"]).assign(none=None)
+            made.append(weakref.ref(part))
+            most = max(most, sum(r() is not None for r in made))
+            yield part
+            del part
+
+    occupied, last = ST.last_values(("v", "none"))(parts())
+    expected = {}
+    for b, t, s, v in whole:  # of equal places the later row counts
+        if v is not None and (b not in expected or expected[b][:2] <= (t, s)):
+            expected[b] = (t, s, v)
+    assert occupied == {b for b, *_ in whole}
+    assert {r.b: (r.t, r.s, r.v) for r in last["v"].itertuples()} == expected
+    assert len(last["none"]) == 0
+    assert most <= 10
+
+
+def test_gap_filled_stream_in_small_blocks(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(ST, "FOLD_ROWS", 7)
+    test_gap_filled_stream_equals_batch_over_batches(spark, tmp_dir)
