@@ -25,9 +25,11 @@ def parse_time(df: DataFrame, column: str = "timestamp") -> DataFrame:
     """ISO-8601 text to a naive-UTC instant; bad text gives null, never an
     error (plain ``cast`` aborts the query under ANSI mode).  Text without a zone
     is UTC, whatever the session's zone: it is read with a ``Z`` at its end, which
-    text that names its own zone does not bear, and a date alone as midnight."""
+    text that names its own zone does not bear, and a date alone as midnight.  Text
+    that ends in ``Z`` isn't tried with another one: no zone ends so, and Spark would
+    find that out by a Java exception per row."""
     text = F.trim(F.col(column).cast("string"))
-    as_utc = F.concat(text, F.lit("Z")).try_cast("timestamp")
+    as_utc = F.when(~F.endswith(text, F.lit("Z")), F.concat(text, F.lit("Z")).try_cast("timestamp"))
     instant = F.coalesce(as_utc, F.when(F.contains(text, F.lit(":")), text.try_cast("timestamp")))
     return df.withColumn(column, F.coalesce(naive_utc(instant), F.when(~F.contains(text, F.lit(":")), text.try_cast("timestamp_ntz"))))
 
@@ -36,9 +38,13 @@ def decode(df: DataFrame, schema: T.StructType = TICK_WIRE, value: str = "value"
            time_column: str | None = "timestamp", keep: tuple[str, ...] = ()) -> DataFrame:
     """Binary or string message value to typed columns (``keep``
     carries source columns such as the ingest sequence alongside).  NaN in a
-    double column is a missing value."""
+    double column is a missing value.
+
+    The struct is unpacked by a generator, which gives its one row also for a null one:
+    a filter on columns of ``_m`` would be pushed below and parse the message again for
+    each of its mentions of them."""
     text = F.col(value).cast("string")
-    out = df.select(F.from_json(text, schema).alias("_m"), *keep).select("_m.*", *keep)
+    out = df.select(F.inline(F.array(F.from_json(text, schema))), *keep)
     out = out.withColumns({f.name: nan_to_null(f.name) for f in schema.fields if isinstance(f.dataType, T.DoubleType)})
     if time_column and time_column in schema.fieldNames():
         out = parse_time(out, time_column)

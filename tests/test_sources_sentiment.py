@@ -3,6 +3,8 @@ summaries (A1/A2) on edge rows."""
 
 import json
 
+from pyspark.sql import functions as F
+
 from marketpulse.operators import sentiment as X
 from marketpulse.sources import codec as C
 from marketpulse.sources import payloads as PL
@@ -97,3 +99,21 @@ def test_decode_keeps_source_columns_and_kafka_sequence(spark):
     assert got["id"] == "a" and got["seq"] == (3 << 40) + 17
     assert raw.select(C.kafka_sequence().alias("s")).schema["s"].dataType.simpleString() == "bigint"
     assert F is not None
+
+
+def test_filtered_messages_are_parsed_once(spark):
+    """A filter on decoded columns doesn't parse the message again for each mention of them, and no message is lost."""
+    n = F.col("id").cast("string")
+    raw = spark.range(6).select(F.when(F.col("id") != 5, F.concat(F.lit('{"id": "a", "price_change_pct_24h": '), n, F.lit(', "timestamp": "2024-01-01T00:00:0'), n, F.lit('Z"}'))).alias("value"))
+    ticks = C.decode_ticks(raw)
+    found = ticks.where("id IS NOT NULL AND timestamp IS NOT NULL AND price_change_pct_24h <> 0 AND price_change_pct_24h < 4")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert rows_of(found, "id", "timestamp", "price_change_pct_24h") == [("a", at(i), float(i)) for i in (1, 2, 3)]
+    assert ticks.where("id IS NULL").count() == 1
+
+
+def test_times_with_and_without_a_zone(spark):
+    times = {"2024-01-01T00:00:07Z": at(7), "2024-01-01 00:00:07 Z": at(7), "2024-01-01T00:00:07": at(7), "2024-01-01T01:00:07+01:00": at(7),
+             "2024-01-01 13:00:07 NZ": at(7), "2024-01-01": at(0), "2024-01-01T00:00:07ZZ": None, "Z": None, "": None}
+    df = spark.createDataFrame([(t, t) for t in times], "text string, timestamp string")
+    assert {r["text"]: r["timestamp"] for r in C.parse_time(df).collect()} == times
