@@ -19,8 +19,9 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     else:
         down = edges.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
-        out = (down.join(least.withColumnRenamed("u", "c"), u == F.col("c")).select(v.alias("u"), F.col("m").alias("v"))
-               .unionByName(least.select("u", F.col("m").alias("v"))))
+        # both ends from the joined rows: another use of ``least`` would be another copy of its plan
+        ends = F.array(*[F.struct(end.alias("u"), F.col("m").alias("v")) for end in (v, u)])
+        out = down.join(least.withColumnRenamed("u", "c"), u == F.col("c")).select(F.inline(ends))
     return out.where("u <> v").distinct()
 
 
@@ -29,12 +30,14 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large and small stars until every node hangs on one that hangs on
     none, some log(n) times; joins on a node with many neighbours are split by AQE.
+    Each step is stored, as it reads the one before more than once: nested, plans multiply in the driver.
     Loops, repeated edges and edges with a null are of no account. Nodes without an
     edge don't appear."""
     edges = stored(edges.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u <> v").distinct(), "edges")
     while True:
-        before, edges = edges, stored(_stars(_stars(edges, True), False), "edges")
-        discard(before)
+        before, far = edges, stored(_stars(edges, True), "edges")
+        edges = stored(_stars(far, False), "edges")
+        discard(before, far)
         torn = edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
         deep = edges.join(edges.select(F.col("v").alias("c")), F.col("u") == F.col("c"), "left_semi").select("u")
         if torn.unionByName(deep).isEmpty():

@@ -35,6 +35,21 @@ def test_components_of_nothing(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_no_step_of_components_nests_another(spark, monkeypatch):
+    """Every plan that the driver makes is small, and as large in the last round as in the first."""
+    from marketpulse.llm import components as module
+    plans = []
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stored(df, name)
+    stored = module.stored
+    monkeypatch.setattr(module, "stored", noted)
+    components(spark.createDataFrame([(i, i + 1) for i in range(60)], "u long, v long")).collect()
+    assert len(plans) > 6
+    assert all(p.count("Relation [") <= 4 and p.count("Join ") <= 1 for p in plans[1:])
+
+
 def test_no_link_across_components_is_lost(spark):
     """One bucket of points on a line; neighbours are linked, so most pairs aren't."""
     rnd = random.Random(4)
