@@ -35,10 +35,10 @@ WORD_BLOCKS = 5
 WORD_KEYS = ((1, 11, 3, 2), (10, 21, 2, 3), (20, 1 << 62, 1, 2))
 #: Bits of a count of a block's words, and words of a line from which on the counts aren't looked at
 HELD, MANY = 12, 4000
-#: Distinct words up to which seven fields hold the counts, and a text with a line that may have more: a letter
-#: makes one word at most
+#: Distinct words up to which seven fields hold the counts, and UTF-8 bytes of every raw line that has more. A word
+#: takes two bytes and a blank (or a letter that ends its word, as a dotted I), but for 36 words of one byte.
 FEW_WORDS = (1 << BITS // SHORT) - 1
-LONG_LINE = rf"(?:\A|\n)[^\n]{{{FEW_WORDS}}}"
+LONG_BYTES = 2 * (FEW_WORDS + 1) - 1
 #: Words of longer lines are counted in runs: the fields of 21 bits hold no more
 CHUNK = 20
 #: Edits allowed per hundred code points of the longer line
@@ -47,6 +47,8 @@ PERCENT_EDITS = 20
 CUT, CUT_EDITS = r"(?s).{512,1023}? |.{1,1024}", 1024 * PERCENT_EDITS // 100
 #: Looked for first: a distance takes time in proportion to its limit, and most near lines have few edits.
 FEW_EDITS = 16
+#: Words of two lines that may stand for each other where the lines part, fewest first
+GAPS = ((1, 1), (0, 1), (1, 0), (1, 2), (2, 1), (0, 2), (2, 0), (2, 2))
 #: A place is doc_id * _LINES + line_no, exact as a decimal; a missing id comes after all others
 _LINES, _NO_ID = Decimal(1 << 31), Decimal(1 << 63)
 
@@ -55,9 +57,12 @@ def normalised_line(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, line_no, line`` (normalised), ``h``, ``n`` (code points) of lines with a letter or digit."""
+def _lines(docs: DataFrame, least_bytes: int = 0) -> DataFrame:
+    """``doc_id, line_no, line`` (normalised), ``h``, ``n`` (code points) of lines with a letter or digit
+    (and so many bytes before they are normalised)."""
     split = docs.select("doc_id", F.posexplode(F.split(whole(F.col("text")), "\n", -1)).alias("line_no", "raw"))
+    if least_bytes:
+        split = split.where(F.octet_length("raw") >= least_bytes)
     return (split.select("doc_id", F.col("line_no").cast("long").alias("line_no"), normalised_line(F.col("raw")).alias("line")).where("line <> ''")
             .withColumn("h", F.xxhash64("line")).withColumn("n", F.char_length("line")))
 
@@ -94,9 +99,10 @@ def with_simhash(docs: DataFrame) -> DataFrame:
     """``doc_id, line_no, h, n, sim, words, held, b0..b4``: bit i of ``sim`` is set
     when it is in the hashes of more than half of the line's distinct words."""
     out = None
-    for fields, part in ((SHORT, docs), (LONG, docs.where(F.col("text").rlike(LONG_LINE)))):
+    for fields, least_bytes in ((SHORT, 0), (LONG, LONG_BYTES)):
         hashes = F.array_distinct(F.transform(F.split("line", " "), lambda word: F.xxhash64(word)))
-        lines = _lines(part).withColumn("row", F.monotonically_increasing_id()).select(*_LINE, "row", hashes.alias("hashes"))
+        part = docs.where(F.octet_length("text") >= least_bytes) if least_bytes else docs
+        lines = _lines(part, least_bytes).withColumn("row", F.monotonically_increasing_id()).select(*_LINE, "row", hashes.alias("hashes"))
         lines = lines.where(F.size("hashes") <= FEW_WORDS if fields == SHORT else F.size("hashes") > FEW_WORDS)
         sim = F.lit(0).cast("long")
         for i in range(BITS):
@@ -130,20 +136,58 @@ def _alike(a: str, b: str) -> Column:
     return (_bits_apart(a, b) <= DISTANCE) & ((F.greatest(n_a, n_b) - F.least(n_a, n_b)) * 100 <= F.greatest(n_a, n_b) * PERCENT_EDITS)
 
 
-def _within(x: Column, y: Column, most: Column) -> Column:
-    """Whether two lines are at most so many edits apart. The edits of cut against
-    cut are enough in all, if not the fewest; only where they don't show it, and
+def _edits_by_word(xs: Column, ys: Column) -> Column:
+    """Edits that turn one line into the other word by word, enough if not the fewest, in
+    time that grows with the number of words. Equal words are passed; where the
+    lines part, the first of ``GAPS`` after which two words agree (one at the end of a line) takes the place of
+    the other's words, or else one word of the other's. ``xs``, ``ys``: columns, or they are made anew for every word."""
+    nx, ny = F.size(xs), F.size(ys)
+
+    def step(at: Column, _: Column) -> Column:
+        i, j, n = at["i"], at["j"], at["n"]
+
+        def agree(di: int, dj: int) -> Column:
+            return F.get(xs, i + di).eqNullSafe(F.get(ys, j + dj))
+
+        def size(words: Column, first: Column, n_words: int) -> Column:
+            return sum((F.coalesce(F.char_length(F.get(words, first + k)) + 1, F.lit(0)) for k in range(n_words)), F.lit(0))
+
+        def past(di: int, dj: int) -> Column:
+            more = F.greatest(size(xs, i, di), size(ys, j, dj))
+            return F.struct((i + di).alias("i"), (j + dj).alias("j"), (n + more).alias("n"))
+
+        same = F.struct((i + 1).alias("i"), (j + 1).alias("j"), n.alias("n"))
+        out = F.when((i >= nx) & (j >= ny), at).when(agree(0, 0), same)
+        for di, dj in GAPS:
+            out = out.when(agree(di, dj) & agree(di + 1, dj + 1), past(di, dj))
+        return out.when(i >= nx, past(0, 1)).when(j >= ny, past(1, 0)).otherwise(past(1, 1))
+
+    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("n"))
+    return F.aggregate(F.concat(xs, ys), start, step, lambda at: at["n"])
+
+
+def _first_known(*edits: Column) -> Column:
+    """The first that isn't -1; none is worked out twice, or after it."""
+    first, *others = edits
+    if not others:
+        return first
+    return F.get(F.transform(F.array(first), lambda n: F.when(n >= 0, n).otherwise(_first_known(*others))), 0)
+
+
+def _within(x: Column, y: Column, xs: Column, ys: Column, most: Column) -> Column:
+    """Whether two lines (``xs``, ``ys``: their words) are at most so many edits apart. The edits of word
+    against word, then those of cut against cut, are enough in all, if not the fewest; only where they don't show it, and
     there is more than one cut, the whole lines are compared, in time that grows with the square of
     their length."""
     def apart(a: Column, b: Column) -> Column:
         a, b = F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))
         few, edits = (F.call_function("levenshtein", a, b, F.least(most, F.lit(limit))) for limit in (FEW_EDITS, CUT_EDITS))
         longer = F.greatest(F.char_length(a), F.char_length(b))
-        return F.when(a == b, F.lit(0)).when(few >= 0, few).when(edits >= 0, edits).otherwise(longer)
+        return F.when(a == b, F.lit(0)).otherwise(_first_known(few, edits, longer))
     cuts = [F.regexp_extract_all(c, F.lit(CUT), F.lit(0)) for c in (x, y)]
     by_cut = F.aggregate(F.zip_with(*cuts, apart), F.lit(0), lambda n, d: n + d)
     several = F.greatest(F.char_length(x), F.char_length(y)) > 512
-    return (by_cut <= most) | (several & (F.call_function("levenshtein", x, y, most) >= 0))
+    return (_edits_by_word(xs, ys) <= most) | (by_cut <= most) | (several & (F.call_function("levenshtein", x, y, most) >= 0))
 
 
 def _unpacked(place: str, doc_id: str, line_no: str) -> list[Column]:
@@ -188,9 +232,10 @@ def fuzzy_lines(docs: DataFrame) -> DataFrame:
         # distances cost far more than their bytes: dealt over all tasks, whatever their size
         both = both.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "x", "y")
         most = F.floor(F.greatest("a.n", "b.n") * PERCENT_EDITS / 100).cast("int")
+        both = both.select("x", "y", "line_a", "line_b", F.split("line_a", " ").alias("words_a"), F.split("line_b", " ").alias("words_b"), most.alias("most"))
         # as a generator: a filter would be moved below the exchange
         linked = F.array(F.struct(F.col("x").alias("u"), F.col("y").alias("v")))
-        return both.select(F.inline(F.when(_within(F.col("line_a"), F.col("line_b"), most), linked)))
+        return both.select(F.inline(F.when(_within(*map(F.col, ("line_a", "line_b", "words_a", "words_b", "most"))), linked)))
 
     parts = linked_components(members, details, _alike, _bits_apart, confirm)
     linked = nodes.select("node", "first").join(parts, "node")

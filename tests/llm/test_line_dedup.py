@@ -145,3 +145,57 @@ def test_lines_around_the_limit_of_short_counts(spark):
         assert (found[20_000 + n].sim ^ found[n].sim).bit_count() < 8
     keep = {r.doc_id: r.keep_doc_id for r in fuzzy_lines(docs).collect()}
     assert all(keep[20_000 + n] == n for n in (FEW_WORDS - 1, FEW_WORDS, FEW_WORDS + 1, 3 * FEW_WORDS))
+
+
+def test_edits_by_word_are_enough_and_few(spark):
+    """Never fewer than the edits; of words replaced, dropped, added and split, at most what the words hold."""
+    from pyspark.sql import functions as F
+
+    from marketpulse.llm.line_dedup import _edits_by_word
+    rnd = random.Random(5)
+
+    def word():
+        return "".join(rnd.choice("abcdeéŏ語𝄞") for _ in range(rnd.randrange(1, 9)))
+    rows = [("a", "a", 0), ("", "", 0), ("a", "b c", None), ("", "b c d", None), ("a b c d", "", None), ("x a b", "a b x", None)]
+    rows += [(" ".join(word() for _ in range(rnd.randrange(1, 9))), " ".join(word() for _ in range(rnd.randrange(1, 9))), None) for _ in range(60)]
+    for _ in range(80):
+        words = [word() for _ in range(rnd.randrange(30, 60))]
+        other, most = [], 0
+        for k, w in enumerate(words):
+            kind, new = rnd.randrange(4) if k % 10 == 4 else -1, f"{word()}{k}"
+            other += {0: [new], 1: [], 2: [w, new], 3: [w[:1] + "q", w[1:] + "q"]}.get(kind, [w])
+            most += {0: max(len(w), len(new)) + 1, 1: len(w) + 1, 2: len(new) + 1, 3: len(w) + 4}.get(kind, 0)
+        rows.append((" ".join(words), " ".join(other), most if len(set(words)) == len(words) else None))
+    df = spark.createDataFrame(rows, "x string, y string, most int").withColumn("xs", F.split("x", " ")).withColumn("ys", F.split("y", " "))
+    for r in df.withColumn("n", _edits_by_word(F.col("xs"), F.col("ys"))).collect():
+        assert r.n >= edits(r.x, r.y, 10 ** 6), r
+        assert r.most is None or r.n <= r.most, r
+
+
+def test_scattered_edits_of_a_very_long_line_cost_no_square(spark):
+    """Words added at many places shift every later cut; comparing the whole lines would take minutes."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from marketpulse.llm.line_dedup import _within
+    rnd = random.Random(7)
+    line = [f"{rnd.randrange(10 ** 7)}w" for _ in range(60_000)]
+    other = [w for k, word in enumerate(line) for w in ((word, "added") if k % 8 == 0 else (word,))]
+    most = len(" ".join(other)) * PERCENT_EDITS // 100
+    rows = spark.createDataFrame([(" ".join(line), " ".join(other), line, other, most)], "x string, y string, xs array<string>, ys array<string>, most int")
+    began = time.time()
+    assert rows.select(_within(*map(F.col, rows.columns)).alias("near")).first().near and time.time() - began < 60
+
+
+def test_shortest_lines_of_many_words(spark):
+    from marketpulse.llm.line_dedup import FEW_WORDS, LONG_BYTES
+    one = [chr(c) for c in (*range(48, 58), *range(97, 123))]
+    two = [a + b for a in one for b in one][:FEW_WORDS + 1 - 36]
+    dotted = [w[:-1] + "\u0130" for w in two if w[-1] == "i"]  # in lower case i and a mark, which parts words
+    shortest = " ".join(one + two)
+    joined = "".join(dotted) + " " + " ".join(one + [w for w in two if w[-1] != "i"])
+    rows = [(1, shortest, "a"), (2, joined, "a"), (3, " ".join((one + two)[1:]), "a")]
+    assert len(shortest.encode()) >= LONG_BYTES and len(joined.encode()) >= LONG_BYTES
+    found = {r.doc_id: r.words for r in with_simhash(frame(spark, rows)).collect()}
+    assert found == {1: FEW_WORDS + 1, 2: FEW_WORDS + 1, 3: FEW_WORDS}
