@@ -145,9 +145,12 @@ class LogBilinear:
         return model
 
     def hidden(self, contexts: np.ndarray) -> np.ndarray:
-        out = self.read[contexts[0]] * self.place[0]
+        out = self.read.take(contexts[0], axis=0)
+        out *= self.place[0]
         for place, c in zip(self.place[1:], contexts[1:]):
-            out += self.read[c] * place
+            vectors = self.read.take(c, axis=0)
+            vectors *= place
+            out += vectors
         return out
 
     def learn(self, contexts: np.ndarray, units: np.ndarray, log_noise: np.ndarray, rng: np.random.Generator, squares: LogBilinear) -> None:
@@ -159,9 +162,9 @@ class LogBilinear:
         offset = (self.bias - log_noise - np.log(NOISE)).astype(np.float32)  # alters with the bias
         for at in range(0, len(order), BATCH):
             pick = order[at:at + BATCH]
-            ctx, true = contexts[:, pick], units[pick]
+            ctx, true = contexts.take(pick, axis=1), units[pick]
             noise = np.minimum(np.searchsorted(upto, rng.random(NOISE) * upto[-1], side="right"), self.units - 1)
-            read, written, noised = [self.read[c] for c in ctx], self.write[true], self.write[noise]
+            read, written, noised = [self.read.take(c, axis=0) for c in ctx], self.write.take(true, axis=0), self.write.take(noise, axis=0)
             hidden = read[0] * self.place[0]
             for place, vectors in zip(self.place[1:], read[1:]):
                 hidden += vectors * place
@@ -205,9 +208,12 @@ def _summed(slots: np.ndarray, vectors: np.ndarray, n: int) -> np.ndarray:
 
 def _climb(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray | slice, step: np.ndarray) -> None:
     step = step.astype(np.float32)
-    total = squares[rows] + step * step
+    total = squares.take(rows, axis=0) if isinstance(rows, np.ndarray) else squares[rows].copy()
+    total += step * step
     squares[rows] = total
-    weights[rows] += np.float32(RATE) * step / np.sqrt(total)
+    step *= np.float32(RATE)
+    step /= np.sqrt(total)
+    weights[rows] += step
 
 
 def class_starts(log_share: np.ndarray) -> np.ndarray:
@@ -256,14 +262,18 @@ class TwoSteps:
             far = float(np.sqrt(np.einsum("ij,ij->i", hidden, hidden).max())) * self.longest + self.most > 80
             for at in range(0, len(own), STEP):
                 rows = slice(at, at + STEP)
-                logs[rows] = self._chosen(hidden[rows] @ self.write + self.bias, classes[rows], far)
+                scores = hidden[rows] @ self.write
+                scores += self.bias
+                logs[rows] = self._chosen(scores, classes[rows], far)
             by_class = np.argsort(classes, kind="stable")
             ends = np.searchsorted(classes, np.arange(len(self.first) + 1), sorter=by_class)
             for c in np.flatnonzero((np.diff(ends) > 0) & (self.after - self.first > 1)):
                 first, after = self.first[c], self.after[c]
                 for at in range(ends[c], ends[c + 1], STEP):
                     rows = by_class[at:min(at + STEP, ends[c + 1])]
-                    logs[rows] += self._chosen(hidden[rows] @ self.inside[c] + self.model.bias[first:after], own[rows] - first, far)
+                    scores = hidden.take(rows, axis=0) @ self.inside[c]
+                    scores += self.model.bias[first:after]
+                    logs[rows] += self._chosen(scores, own.take(rows) - first, far)
         return out / np.log(10)
 
 
