@@ -23,9 +23,11 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketpulse.llm.common import stored, table, whole
@@ -90,6 +92,7 @@ class Vocabulary(dict):
 
     def __init__(self, head: list[tuple[str, int]], n_ends: int):
         super().__init__((w.encode(), i) for i, (w, _) in enumerate(head))
+        self.words = pa.array(list(self), pa.large_binary())
         self.log_count = np.log10(np.array([c + 1 for _, c in head], np.float64))
         self.log_end = float(np.log10(n_ends + 1))
         self.units = units_of(head)
@@ -104,7 +107,14 @@ class Vocabulary(dict):
 
 def tokens_of(vocabulary: Vocabulary, texts: list[str | None]) -> tuple[list[list[bytes]], list[np.ndarray]]:
     words = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
-    return words, [np.fromiter(map(vocabulary.__getitem__, w), np.int64, len(w)) for w in words]
+    flat = list(chain.from_iterable(words))
+    if len(flat) < len(vocabulary):  # too few to make a table of the vocabulary for
+        return words, [np.fromiter(map(vocabulary.__getitem__, w), np.int64, len(w)) for w in words]
+    found = pc.index_in(pa.array(flat, pa.large_binary()), value_set=vocabulary.words)
+    codes = found.fill_null(-1).to_numpy().astype(np.int64)
+    unknown = np.flatnonzero(codes < 0)
+    codes[unknown] = [vocabulary.__missing__(flat[i]) for i in unknown.tolist()]
+    return words, np.split(codes, np.cumsum([len(w) for w in words])[:-1])
 
 
 def contexts_of(vocabulary: Vocabulary, codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:

@@ -196,3 +196,16 @@ def test_nothing_to_learn_from(spark):
 def test_very_long_text(spark):
     rows = [(1, LONG, None), (2, "x", None), (3, LONG[:5000], None)]
     compare(rows, lm.scored(frame(spark, rows)).collect())
+
+
+def test_words_are_looked_up_alike_one_by_one_and_at_once():
+    from marketpulse.llm.language_model import Vocabulary, tokens_of
+    vocabulary = Vocabulary([("the", 90), ("\u00e9t\u00e9", 50), ("a", 3), ("\U0001d11e", 2)], 5)
+    texts = ["The new \u00e9t\u00e9", None, "", " \t\x0b", "A \ud800x a\x00 \U0001d11e the\x1cend"]
+    few = [tokens_of(vocabulary, [t]) for t in texts]
+    words, codes = tokens_of(vocabulary, texts)
+    assert sum(map(len, words)) > len(vocabulary)
+    assert words == [w for (own,), _ in few for w in [own]] and len(codes) == len(texts)
+    assert [c.tolist() for c in codes] == [[vocabulary[w] for w in own] for own in words] == [c.tolist() for _, (c,) in few]
+    assert [c.tolist() for c in tokens_of(Vocabulary([], 0), texts)[1]] == [[-1 - zlib.crc32(w) % lm.HASHED for w in own] for own in words]
+    assert all(c.dtype == np.int64 for c in codes)
