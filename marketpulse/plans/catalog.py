@@ -305,10 +305,10 @@ def q_alerts_unsent(spark, sf_dir):
     """What a mailer has to send after a replay wrote the outbox twice, when the alerts
     before an instant have their receipts."""
     path = f"{scratch_path(spark, 'outbox')}/alerts"
-    outbox = J.with_alert_id(J.match_alerts(T.cooldown(V.ticks(spark, sf_dir)), V.subscriptions(spark, sf_dir), render=True))
-    outbox.write.parquet(path)
-    written = spark.read.parquet(path)
-    receipts = written.where(F.col("timestamp") < F.lit(RECEIPTS_UPTO).cast("timestamp_ntz")).select("alert_id")
+    cooled, subs = T.cooldown(V.ticks(spark, sf_dir)), V.subscriptions(spark, sf_dir)
+    buckets = J.outbox_buckets(cooled, subs)
+    written = J.with_alert_id(J.store_outbox(J.match_alerts(cooled, subs, render=True, buckets=buckets), path, buckets))
+    receipts = written.where(F.col("timestamp") < F.lit(RECEIPTS_UPTO).cast("timestamp_ntz")).select("alert_id", J.PLACE)
     return J.unsent(written.unionByName(written), receipts)
 
 

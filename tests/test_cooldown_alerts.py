@@ -209,6 +209,36 @@ def test_a_mailer_skips_what_it_has_sent(spark):
     assert J.unsent(outbox.where("false"), receipts).count() == 0
 
 
+def test_a_stored_outbox_is_searched_bucket_by_bucket(spark, tmp_dir, monkeypatch):
+    cooled = ticks_df(spark, [tick("a", 4000 * i, price=1.0, change=9.0 - i, seq=i) for i in range(6)] + [tick("b", 0, change=-3.0, seq=9)])
+    people = [(f"u{i}@e", "a", 1.0 + i % 7, "rise") for i in range(40)] + [(f"u{i}@e", "b", None, "drop") for i in range(9)]
+    subs = _subs(spark, people + [people[0], (None, "a", 2.0, "rise"), (None, "a", 3.0, "rise"), ("w@e", None, 2.0, "rise")])
+    tables = {t.name for t in spark.catalog.listTables()}
+    outbox = J.match_alerts(cooled, subs, render=True)
+    written = J.with_alert_id(J.store_outbox(J.match_alerts(cooled, subs, render=True, buckets=5), f"{tmp_dir}/outbox", 5))
+    assert {t.name for t in spark.catalog.listTables()} == tables and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    assert rows_of(written.drop("alert_id", J.PLACE)) == rows_of(outbox)
+    receipts = written.where(F.col("timestamp") < F.lit(at(9000)).cast("timestamp_ntz")).select("alert_id", J.PLACE)
+    got = J.unsent(written.unionByName(written), receipts)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("FileScan") == 3 and plan.count("Bucketed: true") == 3
+    by_id = J.unsent(outbox.unionByName(outbox), receipts.select("alert_id"))
+    assert got.columns == by_id.columns and rows_of(got) == rows_of(by_id) and 0 < got.count() < outbox.count()
+    none = receipts.select(F.lit(None).cast("string").alias("alert_id"), J.PLACE)  # a receipt without an id is for no alert
+    assert rows_of(J.unsent(written, none)) == rows_of(J.unsent(outbox, none.select("alert_id")))
+    # 43 rising subscriptions of a times 6 ticks, 9 dropping ones of b times one
+    monkeypatch.setattr(J, "BUCKET_ALERTS", 10)
+    assert J.outbox_buckets(cooled, subs) == max(J._tasks(spark), -(-(43 * 6 + 9) // 10)) and J.outbox_buckets(cooled, subs.where("false")) == J._tasks(spark)
+
+
+def test_an_alert_of_a_stored_outbox_counts_once_where_its_rows_differ(spark, tmp_dir):
+    cooled = ticks_df(spark, [tick("a", 0, price=1.0, change=9.0, seq=1), tick("a", 4000, price=2.0, change=8.0, seq=2)])
+    written = J.store_outbox(J.match_alerts(cooled, _subs(spark, [("x@e", "a", 2.0, "rise")]), render=True, buckets=3), f"{tmp_dir}/outbox", 3)
+    twice = written.withColumn("price", F.col("price") + 1).unionByName(written)
+    sent = J.with_alert_id(written.where("price = 2")).select("alert_id", J.PLACE)
+    assert [r.price for r in J.unsent(twice, sent).collect()] == [1.0]
+
+
 def test_subscriptions_of_one_file_are_dealt_over_tasks(spark):
     cooled = ticks_df(spark, [tick("a", i, price=1.0, change=9.0, seq=i) for i in range(3)])
     subs = _subs(spark, [(f"u{i}@e", "a", 1.0 + i % 7, "rise") for i in range(400)]).coalesce(1)

@@ -71,6 +71,11 @@ def test_alert_join_broadcasts_cooled_ticks(spark):
         assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, name
 
 
+def test_unsent_alerts_are_found_where_they_are_stored(spark):
+    plan = _plan(spark, "alerts_unsent")  # both copies of the outbox and its receipts are read, and not moved
+    assert "Exchange" not in plan and plan.count("FileScan") == 3
+
+
 def test_texts_are_scored_and_matched_in_place(spark):
     assert "Exchange" not in _plan(spark, "score_text")
     plan = _plan(spark, "select_articles")  # only the top-k of each topic is moved
